@@ -96,8 +96,11 @@ def extract_profile(profiles: DataFrame, address_key: str = PROFILE_ADDRESS_KEY,
     # stage 2: top-k within phone over at most k * salt_buckets rows
     w2 = Window.partitionBy("phone")
     stage2 = stage1.select(
-        "phone", "e", "a", "s", "ok",
+        "phone", "e",
         F.row_number().over(w2.orderBy(*order)).alias("rn"),
+        F.min("a").over(w2).alias("a"),
+        F.min("s").over(w2).alias("s"),
+        F.max("ok").over(w2).alias("ok"),
     ).where(F.col("rn") <= k)
 
     merged = stage2.groupBy("phone").agg(
