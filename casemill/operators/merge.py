@@ -56,8 +56,16 @@ ORD_TYPE = T.StructType([
 
 @dataclass(frozen=True)
 class TableSpec:
+    """A keyed table and the column sets its writers may write ("shapes").
+
+    Columns that every shape writes together form one atom; the fold keeps
+    one `max_by` per atom (a struct of its columns) instead of one per
+    column, which keeps the aggregation small for wide tables.
+    """
+
     keys: tuple[str, ...]
     columns: tuple[str, ...]
+    shapes: tuple[tuple[str, ...], ...] = ()
 
     def __post_init__(self):
         if len(self.columns) > 63:
@@ -77,10 +85,40 @@ class TableSpec:
     def full_mask(self) -> int:
         return self.mask_of(self.columns)
 
-
-CASE_REPORT = TableSpec((CASE_KEY,), tuple(CASE_REPORT_COLUMNS))
-CASE_HISTORY = TableSpec((HISTORY_KEY,), tuple(CASE_HISTORY_COLUMNS))
-OFFSET_LEDGER = TableSpec(("groupid", "topic", "kafka_partition"), tuple(LEDGER_COLUMNS))
+    @property
+    def atoms(self) -> list[list[str]]:
+        """Value columns grouped by the set of shapes that write them."""
+        groups: dict[tuple[int, ...], list[str]] = {}
+        for c in self.value_columns:
+            sig = tuple(i for i, sh in enumerate(self.shapes) if c in sh)
+            groups.setdefault(sig, []).append(c)
+        return list(groups.values())
+
+    def check_shape(self, columns) -> None:
+        """A partial write must be a union of atoms, else the fold could not
+        tell which of an atom's columns it wrote."""
+        cols = set(columns)
+        for atom in self.atoms:
+            if cols & set(atom) and not set(atom) <= cols:
+                raise ValueError(f"columns {sorted(cols)} split the write group {atom}; "
+                                 "declare the shape in the table spec")
+
+    def with_shape(self, columns) -> "TableSpec":
+        return TableSpec(self.keys, self.columns, self.shapes + (tuple(columns),))
+
+
+# Write shapes of case_report: full replace, normal update, close update and
+# the three profile backfills.
+CASE_REPORT = TableSpec((CASE_KEY,), tuple(CASE_REPORT_COLUMNS), (
+    tuple(CASE_REPORT_COLUMNS),
+    tuple(c for c, _ in NORMAL_UPDATE_SET),
+    tuple(c for c, _ in CLOSE_UPDATE_SET),
+    ("address_detail",),
+    ("address_detail", "call_record_top_ten"),
+    ("company_address", "permanent_address"),
+))
+CASE_HISTORY = TableSpec((HISTORY_KEY,), tuple(CASE_HISTORY_COLUMNS), (tuple(CASE_HISTORY_COLUMNS),))
+OFFSET_LEDGER = TableSpec(("groupid", "topic", "kafka_partition"), tuple(LEDGER_COLUMNS), (tuple(LEDGER_COLUMNS),))
 
 # topic ranks: within one batch intake applies before updates, then backfills
 INTAKE_RANK, UPDATE_RANK, BACKFILL_RANK = 0, 1, 2
@@ -118,25 +156,27 @@ def change_rows(rows: DataFrame, table: TableSpec, op, ord: Column, values: dict
 def fold_changes(changes: DataFrame, snapshot: DataFrame | None, table: TableSpec = CASE_REPORT) -> DataFrame:
     """Apply a change log to a snapshot; returns the table (snapshot layout)."""
     keys = list(table.keys)
-    vals = table.value_columns
-    touches = {c: (F.col("mask").bitwiseAND(F.lit(table.bit(c))) != 0) for c in vals}
+    atoms = table.atoms
     aggs = [F.bool_or(F.col("op") == "R").alias("_has_r")]
-    for i, c in enumerate(vals):
-        aggs.append(F.max_by(F.col(c), F.when(touches[c], F.col("ord"))).alias(f"_v{i}"))
-        aggs.append(F.bool_or(touches[c]).alias(f"_h{i}"))
+    for i, atom in enumerate(atoms):
+        touch = F.col("mask").bitwiseAND(F.lit(table.mask_of(atom))) != 0
+        aggs.append(F.max_by(F.struct(*atom), F.when(touch, F.col("ord"))).alias(f"_v{i}"))
+        aggs.append(F.bool_or(touch).alias(f"_h{i}"))
     folded = changes.groupBy(*keys).agg(*aggs)
 
     if snapshot is None:
         out = folded.where("_has_r")
-        return out.select(*keys, *[F.col(f"_v{i}").alias(c) for i, c in enumerate(vals)]).select(*table.columns)
+        cols = [F.col(f"_v{i}")[c].alias(c) for i, atom in enumerate(atoms) for c in atom]
+        return out.select(*keys, *cols).select(*table.columns)
 
-    snap = snapshot.select(*keys, *[F.col(c).alias(f"_s{i}") for i, c in enumerate(vals)], F.lit(True).alias("_in_snap"))
+    snap = snapshot.select(*keys, F.struct(*table.value_columns).alias("_s"), F.lit(True).alias("_in_snap"))
     joined = snap.join(folded, on=keys, how="full_outer")
     has_r = F.coalesce(F.col("_has_r"), F.lit(False))
     cols = []
-    for i, c in enumerate(vals):
+    for i, atom in enumerate(atoms):
         hit = has_r | F.coalesce(F.col(f"_h{i}"), F.lit(False))
-        cols.append(F.when(hit, F.col(f"_v{i}")).otherwise(F.col(f"_s{i}")).alias(c))
+        for c in atom:
+            cols.append(F.when(hit, F.col(f"_v{i}")[c]).otherwise(F.col("_s")[c]).alias(c))
     out = joined.where(F.col("_in_snap").isNotNull() | has_r)
     return out.select(*keys, *cols).select(*table.columns)
 
@@ -208,6 +248,7 @@ def status_route(updates: DataFrame) -> DataFrame:
 def column_changes(rows: DataFrame, columns: list[str], batch_id=0, topic_rank: int = BACKFILL_RANK,
                    table: TableSpec = CASE_REPORT) -> DataFrame:
     """Partial updates (op E) of `columns` from rows carrying keys + columns."""
+    table.check_shape(columns)
     values = {k: F.col(k) for k in table.keys}
     values.update({c: F.col(c) for c in columns})
     return change_rows(rows, table, "E", _record_ord(rows, batch_id, topic_rank), values, table.mask_of(columns))
@@ -225,6 +266,7 @@ def replace_merge(target: DataFrame | None, rows: DataFrame, table: TableSpec =
 def update_merge(target: DataFrame, rows: DataFrame, columns: list[str], table: TableSpec = CASE_REPORT,
                  ord: Column | None = None, types: dict[str, T.DataType] | None = None) -> DataFrame:
     """UPDATE semantics: write `columns` on existing keys only (last write wins)."""
+    table = table.with_shape(columns)
     ord = ord if ord is not None else _record_ord(rows, 0, BACKFILL_RANK)
     values = {c: F.col(c) for c in list(table.keys) + list(columns)}
     ch = change_rows(rows, table, "E", ord, values, table.mask_of(columns), types)

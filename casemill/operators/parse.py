@@ -50,12 +50,15 @@ def classify(
     opts = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN}
     parsed = F.from_json(F.col("value"), parse_schema, opts)
     meta = [c for c in META_COLUMNS if c in messages.columns]
-    df = messages.select(F.col("value"), *meta, parsed.alias("_m"))
-
     fields = [f.name for f in schema.fields]
     exact = [f for f in (EXACT_FIELDS if exact_fields is None else exact_fields) if f in fields]
+    parts = [parsed.alias("_m")]
     if exact:
-        df = df.withColumn("_v", F.try_parse_json(F.col("value")))
+        parts.append(F.try_parse_json(F.col("value")).alias("_v"))
+    # The parse is produced by a one-row generator: predicates on its result
+    # (the quarantine split) cannot be pushed below a Generate, so every
+    # message is parsed exactly once instead of once per reference.
+    df = messages.select(F.col("value"), *meta, F.inline(F.array(F.struct(*parts))))
     cols = []
     for f in fields:
         c = F.col("_m")[f]
