@@ -31,13 +31,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from casemill.functions.columns import as_of_date, constant
+from casemill.functions.columns import as_of_date
 from casemill.schemas import (
     CASE_HISTORY_COLUMNS,
     CASE_KEY,
     CASE_KEY_FIELD,
     CASE_REPORT_COLUMNS,
     CASE_REPORT_MAPPING,
+    CONSTANTS,
     CLOSE_STATUS,
     CLOSE_UPDATE_SET,
     HISTORY_BLANK_COLUMNS,
@@ -134,51 +135,69 @@ def make_ord(batch_id, topic_rank, offset: Column | None = None, partition: Colu
     )
 
 
-def change_rows(rows: DataFrame, table: TableSpec, op, ord: Column, values: dict[str, Column],
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _sql(v) -> Column:
+    return F.expr(v) if isinstance(v, str) else v
+
+
+def change_rows(rows: DataFrame, table: TableSpec, op, ord: Column, values: dict[str, Column | str],
                 mask, types: dict[str, T.DataType] | None = None) -> DataFrame:
     """Change rows in the table's layout from `rows`.
 
-    `values` maps a table column to its expression; keys must be included.
-    Columns not in `values` are NULL (and, unless `mask` says so, untouched).
+    `values` maps a table column to its expression (a Column or SQL text);
+    keys must be included.  Columns not in `values` are NULL (and, unless
+    `mask` says so, untouched).  Wide projections are built as SQL text: one
+    call per column instead of one per expression node.
     """
     types = types or {}
     op_c = op if isinstance(op, Column) else F.lit(op)
     mask_c = mask if isinstance(mask, Column) else F.lit(mask).cast("bigint")
     cols = [op_c.alias("op")]
-    cols += [values[k].alias(k) for k in table.keys]
+    cols += [_sql(values[k]).alias(k) for k in table.keys]
     cols += [ord.alias("ord"), mask_c.cast("bigint").alias("mask")]
     for c in table.value_columns:
-        dtype = types.get(c, T.StringType())
-        cols.append((values[c] if c in values else F.lit(None)).cast(dtype).alias(c))
-    return rows.select(*cols).where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in table.keys]))
+        dtype = types.get(c, T.StringType()).simpleString()
+        v = values.get(c, "NULL")
+        if isinstance(v, str):
+            cols.append(F.expr(f"CAST({v} AS {dtype}) AS {_q(c)}"))
+        else:
+            cols.append(v.cast(dtype).alias(c))
+    cond = " AND ".join(f"{_q(k)} IS NOT NULL" for k in table.keys)
+    return rows.select(*cols).where(cond)
 
 
 def fold_changes(changes: DataFrame, snapshot: DataFrame | None, table: TableSpec = CASE_REPORT) -> DataFrame:
     """Apply a change log to a snapshot; returns the table (snapshot layout)."""
     keys = list(table.keys)
     atoms = table.atoms
-    aggs = [F.bool_or(F.col("op") == "R").alias("_has_r")]
+    aggs = ["bool_or(op = 'R') AS _has_r"]
     for i, atom in enumerate(atoms):
-        touch = F.col("mask").bitwiseAND(F.lit(table.mask_of(atom))) != 0
-        aggs.append(F.max_by(F.struct(*atom), F.when(touch, F.col("ord"))).alias(f"_v{i}"))
-        aggs.append(F.bool_or(touch).alias(f"_h{i}"))
-    folded = changes.groupBy(*keys).agg(*aggs)
+        touch = f"(mask & {table.mask_of(atom)}) <> 0"
+        fields = ", ".join(_q(c) for c in atom)
+        aggs.append(f"max_by(struct({fields}), CASE WHEN {touch} THEN ord END) AS _v{i}")
+        aggs.append(f"bool_or({touch}) AS _h{i}")
+    folded = changes.groupBy(*keys).agg(*[F.expr(a) for a in aggs])
+    where = {c: i for i, atom in enumerate(atoms) for c in atom}
 
     if snapshot is None:
         out = folded.where("_has_r")
-        cols = [F.col(f"_v{i}")[c].alias(c) for i, atom in enumerate(atoms) for c in atom]
-        return out.select(*keys, *cols).select(*table.columns)
+        return out.selectExpr(*[_q(c) if c in keys else f"_v{where[c]}.{_q(c)} AS {_q(c)}" for c in table.columns])
 
-    snap = snapshot.select(*keys, F.struct(*table.value_columns).alias("_s"), F.lit(True).alias("_in_snap"))
+    fields = ", ".join(_q(c) for c in table.value_columns)
+    snap = snapshot.selectExpr(*[_q(k) for k in keys], f"struct({fields}) AS _s", "true AS _in_snap")
     joined = snap.join(folded, on=keys, how="full_outer")
-    has_r = F.coalesce(F.col("_has_r"), F.lit(False))
-    cols = []
-    for i, atom in enumerate(atoms):
-        hit = has_r | F.coalesce(F.col(f"_h{i}"), F.lit(False))
-        for c in atom:
-            cols.append(F.when(hit, F.col(f"_v{i}")[c]).otherwise(F.col("_s")[c]).alias(c))
-    out = joined.where(F.col("_in_snap").isNotNull() | has_r)
-    return out.select(*keys, *cols).select(*table.columns)
+    has_r = "coalesce(_has_r, false)"
+    exprs = []
+    for c in table.columns:
+        if c in keys:
+            exprs.append(_q(c))
+            continue
+        i = where[c]
+        exprs.append(f"CASE WHEN {has_r} OR coalesce(_h{i}, false) THEN _v{i}.{_q(c)} ELSE _s.{_q(c)} END AS {_q(c)}")
+    return joined.where(f"_in_snap IS NOT NULL OR {has_r}").selectExpr(*exprs)
 
 
 def empty_table(spark, table: TableSpec, types: dict[str, T.DataType] | None = None) -> DataFrame:
@@ -205,17 +224,17 @@ def case_changes(records: DataFrame, batch_id=0, topic_rank: int = INTAKE_RANK)
     Every case_report column is written; the two update-only columns become
     NULL, as a replace (delete + insert) does.
     """
-    values = {col: F.col(field) for col, field in CASE_REPORT_MAPPING}
+    values = {col: _q(field) for col, field in CASE_REPORT_MAPPING}
     return change_rows(records, CASE_REPORT, "R", _record_ord(records, batch_id, topic_rank),
                        values, CASE_REPORT.full_mask)
 
 
-def _set_expr(spec: str, as_of: str | None) -> Column:
+def _set_expr(spec: str, as_of: str | None) -> str:
     if spec.startswith("="):
-        return constant(spec[1:])
+        return "'" + CONSTANTS[spec[1:]] + "'"
     if spec == "@as_of":
-        return as_of_date(as_of)
-    return F.col(spec)
+        return "current_date_text" if as_of is None else f"'{as_of}'"
+    return _q(spec)
 
 
 def update_changes(updates: DataFrame, as_of: str | None = None, batch_id=0,
@@ -224,18 +243,20 @@ def update_changes(updates: DataFrame, as_of: str | None = None, batch_id=0,
 
     A NULL status takes the normal branch (null-safe compare).
     """
-    is_close = F.col("status").eqNullSafe(F.lit(CLOSE_STATUS))
+    is_close = f"(status <=> '{CLOSE_STATUS}')"
     normal = dict(NORMAL_UPDATE_SET)
     close = dict(CLOSE_UPDATE_SET)
-    values = {CASE_KEY: F.col(CASE_KEY_FIELD)}
+    values: dict[str, Column | str] = {CASE_KEY: _q(CASE_KEY_FIELD)}
     for col in CASE_REPORT.value_columns:
         if col not in normal and col not in close:
             continue
-        n = _set_expr(normal[col], as_of) if col in normal else F.lit(None).cast("string")
-        c = _set_expr(close[col], as_of) if col in close else F.lit(None).cast("string")
-        values[col] = F.when(is_close, c).otherwise(n)
-    mask = F.when(is_close, F.lit(CASE_REPORT.mask_of(close))).otherwise(F.lit(CASE_REPORT.mask_of(normal)))
-    op = F.when(is_close, F.lit("C")).otherwise(F.lit("U"))
+        n = _set_expr(normal[col], as_of) if col in normal else "NULL"
+        c = _set_expr(close[col], as_of) if col in close else "NULL"
+        values[col] = f"CASE WHEN {is_close} THEN {c} ELSE {n} END"
+    mask = F.expr(f"CASE WHEN {is_close} THEN {CASE_REPORT.mask_of(close)} ELSE {CASE_REPORT.mask_of(normal)} END")
+    op = F.expr(f"CASE WHEN {is_close} THEN 'C' ELSE 'U' END")
+    if as_of is None:
+        updates = updates.withColumn("current_date_text", as_of_date(None))
     return change_rows(updates, CASE_REPORT, op, _record_ord(updates, batch_id, topic_rank), values, mask)
 
 
@@ -249,8 +270,8 @@ def column_changes(rows: DataFrame, columns: list[str], batch_id=0, topic_rank:
                    table: TableSpec = CASE_REPORT) -> DataFrame:
     """Partial updates (op E) of `columns` from rows carrying keys + columns."""
     table.check_shape(columns)
-    values = {k: F.col(k) for k in table.keys}
-    values.update({c: F.col(c) for c in columns})
+    values = {k: _q(k) for k in table.keys}
+    values.update({c: _q(c) for c in columns})
     return change_rows(rows, table, "E", _record_ord(rows, batch_id, topic_rank), values, table.mask_of(columns))
 
 
@@ -258,7 +279,7 @@ def replace_merge(target: DataFrame | None, rows: DataFrame, table: TableSpec =
                   ord: Column | None = None, types: dict[str, T.DataType] | None = None) -> DataFrame:
     """REPLACE semantics: the last row per key (by `ord`) replaces the target row."""
     ord = ord if ord is not None else _record_ord(rows, 0, INTAKE_RANK)
-    values = {c: F.col(c) for c in table.columns if c in rows.columns}
+    values = {c: _q(c) for c in table.columns if c in rows.columns}
     ch = change_rows(rows, table, "R", ord, values, table.full_mask, types)
     return fold_changes(ch, target, table)
 
@@ -268,7 +289,7 @@ def update_merge(target: DataFrame, rows: DataFrame, columns: list[str], table:
     """UPDATE semantics: write `columns` on existing keys only (last write wins)."""
     table = table.with_shape(columns)
     ord = ord if ord is not None else _record_ord(rows, 0, BACKFILL_RANK)
-    values = {c: F.col(c) for c in list(table.keys) + list(columns)}
+    values = {c: _q(c) for c in list(table.keys) + list(columns)}
     ch = change_rows(rows, table, "E", ord, values, table.mask_of(columns), types)
     return fold_changes(ch, target, table)
 
@@ -279,7 +300,7 @@ def update_merge(target: DataFrame, rows: DataFrame, columns: list[str], table:
 
 def history_changes(records: DataFrame, batch_id=0, topic_rank: int = INTAKE_RANK) -> DataFrame:
     """Full-row replaces into case_history: same-named fields, blank `address`."""
-    values = {c: (constant("BLANK") if c in HISTORY_BLANK_COLUMNS else F.col(c)) for c in CASE_HISTORY_COLUMNS}
+    values = {c: ("''" if c in HISTORY_BLANK_COLUMNS else _q(c)) for c in CASE_HISTORY_COLUMNS}
     return change_rows(records, CASE_HISTORY, "R", _record_ord(records, batch_id, topic_rank),
                        values, CASE_HISTORY.full_mask)
 

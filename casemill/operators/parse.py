@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from casemill.functions.columns import json_field_exact, message_class
+from casemill.functions.columns import message_class
 from casemill.schemas import (
     CASE_SCHEMA,
     CORRUPT_COLUMN,
@@ -61,13 +61,14 @@ def classify(
     df = messages.select(F.col("value"), *meta, F.inline(F.array(F.struct(*parts))))
     cols = []
     for f in fields:
-        c = F.col("_m")[f]
+        q = "`" + f + "`"
         if f in exact:
-            c = json_field_exact(F.col("_v"), f, c)
-        cols.append(c.alias(f))
+            cols.append(f"coalesce(try_variant_get(_v, '$.{f}', 'string'), _m.{q}) AS {q}")
+        else:
+            cols.append(f"_m.{q} AS {q}")
     phone = F.col("_m")[phone_field] if phone_field else None
     reason = message_class(F.col("value"), F.col("_m"), phone)
-    return df.select(*cols, *meta, F.col("value"), reason.alias(REASON))
+    return df.select(*[F.expr(c) for c in cols], *meta, F.col("value"), reason.alias(REASON))
 
 
 def split(classified: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -18,7 +18,7 @@ INTAKE_TOPIC = "case_increment"
 UPDATE_TOPIC = "case_update"
 INTAKE_GROUP = "case_increment"
 UPDATE_GROUP = "case_update"
-PROFILE_BLOCK = 1000
+PROFILE_BLOCK = 10000
 AS_OF = "2024-06-30"
 
 
@@ -26,6 +26,14 @@ def _s(c) -> F.Column:
     return c.cast("string")
 
 
+def _as_topic(spark: SparkSession, messages: DataFrame) -> DataFrame:
+    """Spread derived messages over the cluster's task slots, as a topic with
+    many partitions arrives (the driver tables are single-row-group files,
+    which would otherwise keep all per-message work in one task).  Hashing
+    the unique offset keeps the spread even whatever the key skew."""
+    return messages.repartition(spark.sparkContext.defaultParallelism, "offset")
+
+
 def case_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D1: Kafka-shaped case messages from orders x customer."""
     o = read_table(spark, sf_dir, "orders")
@@ -45,14 +53,14 @@ def case_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     value = (F.when(F.col("o_orderkey") % 50 == 0, F.lit("not json"))
              .when(F.col("o_orderkey") % 50 == 1, F.lit(""))
              .otherwise(F.to_json(rec)))
-    return d.select(
+    return _as_topic(spark, d.select(
         _s(F.col("o_custkey")).alias("key"),
         value.alias("value"),
         F.lit(INTAKE_TOPIC).alias("topic"),
         (F.col("o_custkey") % 4).cast("int").alias("partition"),
         F.col("o_orderkey").cast("bigint").alias("offset"),
         F.col("o_orderdate").cast("timestamp").alias("timestamp"),
-    )
+    ))
 
 
 def update_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,14 +77,14 @@ def update_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         _s(F.col("event_id")).alias("seqNo"),
         status.alias("status"),
     )
-    return e.select(
+    return _as_topic(spark, e.select(
         _s(F.col("user_id")).alias("key"),
         F.to_json(rec).alias("value"),
         F.lit(UPDATE_TOPIC).alias("topic"),
         (F.col("user_id") % 3).cast("int").alias("partition"),
         F.col("event_id").cast("bigint").alias("offset"),
         F.col("ts").cast("timestamp").alias("timestamp"),
-    )
+    ))
 
 
 def profiles(spark: SparkSession, sf_dir: str, block: int = PROFILE_BLOCK) -> DataFrame:
@@ -116,14 +124,13 @@ def existing_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D4: case_report snapshot from customer (a third of keys absent)."""
     c = read_table(spark, sf_dir, "customer").where(F.col("c_custkey") % 3 != 0)
     given = {
-        "overdue_id": _s(F.col("c_custkey")),
-        "phone": _s(F.col("c_custkey") % 200),
-        "remark": F.col("c_mktsegment"),
-        "balance": F.lit("9"),
-        "loan_type": F.lit("old"),
+        "overdue_id": "CAST(c_custkey AS STRING)",
+        "phone": "CAST(c_custkey % 200 AS STRING)",
+        "remark": "c_mktsegment",
+        "balance": "'9'",
+        "loan_type": "'old'",
     }
-    return c.select(*[(given[col] if col in given else F.lit(None).cast("string")).alias(col)
-                      for col in CASE_REPORT.columns])
+    return c.selectExpr(*[f"{given.get(col, 'CAST(NULL AS STRING)')} AS `{col}`" for col in CASE_REPORT.columns])
 
 
 def id_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

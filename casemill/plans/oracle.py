@@ -81,7 +81,7 @@ PROFILE = f"""pe AS (
   SELECT user_id, event_id, event_type, json_extract_string(props, '$.k') AS peer FROM events
 ),
 ce AS (
-  SELECT user_id, event_id // 1000 AS part, peer, COUNT(*) AS cnt FROM pe GROUP BY user_id, event_id // 1000, peer
+  SELECT user_id, event_id // 10000 AS part, peer, COUNT(*) AS cnt FROM pe GROUP BY user_id, event_id // 10000, peer
 ),
 rk AS (
   SELECT user_id, peer, row_number() OVER (PARTITION BY user_id ORDER BY cnt DESC, peer ASC NULLS LAST) AS rn FROM ce
