@@ -2,6 +2,7 @@
 
 from casemill.streaming.drivers import (
     StreamPaths,
+    current_ledger,
     current_table,
     read_change_log,
     run_stream_to_table,
@@ -10,6 +11,6 @@ from casemill.streaming.drivers import (
 )
 
 __all__ = [
-    "StreamPaths", "current_table", "read_change_log", "run_stream_to_table",
+    "StreamPaths", "current_ledger", "current_table", "read_change_log", "run_stream_to_table",
     "start_intake_stream", "start_update_stream",
 ]

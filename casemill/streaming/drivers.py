@@ -17,10 +17,14 @@ from dataclasses import dataclass
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from casemill.operators.merge import (
     CASE_REPORT,
+    OFFSET_LEDGER,
+    make_ord,
+    replace_merge,
     INTAKE_RANK,
     UPDATE_RANK,
     case_changes,
@@ -127,6 +131,17 @@ def current_table(spark: SparkSession, paths: StreamPaths, snapshot: DataFrame |
     return fold_changes(log, snapshot, CASE_REPORT)
 
 
+def current_ledger(spark: SparkSession, paths: StreamPaths) -> DataFrame | None:
+    """The offset ledger now: per (group, topic, partition) the position
+    written by the latest batch."""
+    entries = read_change_log(spark, paths.ledger)
+    if entries is None:
+        return None
+    entries = spark.read.parquet(paths.ledger)  # keeps the batch_id folder column
+    types = {"kafka_partition": T.IntegerType(), "kafka_offset": T.LongType()}
+    return replace_merge(None, entries, OFFSET_LEDGER, ord=make_ord(F.col("batch_id"), 0), types=types)
+
+
 def compact(spark: SparkSession, paths: StreamPaths, snapshot: DataFrame | None, out: str) -> DataFrame:
     """Write the folded table as a new snapshot and return it (lineage cut)."""
     current_table(spark, paths, snapshot).write.mode("overwrite").parquet(out)

@@ -10,6 +10,7 @@ from casemill.schemas import KAFKA_SCHEMA
 from casemill.session import scratch_path
 from casemill.streaming.drivers import (
     StreamPaths,
+    current_ledger,
     current_table,
     stage_source,
     start_intake_stream,
@@ -58,7 +59,7 @@ def test_intake_stream_equals_batch_and_replays(spark):
     assert rows(current_table(spark, paths, snap)) == expected
 
     # ledger: one position per touched partition, next offset to read
-    ledger = spark.read.parquet(paths.ledger)
+    ledger = current_ledger(spark, paths)
     ends = {r["kafka_partition"]: r["kafka_offset"] for r in ledger.collect()}
     want = {r["partition"]: r["m"] + 1 for r in msgs.groupBy("partition").agg({"offset": "max"})
             .withColumnRenamed("max(offset)", "m").collect()}
