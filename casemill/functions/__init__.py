@@ -5,7 +5,6 @@ from casemill.functions.columns import (
     constant,
     first_value_for_key,
     join_or_default,
-    json_field_exact,
     message_class,
     top_contacts,
 )
@@ -15,7 +14,6 @@ __all__ = [
     "constant",
     "first_value_for_key",
     "join_or_default",
-    "json_field_exact",
     "message_class",
     "top_contacts",
 ]

@@ -45,17 +45,6 @@ def message_class(raw: Column, parsed: Column, phone: Column | None) -> Column:
     return reason
 
 
-def json_field_exact(variant: Column, field: str, fallback: Column) -> Column:
-    """Field text that keeps every digit of a JSON number.
-
-    `from_json` into a string field renders a JSON number through a double, so
-    long amounts lose digits.  The variant parse keeps them; it yields NULL on
-    a repeated field, where the `from_json` value (last one wins) is used.
-    """
-    path = "$." + field
-    return F.coalesce(F.try_variant_get(variant, path, "string"), fallback)
-
-
 def first_value_for_key(entries: Column, key: str) -> Column:
     """`value` of the first `{key, value}` entry whose key equals `key`."""
     hit = F.filter(entries, lambda e: e["key"] == F.lit(key))

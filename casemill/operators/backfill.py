@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from casemill.operators.merge import BACKFILL_RANK, CASE_REPORT, column_changes, fold_changes
 from casemill.operators.profile import extract_profile
-from casemill.schemas import CASE_KEY, PROFILE_ADDRESS_KEY
+from casemill.schemas import CASE_KEY, PROFILE_ADDRESS_KEY, UNKNOWN
 
 # backfill column -> extracted profile column
 BACKFILL_SOURCES = {
@@ -47,7 +47,6 @@ def backfill(ids: DataFrame, cases: DataFrame, profiles: DataFrame, columns: lis
     ex = extracted if extracted is not None else extract_profile(profiles, address_key)
     ex = ex.select(F.col("phone").alias("_p"), *[F.col(BACKFILL_SOURCES[c]).alias(c) for c in columns])
     rows = targets.join(ex, targets["phone"] == ex["_p"], "left")
-    from casemill.schemas import UNKNOWN
     rows = rows.select(CASE_KEY, *[F.coalesce(F.col(c), F.lit(UNKNOWN)).alias(c) for c in columns])
     changes = column_changes(rows, columns, batch_id=batch_id, topic_rank=BACKFILL_RANK)
     return changes, missing_ids(ids, cases)
