@@ -28,11 +28,11 @@ def as_of_date(as_of: str | None) -> Column:
     return F.date_format(F.to_date(F.lit(as_of)), DATE_FORMAT)
 
 
-def message_class(raw: Column, parsed: Column, phone: Column | None) -> Column:
+def message_class(raw: Column, parsed: Column, phone: Column | None, key: Column | None = None) -> Column:
     """Classify one message: NULL when it is usable, else a quarantine reason.
 
     Order matters: a message is `empty` before it is `json_null`, before it
-    is `corrupt`, before it lacks a phone.
+    is `corrupt`, before it lacks a phone, before it lacks its key.
     """
     trimmed = F.trim(raw)
     reason = (
@@ -42,6 +42,8 @@ def message_class(raw: Column, parsed: Column, phone: Column | None) -> Column:
     )
     if phone is not None:
         reason = reason.when(phone.isNull(), F.lit("no_phone"))
+    if key is not None:
+        reason = reason.when(key.isNull(), F.lit("no_key"))
     return reason
 
 

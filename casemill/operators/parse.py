@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from casemill.functions.columns import message_class
 from casemill.schemas import (
+    CASE_KEY_FIELD,
     CASE_SCHEMA,
     CORRUPT_COLUMN,
     EXACT_FIELDS,
@@ -38,12 +39,14 @@ def classify(
     schema: T.StructType,
     *,
     phone_field: str | None = "mobile",
+    key_field: str | None = CASE_KEY_FIELD,
     exact_fields: list[str] | None = None,
 ) -> DataFrame:
     """All messages with their fields, Kafka position and a `reason` column.
 
     `reason` is NULL for a usable record, else one of `empty`, `json_null`,
-    `corrupt`, `no_phone` (records without a phone are never written).
+    `corrupt`, `no_phone` (records without a phone are never written) or
+    `no_key` (nothing to replace or update).
     """
     messages = _text_value(messages)
     parse_schema = with_corrupt(schema)
@@ -67,7 +70,8 @@ def classify(
         else:
             cols.append(f"_m.{q} AS {q}")
     phone = F.col("_m")[phone_field] if phone_field else None
-    reason = message_class(F.col("value"), F.col("_m"), phone)
+    key = F.col("_m")[key_field] if key_field else None
+    reason = message_class(F.col("value"), F.col("_m"), phone, key)
     return df.select(*[F.expr(c) for c in cols], *meta, F.col("value"), reason.alias(REASON))
 
 

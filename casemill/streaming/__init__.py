@@ -2,6 +2,8 @@
 
 from casemill.streaming.drivers import (
     StreamPaths,
+    compact,
+    current_history,
     current_ledger,
     current_table,
     read_change_log,
@@ -11,6 +13,6 @@ from casemill.streaming.drivers import (
 )
 
 __all__ = [
-    "StreamPaths", "current_ledger", "current_table", "read_change_log", "run_stream_to_table",
+    "StreamPaths", "compact", "current_history", "current_ledger", "current_table", "read_change_log", "run_stream_to_table",
     "start_intake_stream", "start_update_stream",
 ]

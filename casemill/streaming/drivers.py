@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from casemill.operators.merge import (
+    CASE_HISTORY,
     CASE_REPORT,
     OFFSET_LEDGER,
     make_ord,
@@ -29,6 +30,7 @@ from casemill.operators.merge import (
     UPDATE_RANK,
     case_changes,
     fold_changes,
+    history_changes,
     update_changes,
 )
 from casemill.operators.offsets import batch_end_offsets
@@ -54,6 +56,10 @@ class StreamPaths:
     def ledger(self) -> str:
         return f"{self.root}/ledger"
 
+    @property
+    def history(self) -> str:
+        return f"{self.root}/history"
+
     @property
     def checkpoint(self) -> str:
         return f"{self.root}/_checkpoint"
@@ -64,13 +70,14 @@ def _write_batch(df: DataFrame, folder: str, batch_id: int) -> None:
 
 
 def _handler(kind: str, paths: StreamPaths, group: str, as_of: str | None, profiles: DataFrame | None,
-             profile_addresses: bool):
+             profile_addresses: bool, write_history: bool = False):
     schema = CASE_SCHEMA if kind == "intake" else UPDATE_SCHEMA
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():  # nothing read: no work, no commit of positions
             return
         classified = classify(batch, schema).persist()
+        held = [classified]
         try:
             valid, quarantine = split(classified)
             if kind == "intake":
@@ -78,6 +85,10 @@ def _handler(kind: str, paths: StreamPaths, group: str, as_of: str | None, profi
                 phones = valid.select(F.col("mobile").alias("phone")).distinct()
                 needed = profiles.join(phones, "phone", "left_semi")
                 enriched = enrich_cases(valid, extract_profile(needed), as_of, profile_addresses)
+                if write_history:
+                    enriched = enriched.persist()
+                    held.append(enriched)
+                    _write_batch(history_changes(enriched, batch_id), paths.history, batch_id)
                 changes = case_changes(enriched, batch_id, INTAKE_RANK)
             else:
                 changes = update_changes(valid, as_of, batch_id, UPDATE_RANK)
@@ -85,15 +96,17 @@ def _handler(kind: str, paths: StreamPaths, group: str, as_of: str | None, profi
             _write_batch(quarantine, paths.quarantine, batch_id)
             _write_batch(batch_end_offsets(classified, group), paths.ledger, batch_id)
         finally:
-            classified.unpersist()
+            for df in held:
+                df.unpersist()
 
     return handle
 
 
 def _start(kind: str, source: DataFrame, paths: StreamPaths, group: str, as_of: str | None,
            profiles: DataFrame | None, profile_addresses: bool, trigger: dict | None,
-           query_name: str | None) -> StreamingQuery:
-    writer = (source.writeStream.foreachBatch(_handler(kind, paths, group, as_of, profiles, profile_addresses))
+           query_name: str | None, write_history: bool = False) -> StreamingQuery:
+    handler = _handler(kind, paths, group, as_of, profiles, profile_addresses, write_history)
+    writer = (source.writeStream.foreachBatch(handler)
               .option("checkpointLocation", paths.checkpoint))
     writer = writer.trigger(**(trigger or {"processingTime": "2 seconds"}))
     if query_name:
@@ -103,9 +116,12 @@ def _start(kind: str, source: DataFrame, paths: StreamPaths, group: str, as_of:
 
 def start_intake_stream(source: DataFrame, profiles: DataFrame, paths: StreamPaths, group: str,
                         as_of: str | None = None, profile_addresses: bool = True,
-                        trigger: dict | None = None, query_name: str | None = None) -> StreamingQuery:
-    """Case messages -> enriched replaces in the change log."""
-    return _start("intake", source, paths, group, as_of, profiles, profile_addresses, trigger, query_name)
+                        trigger: dict | None = None, query_name: str | None = None,
+                        write_history: bool = False) -> StreamingQuery:
+    """Case messages -> enriched replaces in the change log (and, with
+    `write_history`, full-row replaces of case_history)."""
+    return _start("intake", source, paths, group, as_of, profiles, profile_addresses, trigger, query_name,
+                  write_history)
 
 
 def start_update_stream(source: DataFrame, paths: StreamPaths, group: str, as_of: str | None = None,
@@ -131,6 +147,14 @@ def current_table(spark: SparkSession, paths: StreamPaths, snapshot: DataFrame |
     return fold_changes(log, snapshot, CASE_REPORT)
 
 
+def current_history(spark: SparkSession, paths: StreamPaths, snapshot: DataFrame | None) -> DataFrame | None:
+    """case_history now (streams started with `write_history`)."""
+    log = read_change_log(spark, paths.history)
+    if log is None:
+        return snapshot
+    return fold_changes(log, snapshot, CASE_HISTORY)
+
+
 def current_ledger(spark: SparkSession, paths: StreamPaths) -> DataFrame | None:
     """The offset ledger now: per (group, topic, partition) the position
     written by the latest batch."""

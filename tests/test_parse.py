@@ -13,9 +13,11 @@ def reasons(spark, values):
 
 
 def test_message_classes(spark):
-    values = [None, "", "   ", "null", "not json", '{"mobile": "1"', "[]", '[{"mobile": "1"}]', "{}", GOOD]
+    values = [None, "", "   ", "null", "not json", '{"mobile": "1"', "[]", '[{"mobile": "1"}]', "{}",
+              '{"mobile": "1"}', GOOD]
     assert reasons(spark, values) == [
-        "empty", "empty", "empty", "json_null", "corrupt", "corrupt", "corrupt", "corrupt", "no_phone", None,
+        "empty", "empty", "empty", "json_null", "corrupt", "corrupt", "corrupt", "corrupt", "no_phone",
+        "no_key", None,
     ]
 
 

@@ -8,8 +8,13 @@ from casemill.plans import derived as D
 from casemill.plans.jobs import intake_batch, update_batch
 from casemill.schemas import KAFKA_SCHEMA
 from casemill.session import scratch_path
+from casemill.operators.merge import history_merge
+from casemill.operators.parse import parse_cases
+from casemill.operators.profile import enrich_cases, extract_profile
 from casemill.streaming.drivers import (
     StreamPaths,
+    compact,
+    current_history,
     current_ledger,
     current_table,
     stage_source,
@@ -28,7 +33,8 @@ def rows(df):
 def run(spark, kind, src, paths, profiles=None):
     source = spark.readStream.schema(KAFKA_SCHEMA).option("maxFilesPerTrigger", 1).parquet(src)
     if kind == "intake":
-        q = start_intake_stream(source, profiles, paths, "g", AS_OF, trigger={"availableNow": True})
+        q = start_intake_stream(source, profiles, paths, "g", AS_OF, trigger={"availableNow": True},
+                                write_history=True)
     else:
         q = start_update_stream(source, paths, "g", AS_OF, trigger={"availableNow": True})
     q.awaitTermination()
@@ -48,6 +54,12 @@ def test_intake_stream_equals_batch_and_replays(spark):
     assert len(glob.glob(paths.changes + "/batch_id=*")) >= 2  # several micro-batches
     expected = rows(batch)
     assert rows(current_table(spark, paths, snap)) == expected
+    hist = current_history(spark, paths, None)
+    assert rows(hist) == rows(history_merge(None, enrich_cases(parse_cases(msgs)[0], extract_profile(profiles), AS_OF)))
+
+    # compaction: the folded table becomes a snapshot in the shared folder
+    compacted = compact(spark, paths, snap, paths.root + "/snapshot")
+    assert rows(compacted) == expected
 
     # lose the last commit marker: the batch runs again and overwrites its own output
     commits = sorted(glob.glob(paths.checkpoint + "/commits/[0-9]*"), key=lambda p: int(os.path.basename(p)))
