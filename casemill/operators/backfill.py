@@ -61,7 +61,7 @@ def apply_backfill(ids: DataFrame, cases: DataFrame, profiles: DataFrame, column
                    batch_id: int = 0) -> DataFrame:
     """The case table after a backfill (fold of the backfill changes)."""
     changes, _ = backfill(ids, cases, profiles, columns, batch_id)
-    return fold_changes(changes, cases, CASE_REPORT)
+    return fold_changes(changes, cases, CASE_REPORT, inserts=False)
 
 
 EXTRACT_COLUMNS = ["overdueId", "address", "callRecordTopTen"]

@@ -169,8 +169,17 @@ def change_rows(rows: DataFrame, table: TableSpec, op, ord: Column, values: dict
     return rows.select(*cols).where(cond)
 
 
-def fold_changes(changes: DataFrame, snapshot: DataFrame | None, table: TableSpec = CASE_REPORT) -> DataFrame:
-    """Apply a change log to a snapshot; returns the table (snapshot layout)."""
+def fold_changes(changes: DataFrame, snapshot: DataFrame | None, table: TableSpec = CASE_REPORT,
+                 inserts: bool = True) -> DataFrame:
+    """Apply a change log to a snapshot; returns the table (snapshot layout).
+
+    `inserts=False` is for logs the caller knows hold no replace (updates
+    and backfills only): no key can be added, so the snapshot is left-joined
+    to the folded changes, which lets AQE broadcast the (usually small)
+    folded side instead of shuffling the whole snapshot.  A snapshot written
+    bucketed by the key (`streaming.compact(..., buckets=n)`) is joined
+    without a shuffle of its side either way.
+    """
     keys = list(table.keys)
     atoms = table.atoms
     aggs = ["bool_or(op = 'R') AS _has_r"]
@@ -188,7 +197,7 @@ def fold_changes(changes: DataFrame, snapshot: DataFrame | None, table: TableSpe
 
     fields = ", ".join(_q(c) for c in table.value_columns)
     snap = snapshot.selectExpr(*[_q(k) for k in keys], f"struct({fields}) AS _s", "true AS _in_snap")
-    joined = snap.join(folded, on=keys, how="full_outer")
+    joined = snap.join(folded, on=keys, how="full_outer" if inserts else "left")
     has_r = "coalesce(_has_r, false)"
     exprs = []
     for c in table.columns:
@@ -291,7 +300,7 @@ def update_merge(target: DataFrame, rows: DataFrame, columns: list[str], table:
     ord = ord if ord is not None else _record_ord(rows, 0, BACKFILL_RANK)
     values = {c: _q(c) for c in list(table.keys) + list(columns)}
     ch = change_rows(rows, table, "E", ord, values, table.mask_of(columns), types)
-    return fold_changes(ch, target, table)
+    return fold_changes(ch, target, table, inserts=False)
 
 
 # ---------------------------------------------------------------------------

@@ -100,7 +100,7 @@ def _updates(spark: SparkSession, sf: str, which: str | None) -> DataFrame:
     ch = update_changes(valid, AS_OF)
     if which is not None:
         ch = ch.where(F.col("op") == which)
-    return fold_changes(ch, D.existing_cases(spark, sf), CASE_REPORT)
+    return fold_changes(ch, D.existing_cases(spark, sf), CASE_REPORT, inserts=False)
 
 
 def q_update_normal(spark: SparkSession, sf: str) -> DataFrame:

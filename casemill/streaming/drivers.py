@@ -166,10 +166,22 @@ def current_ledger(spark: SparkSession, paths: StreamPaths) -> DataFrame | None:
     return replace_merge(None, entries, OFFSET_LEDGER, ord=make_ord(F.col("batch_id"), 0), types=types)
 
 
-def compact(spark: SparkSession, paths: StreamPaths, snapshot: DataFrame | None, out: str) -> DataFrame:
-    """Write the folded table as a new snapshot and return it (lineage cut)."""
-    current_table(spark, paths, snapshot).write.mode("overwrite").parquet(out)
-    return spark.read.parquet(out)
+def compact(spark: SparkSession, paths: StreamPaths, snapshot: DataFrame | None, out: str,
+            buckets: int | None = None, table_name: str | None = None) -> DataFrame:
+    """Write the folded case table as a new snapshot and return it.
+
+    The write cuts the lineage of the log.  With `buckets` (and a
+    `table_name` for the catalog) the snapshot is stored bucketed and sorted
+    by the key, so the next fold joins it without shuffling the snapshot.
+    """
+    folded = current_table(spark, paths, snapshot)
+    if buckets is None:
+        folded.write.mode("overwrite").parquet(out)
+        return spark.read.parquet(out)
+    name = table_name or "case_report_snapshot"
+    (folded.write.mode("overwrite").option("path", out).format("parquet")
+     .bucketBy(buckets, *CASE_REPORT.keys).sortBy(*CASE_REPORT.keys).saveAsTable(name))
+    return spark.table(name)
 
 
 def stage_source(spark: SparkSession, messages: DataFrame, folder: str, files: int = 4) -> None:
