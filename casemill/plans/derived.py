@@ -99,12 +99,14 @@ def profiles(spark: SparkSession, sf_dir: str, block: int = PROFILE_BLOCK) -> Da
         F.get_json_object("props", "$.k").alias("k"),
         F.floor(F.col("event_id") / block).cast("bigint").alias("part"),
     )
-    contacts = (e.groupBy("user_id", "part", "k").agg(F.count(F.lit(1)).alias("cnt"))
-                .groupBy("user_id", "part")
-                .agg(F.sort_array(F.collect_list(F.struct(F.col("k").alias("peer_num"), _s(F.col("cnt")).alias("call_cnt_6m"))))
-                     .alias("call_contact_detail")))
-    acts = e.groupBy("user_id", "part").agg(
-        F.sort_array(F.collect_list(F.struct("event_id", "event_type"))).alias("ev"))
+    # one shuffle: each document's events (at most `block` of them) gathered
+    # in event order; the per-peer counts are taken inside that bounded array
+    docs = e.groupBy("user_id", "part").agg(
+        F.sort_array(F.collect_list(F.struct("event_id", "event_type", "k"))).alias("ev"))
+    peers = F.array_sort(F.array_distinct(F.transform("ev", lambda x: x["k"])))
+    contacts = F.transform(peers, lambda p: F.struct(
+        p.alias("peer_num"),
+        _s(F.size(F.filter("ev", lambda x: x["k"].eqNullSafe(p)))).alias("call_cnt_6m")))
     value = lambda x: F.concat(F.lit("addr-"), _s(x["event_id"]))
     cell = F.transform("ev", lambda x: F.struct(
         F.when(x["event_type"] == "signup", F.lit("address")).otherwise(x["event_type"]).alias("key"),
@@ -112,10 +114,9 @@ def profiles(spark: SparkSession, sf_dir: str, block: int = PROFILE_BLOCK) -> Da
     basic = F.transform("ev", lambda x: F.struct(
         F.when(x["event_type"] == "view", F.lit("address")).otherwise(x["event_type"]).alias("key"),
         value(x).alias("value")))
-    docs = acts.join(contacts, ["user_id", "part"], "left")
     doc = F.to_json(F.struct(
         F.struct(_s(F.col("user_id")).alias("mobile")).alias("baseInfo"),
-        F.struct(F.col("call_contact_detail"), cell.alias("cell_phone"), basic.alias("user_basic")).alias("mxReport"),
+        F.struct(contacts.alias("call_contact_detail"), cell.alias("cell_phone"), basic.alias("user_basic")).alias("mxReport"),
     ))
     return docs.select(_s(F.col("user_id")).alias("phone"), "part", doc.alias("doc"))
 
