@@ -156,37 +156,44 @@ def increment_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _partition_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d2 = update_messages(spark, sf_dir)
-    return d2.groupBy("topic", "partition").agg(
-        F.min("offset").alias("first"), (F.max("offset") + 1).alias("end"))
+    """First offset and next offset per D2 partition, from the position
+    columns alone (same definitions as `update_messages`)."""
+    e = read_table(spark, sf_dir, "events")
+    return e.groupBy((F.col("user_id") % 3).cast("int").alias("partition")).agg(
+        F.min("event_id").alias("first"), (F.max("event_id") + 1).alias("end"),
+    ).withColumn("topic", F.lit(UPDATE_TOPIC))
+
+
+def _ledger_rows(b: DataFrame, specs) -> DataFrame:
+    """Ledger rows from the bounds in one pass: `specs` are
+    (group, topic column, offset column, keep condition)."""
+    rows = F.inline(F.array(*[
+        F.struct(F.lit(g).alias("groupid"), t.alias("topic"), F.col("partition").cast("int").alias("kafka_partition"),
+                 F.col(off).cast("bigint").alias("kafka_offset"), keep.alias("keep"))
+        for g, t, off, keep in specs
+    ]))
+    return b.select(rows).where("keep").drop("keep")
 
 
 def stale_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ledger before an advance: stale positions (first offsets) of partitions
     0 and 1 for the update group, and the intake group's position."""
-    b = _partition_bounds(spark, sf_dir).where(F.col("partition") < 2)
-    upd = b.select(F.lit(UPDATE_GROUP).alias("groupid"), "topic",
-                   F.col("partition").alias("kafka_partition"), F.col("first").alias("kafka_offset"))
-    other = b.where(F.col("partition") == 0).select(
-        F.lit(INTAKE_GROUP).alias("groupid"), F.lit(INTAKE_TOPIC).alias("topic"),
-        F.col("partition").alias("kafka_partition"), F.col("first").alias("kafka_offset"))
-    return upd.unionByName(other)
+    p = F.col("partition")
+    return _ledger_rows(_partition_bounds(spark, sf_dir), [
+        (UPDATE_GROUP, F.col("topic"), "first", p < 2),
+        (INTAKE_GROUP, F.lit(INTAKE_TOPIC), "first", p == 0),
+    ])
 
 
 def resume_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D6 ledger: end positions of partitions 0 and 1 for the update group,
     plus rows of another topic and another group that must be ignored."""
-    b = _partition_bounds(spark, sf_dir)
-    mine = b.where(F.col("partition") < 2).select(
-        F.lit(UPDATE_GROUP).alias("groupid"), "topic",
-        F.col("partition").cast("int").alias("kafka_partition"), F.col("end").alias("kafka_offset"))
-    other_topic = b.where(F.col("partition") == 2).select(
-        F.lit(UPDATE_GROUP).alias("groupid"), F.lit(INTAKE_TOPIC).alias("topic"),
-        F.col("partition").cast("int").alias("kafka_partition"), F.col("end").alias("kafka_offset"))
-    other_group = b.where(F.col("partition") == 2).select(
-        F.lit(INTAKE_GROUP).alias("groupid"), "topic",
-        F.col("partition").cast("int").alias("kafka_partition"), F.col("end").alias("kafka_offset"))
-    return mine.unionByName(other_topic).unionByName(other_group)
+    p = F.col("partition")
+    return _ledger_rows(_partition_bounds(spark, sf_dir), [
+        (UPDATE_GROUP, F.col("topic"), "end", p < 2),
+        (UPDATE_GROUP, F.lit(INTAKE_TOPIC), "end", p == 2),
+        (INTAKE_GROUP, F.col("topic"), "end", p == 2),
+    ])
 
 
 def earliest_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
