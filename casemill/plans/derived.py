@@ -31,7 +31,11 @@ def _as_topic(spark: SparkSession, messages: DataFrame) -> DataFrame:
     many partitions arrives (the driver tables are single-row-group files,
     which would otherwise keep all per-message work in one task).  Hashing
     the unique offset keeps the spread even whatever the key skew."""
-    return messages.repartition(spark.sparkContext.defaultParallelism, "offset")
+    try:
+        slots = spark.sparkContext.defaultParallelism
+    except Exception:  # sessions without a local SparkContext (Spark Connect)
+        slots = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return messages.repartition(slots, "offset")
 
 
 def case_messages(spark: SparkSession, sf_dir: str) -> DataFrame:

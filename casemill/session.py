@@ -36,7 +36,10 @@ def checkpoint_root(spark: SparkSession) -> str:
         return conf_dir.rstrip("/")
     local = tempfile.mkdtemp(prefix="casemill-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
-    spark.sparkContext.setCheckpointDir(local)
+    try:
+        spark.sparkContext.setCheckpointDir(local)
+    except Exception:  # sessions without a local SparkContext (Spark Connect)
+        pass
     return local
 
 
