@@ -173,6 +173,14 @@ def q_stream_update(spark: SparkSession, sf: str) -> DataFrame:
                                as_of=AS_OF)
 
 
+def q_stream_cases(spark: SparkSession, sf: str) -> DataFrame:
+    """Both topics in one stream feeding one case table."""
+    from casemill.streaming.drivers import run_stream_to_table
+    msgs = D.case_messages(spark, sf).unionByName(D.update_messages(spark, sf))
+    return run_stream_to_table(spark, "cases", msgs, D.existing_cases(spark, sf), profiles=D.profiles(spark, sf),
+                               as_of=AS_OF, intake_topic=D.INTAKE_TOPIC, update_topic=D.UPDATE_TOPIC)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "case_parse": q_case_parse,
     "case_quarantine": q_case_quarantine,
@@ -199,4 +207,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ledger_resolve": q_ledger_resolve,
     "stream_intake": q_stream_intake,
     "stream_update": q_stream_update,
+    "stream_cases": q_stream_cases,
 }

@@ -373,6 +373,13 @@ def _sql_ledger_resolve() -> str:
         "FROM e LEFT JOIN st ON st.p = e.p")
 
 
+def _sql_stream_cases() -> str:
+    r = r_changes(_enriched_fields(True)).replace("FROM d1v", f"FROM {ENRICHED_SRC}")
+    u = u_changes("0")
+    ch = "ch AS (" + r + "\nUNION ALL\n" + u + ")"
+    return _with(D1, D1V, D2, PROFILE, SNAP, ch) + fold_sql(_touch(True, True), True)
+
+
 ORACLE_SQL: dict[str, str] = {
     "case_parse": _sql_case_parse(),
     "case_quarantine": _sql_case_quarantine(),
@@ -399,4 +406,5 @@ ORACLE_SQL: dict[str, str] = {
     "ledger_resolve": _sql_ledger_resolve(),
     "stream_intake": _sql_case_intake(),
     "stream_update": _sql_updates(None),
+    "stream_cases": _sql_stream_cases(),
 }

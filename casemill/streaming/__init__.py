@@ -3,6 +3,9 @@
 from casemill.streaming.drivers import (
     StreamPaths,
     compact,
+    log_backfill,
+    next_batch_id,
+    start_case_stream,
     current_history,
     current_ledger,
     current_table,
@@ -13,6 +16,6 @@ from casemill.streaming.drivers import (
 )
 
 __all__ = [
-    "StreamPaths", "compact", "current_history", "current_ledger", "current_table", "read_change_log", "run_stream_to_table",
+    "StreamPaths", "compact", "log_backfill", "next_batch_id", "start_case_stream", "current_history", "current_ledger", "current_table", "read_change_log", "run_stream_to_table",
     "start_intake_stream", "start_update_stream",
 ]

@@ -1,5 +1,10 @@
 """Intake and update streams.
 
+The engine runs no micro-batch when a stateless query has no new data (the
+reference's empty-batch skip); a batch that still arrives empty writes empty
+folders, which the fold ignores, instead of paying an extra job per batch
+for an emptiness probe.
+
 Each micro-batch (foreachBatch) is parsed, routed/enriched and written as
 change rows to `changes/batch_id=N`, quarantined messages to
 `quarantine/batch_id=N` and the batch's end positions to `ledger/batch_id=N`.
@@ -33,6 +38,7 @@ from casemill.operators.merge import (
     history_changes,
     update_changes,
 )
+from casemill.operators.backfill import backfill
 from casemill.operators.offsets import batch_end_offsets
 from casemill.operators.parse import CASE_SCHEMA, UPDATE_SCHEMA, classify, split
 from casemill.operators.profile import enrich_cases, extract_profile
@@ -56,6 +62,10 @@ class StreamPaths:
     def ledger(self) -> str:
         return f"{self.root}/ledger"
 
+    @property
+    def backfills(self) -> str:
+        return f"{self.root}/backfills"
+
     @property
     def history(self) -> str:
         return f"{self.root}/history"
@@ -74,8 +84,6 @@ def _handler(kind: str, paths: StreamPaths, group: str, as_of: str | None, profi
     schema = CASE_SCHEMA if kind == "intake" else UPDATE_SCHEMA
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():  # nothing read: no work, no commit of positions
-            return
         classified = classify(batch, schema).persist()
         held = [classified]
         try:
@@ -102,6 +110,48 @@ def _handler(kind: str, paths: StreamPaths, group: str, as_of: str | None, profi
     return handle
 
 
+def _case_handler(paths: StreamPaths, group: str, intake_topic: str, update_topic: str, as_of: str | None,
+                  profiles: DataFrame, profile_addresses: bool):
+    """One micro-batch holding both topics: intake replaces apply before the
+    batch's updates (topic rank), so the order between the topics is defined."""
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        held = [batch]
+        try:
+            ci = classify(batch.where(F.col("topic") == intake_topic), CASE_SCHEMA).persist()
+            cu = classify(batch.where(F.col("topic") == update_topic), UPDATE_SCHEMA).persist()
+            held += [ci, cu]
+            valid_i, quarantine_i = split(ci)
+            valid_u, quarantine_u = split(cu)
+            phones = valid_i.select(F.col("mobile").alias("phone")).distinct()
+            needed = profiles.join(phones, "phone", "left_semi")
+            enriched = enrich_cases(valid_i, extract_profile(needed), as_of, profile_addresses)
+            changes = case_changes(enriched, batch_id, INTAKE_RANK).unionByName(
+                update_changes(valid_u, as_of, batch_id, UPDATE_RANK))
+            _write_batch(changes, paths.changes, batch_id)
+            _write_batch(quarantine_i.unionByName(quarantine_u), paths.quarantine, batch_id)
+            _write_batch(batch_end_offsets(batch, group), paths.ledger, batch_id)
+        finally:
+            for df in held:
+                df.unpersist()
+
+    return handle
+
+
+def start_case_stream(source: DataFrame, profiles: DataFrame, paths: StreamPaths, group: str,
+                      intake_topic: str, update_topic: str, as_of: str | None = None,
+                      profile_addresses: bool = True, trigger: dict | None = None,
+                      query_name: str | None = None) -> StreamingQuery:
+    """Both topics in one query: the recommended way to feed one case table."""
+    handler = _case_handler(paths, group, intake_topic, update_topic, as_of, profiles, profile_addresses)
+    writer = source.writeStream.foreachBatch(handler).option("checkpointLocation", paths.checkpoint)
+    writer = writer.trigger(**(trigger or {"processingTime": "2 seconds"}))
+    if query_name:
+        writer = writer.queryName(query_name)
+    return writer.start()
+
+
 def _start(kind: str, source: DataFrame, paths: StreamPaths, group: str, as_of: str | None,
            profiles: DataFrame | None, profile_addresses: bool, trigger: dict | None,
            query_name: str | None, write_history: bool = False) -> StreamingQuery:
@@ -140,13 +190,42 @@ def read_change_log(spark: SparkSession, folder: str) -> DataFrame | None:
 
 
 def current_table(spark: SparkSession, paths: StreamPaths, snapshot: DataFrame | None) -> DataFrame:
-    """case_report now: the change log folded over the snapshot."""
-    log = read_change_log(spark, paths.changes)
-    if log is None:
+    """case_report now: the change log (stream batches and backfills) folded
+    over the snapshot."""
+    logs = [log for log in (read_change_log(spark, paths.changes), read_change_log(spark, paths.backfills))
+            if log is not None]
+    if not logs:
         return snapshot
+    log = logs[0] if len(logs) == 1 else logs[0].unionByName(logs[1])
     return fold_changes(log, snapshot, CASE_REPORT)
 
 
+def next_batch_id(spark: SparkSession, paths: StreamPaths) -> int:
+    """One past the highest batch id in the logs (a one-row aggregate)."""
+    ids = [log.select(F.max("ord.batch_id").alias("m")) for log in
+           (read_change_log(spark, paths.changes), read_change_log(spark, paths.backfills)) if log is not None]
+    if not ids:
+        return 0
+    top = ids[0] if len(ids) == 1 else ids[0].unionByName(ids[1])
+    m = top.agg(F.max("m")).first()[0]
+    return 0 if m is None else int(m) + 1
+
+
+def log_backfill(spark: SparkSession, paths: StreamPaths, ids: DataFrame, snapshot: DataFrame | None,
+                 profiles: DataFrame, columns: list[str]) -> DataFrame:
+    """Run a profile backfill against the current table and append its
+    changes to the log under the next batch id; returns the missing ids.
+
+    Backfill changes rank after the stream's changes of the same batch id,
+    so a backfill applies after everything the log held when it ran.
+    """
+    batch_id = next_batch_id(spark, paths)
+    cases = current_table(spark, paths, snapshot)
+    changes, missing = backfill(ids, cases, profiles, columns, batch_id=batch_id)
+    _write_batch(changes, paths.backfills, batch_id)
+    return missing
+
+
 def current_history(spark: SparkSession, paths: StreamPaths, snapshot: DataFrame | None) -> DataFrame | None:
     """case_history now (streams started with `write_history`)."""
     log = read_change_log(spark, paths.history)
@@ -184,25 +263,36 @@ def compact(spark: SparkSession, paths: StreamPaths, snapshot: DataFrame | None,
     return spark.table(name)
 
 
-def stage_source(spark: SparkSession, messages: DataFrame, folder: str, files: int = 4) -> None:
-    """Write Kafka-shaped rows as files, whole Kafka partitions per file (a
-    stand-in for a topic when no broker is at hand)."""
+def stage_source(spark: SparkSession, messages: DataFrame, folder: str, files: int = 4,
+                 by: str = "partition") -> None:
+    """Write Kafka-shaped rows as files, all rows of one `by` value (a Kafka
+    partition, or a key) per file: a stand-in for a topic when no broker is
+    at hand."""
     (messages.select(*[F.col(f.name).cast(f.dataType) for f in KAFKA_SCHEMA.fields])
-     .repartition(files, "partition").write.mode("overwrite").parquet(folder))
+     .repartition(files, by).write.mode("overwrite").parquet(folder))
 
 
 def run_stream_to_table(spark: SparkSession, kind: str, messages: DataFrame, snapshot: DataFrame | None,
                         profiles: DataFrame | None = None, as_of: str | None = None,
-                        group: str | None = None, files: int = 4) -> DataFrame:
+                        group: str | None = None, files: int = 4, intake_topic: str | None = None,
+                        update_topic: str | None = None) -> DataFrame:
     """Stage `messages` as a file source, run the stream to completion
     (availableNow, one file per micro-batch) and return the folded table."""
     paths = StreamPaths(scratch_path(spark, f"stream-{kind}"))
     src = f"{paths.root}/source"
-    stage_source(spark, messages, src, files)
+    # per key, both topics' messages share a file (so a micro-batch), as one
+    # Kafka key lands in one partition
+    stage_source(spark, messages, src, files, by="key" if kind == "cases" else "partition")
     source = spark.readStream.schema(KAFKA_SCHEMA).option("maxFilesPerTrigger", 1).parquet(src)
+    if profiles is not None:
+        # a stored profile table, as in production: derived once, not per micro-batch
+        profiles.write.mode("overwrite").parquet(f"{paths.root}/profiles")
+        profiles = spark.read.parquet(f"{paths.root}/profiles")
     group = group or f"case_{kind}"
     trigger = {"availableNow": True}
-    if kind == "intake":
+    if kind == "cases":
+        q = start_case_stream(source, profiles, paths, group, intake_topic, update_topic, as_of, trigger=trigger)
+    elif kind == "intake":
         q = start_intake_stream(source, profiles, paths, group, as_of, trigger=trigger)
     else:
         q = start_update_stream(source, paths, group, as_of, trigger=trigger)

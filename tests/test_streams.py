@@ -89,3 +89,33 @@ def test_update_stream_equals_batch(spark):
     assert rows(current_table(spark, paths, snap)) == rows(batch)
     q = spark.read.parquet(paths.quarantine)
     assert {r["reason"] for r in q.collect()} == {"no_phone"}
+
+
+def test_combined_stream_then_logged_backfill(spark):
+    from casemill.operators.backfill import apply_backfill, normalize_ids
+    from casemill.operators.merge import case_changes, update_changes
+    from casemill.operators.parse import parse_updates
+    from casemill.streaming.drivers import log_backfill, next_batch_id, start_case_stream
+
+    intake, updates = D.case_messages(spark, SF_SMALL), D.update_messages(spark, SF_SMALL)
+    profiles, snap = D.profiles(spark, SF_SMALL), D.existing_cases(spark, SF_SMALL)
+    enriched = enrich_cases(parse_cases(intake)[0], extract_profile(profiles), AS_OF)
+    batch = fold_changes(case_changes(enriched).unionByName(update_changes(parse_updates(updates)[0], AS_OF)), snap)
+
+    paths = StreamPaths(scratch_path(spark, "test-case-stream"))
+    src = paths.root + "/source"
+    stage_source(spark, intake.unionByName(updates), src, files=1)
+    source = spark.readStream.schema(KAFKA_SCHEMA).parquet(src)
+    q = start_case_stream(source, profiles, paths, "g", D.INTAKE_TOPIC, D.UPDATE_TOPIC, AS_OF,
+                          trigger={"availableNow": True})
+    q.awaitTermination()
+    assert q.exception() is None
+    assert rows(current_table(spark, paths, snap)) == rows(batch)
+
+    ids = normalize_ids(D.id_lines(spark, SF_SMALL))
+    assert next_batch_id(spark, paths) == 1
+    missing = log_backfill(spark, paths, ids, snap, profiles, ["address_detail", "call_record_top_ten"])
+    assert missing.count() > 0
+    expected = apply_backfill(ids, batch, profiles, ["address_detail", "call_record_top_ten"])
+    assert rows(current_table(spark, paths, snap)) == rows(expected)
+    assert next_batch_id(spark, paths) == 2
