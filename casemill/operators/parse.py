@@ -57,7 +57,11 @@ def classify(
     exact = [f for f in (EXACT_FIELDS if exact_fields is None else exact_fields) if f in fields]
     parts = [parsed.alias("_m")]
     if exact:
-        parts.append(F.try_parse_json(F.col("value")).alias("_v"))
+        # the second (variant) parse only runs when an exact field carries a
+        # JSON number; amounts sent as strings are already exact
+        number = '"(' + "|".join(exact) + ')"\\s*:\\s*-?[0-9]'
+        variant = F.when(F.col("value").rlike(number), F.try_parse_json(F.col("value")))
+        parts.append(variant.alias("_v"))
     # The parse is produced by a one-row generator: predicates on its result
     # (the quarantine split) cannot be pushed below a Generate, so every
     # message is parsed exactly once instead of once per reference.
