@@ -125,13 +125,18 @@ OFFSET_LEDGER = TableSpec(("groupid", "topic", "kafka_partition"), tuple(LEDGER_
 INTAKE_RANK, UPDATE_RANK, BACKFILL_RANK = 0, 1, 2
 
 
+def _as_col(v) -> Column:
+    return v if isinstance(v, Column) else F.lit(v)
+
+
 def make_ord(batch_id, topic_rank, offset: Column | None = None, partition: Column | None = None) -> Column:
-    """The apply order of a change (compared field by field)."""
+    """The apply order of a change (a struct compared field by field, laid
+    out as `ORD_TYPE`)."""
     return F.struct(
-        F.lit(batch_id).cast("bigint").alias("batch_id") if not isinstance(batch_id, Column) else batch_id.cast("bigint").alias("batch_id"),
-        F.lit(topic_rank).cast("int").alias("topic_rank"),
-        (offset if offset is not None else F.lit(0)).cast("bigint").alias("offset"),
-        (partition if partition is not None else F.lit(0)).cast("int").alias("partition"),
+        _as_col(batch_id).cast("bigint").alias("batch_id"),
+        _as_col(topic_rank).cast("int").alias("topic_rank"),
+        _as_col(0 if offset is None else offset).cast("bigint").alias("offset"),
+        _as_col(0 if partition is None else partition).cast("int").alias("partition"),
     )
 
 
