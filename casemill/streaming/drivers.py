@@ -62,6 +62,11 @@ class StreamPaths:
     def ledger(self) -> str:
         return f"{self.root}/ledger"
 
+    @property
+    def done(self) -> str:
+        """One marker folder per batch whose writes all completed."""
+        return f"{self.root}/done"
+
     @property
     def backfills(self) -> str:
         return f"{self.root}/backfills"
@@ -79,6 +84,11 @@ def _write_batch(df: DataFrame, folder: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(f"{folder}/batch_id={batch_id}")
 
 
+def _mark_done(spark: SparkSession, paths: StreamPaths, batch_id: int) -> None:
+    """Written last: a batch's outputs are complete once its marker exists."""
+    _write_batch(spark.range(1).select(F.lit(batch_id).alias("complete")), paths.done, batch_id)
+
+
 def _handler(kind: str, paths: StreamPaths, group: str, as_of: str | None, profiles: DataFrame | None,
              profile_addresses: bool, write_history: bool = False):
     schema = CASE_SCHEMA if kind == "intake" else UPDATE_SCHEMA
@@ -103,6 +113,7 @@ def _handler(kind: str, paths: StreamPaths, group: str, as_of: str | None, profi
             _write_batch(changes, paths.changes, batch_id)
             _write_batch(quarantine, paths.quarantine, batch_id)
             _write_batch(batch_end_offsets(classified, group), paths.ledger, batch_id)
+            _mark_done(batch.sparkSession, paths, batch_id)
         finally:
             for df in held:
                 df.unpersist()
@@ -132,6 +143,7 @@ def _case_handler(paths: StreamPaths, group: str, intake_topic: str, update_topi
             _write_batch(changes, paths.changes, batch_id)
             _write_batch(quarantine_i.unionByName(quarantine_u), paths.quarantine, batch_id)
             _write_batch(batch_end_offsets(batch, group), paths.ledger, batch_id)
+            _mark_done(batch.sparkSession, paths, batch_id)
         finally:
             for df in held:
                 df.unpersist()
@@ -180,39 +192,72 @@ def start_update_stream(source: DataFrame, paths: StreamPaths, group: str, as_of
     return _start("update", source, paths, group, as_of, None, True, trigger, query_name)
 
 
-def read_change_log(spark: SparkSession, folder: str) -> DataFrame | None:
-    """All change rows under `folder` (the batch folder column is dropped)."""
+def read_change_log(spark: SparkSession, folder: str, after_batch: int | None = None,
+                    upto_batch: int | None = None) -> DataFrame | None:
+    """Change rows under `folder`, optionally only batches in
+    (`after_batch`, `upto_batch`]: a filter on the `batch_id` folder column,
+    so other batches' files are pruned from the scan."""
     try:
         df = spark.read.parquet(folder)
     except AnalysisException:  # no batch has written yet
         return None
-    return df.drop("batch_id") if "batch_id" in df.columns else df
+    if after_batch is not None:
+        df = df.where(F.col("batch_id") > F.lit(after_batch))
+    if upto_batch is not None:
+        df = df.where(F.col("batch_id") <= F.lit(upto_batch))
+    return df.drop("batch_id")
 
 
-def current_table(spark: SparkSession, paths: StreamPaths, snapshot: DataFrame | None) -> DataFrame:
-    """case_report now: the change log (stream batches and backfills) folded
-    over the snapshot."""
-    logs = [log for log in (read_change_log(spark, paths.changes), read_change_log(spark, paths.backfills))
-            if log is not None]
+def _logs(spark: SparkSession, paths: StreamPaths, after_batch: int | None, upto_batch: int | None):
+    logs = [read_change_log(spark, f, after_batch, upto_batch) for f in (paths.changes, paths.backfills)]
+    logs = [log for log in logs if log is not None]
     if not logs:
+        return None
+    return logs[0] if len(logs) == 1 else logs[0].unionByName(logs[1])
+
+
+def current_table(spark: SparkSession, paths: StreamPaths, snapshot: DataFrame | None,
+                  after_batch: int | None = None, upto_batch: int | None = None,
+                  complete_only: bool = True) -> DataFrame:
+    """case_report now: the change log (stream batches and backfills) folded
+    over the snapshot.  `after_batch` is the last batch the snapshot already
+    holds (returned by `compact`); only later batches are read.  With
+    `complete_only` a batch that is still writing is left out, so a reader
+    running beside the stream sees whole batches only."""
+    if complete_only:
+        done = last_complete_batch(spark, paths)
+        if done is not None:
+            upto_batch = done if upto_batch is None else min(upto_batch, done)
+    log = _logs(spark, paths, after_batch, upto_batch)
+    if log is None:
         return snapshot
-    log = logs[0] if len(logs) == 1 else logs[0].unionByName(logs[1])
     return fold_changes(log, snapshot, CASE_REPORT)
 
 
 def next_batch_id(spark: SparkSession, paths: StreamPaths) -> int:
-    """One past the highest batch id in the logs (a one-row aggregate)."""
-    ids = [log.select(F.max("ord.batch_id").alias("m")) for log in
-           (read_change_log(spark, paths.changes), read_change_log(spark, paths.backfills)) if log is not None]
-    if not ids:
-        return 0
-    top = ids[0] if len(ids) == 1 else ids[0].unionByName(ids[1])
-    m = top.agg(F.max("m")).first()[0]
-    return 0 if m is None else int(m) + 1
+    """One past the highest batch id in the logs, from the batch folders
+    (only the folder column is read, no change data)."""
+    tops = []
+    for folder in (paths.changes, paths.backfills):
+        try:
+            tops.append(spark.read.parquet(folder).agg(F.max("batch_id")).first()[0])
+        except AnalysisException:
+            continue
+    tops = [t for t in tops if t is not None]
+    return int(max(tops)) + 1 if tops else 0
+
+
+def last_complete_batch(spark: SparkSession, paths: StreamPaths) -> int | None:
+    """Highest batch id whose writes all completed (from the done markers)."""
+    try:
+        top = spark.read.parquet(paths.done).agg(F.max("batch_id")).first()[0]
+    except AnalysisException:
+        return None
+    return None if top is None else int(top)
 
 
 def log_backfill(spark: SparkSession, paths: StreamPaths, ids: DataFrame, snapshot: DataFrame | None,
-                 profiles: DataFrame, columns: list[str]) -> DataFrame:
+                 profiles: DataFrame, columns: list[str], after_batch: int | None = None) -> DataFrame:
     """Run a profile backfill against the current table and append its
     changes to the log under the next batch id; returns the missing ids.
 
@@ -220,9 +265,10 @@ def log_backfill(spark: SparkSession, paths: StreamPaths, ids: DataFrame, snapsh
     so a backfill applies after everything the log held when it ran.
     """
     batch_id = next_batch_id(spark, paths)
-    cases = current_table(spark, paths, snapshot)
+    cases = current_table(spark, paths, snapshot, after_batch)
     changes, missing = backfill(ids, cases, profiles, columns, batch_id=batch_id)
     _write_batch(changes, paths.backfills, batch_id)
+    _mark_done(spark, paths, batch_id)
     return missing
 
 
@@ -246,21 +292,29 @@ def current_ledger(spark: SparkSession, paths: StreamPaths) -> DataFrame | None:
 
 
 def compact(spark: SparkSession, paths: StreamPaths, snapshot: DataFrame | None, out: str,
-            buckets: int | None = None, table_name: str | None = None) -> DataFrame:
-    """Write the folded case table as a new snapshot and return it.
-
-    The write cuts the lineage of the log.  With `buckets` (and a
-    `table_name` for the catalog) the snapshot is stored bucketed and sorted
-    by the key, so the next fold joins it without shuffling the snapshot.
+            buckets: int | None = None, table_name: str | None = None,
+            after_batch: int | None = None) -> tuple[DataFrame, int | None]:
+    """Fold the log into a new snapshot; returns (snapshot, last batch it holds).
+
+    Only batches whose writes completed when compaction starts are folded
+    (done markers), so a stream writing concurrently loses nothing: pass the returned
+    batch id as `after_batch` to `current_table` from then on, and only newer
+    batch folders are read.  The write cuts the lineage of the log.  With
+    `buckets` (and a `table_name` for the catalog) the snapshot is stored
+    bucketed and sorted by the key, so the next fold joins it without
+    shuffling the snapshot side.
     """
-    folded = current_table(spark, paths, snapshot)
+    upto = last_complete_batch(spark, paths)  # a batch still writing is left for later
+    folded = current_table(spark, paths, snapshot, after_batch, upto) if upto is not None else snapshot
     if buckets is None:
         folded.write.mode("overwrite").parquet(out)
-        return spark.read.parquet(out)
-    name = table_name or "case_report_snapshot"
-    (folded.write.mode("overwrite").option("path", out).format("parquet")
-     .bucketBy(buckets, *CASE_REPORT.keys).sortBy(*CASE_REPORT.keys).saveAsTable(name))
-    return spark.table(name)
+        result = spark.read.parquet(out)
+    else:
+        name = table_name or "case_report_snapshot"
+        (folded.write.mode("overwrite").option("path", out).format("parquet")
+         .bucketBy(buckets, *CASE_REPORT.keys).sortBy(*CASE_REPORT.keys).saveAsTable(name))
+        result = spark.table(name)
+    return result, (upto if upto is not None else after_batch)
 
 
 def stage_source(spark: SparkSession, messages: DataFrame, folder: str, files: int = 4,

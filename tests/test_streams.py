@@ -15,6 +15,7 @@ from casemill.streaming.drivers import (
     StreamPaths,
     compact,
     current_history,
+    next_batch_id,
     current_ledger,
     current_table,
     stage_source,
@@ -58,8 +59,13 @@ def test_intake_stream_equals_batch_and_replays(spark):
     assert rows(hist) == rows(history_merge(None, enrich_cases(parse_cases(msgs)[0], extract_profile(profiles), AS_OF)))
 
     # compaction: the folded table becomes a snapshot in the shared folder
-    compacted = compact(spark, paths, snap, paths.root + "/snapshot")
+    compacted, upto = compact(spark, paths, snap, paths.root + "/snapshot")
     assert rows(compacted) == expected
+    assert upto == next_batch_id(spark, paths) - 1  # every batch completed
+    # after compaction only newer batches are read (none yet): the snapshot is the table
+    assert rows(current_table(spark, paths, compacted, after_batch=upto)) == expected
+    # folding the whole log again over the compacted snapshot changes nothing (idempotent)
+    assert rows(current_table(spark, paths, compacted)) == expected
 
     # lose the last commit marker: the batch runs again and overwrites its own output
     commits = sorted(glob.glob(paths.checkpoint + "/commits/[0-9]*"), key=lambda p: int(os.path.basename(p)))
