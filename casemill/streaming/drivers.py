@@ -89,8 +89,20 @@ def _mark_done(spark: SparkSession, paths: StreamPaths, batch_id: int) -> None:
     _write_batch(spark.range(1).select(F.lit(batch_id).alias("complete")), paths.done, batch_id)
 
 
+def _batch_profiles(valid: DataFrame, profiles: DataFrame | None, extracted: DataFrame | None) -> DataFrame:
+    """Extracted profile rows for the phones of one micro-batch.
+
+    With a precomputed summary (`extract_profile` run as a batch job over the
+    whole profile table) only that compact table is semi-joined; otherwise
+    the raw documents of the batch's phones are parsed now."""
+    phones = valid.select(F.col("mobile").alias("phone")).distinct()
+    if extracted is not None:
+        return extracted.join(phones, "phone", "left_semi")
+    return extract_profile(profiles.join(phones, "phone", "left_semi"))
+
+
 def _handler(kind: str, paths: StreamPaths, group: str, as_of: str | None, profiles: DataFrame | None,
-             profile_addresses: bool, write_history: bool = False):
+             profile_addresses: bool, write_history: bool = False, extracted: DataFrame | None = None):
     schema = CASE_SCHEMA if kind == "intake" else UPDATE_SCHEMA
 
     def handle(batch: DataFrame, batch_id: int) -> None:
@@ -99,10 +111,7 @@ def _handler(kind: str, paths: StreamPaths, group: str, as_of: str | None, profi
         try:
             valid, quarantine = split(classified)
             if kind == "intake":
-                # only the profiles of this batch's phones are parsed
-                phones = valid.select(F.col("mobile").alias("phone")).distinct()
-                needed = profiles.join(phones, "phone", "left_semi")
-                enriched = enrich_cases(valid, extract_profile(needed), as_of, profile_addresses)
+                enriched = enrich_cases(valid, _batch_profiles(valid, profiles, extracted), as_of, profile_addresses)
                 if write_history:
                     enriched = enriched.persist()
                     held.append(enriched)
@@ -122,7 +131,7 @@ def _handler(kind: str, paths: StreamPaths, group: str, as_of: str | None, profi
 
 
 def _case_handler(paths: StreamPaths, group: str, intake_topic: str, update_topic: str, as_of: str | None,
-                  profiles: DataFrame, profile_addresses: bool):
+                  profiles: DataFrame | None, profile_addresses: bool, extracted: DataFrame | None = None):
     """One micro-batch holding both topics: intake replaces apply before the
     batch's updates (topic rank), so the order between the topics is defined."""
 
@@ -135,9 +144,7 @@ def _case_handler(paths: StreamPaths, group: str, intake_topic: str, update_topi
             held += [ci, cu]
             valid_i, quarantine_i = split(ci)
             valid_u, quarantine_u = split(cu)
-            phones = valid_i.select(F.col("mobile").alias("phone")).distinct()
-            needed = profiles.join(phones, "phone", "left_semi")
-            enriched = enrich_cases(valid_i, extract_profile(needed), as_of, profile_addresses)
+            enriched = enrich_cases(valid_i, _batch_profiles(valid_i, profiles, extracted), as_of, profile_addresses)
             changes = case_changes(enriched, batch_id, INTAKE_RANK).unionByName(
                 update_changes(valid_u, as_of, batch_id, UPDATE_RANK))
             _write_batch(changes, paths.changes, batch_id)
@@ -151,12 +158,17 @@ def _case_handler(paths: StreamPaths, group: str, intake_topic: str, update_topi
     return handle
 
 
-def start_case_stream(source: DataFrame, profiles: DataFrame, paths: StreamPaths, group: str,
+def start_case_stream(source: DataFrame, profiles: DataFrame | None, paths: StreamPaths, group: str,
                       intake_topic: str, update_topic: str, as_of: str | None = None,
                       profile_addresses: bool = True, trigger: dict | None = None,
-                      query_name: str | None = None) -> StreamingQuery:
-    """Both topics in one query: the recommended way to feed one case table."""
-    handler = _case_handler(paths, group, intake_topic, update_topic, as_of, profiles, profile_addresses)
+                      query_name: str | None = None, extracted: DataFrame | None = None) -> StreamingQuery:
+    """Both topics in one query: the recommended way to feed one case table.
+
+    `extracted`: a stored `extract_profile` result to enrich from instead of
+    parsing raw profile documents in every micro-batch (the choice for a
+    large profile table)."""
+    handler = _case_handler(paths, group, intake_topic, update_topic, as_of, profiles, profile_addresses,
+                            extracted)
     writer = source.writeStream.foreachBatch(handler).option("checkpointLocation", paths.checkpoint)
     writer = writer.trigger(**(trigger or {"processingTime": "2 seconds"}))
     if query_name:
@@ -166,8 +178,9 @@ def start_case_stream(source: DataFrame, profiles: DataFrame, paths: StreamPaths
 
 def _start(kind: str, source: DataFrame, paths: StreamPaths, group: str, as_of: str | None,
            profiles: DataFrame | None, profile_addresses: bool, trigger: dict | None,
-           query_name: str | None, write_history: bool = False) -> StreamingQuery:
-    handler = _handler(kind, paths, group, as_of, profiles, profile_addresses, write_history)
+           query_name: str | None, write_history: bool = False,
+           extracted: DataFrame | None = None) -> StreamingQuery:
+    handler = _handler(kind, paths, group, as_of, profiles, profile_addresses, write_history, extracted)
     writer = (source.writeStream.foreachBatch(handler)
               .option("checkpointLocation", paths.checkpoint))
     writer = writer.trigger(**(trigger or {"processingTime": "2 seconds"}))
@@ -176,14 +189,15 @@ def _start(kind: str, source: DataFrame, paths: StreamPaths, group: str, as_of:
     return writer.start()
 
 
-def start_intake_stream(source: DataFrame, profiles: DataFrame, paths: StreamPaths, group: str,
+def start_intake_stream(source: DataFrame, profiles: DataFrame | None, paths: StreamPaths, group: str,
                         as_of: str | None = None, profile_addresses: bool = True,
                         trigger: dict | None = None, query_name: str | None = None,
-                        write_history: bool = False) -> StreamingQuery:
+                        write_history: bool = False, extracted: DataFrame | None = None) -> StreamingQuery:
     """Case messages -> enriched replaces in the change log (and, with
-    `write_history`, full-row replaces of case_history)."""
+    `write_history`, full-row replaces of case_history).  `extracted` as in
+    `start_case_stream`."""
     return _start("intake", source, paths, group, as_of, profiles, profile_addresses, trigger, query_name,
-                  write_history)
+                  write_history, extracted)
 
 
 def start_update_stream(source: DataFrame, paths: StreamPaths, group: str, as_of: str | None = None,

@@ -125,3 +125,20 @@ def test_combined_stream_then_logged_backfill(spark):
     expected = apply_backfill(ids, batch, profiles, ["address_detail", "call_record_top_ten"])
     assert rows(current_table(spark, paths, snap)) == rows(expected)
     assert next_batch_id(spark, paths) == 2
+
+
+def test_intake_stream_from_precomputed_profile_summary(spark):
+    msgs, profiles = D.case_messages(spark, SF_SMALL), D.profiles(spark, SF_SMALL)
+    snap = D.existing_cases(spark, SF_SMALL)
+    paths = StreamPaths(scratch_path(spark, "test-summary"))
+    summary_path = paths.root + "/profile_summary"
+    extract_profile(profiles).write.parquet(summary_path)  # batch job over the whole profile table
+    src = paths.root + "/source"
+    stage_source(spark, msgs, src, files=2)
+    source = spark.readStream.schema(KAFKA_SCHEMA).option("maxFilesPerTrigger", 1).parquet(src)
+    q = start_intake_stream(source, None, paths, "g", AS_OF, trigger={"availableNow": True},
+                            extracted=spark.read.parquet(summary_path))
+    q.awaitTermination()
+    assert q.exception() is None
+    batch = fold_changes(intake_batch(msgs, profiles, AS_OF).changes, snap)
+    assert rows(current_table(spark, paths, snap)) == rows(batch)
