@@ -352,16 +352,19 @@ def run_stream_to_table(spark: SparkSession, kind: str, messages: DataFrame, sna
     # Kafka key lands in one partition
     stage_source(spark, messages, src, files, by="key" if kind == "cases" else "partition")
     source = spark.readStream.schema(KAFKA_SCHEMA).option("maxFilesPerTrigger", 1).parquet(src)
+    extracted = None
     if profiles is not None:
-        # a stored profile table, as in production: derived once, not per micro-batch
-        profiles.write.mode("overwrite").parquet(f"{paths.root}/profiles")
-        profiles = spark.read.parquet(f"{paths.root}/profiles")
+        # the recommended layout: a stored per-phone profile summary, built once
+        # by a batch job, not profile documents parsed in every micro-batch
+        extract_profile(profiles).write.mode("overwrite").parquet(f"{paths.root}/profile_summary")
+        extracted = spark.read.parquet(f"{paths.root}/profile_summary")
     group = group or f"case_{kind}"
     trigger = {"availableNow": True}
     if kind == "cases":
-        q = start_case_stream(source, profiles, paths, group, intake_topic, update_topic, as_of, trigger=trigger)
+        q = start_case_stream(source, None, paths, group, intake_topic, update_topic, as_of, trigger=trigger,
+                              extracted=extracted)
     elif kind == "intake":
-        q = start_intake_stream(source, profiles, paths, group, as_of, trigger=trigger)
+        q = start_intake_stream(source, None, paths, group, as_of, trigger=trigger, extracted=extracted)
     else:
         q = start_update_stream(source, paths, group, as_of, trigger=trigger)
     q.awaitTermination()
