@@ -60,18 +60,14 @@ def parse_profile_docs(profiles: DataFrame, address_key: str = PROFILE_ADDRESS_K
     )
 
 
-def _first_in_doc_order(value: str) -> Column:
-    # smallest (part, value) among documents that have a value
-    return F.min(F.when(F.col(value).isNotNull(), F.struct(F.col("part"), F.col(value))))
-
-
 def extract_profile(profiles: DataFrame, address_key: str = PROFILE_ADDRESS_KEY,
                     k: int = TOP_CONTACTS, salt_buckets: int = 16) -> DataFrame:
     """Per phone: top-ten contacts, registered address, shared address, status.
 
     Missing pieces become the UNKNOWN text.  `profile_status` is `ok` when at
     least one document of the phone has a report, else `no_report` (bad JSON,
-    `{}`, `mxReport: null`, empty text).
+    `{}`, `mxReport: null`, empty text).  Between documents, the smaller
+    `(part, value)` wins, so equal parts still give one deterministic answer.
     """
     docs = parse_profile_docs(profiles, address_key, k)
     rows = docs.select(
