@@ -25,6 +25,21 @@ RECOMMENDED_CONF = {
 }
 
 
+def recommended_conf(input_bytes: int, target_partition_bytes: int = 256 << 20,
+                     max_partitions: int = 200_000) -> dict[str, str]:
+    """Deployment settings sized for an input of `input_bytes`.
+
+    The initial shuffle partition count gives every shuffle partition about
+    `target_partition_bytes` before AQE coalesces small ones (a 100 TB input
+    starts near 400,000 partitions, capped at `max_partitions`), so sorts
+    and aggregations fit executor memory and spill only at the edges.
+    """
+    parts = max(8, min(max_partitions, -(-input_bytes // target_partition_bytes)))
+    conf = dict(RECOMMENDED_CONF)
+    conf["spark.sql.shuffle.partitions"] = str(parts)
+    return conf
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by `spark.checkpoint.dir`.
 
