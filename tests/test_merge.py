@@ -218,3 +218,14 @@ def test_fold_random_large(spark):
     snap_df = snapshot(spark, [dict(v, overdue_id=k) for k, v in snap.items()])
     got = {r["overdue_id"]: {c: r[c] for c in COLS} for r in fold_changes(df, snap_df).collect()}
     assert got == expected
+
+
+def test_run_date_defaults_to_today(spark):
+    import datetime
+
+    snap = snapshot(spark, [{"overdue_id": "1"}])
+    u = updates(spark, [{"overdueId": "1", "mobile": "p", "status": "CLOSE"}])
+    out = by_key(fold_changes(update_changes(u, None), snap), "overdue_id")["1"]
+    today = spark.sql("SELECT date_format(current_date(), 'yyyy-MM-dd')").first()[0]
+    assert out["updated_date"] == today and out["entrust_end_date"] == today
+    datetime.date.fromisoformat(today)
