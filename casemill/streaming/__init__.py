@@ -10,12 +10,13 @@ from casemill.streaming.drivers import (
     current_ledger,
     current_table,
     read_change_log,
+    read_quarantine,
     run_stream_to_table,
     start_intake_stream,
     start_update_stream,
 )
 
 __all__ = [
-    "StreamPaths", "compact", "log_backfill", "next_batch_id", "start_case_stream", "current_history", "current_ledger", "current_table", "read_change_log", "run_stream_to_table",
+    "StreamPaths", "compact", "log_backfill", "next_batch_id", "start_case_stream", "current_history", "current_ledger", "current_table", "read_change_log", "read_quarantine", "run_stream_to_table",
     "start_intake_stream", "start_update_stream",
 ]

@@ -1,9 +1,9 @@
 """Intake and update streams.
 
-The engine runs no micro-batch when a stateless query has no new data (the
-reference's empty-batch skip); a batch that still arrives empty writes empty
-folders, which the fold ignores, instead of paying an extra job per batch
-for an emptiness probe.
+The engine runs no micro-batch when a stateless query has no new data; a
+batch that still arrives empty (the reference's empty-batch skip) is
+detected on the persisted frame, so the probe only fills cache partitions
+the sinks read anyway, and nothing is written for it.
 
 Each micro-batch (foreachBatch) is parsed, routed/enriched and written as
 change rows to `changes/batch_id=N`, quarantined messages to
@@ -55,17 +55,10 @@ class StreamPaths:
         return f"{self.root}/changes"
 
     @property
-    def quarantine(self) -> str:
-        return f"{self.root}/quarantine"
-
-    @property
-    def ledger(self) -> str:
-        return f"{self.root}/ledger"
-
-    @property
-    def done(self) -> str:
-        """One marker folder per batch whose writes all completed."""
-        return f"{self.root}/done"
+    def report(self) -> str:
+        """Per batch, written last: quarantined messages, positions reached and
+        a completion row (kinds `quarantine`, `position`, `done`)."""
+        return f"{self.root}/report"
 
     @property
     def backfills(self) -> str:
@@ -84,9 +77,31 @@ def _write_batch(df: DataFrame, folder: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(f"{folder}/batch_id={batch_id}")
 
 
-def _mark_done(spark: SparkSession, paths: StreamPaths, batch_id: int) -> None:
-    """Written last: a batch's outputs are complete once its marker exists."""
-    _write_batch(spark.range(1).select(F.lit(batch_id).alias("complete")), paths.done, batch_id)
+REPORT_COLUMNS = ["kind", "reason", "value", "topic", "partition", "offset", "groupid", "kafka_offset"]
+
+
+def _report(spark: SparkSession, quarantine: DataFrame, positions: DataFrame) -> DataFrame:
+    """Quarantine rows, ledger positions and one `done` row as one dataset,
+    so a batch needs a single small write besides its changes."""
+    q = quarantine.select(
+        F.lit("quarantine").alias("kind"), "reason", "value", "topic",
+        F.col("partition").cast("int"), F.col("offset").cast("bigint"),
+        F.lit(None).cast("string").alias("groupid"), F.lit(None).cast("bigint").alias("kafka_offset"))
+    p = positions.select(
+        F.lit("position").alias("kind"), F.lit(None).cast("string").alias("reason"),
+        F.lit(None).cast("string").alias("value"), "topic", F.col("kafka_partition").alias("partition"),
+        F.lit(None).cast("bigint").alias("offset"), "groupid", "kafka_offset")
+    done = spark.range(1).select(
+        F.lit("done").alias("kind"), *[F.lit(None).cast(t).alias(c) for c, t in (
+            ("reason", "string"), ("value", "string"), ("topic", "string"), ("partition", "int"),
+            ("offset", "bigint"), ("groupid", "string"), ("kafka_offset", "bigint"))])
+    return q.unionByName(p).unionByName(done)
+
+
+def _finish_batch(spark: SparkSession, paths: StreamPaths, batch_id: int, quarantine: DataFrame,
+                  positions: DataFrame) -> None:
+    """Written last: a batch's outputs are complete once its report exists."""
+    _write_batch(_report(spark, quarantine, positions), paths.report, batch_id)
 
 
 def _batch_profiles(valid: DataFrame, profiles: DataFrame | None, extracted: DataFrame | None) -> DataFrame:
@@ -109,6 +124,8 @@ def _handler(kind: str, paths: StreamPaths, group: str, as_of: str | None, profi
         classified = classify(batch, schema).persist()
         held = [classified]
         try:
+            if classified.isEmpty():  # probes the cached frame: nothing to write, positions unchanged
+                return
             valid, quarantine = split(classified)
             if kind == "intake":
                 enriched = enrich_cases(valid, _batch_profiles(valid, profiles, extracted), as_of, profile_addresses)
@@ -120,9 +137,7 @@ def _handler(kind: str, paths: StreamPaths, group: str, as_of: str | None, profi
             else:
                 changes = update_changes(valid, as_of, batch_id, UPDATE_RANK)
             _write_batch(changes, paths.changes, batch_id)
-            _write_batch(quarantine, paths.quarantine, batch_id)
-            _write_batch(batch_end_offsets(classified, group), paths.ledger, batch_id)
-            _mark_done(batch.sparkSession, paths, batch_id)
+            _finish_batch(batch.sparkSession, paths, batch_id, quarantine, batch_end_offsets(classified, group))
         finally:
             for df in held:
                 df.unpersist()
@@ -139,6 +154,8 @@ def _case_handler(paths: StreamPaths, group: str, intake_topic: str, update_topi
         batch = batch.persist()
         held = [batch]
         try:
+            if batch.isEmpty():  # probes the cached batch: nothing to write, positions unchanged
+                return
             ci = classify(batch.where(F.col("topic") == intake_topic), CASE_SCHEMA).persist()
             cu = classify(batch.where(F.col("topic") == update_topic), UPDATE_SCHEMA).persist()
             held += [ci, cu]
@@ -148,9 +165,8 @@ def _case_handler(paths: StreamPaths, group: str, intake_topic: str, update_topi
             changes = case_changes(enriched, batch_id, INTAKE_RANK).unionByName(
                 update_changes(valid_u, as_of, batch_id, UPDATE_RANK))
             _write_batch(changes, paths.changes, batch_id)
-            _write_batch(quarantine_i.unionByName(quarantine_u), paths.quarantine, batch_id)
-            _write_batch(batch_end_offsets(batch, group), paths.ledger, batch_id)
-            _mark_done(batch.sparkSession, paths, batch_id)
+            _finish_batch(batch.sparkSession, paths, batch_id, quarantine_i.unionByName(quarantine_u),
+                          batch_end_offsets(batch, group))
         finally:
             for df in held:
                 df.unpersist()
@@ -264,7 +280,8 @@ def next_batch_id(spark: SparkSession, paths: StreamPaths) -> int:
 def last_complete_batch(spark: SparkSession, paths: StreamPaths) -> int | None:
     """Highest batch id whose writes all completed (from the done markers)."""
     try:
-        top = spark.read.parquet(paths.done).agg(F.max("batch_id")).first()[0]
+        top = (spark.read.parquet(paths.report).where(F.col("kind") == "done")
+               .agg(F.max("batch_id")).first()[0])
     except AnalysisException:
         return None
     return None if top is None else int(top)
@@ -282,10 +299,22 @@ def log_backfill(spark: SparkSession, paths: StreamPaths, ids: DataFrame, snapsh
     cases = current_table(spark, paths, snapshot, after_batch)
     changes, missing = backfill(ids, cases, profiles, columns, batch_id=batch_id)
     _write_batch(changes, paths.backfills, batch_id)
-    _mark_done(spark, paths, batch_id)
+    empty_q = spark.createDataFrame([], "reason string, value string, topic string, partition int, offset bigint")
+    empty_p = spark.createDataFrame([], "groupid string, topic string, kafka_partition int, kafka_offset bigint")
+    _finish_batch(spark, paths, batch_id, empty_q, empty_p)
     return missing
 
 
+def read_quarantine(spark: SparkSession, paths: StreamPaths) -> DataFrame | None:
+    """Quarantined messages of all batches (reason, raw value, position)."""
+    try:
+        report = spark.read.parquet(paths.report)
+    except AnalysisException:
+        return None
+    return report.where(F.col("kind") == "quarantine").select(
+        "reason", "value", "topic", "partition", "offset", "batch_id")
+
+
 def current_history(spark: SparkSession, paths: StreamPaths, snapshot: DataFrame | None) -> DataFrame | None:
     """case_history now (streams started with `write_history`)."""
     log = read_change_log(spark, paths.history)
@@ -297,10 +326,12 @@ def current_history(spark: SparkSession, paths: StreamPaths, snapshot: DataFrame
 def current_ledger(spark: SparkSession, paths: StreamPaths) -> DataFrame | None:
     """The offset ledger now: per (group, topic, partition) the position
     written by the latest batch."""
-    entries = read_change_log(spark, paths.ledger)
-    if entries is None:
+    try:
+        report = spark.read.parquet(paths.report)
+    except AnalysisException:
         return None
-    entries = spark.read.parquet(paths.ledger)  # keeps the batch_id folder column
+    entries = report.where(F.col("kind") == "position").select(
+        "groupid", "topic", F.col("partition").alias("kafka_partition"), "kafka_offset", "batch_id")
     types = {"kafka_partition": T.IntegerType(), "kafka_offset": T.LongType()}
     return replace_merge(None, entries, OFFSET_LEDGER, ord=make_ord(F.col("batch_id"), 0), types=types)
 

@@ -93,7 +93,8 @@ def test_update_stream_equals_batch(spark):
     stage_source(spark, msgs, src, files=3)
     run(spark, "update", src, paths)
     assert rows(current_table(spark, paths, snap)) == rows(batch)
-    q = spark.read.parquet(paths.quarantine)
+    from casemill.streaming.drivers import read_quarantine
+    q = read_quarantine(spark, paths)
     assert {r["reason"] for r in q.collect()} == {"no_phone"}
 
 
