@@ -123,8 +123,9 @@ def enrich_cases(cases: DataFrame, extracted: DataFrame, as_of: str | None = Non
       `permanentAddress` both <- the shared address, else they keep the
       message values;
     - `createdDate` and `updatedDate` <- the run date.
-    A case whose phone has no profile gets the UNKNOWN text.  The extracted
-    side is one row per phone, so the join never multiplies cases; AQE picks
+    A case whose phone has no profile gets the UNKNOWN text.  `extracted`
+    must hold one row per phone, as `extract_profile` returns (also when it
+    is a stored summary), so the join never multiplies cases; AQE picks
     broadcast (below the measured size threshold) or a skew-split sort-merge.
     """
     ex = extracted.select(
