@@ -43,11 +43,20 @@ EXTRACTED_COLUMNS = [
 
 def parse_profile_docs(profiles: DataFrame, address_key: str = PROFILE_ADDRESS_KEY,
                        k: int = TOP_CONTACTS) -> DataFrame:
-    """One row per document: phone, part, ok flag, addresses, own top-k contacts."""
+    """One row per document: phone, part, ok flag, addresses, own top-k contacts.
+
+    The phone is the table's `phone` column (a keyed store); a collection of
+    bare documents (no `phone` column, as in a document store) is matched by
+    the document's own `baseInfo.mobile`.
+    """
     part = F.col("part").cast("bigint") if "part" in profiles.columns else F.lit(0).cast("bigint")
     opts = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN}
     m = F.from_json(F.col("doc"), with_corrupt(PROFILE_DOC_SCHEMA), opts)
-    docs = profiles.select(F.col("phone").cast("string").alias("phone"), part.alias("part"), m.alias("m"))
+    keyed = "phone" in profiles.columns
+    phone = F.col("phone").cast("string") if keyed else F.lit(None).cast("string")
+    docs = profiles.select(phone.alias("phone"), part.alias("part"), m.alias("m"))
+    if not keyed:
+        docs = docs.withColumn("phone", F.col("m")["baseInfo"]["mobile"]).where(F.col("phone").isNotNull())
     report = F.col("m")["mxReport"]
     ok = F.col("m").isNotNull() & F.col("m")[CORRUPT_COLUMN].isNull() & report.isNotNull()
     return docs.select(

@@ -88,3 +88,14 @@ def test_enrich_variants(spark):
     assert full["2"]["address"] == UNKNOWN and full["2"]["profile_status"] == "missing"
     basic = by_key(enrich_cases(cases, ex, "2024-06-30", profile_addresses=False), "overdueId")
     assert basic["1"]["companyAddress"] == "ca" and basic["1"]["permanentAddress"] is None
+
+
+def test_documents_matched_by_their_own_mobile(spark):
+    docs = [json.dumps({"baseInfo": {"mobile": "m1"}, "mxReport": {"cell_phone": [{"key": "address", "value": "A"}],
+                                                                  "call_contact_detail": [{"peer_num": "x", "call_cnt_6m": "2"}]}}),
+            json.dumps({"mxReport": {"cell_phone": [{"key": "address", "value": "orphan"}]}}),
+            "not json"]
+    bare = spark.createDataFrame([(d,) for d in docs], "doc string")
+    got = by_key(extract_profile(bare), "phone")
+    assert set(got) == {"m1"}  # documents without a mobile match no phone
+    assert got["m1"]["address_detail"] == "A" and got["m1"]["call_record_top_ten"] == "x"
