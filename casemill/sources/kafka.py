@@ -16,7 +16,7 @@ from casemill.schemas import KAFKA_SCHEMA
 
 def kafka_options(servers: str, topics: list[str] | str, *, starting_offsets: str = "earliest",
                   max_offsets_per_trigger: int | None = None, fail_on_data_loss: bool = False,
-                  extra: dict[str, str] | None = None) -> dict[str, str]:
+                  min_partitions: int | None = None, extra: dict[str, str] | None = None) -> dict[str, str]:
     """Options for `readStream.format("kafka")`.
 
     - `starting_offsets` is `earliest` for a first start, or the JSON from
@@ -26,6 +26,9 @@ def kafka_options(servers: str, topics: list[str] | str, *, starting_offsets: st
       seconds reproduces a per-partition rate cap).
     - `fail_on_data_loss=False`: offsets removed by retention are skipped,
       matching the clamp-to-earliest rule of the ledger.
+    - `min_partitions` (e.g. the executor core count) splits the offset
+      range of a hot Kafka partition over several tasks, so one partition
+      holding a third of the messages is not parsed by one task.
     """
     opts = {
         "kafka.bootstrap.servers": servers,
@@ -35,6 +38,8 @@ def kafka_options(servers: str, topics: list[str] | str, *, starting_offsets: st
     }
     if max_offsets_per_trigger:
         opts["maxOffsetsPerTrigger"] = str(int(max_offsets_per_trigger))
+    if min_partitions:
+        opts["minPartitions"] = str(int(min_partitions))
     opts.update(extra or {})
     return opts
 

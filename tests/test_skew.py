@@ -64,6 +64,8 @@ def test_hot_key_and_hot_phone(spark):
 
 
 def test_kafka_options_and_rate_cap():
-    opts = kafka_options("b1:9092", ["case_increment"], max_offsets_per_trigger=rate_cap(10, 6, 2))
+    opts = kafka_options("b1:9092", ["case_increment"], max_offsets_per_trigger=rate_cap(10, 6, 2),
+                         min_partitions=64)
+    assert opts["minPartitions"] == "64"
     assert opts["subscribe"] == "case_increment" and opts["startingOffsets"] == "earliest"
     assert opts["maxOffsetsPerTrigger"] == "120" and opts["failOnDataLoss"] == "false"
