@@ -90,6 +90,14 @@ def q_case_intake(spark: SparkSession, sf: str) -> DataFrame:
     return fold_changes(res.changes, D.existing_cases(spark, sf), CASE_REPORT)
 
 
+def q_case_intake_basic(spark: SparkSession, sf: str) -> DataFrame:
+    """Document-store variant: bare profile documents matched by their own
+    `baseInfo.mobile`, company and permanent address kept from the message."""
+    bare = D.profiles(spark, sf).select("part", "doc")
+    res = intake_batch(D.case_messages(spark, sf), bare, AS_OF, profile_addresses=False)
+    return fold_changes(res.changes, D.existing_cases(spark, sf), CASE_REPORT)
+
+
 def q_history_replace(spark: SparkSession, sf: str) -> DataFrame:
     valid, _ = parse_cases(D.case_messages(spark, sf))
     return history_merge(None, valid)
@@ -193,6 +201,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "enrich_case_basic": q_enrich_case_basic,
     "case_replace": q_case_replace,
     "case_intake": q_case_intake,
+    "case_intake_basic": q_case_intake_basic,
     "history_replace": q_history_replace,
     "update_normal": q_update_normal,
     "update_close": q_update_close,

@@ -298,6 +298,11 @@ def _sql_case_intake() -> str:
     return _with(D1, D1V, PROFILE, SNAP, ch) + fold_sql(_touch(True, False), True)
 
 
+def _sql_case_intake_basic() -> str:
+    ch = "ch AS (" + r_changes(_enriched_fields(False)).replace("FROM d1v", f"FROM {ENRICHED_SRC}") + ")"
+    return _with(D1, D1V, PROFILE, SNAP, ch) + fold_sql(_touch(True, False), True)
+
+
 def _sql_history_replace() -> str:
     fields = {c: D1_FIELDS.get(c, NULL) for c in CASE_HISTORY_COLUMNS}
     fields["address"] = "''"
@@ -392,6 +397,7 @@ ORACLE_SQL: dict[str, str] = {
     "enrich_case_basic": _sql_enrich(False),
     "case_replace": _sql_case_replace(),
     "case_intake": _sql_case_intake(),
+    "case_intake_basic": _sql_case_intake_basic(),
     "history_replace": _sql_history_replace(),
     "update_normal": _sql_updates("U"),
     "update_close": _sql_updates("C"),
