@@ -146,7 +146,8 @@ def _handler(kind: str, paths: StreamPaths, group: str, as_of: str | None, profi
 
 
 def _case_handler(paths: StreamPaths, group: str, intake_topic: str, update_topic: str, as_of: str | None,
-                  profiles: DataFrame | None, profile_addresses: bool, extracted: DataFrame | None = None):
+                  profiles: DataFrame | None, profile_addresses: bool, extracted: DataFrame | None = None,
+                  write_history: bool = False):
     """One micro-batch holding both topics: intake replaces apply before the
     batch's updates (topic rank), so the order between the topics is defined."""
 
@@ -162,6 +163,10 @@ def _case_handler(paths: StreamPaths, group: str, intake_topic: str, update_topi
             valid_i, quarantine_i = split(ci)
             valid_u, quarantine_u = split(cu)
             enriched = enrich_cases(valid_i, _batch_profiles(valid_i, profiles, extracted), as_of, profile_addresses)
+            if write_history:
+                enriched = enriched.persist()
+                held.append(enriched)
+                _write_batch(history_changes(enriched, batch_id), paths.history, batch_id)
             changes = case_changes(enriched, batch_id, INTAKE_RANK).unionByName(
                 update_changes(valid_u, as_of, batch_id, UPDATE_RANK))
             _write_batch(changes, paths.changes, batch_id)
@@ -177,14 +182,15 @@ def _case_handler(paths: StreamPaths, group: str, intake_topic: str, update_topi
 def start_case_stream(source: DataFrame, profiles: DataFrame | None, paths: StreamPaths, group: str,
                       intake_topic: str, update_topic: str, as_of: str | None = None,
                       profile_addresses: bool = True, trigger: dict | None = None,
-                      query_name: str | None = None, extracted: DataFrame | None = None) -> StreamingQuery:
+                      query_name: str | None = None, extracted: DataFrame | None = None,
+                      write_history: bool = False) -> StreamingQuery:
     """Both topics in one query: the recommended way to feed one case table.
 
     `extracted`: a stored `extract_profile` result to enrich from instead of
     parsing raw profile documents in every micro-batch (the choice for a
-    large profile table)."""
+    large profile table).  `write_history` also maintains case_history."""
     handler = _case_handler(paths, group, intake_topic, update_topic, as_of, profiles, profile_addresses,
-                            extracted)
+                            extracted, write_history)
     writer = source.writeStream.foreachBatch(handler).option("checkpointLocation", paths.checkpoint)
     writer = writer.trigger(**(trigger or {"processingTime": "2 seconds"}))
     if query_name:

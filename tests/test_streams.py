@@ -114,10 +114,11 @@ def test_combined_stream_then_logged_backfill(spark):
     stage_source(spark, intake.unionByName(updates), src, files=1)
     source = spark.readStream.schema(KAFKA_SCHEMA).parquet(src)
     q = start_case_stream(source, profiles, paths, "g", D.INTAKE_TOPIC, D.UPDATE_TOPIC, AS_OF,
-                          trigger={"availableNow": True})
+                          trigger={"availableNow": True}, write_history=True)
     q.awaitTermination()
     assert q.exception() is None
     assert rows(current_table(spark, paths, snap)) == rows(batch)
+    assert rows(current_history(spark, paths, None)) == rows(history_merge(None, enriched))
 
     ids = normalize_ids(D.id_lines(spark, SF_SMALL))
     assert next_batch_id(spark, paths) == 1
