@@ -1,20 +1,21 @@
-"""Intake and update streams.
+"""Case streams: both topics in one query, or intake / updates alone.
+
+Each micro-batch (foreachBatch) is parsed, routed or enriched, and written
+as change rows to `changes/batch_id=N`, then, last, as one report to
+`report/batch_id=N` (quarantined messages, the positions reached, and a
+completion row).  Every write overwrites its own batch folder, so a batch
+replayed after a failure (the query checkpoint commits only after the
+handler returns) produces the same files instead of duplicates:
+effectively-once output on top of the at-least-once source.  Readers use
+only batches whose report exists.  Reading the table is a fold of the log
+over the snapshot; `compact` writes a new snapshot into the shared
+checkpoint folder and returns the last batch it holds.
 
 The engine runs no micro-batch when a stateless query has no new data; a
 batch that still arrives empty (the reference's empty-batch skip) is
 detected on the persisted frame, so the probe only fills cache partitions
 the sinks read anyway, and nothing is written for it.
-
-Each micro-batch (foreachBatch) is parsed, routed/enriched and written as
-change rows to `changes/batch_id=N`, quarantined messages to
-`quarantine/batch_id=N` and the batch's end positions to `ledger/batch_id=N`.
-Every write overwrites its own batch folder, so a batch replayed after a
-failure (the query checkpoint commits only after the handler returns)
-produces the same files instead of duplicates: effectively-once output on top
-of the at-least-once source.  Reading the table is a fold of the log over the
-snapshot; `compact` writes a new snapshot into the shared checkpoint folder.
 """
-
 from __future__ import annotations
 
 from dataclasses import dataclass
