@@ -75,6 +75,11 @@ def extract_cases(ids: DataFrame, increment: DataFrame, key: str = "overdueId")
 
 
 def write_extract(df: DataFrame, path: str, sep: str = "\t", single_file: bool = False) -> None:
-    """Append the extract as delimited text (one write for the whole list)."""
+    """Append the extract as delimited text (one write for the whole list).
+
+    Every task writes its own file by default.  `single_file=True` mirrors
+    the one-file output of the original job by funnelling all rows through
+    one task; use it only for extracts known to be small.
+    """
     out = df.coalesce(1) if single_file else df
     out.write.mode("append").option("sep", sep).option("header", "false").csv(path)
