@@ -348,8 +348,12 @@ def compact(spark: SparkSession, paths: StreamPaths, snapshot: DataFrame | None,
             after_batch: int | None = None) -> tuple[DataFrame, int | None]:
     """Fold the log into a new snapshot; returns (snapshot, last batch it holds).
 
+    `out` must be a new folder (version it, e.g. `snapshot-v2`): the old
+    snapshot is read while the new one is written, so overwriting it in place
+    would destroy the input.
+
     Only batches whose writes completed when compaction starts are folded
-    (done markers), so a stream writing concurrently loses nothing: pass the returned
+    (their reports exist), so a stream writing concurrently loses nothing: pass the returned
     batch id as `after_batch` to `current_table` from then on, and only newer
     batch folders are read.  The write cuts the lineage of the log.  With
     `buckets` (and a `table_name` for the catalog) the snapshot is stored
