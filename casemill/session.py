@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -10,13 +11,14 @@ from pyspark.sql import SparkSession
 
 # Settings a deployment should carry (spark-defaults or the job's builder).
 # They are recommendations for the cluster; library code never changes the
-# settings of a session it is handed, apart from the checkpoint folder when
-# none is configured (tests and local runs).
+# settings of a session it is handed.
 RECOMMENDED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # runtime broadcast only below this measured size; sort-merge above it
+    # plan-time estimates never choose a broadcast; at run time only a side
+    # measured below the adaptive threshold is broadcast, sort-merge above it
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256MB",
     "spark.sql.files.maxPartitionBytes": "256MB",
@@ -25,37 +27,41 @@ RECOMMENDED_CONF = {
 }
 
 
-def recommended_conf(input_bytes: int, target_partition_bytes: int = 256 << 20,
-                     max_partitions: int = 200_000) -> dict[str, str]:
+def recommended_conf(input_bytes: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
     """Deployment settings sized for an input of `input_bytes`.
 
     The initial shuffle partition count gives every shuffle partition about
     `target_partition_bytes` before AQE coalesces small ones (a 100 TB input
-    starts near 400,000 partitions, capped at `max_partitions`), so sorts
-    and aggregations fit executor memory and spill only at the edges.
+    starts near 400,000 partitions), so sorts and aggregations fit executor
+    memory and spill only at the edges.
     """
-    parts = max(8, min(max_partitions, -(-input_bytes // target_partition_bytes)))
+    parts = max(8, -(-input_bytes // target_partition_bytes))
     conf = dict(RECOMMENDED_CONF)
     conf["spark.sql.shuffle.partitions"] = str(parts)
     return conf
 
 
+_LOCAL_ROOTS: dict[str, str] = {}
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by `spark.checkpoint.dir`.
 
-    When the session has none (local runs, tests) a private folder is created
-    and registered, so lineage cuts and scratch tables always have a home.
+    Only a local master, where the driver and the tasks are one process, may
+    leave it unset: it then gets one private folder per application.  On a
+    cluster a missing setting is an error, because no machine-local folder is
+    seen by the other executors.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if conf_dir:
         return conf_dir.rstrip("/")
-    local = tempfile.mkdtemp(prefix="casemill-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", local)
-    try:
-        spark.sparkContext.setCheckpointDir(local)
-    except Exception:  # sessions without a local SparkContext (Spark Connect)
-        pass
-    return local
+    master = spark.conf.get("spark.master", "")
+    if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    app = spark.conf.get("spark.app.id")
+    if app not in _LOCAL_ROOTS:
+        _LOCAL_ROOTS[app] = tempfile.mkdtemp(prefix="casemill-ckpt-")
+    return _LOCAL_ROOTS[app]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
