@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from casemill.llm import langid, quality, token_count
+from casemill.llm import langid, quality, token_blocks, token_count, warc
+from casemill.session import scratch_path
 from casemill.sources.tables import read_table
 
 
@@ -16,6 +18,13 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "warc")
+    warc.convert_to_files(warc.export_arc(read_table(spark, sf_dir, "pages")), path)
+    return warc.read_warc(spark, path).select(
+        F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to", F.col("uri").alias("url"), "rec_id")
+
+
 def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(read_table(spark, sf_dir, "documents"))
 
@@ -25,13 +34,21 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token-files")
+    token_blocks.write_token_files(read_table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), path, end_id=2)
+    return token_blocks.document_index(spark, path)
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.token_counts(read_table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_warc": op1_warc,
     "op3_language": op3_language,
     "op6_quality": op6_quality,
+    "op7_token_files": op7_token_files,
     "op9_token_counts": op9_token_counts,
 }
 
