@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casemill.llm import langid, quality, token_blocks, token_count, warc
+from casemill.llm import decontam, langid, mixing, quality, token_blocks, token_count, warc
 from casemill.session import scratch_path
 from casemill.sources.tables import read_table
 
@@ -29,6 +29,10 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(read_table(spark, sf_dir, "documents"))
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.per_document(mixing.plan_mix(read_table(spark, sf_dir, "documents")))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged, _ = quality.judge(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -44,12 +48,19 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.token_counts(read_table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "item_words", "covered_words", "n_tiles")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op3_language": op3_language,
+    "op4_mixing": op4_mixing,
     "op6_quality": op6_quality,
     "op7_token_files": op7_token_files,
     "op9_token_counts": op9_token_counts,
+    "op10_decontamination": op10_decontamination,
 }
 
 ORACLE_SQL: dict[str, str] = {}
