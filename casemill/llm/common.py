@@ -88,3 +88,13 @@ def write_blobs(blobs: DataFrame, path: str) -> None:
 def read_blobs(spark: SparkSession, path: str) -> DataFrame:
     """`(path, content)` of every file below `path`, one row each."""
     return spark.read.format("binaryFile").load(path).select("path", "content")
+
+
+def join_small(left: DataFrame, right: DataFrame, on: list[str], how: str, max_rows: int = 1_000_000) -> DataFrame:
+    """Null-safe join on `on`.  `right` (fixed-width columns, already written)
+    is counted: up to `max_rows` rows, some tens of MB, it is broadcast and
+    `left` stays where it is; beyond that both sides are shuffled."""
+    other = right.select(*[F.col(c).alias(f"right_{c}") if c in on else F.col(c) for c in right.columns])
+    same = [left[c].eqNullSafe(other[f"right_{c}"]) for c in on]
+    joined = left.join(F.broadcast(other) if right.count() <= max_rows else other, same, how)
+    return joined if how in ("left_semi", "left_anti") else joined.drop(*[f"right_{c}" for c in on])

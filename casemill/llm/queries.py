@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casemill.llm import decontam, langid, mixing, quality, token_blocks, token_count, warc
+from casemill.llm import decontam, langid, minhash, mixing, quality, token_blocks, token_count, warc
 from casemill.session import scratch_path
 from casemill.sources.tables import read_table
 
@@ -33,6 +33,11 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.per_document(mixing.plan_mix(read_table(spark, sf_dir, "documents")))
 
 
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = minhash.near_duplicates(read_table(spark, sf_dir, "documents"), percent=85)
+    return judged.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged, _ = quality.judge(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -57,6 +62,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op3_language": op3_language,
     "op4_mixing": op4_mixing,
+    "op5_near_duplicates": op5_near_duplicates,
     "op6_quality": op6_quality,
     "op7_token_files": op7_token_files,
     "op9_token_counts": op9_token_counts,
