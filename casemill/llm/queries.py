@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casemill.llm import decontam, langid, minhash, mixing, quality, token_blocks, token_count, warc
+from casemill.llm import decontam, langid, minhash, mixing, quality, token_blocks, token_count, url_model, warc
 from casemill.session import scratch_path
 from casemill.sources.tables import read_table
 
@@ -25,6 +25,16 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to", F.col("uri").alias("url"), "rec_id")
 
 
+# The rules of the URL filter, as (host, path, allow).
+URL_RULES = [url_model.Rule("net", "/", False), url_model.Rule("example.net", "/en/", True),
+             url_model.Rule("example.com", "/de/", False), url_model.Rule("org", "/fr/", True)]
+
+
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = url_model.judge(read_table(spark, sf_dir, "pages"), URL_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict", "score")
+
+
 def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(read_table(spark, sf_dir, "documents"))
 
@@ -60,6 +70,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
+    "op2_url_filter": op2_url_filter,
     "op3_language": op3_language,
     "op4_mixing": op4_mixing,
     "op5_near_duplicates": op5_near_duplicates,
