@@ -10,13 +10,8 @@ a pair at the threshold misses with a probability of at most `max_miss`.
 Only bands that two or more sets share are paired (others cannot meet), exact
 copies are one node from the start, and candidates are confirmed on full sets.
 
-Within a bucket of a table not all pairs are made.  First every member is
-compared with the smallest one, and links make components.  Pairs inside one
-component need no comparison.  Buckets that still hold several components are
-compared again across components: buckets up to a bound member by member,
-larger ones against a growing number of drawn members, until each bucket has
-one component or all its cross pairs were compared.  So no link that a bucket
-offers is lost, and no cap drops a candidate.
+Within a bucket of a table not all pairs are made (see `grouping`), yet no
+link that a bucket offers is lost and no cap drops a candidate.
 
 Words are runs of other characters than the six ASCII spaces, A-Z lower-cased.
 A text of fewer than five words has its whole sequence as its one shingle; a
@@ -36,8 +31,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casemill.llm.common import arrow_map, cut, join_small, raw_text, scalar
-from casemill.llm.components import connected
+from casemill.llm.common import arrow_map, cut, join_small, raw_text
+from casemill.llm.grouping import link_buckets, shared_keys
 
 SHINGLE = 5
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -155,14 +150,12 @@ def buckets(nodes: DataFrame, g: int) -> DataFrame:
     width = 4 * BAND
     bands = F.array(*[F.xxhash64(F.lit(i), F.substring("sketch", i * width + 1, width)) for i in range(2 * g)])
     rows = nodes.select("node", F.posexplode(bands).alias("band", "key"))
-    shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
-    mine = rows.join(shared, "key", "left_semi").groupBy("node").agg(
+    mine = shared_keys(rows).groupBy("node").agg(
         F.collect_list(F.when(F.col("band") < g, F.col("key"))).alias("first"),
         F.collect_list(F.when(F.col("band") >= g, F.col("key"))).alias("second"))  # at most 2 g entries a node
     pairs = F.flatten(F.transform("first", lambda a: F.transform("second", lambda b: F.xxhash64(a, b))))
     table = cut(mine.select("node", F.explode(pairs).alias("key")), "minhash-tables")
-    shared = table.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
-    return cut(table.join(shared, "key", "left_semi"), "minhash-buckets")
+    return cut(shared_keys(table), "minhash-buckets")
 
 
 def confirm(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, percent: int, least: int, n: int, name: str) -> DataFrame:
@@ -203,35 +196,7 @@ def link_nodes(nodes: DataFrame, docs: DataFrame, percent: int, max_miss: float,
     g = bands_for(percent, max_miss)
     n = 2 * g * BAND
     least = least_agreement(n, percent, max_miss)
-    table = buckets(nodes, g)
-    ordered = lambda df: df.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    centre = table.groupBy("key").agg(F.min("node").alias("a"))
-    pairs = ordered(table.join(centre, "key").where("node <> a").select("a", F.col("node").alias("b")))
-    tested = cut(pairs, "minhash-pairs-0")
-    links = confirm(tested, nodes, docs, percent, least, n, "minhash-0")
-    roots, done, limit, step = connected(links), 0, bound, 0
-    while True:
-        step += 1
-        placed = table.join(roots.withColumnRenamed("root", "known"), "node", "left").select(
-            "key", "node", F.coalesce("known", "node").alias("root"))
-        placed = cut(placed, f"minhash-placed-{step}")
-        open_keys = placed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi"))
-        open_keys = cut(open_keys.where((F.col("lo") != F.col("hi")) & (F.col("n") > done)).select("key", "n"), f"minhash-open-{step}")
-        most = scalar(open_keys.agg(F.max("n")))
-        if most is None:
-            return roots
-        members = placed.join(open_keys, "key")
-        draw = F.when(F.col("n") <= limit, F.col("node")).otherwise(F.pmod(F.xxhash64("node", F.lit(step)), F.lit(limit)))
-        drawn = members.withColumn("draw", draw).groupBy("key", "draw").agg(F.min(F.struct("node", "root")).alias("p"))
-        drawn = drawn.select("key", F.col("p.node").alias("a"), F.col("p.root").alias("a_root"))
-        pairs = members.join(drawn, "key").where("root <> a_root").select("a", F.col("node").alias("b"))
-        fresh = cut(ordered(pairs).join(tested, ["a", "b"], "left_anti"), f"minhash-pairs-{step}")
-        tested = tested.unionByName(fresh)
-        links = links.unionByName(confirm(fresh, nodes, docs, percent, least, n, f"minhash-{step}"))
-        roots = connected(links)
-        if most <= limit:  # every cross pair of every open bucket was compared
-            return roots
-        done, limit = limit, limit * 8
+    return link_buckets(buckets(nodes, g), lambda pairs, name: confirm(pairs, nodes, docs, percent, least, n, name), bound, "minhash")
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80, max_miss: float = 1e-5, bound: int = 64) -> DataFrame:

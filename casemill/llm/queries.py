@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casemill.llm import decontam, langid, minhash, mixing, quality, token_blocks, token_count, url_model, warc
+from casemill.llm import decontam, fuzzy_lines, langid, minhash, mixing, quality, token_blocks, token_count, url_model, warc
 from casemill.session import scratch_path
 from casemill.sources.tables import read_table
 
@@ -59,6 +59,11 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_blocks.document_index(spark, path)
 
 
+def op8_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = fuzzy_lines.per_document(read_table(spark, sf_dir, "documents"))
+    return judged.select("doc_id", "n_lines", F.size("dropped").alias("n_dropped"), F.array_join("dropped", ",").alias("dropped_lines"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.token_counts(read_table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
 
@@ -76,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_near_duplicates": op5_near_duplicates,
     "op6_quality": op6_quality,
     "op7_token_files": op7_token_files,
+    "op8_fuzzy_lines": op8_fuzzy_lines,
     "op9_token_counts": op9_token_counts,
     "op10_decontamination": op10_decontamination,
 }
