@@ -26,13 +26,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from casemill.llm.common import arrow_map, as_text, cut, raw_text, sample_at_most
+from casemill.llm.common import arrow_map, as_text, cut, join_small, raw_text, sample_at_most
 
 SYMBOLS = re.compile(rb"[#*$%&|<>]")
 WINDOW = 8
 STATS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_distinct_words", "n_letters"]
 STATS_SCHEMA = pa.schema([("doc_id", pa.int64())] + [(c, pa.int64()) for c in STATS])
+STATS_DDL = ", ".join(f"{c} long" for c in STATS)
 
 
 def repeated_words(words: list[bytes], window: int = WINDOW) -> int:
@@ -81,12 +83,14 @@ def text_stats(docs: DataFrame) -> DataFrame:
     def stats(rows):
         return [(i, *measure(raw)) for i, raw in rows]
 
-    schema = "doc_id long, " + ", ".join(f"{c} long" for c in STATS)
-    return docs.select(F.col("doc_id").cast("long"), raw_text("text")).mapInArrow(arrow_map(stats, STATS_SCHEMA), schema)
+    cols = docs.select(F.col("doc_id").cast("long"), raw_text("text"))
+    return cols.mapInArrow(arrow_map(stats, STATS_SCHEMA), f"doc_id long, {STATS_DDL}")
 
 
-def base_failed() -> Column:
-    return (F.col("n_words") < 20) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 30)
+def base_failed(at: str = "") -> Column:
+    """The base rule on statistics whose columns begin with `at`."""
+    words = F.col(f"{at}n_words")
+    return (words < 20) | (F.col(f"{at}n_repeat_words") * 100 > words * 30)
 
 
 # Features the rules may test: a ratio of two statistics, or one of them.
@@ -101,13 +105,15 @@ FEATURES: dict[str, tuple[str, str | None]] = {
 }
 
 
-def feature_columns() -> list[Column]:
+def feature_columns(at: str = "") -> list[Column]:
     """The features in thousandths, as whole numbers: learning and applying
     compare the same integers, so no rounding can part them."""
     cols = []
     for name, (over, under) in FEATURES.items():
-        value = F.col(over) if under is None else F.floor(F.col(over) * 1000 / F.greatest(F.col(under), F.lit(1)))
-        cols.append(value.cast("long").alias(f"f_{name}"))
+        value = F.col(at + over)
+        if under is not None:
+            value = F.floor(value * 1000 / F.greatest(F.col(at + under), F.lit(1)))
+        cols.append(value.cast("long").alias(f"{at}f_{name}"))
     return cols
 
 
@@ -190,13 +196,13 @@ def learn(x: dict[str, np.ndarray], bad: np.ndarray, held_back: np.ndarray, max_
     return rules
 
 
-def as_column(rules: list[Rule]) -> Column:
+def as_column(rules: list[Rule], at: str = "") -> Column:
     """The list as one ordered conditional expression: true keeps."""
-    out = F.when(base_failed(), F.lit(False))
+    out = F.when(base_failed(at), F.lit(False))
     for rule in rules:
         test = F.lit(True)
         for c in rule:
-            v = F.col(f"f_{c.feature}")
+            v = F.col(f"{at}f_{c.feature}")
             test = test & ((v <= c.threshold) if c.at_most else (v >= c.threshold))
         out = out.when(test, F.lit(False))
     return out.otherwise(F.lit(True))
@@ -224,3 +230,29 @@ def judge(docs: DataFrame, labels: DataFrame, max_train: int = 100_000) -> tuple
     judged = stats.select("*", *feature_columns()).select(
         "doc_id", *STATS, base_failed().alias("base_failed"), as_column(rules).alias("kept"))
     return judged, rules
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, max_train: int = 100_000) -> DataFrame:
+    """The rows of `docs` that the rules learnt from them keep, all columns
+    kept.  Every row is measured and judged where it is: texts are neither
+    joined nor shuffled.  For learning, the labelled rows are measured first."""
+    lab = labels.select(F.col("doc_id").cast("long").alias("doc_id"), "quality").where("quality IS NOT NULL")
+    named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    labelled = cut(lab.select("doc_id").distinct(), "quality-labelled")
+    train = cut(text_stats(join_small(named, labelled, ["doc_id"], "left_semi")), "quality-train")
+    rules = learn_rules(train, lab, max_train)
+    columns, mark = docs.columns, "measured_"
+    at = columns.index("text")
+    while any(c.startswith(mark) for c in columns):
+        mark += "_"
+    schema = StructType([*docs.schema.fields, *[StructField(mark + c, LongType()) for c in STATS]])
+
+    def measured(batches):
+        for batch in batches:
+            texts = batch.column(at).to_pylist()
+            rows = [measure(None if t is None else t.encode("utf-8", "replace")) for t in texts]
+            cols = [pa.array(c, pa.int64()) for c in zip(*rows, strict=True)] or [pa.array([], pa.int64())] * len(STATS)
+            yield pa.RecordBatch.from_arrays([*batch.columns, *cols], names=schema.names)
+
+    rows = docs.mapInArrow(measured, schema).select("*", *feature_columns(mark))
+    return rows.where(as_column(rules, mark)).select(*columns)

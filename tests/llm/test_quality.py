@@ -62,3 +62,13 @@ def test_covering_learns_an_interval():
     rules = quality.learn(x, bad, v % 3 == 0)
     got = np.any([quality.covers(r, x, 1000) for r in rules], axis=0)
     assert (got == bad).mean() > 0.97
+
+
+def test_keep_good_keeps_what_the_list_keeps(spark):
+    d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    lab = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    wide = d.selectExpr("*", "1 AS n_words", "'x' AS measured_n_words", "2 AS f_words")
+    kept = quality.keep_good(wide, lab)
+    judged, _ = quality.judge(d, lab)
+    assert kept.columns == wide.columns
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(r.doc_id for r in judged.where("kept").collect())
