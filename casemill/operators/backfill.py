@@ -31,6 +31,21 @@ def normalize_ids(lines: DataFrame, column: str = "value", name: str = CASE_KEY)
     return ids.where(F.col(name).isNotNull() & (F.col(name) != "")).distinct()
 
 
+def profiles_of(phones: DataFrame, profiles: DataFrame | None, address_key: str = PROFILE_ADDRESS_KEY,
+                extracted: DataFrame | None = None, columns: list[str] | None = None) -> DataFrame:
+    """Extracted profile rows of `phones` (one `phone` column) alone.
+
+    Only the documents of these phones are parsed; bare documents carry their
+    phone inside, so they are parsed first.  `extracted` is a stored summary
+    to read instead of documents."""
+    if extracted is not None:
+        return extracted.join(phones, "phone", "left_semi")
+    if "phone" in profiles.columns:
+        mine = profiles.withColumn("phone", F.col("phone").cast("string")).join(phones, "phone", "left_semi")
+        return extract_profile(mine, address_key, columns=columns)
+    return extract_profile(profiles, address_key, columns=columns).join(phones, "phone", "left_semi")
+
+
 def backfill(ids: DataFrame, cases: DataFrame, profiles: DataFrame, columns: list[str],
              batch_id: int = 0, address_key: str = PROFILE_ADDRESS_KEY,
              extracted: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
@@ -44,7 +59,8 @@ def backfill(ids: DataFrame, cases: DataFrame, profiles: DataFrame, columns: lis
     if unknown:
         raise ValueError(f"no profile source for columns {unknown}")
     targets = cases.select(CASE_KEY, "phone").join(ids, CASE_KEY, "left_semi")
-    ex = extracted if extracted is not None else extract_profile(profiles, address_key)
+    phones = targets.select(F.col("phone").cast("string").alias("phone")).where("phone IS NOT NULL").distinct()
+    ex = profiles_of(phones, profiles, address_key, extracted, [BACKFILL_SOURCES[c] for c in columns])
     ex = ex.select(F.col("phone").alias("_p"), *[F.col(BACKFILL_SOURCES[c]).alias(c) for c in columns])
     rows = targets.join(ex, targets["phone"] == ex["_p"], "left")
     rows = rows.select(CASE_KEY, *[F.coalesce(F.col(c), F.lit(UNKNOWN)).alias(c) for c in columns])
@@ -81,5 +97,5 @@ def write_extract(df: DataFrame, path: str, sep: str = "\t", single_file: bool =
     the one-file output of the original job by funnelling all rows through
     one task; use it only for extracts known to be small.
     """
-    out = df.coalesce(1) if single_file else df
+    out = df.repartition(1) if single_file else df  # the join before it stays distributed
     out.write.mode("append").option("sep", sep).option("header", "false").csv(path)

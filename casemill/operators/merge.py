@@ -200,8 +200,10 @@ def fold_changes(changes: DataFrame, snapshot: DataFrame | None, table: TableSpe
         out = folded.where("_has_r")
         return out.selectExpr(*[_q(c) if c in keys else f"_v{where[c]}.{_q(c)} AS {_q(c)}" for c in table.columns])
 
-    fields = ", ".join(_q(c) for c in table.value_columns)
-    snap = snapshot.selectExpr(*[_q(k) for k in keys], f"struct({fields}) AS _s", "true AS _in_snap")
+    # the snapshot's columns go by names of their own, not as one struct, which
+    # every output column would build anew where the log turns out to be empty
+    held = [f"{_q(c)} AS {_q('_s_' + c)}" for c in table.value_columns]
+    snap = snapshot.selectExpr(*[_q(k) for k in keys], *held, "true AS _in_snap")
     joined = snap.join(folded, on=keys, how="full_outer" if inserts else "left")
     has_r = "coalesce(_has_r, false)"
     exprs = []
@@ -210,7 +212,7 @@ def fold_changes(changes: DataFrame, snapshot: DataFrame | None, table: TableSpe
             exprs.append(_q(c))
             continue
         i = where[c]
-        exprs.append(f"CASE WHEN {has_r} OR coalesce(_h{i}, false) THEN _v{i}.{_q(c)} ELSE _s.{_q(c)} END AS {_q(c)}")
+        exprs.append(f"CASE WHEN {has_r} OR coalesce(_h{i}, false) THEN _v{i}.{_q(c)} ELSE {_q('_s_' + c)} END AS {_q(c)}")
     return joined.where(f"_in_snap IS NOT NULL OR {has_r}").selectExpr(*exprs)
 
 
@@ -243,11 +245,11 @@ def case_changes(records: DataFrame, batch_id=0, topic_rank: int = INTAKE_RANK)
                        values, CASE_REPORT.full_mask)
 
 
-def _set_expr(spec: str, as_of: str | None) -> str:
+def _set_expr(spec: str) -> str:
     if spec.startswith("="):
         return "'" + CONSTANTS[spec[1:]] + "'"
     if spec == "@as_of":
-        return "current_date_text" if as_of is None else f"'{as_of}'"
+        return "run_date_text"
     return _q(spec)
 
 
@@ -264,13 +266,12 @@ def update_changes(updates: DataFrame, as_of: str | None = None, batch_id=0,
     for col in CASE_REPORT.value_columns:
         if col not in normal and col not in close:
             continue
-        n = _set_expr(normal[col], as_of) if col in normal else "NULL"
-        c = _set_expr(close[col], as_of) if col in close else "NULL"
+        n = _set_expr(normal[col]) if col in normal else "NULL"
+        c = _set_expr(close[col]) if col in close else "NULL"
         values[col] = f"CASE WHEN {is_close} THEN {c} ELSE {n} END"
     mask = F.expr(f"CASE WHEN {is_close} THEN {CASE_REPORT.mask_of(close)} ELSE {CASE_REPORT.mask_of(normal)} END")
     op = F.expr(f"CASE WHEN {is_close} THEN 'C' ELSE 'U' END")
-    if as_of is None:
-        updates = updates.withColumn("current_date_text", as_of_date(None))
+    updates = updates.withColumn("run_date_text", as_of_date(as_of))
     return change_rows(updates, CASE_REPORT, op, _record_ord(updates, batch_id, topic_rank), values, mask)
 
 

@@ -1,19 +1,18 @@
 """Profile extraction and case enrichment.
 
-A phone's profile is one or more JSON documents `(phone, doc[, part])`.  All
-documents of a phone are read in `part` order, as one report: contact entries
-of every document compete for the top-ten list, and the first `address`
-entry in document order wins.  With one document per phone (the usual case)
-this is plain per-document extraction.
+A phone's profile is one or more JSON documents `(phone, doc[, part])`, read
+as one report: the call counts of a peer are added up over all its entries and
+documents, so a peer is listed once, and the first `address` entry in document
+order wins.
 
 Scale notes
-- Each document is parsed once; the per-document work (filter, sort of its
-  contact array) runs in the JVM on bounded arrays (a document is one store
-  cell, so its size is bounded by the store).
-- Merging the documents of one phone never gathers them in one task: the
-  top-ten list is a two-stage top-k (per `(phone, salt)` then per phone, at
-  most `k * salt_buckets` rows per phone reach the second stage) and the
-  address is a min over the same windows.
+- Each document is parsed once.  Contacts leave it as rows and are added up
+  per (phone, peer), reduced map-side; a phone with very many documents or
+  peers is spread over its peers.  The ten best per phone are found with a
+  rank filter that Spark applies before the shuffle too, so at most ten rows
+  per phone and task move on.
+- Addresses and status are plain minima and maxima per phone, reduced
+  map-side; without contacts asked for, nothing is exploded or ranked.
 """
 
 from __future__ import annotations
@@ -25,7 +24,6 @@ from casemill.functions.columns import (
     as_of_date,
     first_value_for_key,
     join_or_default,
-    top_contacts,
 )
 from casemill.schemas import (
     CORRUPT_COLUMN,
@@ -41,9 +39,8 @@ EXTRACTED_COLUMNS = [
 ]
 
 
-def parse_profile_docs(profiles: DataFrame, address_key: str = PROFILE_ADDRESS_KEY,
-                       k: int = TOP_CONTACTS) -> DataFrame:
-    """One row per document: phone, part, ok flag, addresses, own top-k contacts.
+def parse_profile_docs(profiles: DataFrame, address_key: str = PROFILE_ADDRESS_KEY) -> DataFrame:
+    """One row per document: phone, part, ok flag, addresses, contacts.
 
     The phone is the table's `phone` column (a keyed store); a collection of
     bare documents (no `phone` column, as in a document store) is matched by
@@ -65,62 +62,59 @@ def parse_profile_docs(profiles: DataFrame, address_key: str = PROFILE_ADDRESS_K
         ok.alias("ok"),
         F.when(ok, first_value_for_key(report["cell_phone"], address_key)).alias("addr"),
         F.when(ok, first_value_for_key(report["user_basic"], address_key)).alias("shared"),
-        F.when(ok, top_contacts(report["call_contact_detail"], k)).alias("top"),
+        F.when(ok, report["call_contact_detail"]).alias("contacts"),
     )
 
 
-def extract_profile(profiles: DataFrame, address_key: str = PROFILE_ADDRESS_KEY,
-                    k: int = TOP_CONTACTS, salt_buckets: int = 16) -> DataFrame:
-    """Per phone: top-ten contacts, registered address, shared address, status.
+def extract_profile(profiles: DataFrame, address_key: str = PROFILE_ADDRESS_KEY, k: int = TOP_CONTACTS,
+                    columns: list[str] | None = None) -> DataFrame:
+    """Per phone: top-ten contacts, registered address, shared address, status
+    (`columns` picks among these and `phone`; the work follows the choice).
 
-    Missing pieces become the UNKNOWN text.  `profile_status` is `ok` when at
-    least one document of the phone has a report, else `no_report` (bad JSON,
-    `{}`, `mxReport: null`, empty text).  Between documents, the smaller
-    `(part, value)` wins, so equal parts still give one deterministic answer.
+    Contacts rank by added-up call count, descending (counts that are not
+    whole numbers add nothing; a peer without any sorts last), then by peer
+    number, ascending.  Missing pieces become the UNKNOWN text.
+    `profile_status` is `ok` when at least one document of the phone has a
+    report, else `no_report` (bad JSON, `{}`, `mxReport: null`, empty text).
+    Between documents, the smaller `(part, value)` wins, so equal parts still
+    give one deterministic answer.
     """
-    docs = parse_profile_docs(profiles, address_key, k)
-    rows = docs.select(
-        "phone", "part", "ok",
+    columns = EXTRACTED_COLUMNS if columns is None else ["phone", *[c for c in columns if c != "phone"]]
+    docs = parse_profile_docs(profiles, address_key)
+    about = docs.select(
+        "phone", "ok",
         F.when(F.col("addr").isNotNull(), F.struct("part", "addr")).alias("a"),
         F.when(F.col("shared").isNotNull(), F.struct("part", "shared")).alias("s"),
-        F.explode_outer("top").alias("e"),
-        F.pmod(F.xxhash64("part"), F.lit(salt_buckets)).alias("salt"),
+        "contacts",
     )
-    order = [F.col("e").isNull().asc(), F.col("e.cnt").desc_nulls_last(), F.col("e.peer").asc_nulls_last()]
-
-    # stage 1: top-k within (phone, salt); addresses and status carried by window aggregates
-    w1 = Window.partitionBy("phone", "salt")
-    stage1 = rows.select(
-        "phone", "e",
-        F.row_number().over(w1.orderBy(*order)).alias("rn"),
-        F.min("a").over(w1).alias("a"),
-        F.min("s").over(w1).alias("s"),
-        F.max("ok").over(w1).alias("ok"),
-    ).where(F.col("rn") <= k)
-
-    # stage 2: top-k within phone over at most k * salt_buckets rows
-    w2 = Window.partitionBy("phone")
-    stage2 = stage1.select(
-        "phone", "e",
-        F.row_number().over(w2.orderBy(*order)).alias("rn"),
-        F.min("a").over(w2).alias("a"),
-        F.min("s").over(w2).alias("s"),
-        F.max("ok").over(w2).alias("ok"),
-    ).where(F.col("rn") <= k)
-
-    merged = stage2.groupBy("phone").agg(
-        F.sort_array(F.collect_list(F.when(F.col("e").isNotNull(), F.struct("rn", F.col("e.peer").alias("peer"))))).alias("top"),
-        F.min("a").alias("a"),
-        F.min("s").alias("s"),
-        F.max("ok").alias("ok"),
-    )
-    return merged.select(
+    merged = [F.min("a").alias("a"), F.min("s").alias("s"), F.max("ok").alias("ok")]
+    if "call_record_top_ten" not in columns:
+        per_phone = about.groupBy("phone").agg(*merged).withColumn("top", F.lit(None).cast("array<string>"))
+    else:
+        # one row for the document itself (no contact) and one per contact, so
+        # the document is parsed once for both
+        entry = "struct<peer_num:string,call_cnt_6m:string>"
+        itself = F.array(F.lit(None).cast(entry))
+        contacts = F.transform(F.coalesce("contacts", F.array()), lambda c: F.struct(
+            c["peer_num"].alias("peer_num"), c["call_cnt_6m"].alias("call_cnt_6m")))
+        rows = about.select("phone", "ok", "a", "s", F.explode(F.concat(itself, contacts.cast(f"array<{entry}>"))).alias("e"))
+        is_doc = F.col("e").isNull()
+        rows = rows.select("phone", is_doc.alias("is_doc"), F.col("e.peer_num").alias("peer"),
+                           F.col("e.call_cnt_6m").try_cast("bigint").alias("cnt"),
+                           *[F.when(is_doc, F.col(c)).alias(c) for c in ("ok", "a", "s")])
+        per_peer = rows.groupBy("phone", "is_doc", "peer").agg(F.sum("cnt").alias("cnt"), *merged)
+        order = Window.partitionBy("phone", "is_doc").orderBy(F.col("cnt").desc_nulls_last(), F.col("peer").asc_nulls_last())
+        best = per_peer.withColumn("rn", F.row_number().over(order)).where(F.col("rn") <= k)
+        listed = F.when(~F.col("is_doc"), F.struct("rn", "peer"))
+        per_phone = best.groupBy("phone").agg(F.sort_array(F.collect_list(listed)).alias("top"), *merged)
+        per_phone = per_phone.withColumn("top", F.transform("top", lambda x: x["peer"]))
+    return per_phone.select(
         "phone",
-        join_or_default(F.transform("top", lambda x: x["peer"])).alias("call_record_top_ten"),
+        join_or_default(F.col("top")).alias("call_record_top_ten"),
         F.coalesce(F.col("a.addr"), F.lit(UNKNOWN)).alias("address_detail"),
         F.coalesce(F.col("s.shared"), F.lit(UNKNOWN)).alias("shared_address"),
         F.when(F.col("ok"), F.lit("ok")).otherwise(F.lit("no_report")).alias("profile_status"),
-    )
+    ).select(*columns)
 
 
 def enrich_cases(cases: DataFrame, extracted: DataFrame, as_of: str | None = None,

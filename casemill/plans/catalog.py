@@ -28,6 +28,8 @@ from casemill.operators.profile import enrich_cases, extract_profile
 from casemill.plans import derived as D
 from casemill.plans.jobs import intake_batch
 from casemill.schemas import CASE_FIELDS, UPDATE_FIELDS
+from casemill.session import scratch_path
+from casemill.sources.idlist import read_id_list
 
 AS_OF = D.AS_OF
 BATCH_SPAN = 5000  # offsets per batch in the multi-batch change-log query
@@ -54,15 +56,15 @@ def q_status_route(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_profile_top_ten(spark: SparkSession, sf: str) -> DataFrame:
-    return extract_profile(D.profiles(spark, sf)).select("phone", "call_record_top_ten")
+    return extract_profile(D.profiles(spark, sf), columns=["call_record_top_ten"])
 
 
 def q_profile_address(spark: SparkSession, sf: str) -> DataFrame:
-    return extract_profile(D.profiles(spark, sf)).select("phone", "address_detail")
+    return extract_profile(D.profiles(spark, sf), columns=["address_detail"])
 
 
 def q_profile_shared_address(spark: SparkSession, sf: str) -> DataFrame:
-    return extract_profile(D.profiles(spark, sf)).select("phone", "shared_address")
+    return extract_profile(D.profiles(spark, sf), columns=["shared_address"])
 
 
 def _enriched(spark: SparkSession, sf: str, full: bool) -> DataFrame:
@@ -189,6 +191,49 @@ def q_stream_cases(spark: SparkSession, sf: str) -> DataFrame:
                                as_of=AS_OF, intake_topic=D.INTAKE_TOPIC, update_topic=D.UPDATE_TOPIC)
 
 
+def q_stream_backfill_compact(spark: SparkSession, sf: str) -> DataFrame:
+    """Intake in three batches of ascending offsets; a backfill is logged and
+    the log compacted before the last one."""
+    from casemill.streaming import drivers as S
+    paths = S.StreamPaths(scratch_path(spark, "stream-compact"))
+    profiles = D.profiles(spark, sf)
+    replay = S.Replay(spark, "intake", paths, AS_OF, extracted=S.stored_summary(spark, profiles, f"{paths.root}/profile_summary"))
+    first, second, third = S.slices(D.case_messages(spark, sf), 3)
+    replay.feed(first)
+    replay.feed(second)
+    ids = bf.normalize_ids(D.id_lines(spark, sf))
+    S.log_backfill(spark, paths, ids, D.existing_cases(spark, sf), profiles, ["company_address", "permanent_address"])
+    snapshot, mark = S.compact(spark, paths, D.existing_cases(spark, sf), f"{paths.root}/snapshot")
+    replay.feed(third)
+    return S.current_table(spark, paths, snapshot, mark)
+
+
+def q_id_list(spark: SparkSession, sf: str) -> DataFrame:
+    """An id list written as text lines and read back."""
+    path = scratch_path(spark, "id-list")
+    D.id_lines(spark, sf).write.text(path)
+    return read_id_list(spark, path)
+
+
+def q_extract_text(spark: SparkSession, sf: str) -> DataFrame:
+    """The extract appended as delimited text and read back."""
+    path = scratch_path(spark, "extract")
+    bf.write_extract(q_extract_cases(spark, sf), path)
+    schema = ", ".join(f"{c} string" for c in bf.EXTRACT_COLUMNS)
+    return spark.read.schema(schema).option("sep", "\t").csv(path)
+
+
+def q_case_parse_binary(spark: SparkSession, sf: str) -> DataFrame:
+    """Case messages whose values arrive as UTF-8 bytes."""
+    msgs = D.case_messages(spark, sf).withColumn("value", F.col("value").cast("binary"))
+    return parse_cases(msgs)[0].select(*CASE_FIELDS, "topic", "partition", "offset")
+
+
+def q_profile_status(spark: SparkSession, sf: str) -> DataFrame:
+    """Profiles of which most documents are unusable."""
+    return extract_profile(D.odd_profiles(spark, sf), columns=["address_detail", "profile_status"])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "case_parse": q_case_parse,
     "case_quarantine": q_case_quarantine,
@@ -217,4 +262,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_intake": q_stream_intake,
     "stream_update": q_stream_update,
     "stream_cases": q_stream_cases,
+    "stream_backfill_compact": q_stream_backfill_compact,
+    "id_list": q_id_list,
+    "extract_text": q_extract_text,
+    "case_parse_binary": q_case_parse_binary,
+    "profile_status": q_profile_status,
 }

@@ -1,9 +1,11 @@
 """Inputs derived from the driver tables (messages, profiles, cases, ids).
 
 Each builder reads the given parquet tables and derives the pipeline's input
-shapes with plain DataFrame operations, so their size grows with the tables.
-Profiles are split into documents of at most `PROFILE_BLOCK` events per
-phone, so no document (and no task building one) grows with a hot phone.
+shapes with plain DataFrame operations over every row, so their size grows
+with the tables.  Ids of the other branch (cases that only messages know, or
+only the table knows) carry a letter in front; no row is left out.  A phone's
+profile spans documents of at most `PROFILE_BLOCK` event ids; what is
+extracted does not depend on that block, because counts are added up.
 """
 
 from __future__ import annotations
@@ -26,26 +28,20 @@ def _s(c) -> F.Column:
     return c.cast("string")
 
 
-def _as_topic(spark: SparkSession, messages: DataFrame) -> DataFrame:
-    """Spread derived messages over the cluster's task slots, as a topic with
-    many partitions arrives (the driver tables are single-row-group files,
-    which would otherwise keep all per-message work in one task).  Hashing
-    the unique offset keeps the spread even whatever the key skew."""
-    try:
-        slots = spark.sparkContext.defaultParallelism
-    except Exception:  # sessions without a local SparkContext (Spark Connect)
-        slots = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return messages.repartition(slots, "offset")
+def case_id(custkey: F.Column) -> F.Column:
+    """Case id of a customer's messages; a fifth of the customers have cases
+    that the case table does not know yet."""
+    return F.when(custkey % 5 == 0, F.concat(F.lit("N"), _s(custkey))).otherwise(_s(custkey))
 
 
 def case_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D1: Kafka-shaped case messages from orders x customer."""
     o = read_table(spark, sf_dir, "orders")
     c = read_table(spark, sf_dir, "customer")
-    d = o.where(F.col("o_custkey") % 5 != 0).join(c, o["o_custkey"] == c["c_custkey"])
+    d = o.join(c, o["o_custkey"] == c["c_custkey"])
     mobile = F.when(F.col("o_orderkey") % 37 == 0, F.lit(None).cast("string")).otherwise(_s(F.col("o_custkey") % 200))
     rec = F.struct(
-        _s(F.col("o_custkey")).alias("overdueId"),
+        case_id(F.col("o_custkey")).alias("overdueId"),
         mobile.alias("mobile"),
         F.col("c_name").alias("name"),
         F.col("o_orderpriority").alias("productName"),
@@ -57,14 +53,14 @@ def case_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     value = (F.when(F.col("o_orderkey") % 50 == 0, F.lit("not json"))
              .when(F.col("o_orderkey") % 50 == 1, F.lit(""))
              .otherwise(F.to_json(rec)))
-    return _as_topic(spark, d.select(
-        _s(F.col("o_custkey")).alias("key"),
+    return d.select(
+        case_id(F.col("o_custkey")).alias("key"),
         value.alias("value"),
         F.lit(INTAKE_TOPIC).alias("topic"),
         (F.col("o_custkey") % 4).cast("int").alias("partition"),
         F.col("o_orderkey").cast("bigint").alias("offset"),
         F.col("o_orderdate").cast("timestamp").alias("timestamp"),
-    ))
+    )
 
 
 def update_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,14 +77,14 @@ def update_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         _s(F.col("event_id")).alias("seqNo"),
         status.alias("status"),
     )
-    return _as_topic(spark, e.select(
+    return e.select(
         _s(F.col("user_id")).alias("key"),
         F.to_json(rec).alias("value"),
         F.lit(UPDATE_TOPIC).alias("topic"),
         (F.col("user_id") % 3).cast("int").alias("partition"),
         F.col("event_id").cast("bigint").alias("offset"),
         F.col("ts").cast("timestamp").alias("timestamp"),
-    ))
+    )
 
 
 def profiles(spark: SparkSession, sf_dir: str, block: int = PROFILE_BLOCK) -> DataFrame:
@@ -125,11 +121,24 @@ def profiles(spark: SparkSession, sf_dir: str, block: int = PROFILE_BLOCK) -> Da
     return docs.select(_s(F.col("user_id")).alias("phone"), "part", doc.alias("doc"))
 
 
+def odd_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Profile documents of every customer, four of five unusable: not JSON,
+    empty, without a report, with a null report."""
+    c = read_table(spark, sf_dir, "customer")
+    good = F.to_json(F.struct(F.struct(F.array(F.struct(
+        F.lit("address").alias("key"), F.col("c_mktsegment").alias("value"))).alias("cell_phone")).alias("mxReport")))
+    kind = F.col("c_custkey") % 5
+    doc = (F.when(kind == 0, good).when(kind == 1, F.lit('{"mxReport": {')).when(kind == 2, F.lit(""))
+           .when(kind == 3, F.lit("{}")).otherwise(F.lit('{"mxReport": null}')))
+    return c.select(_s(F.col("c_custkey")).alias("phone"), doc.alias("doc"))
+
+
 def existing_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """D4: case_report snapshot from customer (a third of keys absent)."""
-    c = read_table(spark, sf_dir, "customer").where(F.col("c_custkey") % 3 != 0)
+    """D4: case_report snapshot from customer; a third of the customers are
+    known by ids that no message and no id list carries."""
+    c = read_table(spark, sf_dir, "customer")
     given = {
-        "overdue_id": "CAST(c_custkey AS STRING)",
+        "overdue_id": "CASE WHEN c_custkey % 3 = 0 THEN concat('X', c_custkey) ELSE CAST(c_custkey AS STRING) END",
         "phone": "CAST(c_custkey % 200 AS STRING)",
         "remark": "c_mktsegment",
         "balance": "'9'",

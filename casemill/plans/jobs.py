@@ -6,10 +6,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from casemill.operators.backfill import profiles_of
 from casemill.operators.merge import INTAKE_RANK, UPDATE_RANK, case_changes, update_changes
 from casemill.operators.parse import parse_cases, parse_updates
-from casemill.operators.profile import enrich_cases, extract_profile
+from casemill.operators.profile import enrich_cases
 
 
 @dataclass
@@ -22,7 +24,8 @@ def intake_batch(messages: DataFrame, profiles: DataFrame, as_of: str | None = N
                  profile_addresses: bool = True, topic_rank: int = INTAKE_RANK) -> BatchResult:
     """Case messages -> enriched full-row replaces for case_report."""
     valid, quarantine = parse_cases(messages)
-    enriched = enrich_cases(valid, extract_profile(profiles), as_of, profile_addresses)
+    phones = valid.select(F.col("mobile").alias("phone")).distinct()
+    enriched = enrich_cases(valid, profiles_of(phones, profiles), as_of, profile_addresses)
     return BatchResult(case_changes(enriched, batch_id, topic_rank), quarantine)
 
 

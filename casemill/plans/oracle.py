@@ -44,12 +44,12 @@ D1 = """d1 AS (
               WHEN o.o_orderkey % 50 = 0 THEN 'corrupt'
               WHEN o.o_orderkey % 37 = 0 THEN 'no_phone' END AS reason
   FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
-  WHERE o.o_custkey % 5 <> 0
 )"""
+D1_ID = "CASE WHEN o_custkey % 5 = 0 THEN 'N' || o_custkey ELSE CAST(o_custkey AS VARCHAR) END"
 
 # case message fields of a valid D1 row
 D1_FIELDS = {
-    "overdueId": "CAST(o_custkey AS VARCHAR)",
+    "overdueId": D1_ID,
     "mobile": "mobile",
     "name": "c_name",
     "productName": "o_orderpriority",
@@ -81,7 +81,7 @@ PROFILE = f"""pe AS (
   SELECT user_id, event_id, event_type, json_extract_string(props, '$.k') AS peer FROM events
 ),
 ce AS (
-  SELECT user_id, event_id // 10000 AS part, peer, COUNT(*) AS cnt FROM pe GROUP BY user_id, event_id // 10000, peer
+  SELECT user_id, peer, COUNT(*) AS cnt FROM pe GROUP BY user_id, peer
 ),
 rk AS (
   SELECT user_id, peer, row_number() OVER (PARTITION BY user_id ORDER BY cnt DESC, peer ASC NULLS LAST) AS rn FROM ce
@@ -109,12 +109,12 @@ pfull AS (
 )"""
 
 SNAP = "snap AS (\n  SELECT\n  " + _cols(CASE_REPORT_COLUMNS, {
-    "overdue_id": "CAST(c_custkey AS VARCHAR)",
+    "overdue_id": "CASE WHEN c_custkey % 3 = 0 THEN 'X' || c_custkey ELSE CAST(c_custkey AS VARCHAR) END",
     "phone": "CAST(c_custkey % 200 AS VARCHAR)",
     "remark": "c_mktsegment",
     "balance": "'9'",
     "loan_type": "'old'",
-}) + "\n  FROM customer WHERE c_custkey % 3 <> 0\n)"
+}) + "\n  FROM customer\n)"
 
 IDS = """lines AS (
   SELECT CAST(c_custkey AS VARCHAR) AS v FROM customer WHERE c_custkey % 7 = 0
@@ -171,7 +171,7 @@ def _change_select(op: str, k: str, b: str, tr: int, off: str, cols: dict[str, s
 
 def r_changes(fields: dict[str, str], batch: str = "0") -> str:
     cols = _report_from_fields(fields)
-    return _change_select("'R'", "CAST(o_custkey AS VARCHAR)", batch, 0, "o_orderkey", cols,
+    return _change_select("'R'", D1_ID, batch, 0, "o_orderkey", cols,
                           "d1v")
 
 
@@ -230,8 +230,6 @@ def _touch(replace: bool, updates: bool) -> dict[str, tuple[str, ...]]:
 
 D1V = "d1v AS (SELECT * FROM d1 WHERE reason IS NULL)"
 
-ENRICHED = dict(D1_FIELDS)
-
 
 def _enriched_fields(full: bool) -> dict[str, str]:
     f = dict(D1_FIELDS)
@@ -378,13 +376,40 @@ def _sql_ledger_resolve() -> str:
         "FROM e LEFT JOIN st ON st.p = e.p")
 
 
+def _slice(offset: str, top: str) -> str:
+    """Micro-batch of a message fed in three parts of ascending offsets."""
+    return f"({offset} * 3 // ({top} + 1))"
+
+
 def _sql_stream_cases() -> str:
-    r = r_changes(_enriched_fields(True)).replace("FROM d1v", f"FROM {ENRICHED_SRC}")
-    u = u_changes("0")
+    top = "(SELECT GREATEST((SELECT MAX(o_orderkey) FROM d1), (SELECT MAX(event_id) FROM d2)))"
+    r = r_changes(_enriched_fields(True), _slice("o_orderkey", top)).replace("FROM d1v", f"FROM {ENRICHED_SRC}")
+    u = u_changes(_slice("event_id", top))
     ch = "ch AS (" + r + "\nUNION ALL\n" + u + ")"
     return _with(D1, D1V, D2, PROFILE, SNAP, ch) + fold_sql(_touch(True, True), True)
 
 
+def _sql_stream_backfill_compact() -> str:
+    """Replaces of the first two parts; both shared addresses of the listed
+    cases; replaces of the last part."""
+    r = r_changes(_enriched_fields(True), _slice("o_orderkey", "(SELECT MAX(o_orderkey) FROM d1)"))
+    r = "r AS (" + r.replace("FROM d1v", f"FROM {ENRICHED_SRC}") + ")"
+    fold = fold_sql(_touch(True, False), True).removeprefix(",\n")
+    t1 = "t1 AS (WITH ch AS (SELECT * FROM r WHERE b < 2),\n" + fold + ")"
+    filled = {c: f't1."{c}"' for c in CASE_REPORT_COLUMNS}
+    for c in ("company_address", "permanent_address"):
+        filled[c] = f'CASE WHEN ids.overdue_id IS NULL THEN t1."{c}" ELSE COALESCE(pf.shared, {_q(UNKNOWN)}) END'
+    t2 = ("t2 AS (SELECT\n  " + _cols(CASE_REPORT_COLUMNS, filled) + "\nFROM t1 LEFT JOIN ids ON ids.overdue_id = t1.overdue_id "
+          "LEFT JOIN pfull pf ON pf.phone = t1.phone)")
+    last = "(WITH snap AS (SELECT * FROM t2), ch AS (SELECT * FROM r WHERE b = 2),\n" + fold + ")"
+    return _with(D1, D1V, PROFILE, SNAP, IDS, r, t1, t2) + "SELECT * FROM " + last
+
+
+def _sql_profile_status() -> str:
+    return (f"SELECT CAST(c_custkey AS VARCHAR) AS phone, CASE WHEN c_custkey % 5 = 0 THEN c_mktsegment ELSE {_q(UNKNOWN)} END "
+            "AS address_detail, CASE WHEN c_custkey % 5 = 0 THEN 'ok' ELSE 'no_report' END AS profile_status FROM customer")
+
+
 ORACLE_SQL: dict[str, str] = {
     "case_parse": _sql_case_parse(),
     "case_quarantine": _sql_case_quarantine(),
@@ -413,4 +438,9 @@ ORACLE_SQL: dict[str, str] = {
     "stream_intake": _sql_case_intake(),
     "stream_update": _sql_updates(None),
     "stream_cases": _sql_stream_cases(),
+    "stream_backfill_compact": _sql_stream_backfill_compact(),
+    "id_list": _with(IDS) + "SELECT overdue_id FROM ids",
+    "extract_text": _sql_extract_cases(),
+    "case_parse_binary": _sql_case_parse(),
+    "profile_status": _sql_profile_status(),
 }

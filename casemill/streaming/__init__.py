@@ -1,22 +1,24 @@
 """Structured Streaming drivers (foreachBatch over Kafka-shaped sources)."""
 
 from casemill.streaming.drivers import (
+    LogMark,
     StreamPaths,
     compact,
-    log_backfill,
-    next_batch_id,
-    start_case_stream,
     current_history,
     current_ledger,
     current_table,
+    log_backfill,
+    log_mark,
     read_change_log,
     read_quarantine,
     run_stream_to_table,
+    start_case_stream,
     start_intake_stream,
     start_update_stream,
 )
 
 __all__ = [
-    "StreamPaths", "compact", "log_backfill", "next_batch_id", "start_case_stream", "current_history", "current_ledger", "current_table", "read_change_log", "read_quarantine", "run_stream_to_table",
-    "start_intake_stream", "start_update_stream",
+    "LogMark", "StreamPaths", "compact", "current_history", "current_ledger", "current_table", "log_backfill", "log_mark",
+    "read_change_log", "read_quarantine", "run_stream_to_table", "start_case_stream", "start_intake_stream",
+    "start_update_stream",
 ]

@@ -2,14 +2,21 @@
 
 Each micro-batch (foreachBatch) is parsed, routed or enriched, and written
 as change rows to `changes/batch_id=N`, then, last, as one report to
-`report/batch_id=N` (quarantined messages, the positions reached, and a
-completion row).  Every write overwrites its own batch folder, so a batch
-replayed after a failure (the query checkpoint commits only after the
-handler returns) produces the same files instead of duplicates:
-effectively-once output on top of the at-least-once source.  Readers use
-only batches whose report exists.  Reading the table is a fold of the log
-over the snapshot; `compact` writes a new snapshot into the shared
-checkpoint folder and returns the last batch it holds.
+`report/batch_id=N` (quarantined messages, the positions reached, and a `done`
+row with the time of completion).  Every write overwrites its own batch folder,
+so a batch replayed after a failure (the query checkpoint commits only after
+the handler returns) produces the same files instead of duplicates.  Before a
+replay rewrites its changes it takes back the report, so readers never see a
+half-written batch as whole.
+
+Profile backfills have folders and ids of their own (`backfills`,
+`backfill_report`).  Readers join a log to its `done` rows, batch by batch:
+what has none does not exist.  Changes apply in the order of completion, so a
+backfill applies after every batch that was complete when it completed, and
+before every later one; the logs of several queries fold together alike.
+
+`compact` folds what is complete into a new snapshot in the shared folder and
+returns a `LogMark` of what the snapshot holds; later reads take the rest.
 
 The engine runs no micro-batch when a stateless query has no new data; a
 batch that still arrives empty (the reference's empty-batch skip) is
@@ -18,6 +25,9 @@ the sinks read anyway, and nothing is written for it.
 """
 from __future__ import annotations
 
+import time
+import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -29,17 +39,18 @@ from pyspark.sql.streaming import StreamingQuery
 from casemill.operators.merge import (
     CASE_HISTORY,
     CASE_REPORT,
-    OFFSET_LEDGER,
-    make_ord,
-    replace_merge,
     INTAKE_RANK,
+    OFFSET_LEDGER,
     UPDATE_RANK,
     case_changes,
+    empty_table,
     fold_changes,
     history_changes,
+    make_ord,
+    replace_merge,
     update_changes,
 )
-from casemill.operators.backfill import backfill
+from casemill.operators.backfill import backfill, profiles_of
 from casemill.operators.offsets import batch_end_offsets
 from casemill.operators.parse import CASE_SCHEMA, UPDATE_SCHEMA, classify, split
 from casemill.operators.profile import enrich_cases, extract_profile
@@ -65,6 +76,10 @@ class StreamPaths:
     def backfills(self) -> str:
         return f"{self.root}/backfills"
 
+    @property
+    def backfill_report(self) -> str:
+        return f"{self.root}/backfill_report"
+
     @property
     def history(self) -> str:
         return f"{self.root}/history"
@@ -74,16 +89,58 @@ class StreamPaths:
         return f"{self.root}/_checkpoint"
 
 
-def _write_batch(df: DataFrame, folder: str, batch_id: int) -> None:
-    df.write.mode("overwrite").parquet(f"{folder}/batch_id={batch_id}")
+@dataclass(frozen=True)
+class LogMark:
+    """What a snapshot holds: stream batches and backfills up to these ids,
+    apart from the backfills in `without`, which were not complete."""
+
+    stream: int = -1
+    backfills: int = -1
+    without: tuple[int, ...] = ()
+
 
+# a profile table, or what returns it as it is now
+Profiles = DataFrame | Callable[[SparkSession], DataFrame]
 
-REPORT_COLUMNS = ["kind", "reason", "value", "topic", "partition", "offset", "groupid", "kafka_offset"]
 
+def _now(source: Profiles | None, spark: SparkSession) -> DataFrame | None:
+    return source(spark) if callable(source) else source
+
+
+def _read(spark: SparkSession, folder: str) -> DataFrame | None:
+    """The table below `folder`; None only where there is none yet."""
+    try:
+        return spark.read.parquet(folder)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
 
-def _report(spark: SparkSession, quarantine: DataFrame, positions: DataFrame) -> DataFrame:
-    """Quarantine rows, ledger positions and one `done` row as one dataset,
-    so a batch needs a single small write besides its changes."""
+
+def _write_batch(df: DataFrame, folder: str, batch_id: int, mode: str = "overwrite") -> None:
+    df.write.mode(mode).parquet(f"{folder}/batch_id={batch_id}")
+
+
+# `kafka_offset` of a `done` row: the time of completion in microseconds
+REPORT_SCHEMA = ("kind string, reason string, value string, topic string, partition int, offset bigint, "
+                 "groupid string, kafka_offset bigint")
+
+
+def _marker(spark: SparkSession, kind: str) -> DataFrame:
+    at = time.time_ns() // 1000 if kind == "done" else None
+    return spark.createDataFrame([(kind, None, None, None, None, None, None, at)], REPORT_SCHEMA)
+
+
+def _begin_batch(spark: SparkSession, paths: StreamPaths, batch_id: int) -> None:
+    """Take back the report of a batch that is about to be written again."""
+    if _read(spark, f"{paths.report}/batch_id={batch_id}") is not None:
+        _write_batch(_marker(spark, "begun"), paths.report, batch_id)
+
+
+def _finish_batch(spark: SparkSession, paths: StreamPaths, batch_id: int, quarantine: DataFrame,
+                  positions: DataFrame) -> None:
+    """Written last, as one small dataset: quarantine rows, ledger positions
+    and the `done` row that makes the batch complete."""
     q = quarantine.select(
         F.lit("quarantine").alias("kind"), "reason", "value", "topic",
         F.col("partition").cast("int"), F.col("offset").cast("bigint"),
@@ -92,33 +149,23 @@ def _report(spark: SparkSession, quarantine: DataFrame, positions: DataFrame) ->
         F.lit("position").alias("kind"), F.lit(None).cast("string").alias("reason"),
         F.lit(None).cast("string").alias("value"), "topic", F.col("kafka_partition").alias("partition"),
         F.lit(None).cast("bigint").alias("offset"), "groupid", "kafka_offset")
-    done = spark.range(1).select(
-        F.lit("done").alias("kind"), *[F.lit(None).cast(t).alias(c) for c, t in (
-            ("reason", "string"), ("value", "string"), ("topic", "string"), ("partition", "int"),
-            ("offset", "bigint"), ("groupid", "string"), ("kafka_offset", "bigint"))])
-    return q.unionByName(p).unionByName(done)
-
-
-def _finish_batch(spark: SparkSession, paths: StreamPaths, batch_id: int, quarantine: DataFrame,
-                  positions: DataFrame) -> None:
-    """Written last: a batch's outputs are complete once its report exists."""
-    _write_batch(_report(spark, quarantine, positions), paths.report, batch_id)
+    _write_batch(q.unionByName(p).unionByName(_marker(spark, "done")), paths.report, batch_id)
 
 
-def _batch_profiles(valid: DataFrame, profiles: DataFrame | None, extracted: DataFrame | None) -> DataFrame:
-    """Extracted profile rows for the phones of one micro-batch.
+def _batch_profiles(valid: DataFrame, profiles: Profiles | None, extracted: Profiles | None) -> DataFrame:
+    """Extracted profile rows for the phones of one micro-batch, from the
+    tables as they are now (where a reader was given, not a frame).
 
     With a precomputed summary (`extract_profile` run as a batch job over the
     whole profile table) only that compact table is semi-joined; otherwise
-    the raw documents of the batch's phones are parsed now."""
+    the raw documents of the batch's phones are parsed."""
+    spark = valid.sparkSession
     phones = valid.select(F.col("mobile").alias("phone")).distinct()
-    if extracted is not None:
-        return extracted.join(phones, "phone", "left_semi")
-    return extract_profile(profiles.join(phones, "phone", "left_semi"))
+    return profiles_of(phones, _now(profiles, spark), extracted=_now(extracted, spark))
 
 
-def _handler(kind: str, paths: StreamPaths, group: str, as_of: str | None, profiles: DataFrame | None,
-             profile_addresses: bool, write_history: bool = False, extracted: DataFrame | None = None):
+def _handler(kind: str, paths: StreamPaths, group: str, as_of: str | None, profiles: Profiles | None,
+             profile_addresses: bool, write_history: bool = False, extracted: Profiles | None = None):
     schema = CASE_SCHEMA if kind == "intake" else UPDATE_SCHEMA
 
     def handle(batch: DataFrame, batch_id: int) -> None:
@@ -127,6 +174,7 @@ def _handler(kind: str, paths: StreamPaths, group: str, as_of: str | None, profi
         try:
             if classified.isEmpty():  # probes the cached frame: nothing to write, positions unchanged
                 return
+            _begin_batch(batch.sparkSession, paths, batch_id)
             valid, quarantine = split(classified)
             if kind == "intake":
                 enriched = enrich_cases(valid, _batch_profiles(valid, profiles, extracted), as_of, profile_addresses)
@@ -147,7 +195,7 @@ def _handler(kind: str, paths: StreamPaths, group: str, as_of: str | None, profi
 
 
 def _case_handler(paths: StreamPaths, group: str, intake_topic: str, update_topic: str, as_of: str | None,
-                  profiles: DataFrame | None, profile_addresses: bool, extracted: DataFrame | None = None,
+                  profiles: Profiles | None, profile_addresses: bool, extracted: Profiles | None = None,
                   write_history: bool = False):
     """One micro-batch holding both topics: intake replaces apply before the
     batch's updates (topic rank), so the order between the topics is defined."""
@@ -158,8 +206,12 @@ def _case_handler(paths: StreamPaths, group: str, intake_topic: str, update_topi
         try:
             if batch.isEmpty():  # probes the cached batch: nothing to write, positions unchanged
                 return
+            _begin_batch(batch.sparkSession, paths, batch_id)
             ci = classify(batch.where(F.col("topic") == intake_topic), CASE_SCHEMA).persist()
             cu = classify(batch.where(F.col("topic") == update_topic), UPDATE_SCHEMA).persist()
+            known = F.coalesce(F.col("topic").isin(intake_topic, update_topic), F.lit(False))
+            others = batch.where(~known).select(
+                F.lit("unknown_topic").alias("reason"), F.col("value").cast("string").alias("value"), "topic", "partition", "offset")
             held += [ci, cu]
             valid_i, quarantine_i = split(ci)
             valid_u, quarantine_u = split(cu)
@@ -171,7 +223,7 @@ def _case_handler(paths: StreamPaths, group: str, intake_topic: str, update_topi
             changes = case_changes(enriched, batch_id, INTAKE_RANK).unionByName(
                 update_changes(valid_u, as_of, batch_id, UPDATE_RANK))
             _write_batch(changes, paths.changes, batch_id)
-            _finish_batch(batch.sparkSession, paths, batch_id, quarantine_i.unionByName(quarantine_u),
+            _finish_batch(batch.sparkSession, paths, batch_id, quarantine_i.unionByName(quarantine_u).unionByName(others),
                           batch_end_offsets(batch, group))
         finally:
             for df in held:
@@ -180,16 +232,18 @@ def _case_handler(paths: StreamPaths, group: str, intake_topic: str, update_topi
     return handle
 
 
-def start_case_stream(source: DataFrame, profiles: DataFrame | None, paths: StreamPaths, group: str,
+def start_case_stream(source: DataFrame, profiles: Profiles | None, paths: StreamPaths, group: str,
                       intake_topic: str, update_topic: str, as_of: str | None = None,
                       profile_addresses: bool = True, trigger: dict | None = None,
-                      query_name: str | None = None, extracted: DataFrame | None = None,
+                      query_name: str | None = None, extracted: Profiles | None = None,
                       write_history: bool = False) -> StreamingQuery:
     """Both topics in one query: the recommended way to feed one case table.
 
-    `extracted`: a stored `extract_profile` result to enrich from instead of
-    parsing raw profile documents in every micro-batch (the choice for a
-    large profile table).  `write_history` also maintains case_history."""
+    `profiles` may be a function of the session that reads the table: it is
+    called per micro-batch, so a running stream sees profiles as they are
+    then; a frame keeps the files it was made of.  `extracted`: a stored
+    `extract_profile` result to enrich from instead of parsing raw profile
+    documents in every micro-batch (the choice for a large profile table).  `write_history` also maintains case_history."""
     handler = _case_handler(paths, group, intake_topic, update_topic, as_of, profiles, profile_addresses,
                             extracted, write_history)
     writer = source.writeStream.foreachBatch(handler).option("checkpointLocation", paths.checkpoint)
@@ -200,9 +254,9 @@ def start_case_stream(source: DataFrame, profiles: DataFrame | None, paths: Stre
 
 
 def _start(kind: str, source: DataFrame, paths: StreamPaths, group: str, as_of: str | None,
-           profiles: DataFrame | None, profile_addresses: bool, trigger: dict | None,
+           profiles: Profiles | None, profile_addresses: bool, trigger: dict | None,
            query_name: str | None, write_history: bool = False,
-           extracted: DataFrame | None = None) -> StreamingQuery:
+           extracted: Profiles | None = None) -> StreamingQuery:
     handler = _handler(kind, paths, group, as_of, profiles, profile_addresses, write_history, extracted)
     writer = (source.writeStream.foreachBatch(handler)
               .option("checkpointLocation", paths.checkpoint))
@@ -212,10 +266,10 @@ def _start(kind: str, source: DataFrame, paths: StreamPaths, group: str, as_of:
     return writer.start()
 
 
-def start_intake_stream(source: DataFrame, profiles: DataFrame | None, paths: StreamPaths, group: str,
+def start_intake_stream(source: DataFrame, profiles: Profiles | None, paths: StreamPaths, group: str,
                         as_of: str | None = None, profile_addresses: bool = True,
                         trigger: dict | None = None, query_name: str | None = None,
-                        write_history: bool = False, extracted: DataFrame | None = None) -> StreamingQuery:
+                        write_history: bool = False, extracted: Profiles | None = None) -> StreamingQuery:
     """Case messages -> enriched replaces in the change log (and, with
     `write_history`, full-row replaces of case_history).  `extracted` as in
     `start_case_stream`."""
@@ -229,113 +283,133 @@ def start_update_stream(source: DataFrame, paths: StreamPaths, group: str, as_of
     return _start("update", source, paths, group, as_of, None, True, trigger, query_name)
 
 
-def read_change_log(spark: SparkSession, folder: str, after_batch: int | None = None,
-                    upto_batch: int | None = None) -> DataFrame | None:
-    """Change rows under `folder`, optionally only batches in
-    (`after_batch`, `upto_batch`]: a filter on the `batch_id` folder column,
-    so other batches' files are pruned from the scan."""
-    try:
-        df = spark.read.parquet(folder)
-    except AnalysisException:  # no batch has written yet
+def _done(spark: SparkSession, report: str) -> DataFrame | None:
+    """`batch_id, at` of the complete batches of a report folder."""
+    rows = _read(spark, report)
+    if rows is None:
         return None
-    if after_batch is not None:
-        df = df.where(F.col("batch_id") > F.lit(after_batch))
-    if upto_batch is not None:
-        df = df.where(F.col("batch_id") <= F.lit(upto_batch))
-    return df.drop("batch_id")
+    return rows.where(F.col("kind") == "done").groupBy("batch_id").agg(F.max("kafka_offset").alias("at"))
 
 
-def _logs(spark: SparkSession, paths: StreamPaths, after_batch: int | None, upto_batch: int | None):
-    logs = [read_change_log(spark, f, after_batch, upto_batch) for f in (paths.changes, paths.backfills)]
-    logs = [log for log in logs if log is not None]
-    if not logs:
+def _whole(spark: SparkSession, folder: str, report: str, wanted) -> DataFrame | None:
+    """The log's complete batches that `wanted` takes, ordered by their time
+    of completion.  The join on the folder column reads these folders alone."""
+    log, done = _read(spark, folder), _done(spark, report)
+    if log is None or done is None:
         return None
-    return logs[0] if len(logs) == 1 else logs[0].unionByName(logs[1])
-
-
-def current_table(spark: SparkSession, paths: StreamPaths, snapshot: DataFrame | None,
-                  after_batch: int | None = None, upto_batch: int | None = None,
-                  complete_only: bool = True) -> DataFrame:
-    """case_report now: the change log (stream batches and backfills) folded
-    over the snapshot.  `after_batch` is the last batch the snapshot already
-    holds (returned by `compact`); only later batches are read.  With
-    `complete_only` a batch that is still writing is left out, so a reader
-    running beside the stream sees whole batches only."""
-    if complete_only:
-        done = last_complete_batch(spark, paths)
-        if done is not None:
-            upto_batch = done if upto_batch is None else min(upto_batch, done)
-    log = _logs(spark, paths, after_batch, upto_batch)
-    if log is None:
-        return snapshot
+    done = done.where(wanted(F.col("batch_id")))
+    if done.isEmpty():
+        return None
+    rows = log.join(done, "batch_id")
+    return rows.withColumn("ord", make_ord(F.col("at"), F.col("ord.topic_rank"), F.col("ord.offset"), F.col("ord.partition"))).drop("at")
+
+
+def read_change_log(spark: SparkSession, paths: StreamPaths, mark: LogMark | None = None) -> DataFrame | None:
+    """Change rows of all complete stream batches and backfills that `mark`
+    does not hold; None if there are none."""
+    mark = mark or LogMark()
+    logs = [
+        _whole(spark, paths.changes, paths.report, lambda b: b > mark.stream),
+        _whole(spark, paths.backfills, paths.backfill_report, lambda b: (b > mark.backfills) | b.isin(*mark.without)),
+    ]
+    logs = [log.drop("batch_id") for log in logs if log is not None]
+    return None if not logs else logs[0] if len(logs) == 1 else logs[0].unionByName(logs[1])
+
+
+def current_table(spark: SparkSession, paths: StreamPaths | list[StreamPaths], snapshot: DataFrame | None,
+                  mark: LogMark | list[LogMark] | None = None) -> DataFrame:
+    """case_report now: the complete changes folded over the snapshot.
+
+    `mark` is what `compact` returned with the snapshot; only the rest is
+    read, and the snapshot itself is the answer when there is no rest.  Several
+    roots (an intake query and an update query, say) fold together in the
+    order in which their batches completed."""
+    roots = paths if isinstance(paths, list) else [paths]
+    marks = mark if isinstance(mark, list) else [mark] * len(roots)
+    logs = [log for log in (read_change_log(spark, p, m) for p, m in zip(roots, marks, strict=True)) if log is not None]
+    if not logs:
+        return snapshot if snapshot is not None else empty_table(spark, CASE_REPORT)
+    log = logs[0]
+    for more in logs[1:]:
+        log = log.unionByName(more)
     return fold_changes(log, snapshot, CASE_REPORT)
 
 
-def next_batch_id(spark: SparkSession, paths: StreamPaths) -> int:
-    """One past the highest batch id in the logs, from the batch folders
-    (only the folder column is read, no change data)."""
-    tops = []
-    for folder in (paths.changes, paths.backfills):
-        try:
-            tops.append(spark.read.parquet(folder).agg(F.max("batch_id")).first()[0])
-        except AnalysisException:
-            continue
-    tops = [t for t in tops if t is not None]
-    return int(max(tops)) + 1 if tops else 0
+def _ids(spark: SparkSession, folder: str) -> DataFrame | None:
+    rows = _read(spark, folder)
+    return None if rows is None else rows.select(F.col("batch_id").cast("bigint")).distinct()
+
+
+def _top(ids: DataFrame | None) -> int:
+    top = None if ids is None else ids.agg(F.max("batch_id")).first()[0]
+    return -1 if top is None else int(top)
 
 
 def last_complete_batch(spark: SparkSession, paths: StreamPaths) -> int | None:
-    """Highest batch id whose writes all completed (from the done markers)."""
-    try:
-        top = (spark.read.parquet(paths.report).where(F.col("kind") == "done")
-               .agg(F.max("batch_id")).first()[0])
-    except AnalysisException:
-        return None
-    return None if top is None else int(top)
+    """Highest id of a complete stream batch."""
+    top = _top(_done(spark, paths.report))
+    return None if top < 0 else top
 
 
-def log_backfill(spark: SparkSession, paths: StreamPaths, ids: DataFrame, snapshot: DataFrame | None,
-                 profiles: DataFrame, columns: list[str], after_batch: int | None = None) -> DataFrame:
-    """Run a profile backfill against the current table and append its
-    changes to the log under the next batch id; returns the missing ids.
+def log_mark(spark: SparkSession, paths: StreamPaths) -> LogMark:
+    """What is complete now.  A query's batches complete one after the other;
+    backfills may not, so those begun and not complete are named."""
+    begun, done = _ids(spark, paths.backfill_report), _done(spark, paths.backfill_report)
+    without: tuple[int, ...] = ()
+    if begun is not None:
+        missing = begun if done is None else begun.join(done, "batch_id", "left_anti")
+        without = tuple(sorted(int(r[0]) for r in missing.collect()))  # one id per crashed or running backfill
+    return LogMark(_top(_done(spark, paths.report)), _top(begun), without)
+
 
-    Backfill changes rank after the stream's changes of the same batch id,
-    so a backfill applies after everything the log held when it ran.
+def log_backfill(spark: SparkSession, paths: StreamPaths, ids: DataFrame, snapshot: DataFrame | None,
+                 profiles: Profiles | None, columns: list[str], mark: LogMark | None = None,
+                 extracted: Profiles | None = None) -> DataFrame:
+    """Run a profile backfill against the current table and log its changes;
+    returns the missing ids.
+
+    Snapshot and log are reduced to the listed ids before they are folded,
+    and profiles to the phones found.  The backfill's id is claimed by a
+    `begun` report, which fails if another backfill claimed it; the `done`
+    report, written last, puts it in order.
     """
-    batch_id = next_batch_id(spark, paths)
-    cases = current_table(spark, paths, snapshot, after_batch)
-    changes, missing = backfill(ids, cases, profiles, columns, batch_id=batch_id)
+    ids = ids.select(CASE_REPORT.keys[0]).distinct()
+    listed = lambda df: None if df is None else df.join(ids, CASE_REPORT.keys[0], "left_semi")
+    log = listed(read_change_log(spark, paths, mark))
+    mine = listed(snapshot)
+    cases = mine if log is None else fold_changes(log, mine, CASE_REPORT)
+    if cases is None:
+        cases = empty_table(spark, CASE_REPORT)
+    batch_id = _top(_ids(spark, paths.backfill_report)) + 1
+    _write_batch(_marker(spark, "begun"), paths.backfill_report, batch_id, mode="errorifexists")
+    changes, missing = backfill(ids, cases, _now(profiles, spark), columns, batch_id=batch_id, extracted=_now(extracted, spark))
     _write_batch(changes, paths.backfills, batch_id)
-    empty_q = spark.createDataFrame([], "reason string, value string, topic string, partition int, offset bigint")
-    empty_p = spark.createDataFrame([], "groupid string, topic string, kafka_partition int, kafka_offset bigint")
-    _finish_batch(spark, paths, batch_id, empty_q, empty_p)
+    _write_batch(_marker(spark, "done"), paths.backfill_report, batch_id)
     return missing
 
 
 def read_quarantine(spark: SparkSession, paths: StreamPaths) -> DataFrame | None:
     """Quarantined messages of all batches (reason, raw value, position)."""
-    try:
-        report = spark.read.parquet(paths.report)
-    except AnalysisException:
+    report = _read(spark, paths.report)
+    if report is None:
         return None
     return report.where(F.col("kind") == "quarantine").select(
         "reason", "value", "topic", "partition", "offset", "batch_id")
 
 
-def current_history(spark: SparkSession, paths: StreamPaths, snapshot: DataFrame | None) -> DataFrame | None:
-    """case_history now (streams started with `write_history`)."""
-    log = read_change_log(spark, paths.history)
-    if log is None:
-        return snapshot
-    return fold_changes(log, snapshot, CASE_HISTORY)
+def current_history(spark: SparkSession, paths: StreamPaths, snapshot: DataFrame | None,
+                    after_batch: int = -1) -> DataFrame | None:
+    """case_history now (streams started with `write_history`): complete
+    batches after `after_batch` folded over the snapshot."""
+    log = _whole(spark, paths.history, paths.report, lambda b: b > after_batch)
+    return snapshot if log is None else fold_changes(log.drop("batch_id"), snapshot, CASE_HISTORY)
 
 
 def current_ledger(spark: SparkSession, paths: StreamPaths) -> DataFrame | None:
     """The offset ledger now: per (group, topic, partition) the position
     written by the latest batch."""
-    try:
-        report = spark.read.parquet(paths.report)
-    except AnalysisException:
+    report = _read(spark, paths.report)
+    if report is None:
         return None
     entries = report.where(F.col("kind") == "position").select(
         "groupid", "topic", F.col("partition").alias("kafka_partition"), "kafka_offset", "batch_id")
@@ -345,32 +419,37 @@ def current_ledger(spark: SparkSession, paths: StreamPaths) -> DataFrame | None:
 
 def compact(spark: SparkSession, paths: StreamPaths, snapshot: DataFrame | None, out: str,
             buckets: int | None = None, table_name: str | None = None,
-            after_batch: int | None = None) -> tuple[DataFrame, int | None]:
-    """Fold the log into a new snapshot; returns (snapshot, last batch it holds).
+            mark: LogMark | None = None) -> tuple[DataFrame, LogMark]:
+    """Fold the complete log into a new snapshot; returns it with the mark of
+    what it holds, to be passed to `current_table` from then on.
 
     `out` must be a new folder (version it, e.g. `snapshot-v2`): the old
-    snapshot is read while the new one is written, so overwriting it in place
-    would destroy the input.
-
-    Only batches whose writes completed when compaction starts are folded
-    (their reports exist), so a stream writing concurrently loses nothing: pass the returned
-    batch id as `after_batch` to `current_table` from then on, and only newer
-    batch folders are read.  The write cuts the lineage of the log.  With
-    `buckets` (and a `table_name` for the catalog) the snapshot is stored
-    bucketed and sorted by the key, so the next fold joins it without
-    shuffling the snapshot side.
+    snapshot is read while the new one is written.  Batches and backfills that
+    complete meanwhile are not held and stay in the log.  The write cuts the
+    lineage of the log.  With `buckets` the snapshot is stored bucketed and
+    sorted by the key, under `table_name` and a fresh suffix, so the next fold
+    joins it without shuffling the snapshot side.
     """
-    upto = last_complete_batch(spark, paths)  # a batch still writing is left for later
-    folded = current_table(spark, paths, snapshot, after_batch, upto) if upto is not None else snapshot
-    if buckets is None:
-        folded.write.mode("overwrite").parquet(out)
-        result = spark.read.parquet(out)
+    held, before = log_mark(spark, paths), mark or LogMark()
+    taken = lambda b, top, without: (b <= top) & ~b.isin(*without) if without else b <= top
+    logs = [
+        _whole(spark, paths.changes, paths.report, lambda b: (b > before.stream) & (b <= held.stream)),
+        _whole(spark, paths.backfills, paths.backfill_report, lambda b: ((b > before.backfills) | b.isin(*before.without))
+               & taken(b, held.backfills, held.without)),
+    ]
+    logs = [log.drop("batch_id") for log in logs if log is not None]
+    if logs:
+        log = logs[0] if len(logs) == 1 else logs[0].unionByName(logs[1])
+        folded = fold_changes(log, snapshot, CASE_REPORT)
     else:
-        name = table_name or "case_report_snapshot"
-        (folded.write.mode("overwrite").option("path", out).format("parquet")
-         .bucketBy(buckets, *CASE_REPORT.keys).sortBy(*CASE_REPORT.keys).saveAsTable(name))
-        result = spark.table(name)
-    return result, (upto if upto is not None else after_batch)
+        folded = snapshot if snapshot is not None else empty_table(spark, CASE_REPORT)
+    if buckets is None:
+        folded.write.mode("errorifexists").parquet(out)
+        return spark.read.parquet(out), held
+    name = f"{table_name or 'case_report_snapshot'}_{uuid.uuid4().hex[:12]}"
+    (folded.write.mode("errorifexists").option("path", out).format("parquet")
+     .bucketBy(buckets, *CASE_REPORT.keys).sortBy(*CASE_REPORT.keys).saveAsTable(name))
+    return spark.table(name), held
 
 
 def stage_source(spark: SparkSession, messages: DataFrame, folder: str, files: int = 4,
@@ -382,34 +461,56 @@ def stage_source(spark: SparkSession, messages: DataFrame, folder: str, files: i
      .repartition(files, by).write.mode("overwrite").parquet(folder))
 
 
+def slices(messages: DataFrame, n: int) -> list[DataFrame]:
+    """`messages` in `n` parts of ascending offsets."""
+    top = messages.agg(F.max("offset")).first()[0]
+    part = F.floor(F.col("offset") * n / F.lit((0 if top is None else int(top)) + 1))
+    return [messages.where(part == k) for k in range(n)]
+
+
+class Replay:
+    """A file source of Kafka-shaped rows and the stream over it: `feed`
+    appends messages, written by as many tasks as they come in, and runs the
+    query from its checkpoint until they are processed, in one micro-batch."""
+
+    def __init__(self, spark: SparkSession, kind: str, paths: StreamPaths, as_of: str | None = None, group: str | None = None,
+                 extracted: Profiles | None = None, intake_topic: str | None = None, update_topic: str | None = None):
+        self.spark, self.kind, self.paths, self.as_of = spark, kind, paths, as_of
+        self.group, self.extracted = group or f"case_{kind}", extracted
+        self.topics = (intake_topic, update_topic)
+
+    def feed(self, messages: DataFrame) -> None:
+        src = f"{self.paths.root}/source"
+        messages.select(*[F.col(f.name).cast(f.dataType) for f in KAFKA_SCHEMA.fields]).write.mode("append").parquet(src)
+        source = self.spark.readStream.schema(KAFKA_SCHEMA).parquet(src)
+        trigger = {"availableNow": True}
+        if self.kind == "cases":
+            q = start_case_stream(source, None, self.paths, self.group, *self.topics, self.as_of, trigger=trigger, extracted=self.extracted)
+        elif self.kind == "intake":
+            q = start_intake_stream(source, None, self.paths, self.group, self.as_of, trigger=trigger, extracted=self.extracted)
+        else:
+            q = start_update_stream(source, self.paths, self.group, self.as_of, trigger=trigger)
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise RuntimeError(str(q.exception()))
+
+
+def stored_summary(spark: SparkSession, profiles: DataFrame, folder: str) -> Callable[[SparkSession], DataFrame]:
+    """Write the per-phone profile summary and return its reader."""
+    extract_profile(profiles).write.mode("errorifexists").parquet(folder)
+    return lambda s: s.read.parquet(folder)
+
+
 def run_stream_to_table(spark: SparkSession, kind: str, messages: DataFrame, snapshot: DataFrame | None,
                         profiles: DataFrame | None = None, as_of: str | None = None,
-                        group: str | None = None, files: int = 4, intake_topic: str | None = None,
+                        group: str | None = None, batches: int = 3, intake_topic: str | None = None,
                         update_topic: str | None = None) -> DataFrame:
-    """Stage `messages` as a file source, run the stream to completion
-    (availableNow, one file per micro-batch) and return the folded table."""
+    """Feed `messages` to the stream in `batches` micro-batches of ascending
+    offsets, so that the messages of one key span them, and return the folded
+    table.  The query is restarted from its checkpoint for each."""
     paths = StreamPaths(scratch_path(spark, f"stream-{kind}"))
-    src = f"{paths.root}/source"
-    # per key, both topics' messages share a file (so a micro-batch), as one
-    # Kafka key lands in one partition
-    stage_source(spark, messages, src, files, by="key" if kind == "cases" else "partition")
-    source = spark.readStream.schema(KAFKA_SCHEMA).option("maxFilesPerTrigger", 1).parquet(src)
-    extracted = None
-    if profiles is not None:
-        # the recommended layout: a stored per-phone profile summary, built once
-        # by a batch job, not profile documents parsed in every micro-batch
-        extract_profile(profiles).write.mode("overwrite").parquet(f"{paths.root}/profile_summary")
-        extracted = spark.read.parquet(f"{paths.root}/profile_summary")
-    group = group or f"case_{kind}"
-    trigger = {"availableNow": True}
-    if kind == "cases":
-        q = start_case_stream(source, None, paths, group, intake_topic, update_topic, as_of, trigger=trigger,
-                              extracted=extracted)
-    elif kind == "intake":
-        q = start_intake_stream(source, None, paths, group, as_of, trigger=trigger, extracted=extracted)
-    else:
-        q = start_update_stream(source, paths, group, as_of, trigger=trigger)
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
+    extracted = None if profiles is None else stored_summary(spark, profiles, f"{paths.root}/profile_summary")
+    replay = Replay(spark, kind, paths, as_of, group, extracted, intake_topic, update_topic)
+    for part in slices(messages, batches):
+        replay.feed(part)
     return current_table(spark, paths, snapshot)

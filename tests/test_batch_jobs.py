@@ -72,7 +72,7 @@ def test_jdbc_round_trip_embedded_derby(spark):
 
 def test_recommended_conf_scales_with_input():
     from casemill.session import recommended_conf
-    assert recommended_conf(100 << 40)["spark.sql.shuffle.partitions"] == "200000"
+    assert recommended_conf(100 << 40)["spark.sql.shuffle.partitions"] == "409600"
     assert recommended_conf(1 << 40)["spark.sql.shuffle.partitions"] == "4096"
     assert recommended_conf(1 << 20)["spark.sql.shuffle.partitions"] == "8"
     assert recommended_conf(1)["spark.sql.adaptive.enabled"] == "true"

@@ -57,17 +57,37 @@ def test_documents_of_one_phone_are_read_in_order(spark):
         ("1", 1, doc(contacts=[("x", "3"), ("y", "2")], cell=[("address", "first")])),
         ("1", 3, "{bad"),
     ]
-    got = extract(spark, rows, salt_buckets=2)["1"]
+    got = extract(spark, rows)["1"]
     assert got["address_detail"] == "first"
     assert got["call_record_top_ten"] == "late,x,y"
     assert got["profile_status"] == "ok"
 
 
+def test_peers_of_several_documents_are_added_up(spark):
+    rows = [("1", i, doc(contacts=[("a", "3"), ("b", str(10 - i)), ("c", "x"), ("b", "1")])) for i in range(4)]
+    rows += [("2", 0, ""), ("2", 1, doc(contacts=[("z", "x")]))]
+    got = extract(spark, rows)
+    assert got["1"]["call_record_top_ten"] == "b,a,c" and got["2"]["call_record_top_ten"] == "z"
+    # without a `part` column too, and whatever the blocks of documents are
+    bare = spark.createDataFrame([(p, d) for p, _, d in rows], "phone string, doc string")
+    assert by_key(extract_profile(bare), "phone")["1"]["call_record_top_ten"] == "b,a,c"
+
+
+def test_columns_decide_the_work(spark):
+    df = spark.createDataFrame([("1", 0, doc(cell=[("address", "A")]))], "phone string, part long, doc string")
+    only = extract_profile(df, columns=["address_detail"])
+    assert [tuple(r) for r in only.collect()] == [("1", "A")]
+    plan = only._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan and "Window" not in plan
+    full = extract_profile(df)._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in full
+
+
 def test_hot_phone_many_documents(spark):
     # one phone with 400 documents: the merge never needs them in one group
     rows = [("hot", i, doc(contacts=[(f"q{i:03d}", str(i % 37))], cell=[("address", f"a{i}")]))
             for i in range(400)]
-    got = extract(spark, rows, salt_buckets=8)["hot"]
+    got = extract(spark, rows)["hot"]
     expected = sorted(((i % 37, f"q{i:03d}") for i in range(400)), key=lambda t: (-t[0], t[1]))[:10]
     assert got["call_record_top_ten"] == ",".join(p for _, p in expected)
     assert got["address_detail"] == "a0"

@@ -44,7 +44,7 @@ def test_hot_key_and_hot_phone(spark):
         spark.conf.set(k, v)
     try:
         valid, _ = parse_cases(messages(spark))
-        ex = extract_profile(profiles(spark), salt_buckets=8)
+        ex = extract_profile(profiles(spark))
         enriched = enrich_cases(valid, ex, "2024-06-30")
         assert enriched.count() == N  # no case dropped or multiplied
         hot = enriched.where(F.col("mobile") == "p-hot").select("address", "callRecordTopTen").distinct().collect()

@@ -12,16 +12,19 @@ from casemill.operators.merge import history_merge
 from casemill.operators.parse import parse_cases
 from casemill.operators.profile import enrich_cases, extract_profile
 from casemill.streaming.drivers import (
+    LogMark,
     StreamPaths,
     compact,
     current_history,
-    next_batch_id,
     current_ledger,
     current_table,
+    last_complete_batch,
     stage_source,
     start_intake_stream,
     start_update_stream,
 )
+from casemill.streaming import drivers
+from casemill.streaming.drivers import Replay, log_backfill
 from conftest import SF_SMALL
 
 AS_OF = "2024-06-30"
@@ -59,11 +62,11 @@ def test_intake_stream_equals_batch_and_replays(spark):
     assert rows(hist) == rows(history_merge(None, enrich_cases(parse_cases(msgs)[0], extract_profile(profiles), AS_OF)))
 
     # compaction: the folded table becomes a snapshot in the shared folder
-    compacted, upto = compact(spark, paths, snap, paths.root + "/snapshot")
+    compacted, mark = compact(spark, paths, snap, paths.root + "/snapshot")
     assert rows(compacted) == expected
-    assert upto == next_batch_id(spark, paths) - 1  # every batch completed
-    # after compaction only newer batches are read (none yet): the snapshot is the table
-    assert rows(current_table(spark, paths, compacted, after_batch=upto)) == expected
+    assert mark == LogMark(last_complete_batch(spark, paths), -1, ())  # every batch completed
+    # after compaction only newer batches are read; there are none, so the snapshot is the table
+    assert current_table(spark, paths, compacted, mark) is compacted
     # folding the whole log again over the compacted snapshot changes nothing (idempotent)
     assert rows(current_table(spark, paths, compacted)) == expected
 
@@ -102,7 +105,7 @@ def test_combined_stream_then_logged_backfill(spark):
     from casemill.operators.backfill import apply_backfill, normalize_ids
     from casemill.operators.merge import case_changes, update_changes
     from casemill.operators.parse import parse_updates
-    from casemill.streaming.drivers import log_backfill, next_batch_id, start_case_stream
+    from casemill.streaming.drivers import log_backfill, log_mark, start_case_stream
 
     intake, updates = D.case_messages(spark, SF_SMALL), D.update_messages(spark, SF_SMALL)
     profiles, snap = D.profiles(spark, SF_SMALL), D.existing_cases(spark, SF_SMALL)
@@ -133,12 +136,11 @@ def test_combined_stream_then_logged_backfill(spark):
     assert rows(current_table(spark, paths, snap)) == rows(batch)
 
     ids = normalize_ids(D.id_lines(spark, SF_SMALL))
-    assert next_batch_id(spark, paths) == 1
     missing = log_backfill(spark, paths, ids, snap, profiles, ["address_detail", "call_record_top_ten"])
     assert missing.count() > 0
     expected = apply_backfill(ids, batch, profiles, ["address_detail", "call_record_top_ten"])
     assert rows(current_table(spark, paths, snap)) == rows(expected)
-    assert next_batch_id(spark, paths) == 2
+    assert log_mark(spark, paths) == LogMark(0, 0, ())
 
 
 def test_intake_stream_from_precomputed_profile_summary(spark):
@@ -156,3 +158,98 @@ def test_intake_stream_from_precomputed_profile_summary(spark):
     assert q.exception() is None
     batch = fold_changes(intake_batch(msgs, profiles, AS_OF).changes, snap)
     assert rows(current_table(spark, paths, snap)) == rows(batch)
+
+
+# -- the log: nothing is lost and the order is that of completion ------------
+
+COLS = ["overdue_id", "name", "address_detail"]
+
+
+def message(k, name, offset, phone="p1"):
+    return (None, f'{{"overdueId": "{k}", "mobile": "{phone}", "name": "{name}"}}', "t", 0, offset, None)
+
+
+def feed(spark, replay, *msgs):
+    replay.feed(spark.createDataFrame(list(msgs), KAFKA_SCHEMA))
+
+
+def make(spark, name):
+    paths = StreamPaths(scratch_path(spark, name))
+    prof = paths.root + "/profiles"
+    write_profile(spark, prof, "p1", "old")
+    return paths, prof, Replay(spark, "intake", paths, AS_OF, extracted=lambda s: extract_profile(s.read.parquet(prof)))
+
+
+def write_profile(spark, folder, phone, address):
+    doc = f'{{"mxReport": {{"cell_phone": [{{"key": "address", "value": "{address}"}}]}}}}'
+    spark.createDataFrame([(phone, 0, doc)], "phone string, part long, doc string").write.mode("append").parquet(folder)
+
+
+def table(spark, paths, snap=None, mark=None):
+    return {r[0]: (r[1], r[2]) for r in current_table(spark, paths, snap, mark).select(*COLS).collect()}
+
+
+def fill(spark, paths, address, snap=None, mark=None):
+    doc = f'{{"mxReport": {{"cell_phone": [{{"key": "address", "value": "{address}"}}]}}}}'
+    prof = spark.createDataFrame([("p1", 0, doc)], "phone string, part long, doc string")
+    ids = spark.createDataFrame([("k1",), ("nobody",)], "overdue_id string")
+    return [r[0] for r in log_backfill(spark, paths, ids, snap, prof, ["address_detail"], mark).collect()]
+
+
+def test_batches_after_a_backfill_and_a_compaction_are_kept(spark):
+    paths, prof, replay = make(spark, "test-log")
+    feed(spark, replay, message("k1", "first", 0))
+    assert fill(spark, paths, "filled") == ["nobody"]
+    assert table(spark, paths) == {"k1": ("first", "filled")}
+    snap, mark = compact(spark, paths, None, paths.root + "/s1", buckets=2, table_name="t_log")
+    write_profile(spark, prof, "p2", "new")  # read by the running stream
+    feed(spark, replay, message("k1", "second", 1), message("k2", "x", 2, "p2"))
+    assert table(spark, paths, snap, mark) == {"k1": ("second", "old"), "k2": ("x", "new")}
+    assert fill(spark, paths, "again", snap, mark) == ["nobody"]
+    # a second bucketed compaction over the first, and a read of it
+    snap, mark = compact(spark, paths, snap, paths.root + "/s2", buckets=2, table_name="t_log", mark=mark)
+    assert table(spark, paths, snap, mark) == {"k1": ("second", "again"), "k2": ("x", "new")}
+    feed(spark, replay, message("k1", "third", 3))
+    assert table(spark, paths, snap, mark)["k1"] == ("third", "old")
+
+
+def test_crashed_backfill_and_replaying_batch_do_not_exist(spark):
+    paths, _, replay = make(spark, "test-crash")
+    feed(spark, replay, message("k1", "first", 0))
+    fill(spark, paths, "filled")
+    drivers._write_batch(drivers._marker(spark, "begun"), paths.backfill_report, 0)  # as if it had not completed
+    assert table(spark, paths) == {"k1": ("first", "old")}
+    snap, mark = compact(spark, paths, None, paths.root + "/s1")
+    assert mark == LogMark(0, 0, (0,))
+    drivers._write_batch(drivers._marker(spark, "done"), paths.backfill_report, 0)  # it completes after all
+    assert table(spark, paths, snap, mark) == {"k1": ("first", "filled")}
+    feed(spark, replay, message("k1", "second", 1))
+    drivers._begin_batch(spark, paths, 1)  # a replay of batch 1 has begun
+    assert table(spark, paths, snap, mark) == {"k1": ("first", "filled")}
+
+
+def test_several_roots_fold_in_order_of_completion(spark):
+    a, _, one = make(spark, "test-root-a")
+    b, _, two = make(spark, "test-root-b")
+    feed(spark, one, message("k1", "a0", 100))
+    feed(spark, two, message("k1", "b0", 0), message("k2", "b0", 1))
+    assert {k: v[0] for k, v in table(spark, [a, b]).items()} == {"k1": "b0", "k2": "b0"}
+    feed(spark, one, message("k1", "a1", 101))
+    assert {k: v[0] for k, v in table(spark, [a, b]).items()} == {"k1": "a1", "k2": "b0"}
+
+
+def test_empty_log_and_unknown_topics(spark):
+    paths = StreamPaths(scratch_path(spark, "test-empty"))
+    assert current_table(spark, paths, None).count() == 0
+    snap, mark = compact(spark, paths, None, paths.root + "/s")
+    assert snap.count() == 0 and mark == LogMark()
+    replay = Replay(spark, "cases", paths, AS_OF, extracted=lambda s: extract_profile(
+        s.createDataFrame([], "phone string, part long, doc string")), intake_topic="t", update_topic="u")
+    odd = (None, "{}", "else", 0, 7, None)
+    feed(spark, replay, message("k1", "n", 0), odd, (None, "x", None, 0, 8, None))
+    q = drivers.read_quarantine(spark, paths).collect()
+    assert sorted((r.reason, r.offset) for r in q) == [("unknown_topic", 7), ("unknown_topic", 8)]
+    # an empty batch writes nothing
+    handle = drivers._handler("intake", paths, "g", AS_OF, None, True)
+    handle(spark.createDataFrame([], KAFKA_SCHEMA), 99)
+    assert last_complete_batch(spark, paths) == 0
