@@ -22,7 +22,7 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "warc")
     warc.convert_to_files(warc.export_arc(read_table(spark, sf_dir, "pages")), path)
     return warc.read_warc(spark, path).select(
-        F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to", F.col("uri").alias("url"), "rec_id")
+        F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 # The rules of the URL filter, as (host, path, allow).
@@ -86,4 +86,40 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_decontamination": op10_decontamination,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+# Five hexadecimal digits are four base-32 letters.
+_LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+_BASE32 = " || ".join(
+    f"substr('{_LETTERS}', 1 + ((CAST('0x' || substr(h, {5 * k + 1}, 5) AS INTEGER) >> {shift}) & 31), 1)"
+    for k in range(8) for shift in (15, 10, 5, 0))
+
+OP1_SQL = f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+d AS (SELECT page_id, body, sha1(body) AS h, max(page_id) OVER (PARTITION BY body) AS first FROM p)
+SELECT page_id, CAST(octet_length(encode(body)) AS BIGINT) AS payload_bytes, {_BASE32} AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to
+FROM d"""
+
+_WORD = r"[^\x20\x09-\x0D]+"
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+# Pairs are counted on distinct sets, so that copies do not multiply.
+OP5_SQL = f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '{_WORD}') AS w FROM documents),
+s AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_sort(list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')))) END AS sh
+  FROM w),
+n AS (SELECT min(doc_id) AS node, sh, len(sh) AS n FROM s WHERE len(sh) > 0 GROUP BY sh),
+x AS (SELECT node, n, unnest(sh) AS g FROM n),
+l AS (
+  SELECT a.node AS a, b.node AS b FROM x a JOIN x b ON a.g = b.g AND a.node <> b.node
+  GROUP BY a.node, b.node, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+r AS (SELECT node, node AS seen FROM n UNION SELECT r.node, l.b FROM r JOIN l ON l.a = r.seen),
+c AS (SELECT node, min(seen) AS root FROM r GROUP BY node)
+SELECT s.doc_id, CAST(len(s.sh) AS BIGINT) AS n_shingles, coalesce(c.root, s.doc_id) AS component_id,
+  s.doc_id = coalesce(c.root, s.doc_id) AS kept
+FROM s LEFT JOIN n ON n.sh = s.sh LEFT JOIN c ON c.node = n.node"""
+
+ORACLE_SQL: dict[str, str] = {"op1_warc": OP1_SQL, "op5_near_duplicates": OP5_SQL}
