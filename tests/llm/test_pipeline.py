@@ -1,0 +1,65 @@
+import corpus_pipeline
+import numpy as np
+from casemill.llm import decontam, mixing, quality
+from casemill.llm.common import cut
+from casemill.llm.queries import tokenizer
+from test_decontam import brute_tile
+from test_minhash import brute as brute_groups
+from test_token_blocks import expected as expected_index
+
+SF = "/root/testdata/sf0.01"
+
+
+def test_stages_equal_brute_force(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    names = [n for n, _ in corpus_pipeline.STAGES]
+    assert names == ["quality_rules", "near_dedup", "decontaminate", "mix", "token_files"]
+    steps = dict(corpus_pipeline.STAGES)
+    text = {r.doc_id: r.text for r in docs.collect()}
+
+    good = cut(steps["quality_rules"](spark, docs, SF), "t-good")
+    judged, _ = quality.judge(docs, spark.read.parquet(f"{SF}/labels.parquet"))
+    kept = {r.doc_id for r in judged.where("kept").collect()}
+    assert good.columns == docs.columns and {r.doc_id for r in good.collect()} == kept
+
+    single = cut(steps["near_dedup"](spark, good, SF), "t-single")
+    groups = brute_groups([(i, text[i]) for i in sorted(kept)], 80)
+    kept = {i for i, _, _, stays in groups if stays}
+    assert single.columns == docs.columns and sorted(r.doc_id for r in single.collect()) == sorted(kept)
+
+    clean = cut(steps["decontaminate"](spark, single, SF), "t-clean")
+    items = [decontam.words_of(r.text.encode()) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    grams = [{tuple(w[i:i + 5]) for i in range(len(w) - 4)} for w in items]
+
+    def leaked(t):
+        w = decontam.words_of(t.encode())
+        mine = {tuple(w[i:i + 5]): i for i in range(len(w) - 4)}
+        for item, g in zip(items, grams):
+            at = [mine[x] for x in g if x in mine]
+            if at and brute_tile(w[max(0, min(at) - 80):max(at) + 80], item, 5) >= 0.5 * len(item):
+                return True
+        return False
+
+    kept = {i for i in kept if not leaked(text[i])}
+    assert clean.columns == docs.columns and {r.doc_id for r in clean.collect()} == kept
+
+    mixed = cut(steps["mix"](spark, clean, SF), "t-mixed")
+    plan = mixing.per_document(mixing.plan_mix(clean)).collect()
+    times = {r.doc_id: r.taken // r.size for r in plan if r.size}
+    got = [r.doc_id for r in mixed.select("doc_id").collect()]
+    assert mixed.columns == docs.columns and sorted(got) == sorted(i for i, n in times.items() for _ in range(n))
+    for target in {(r.source_size, r.target) for r in plan}:
+        mine = [r for r in plan if (r.source_size, r.target) == target]
+        assert abs(sum(r.taken for r in mine) - target[1]) <= max(r.size for r in mine)
+
+    index = steps["token_files"](spark, mixed, SF).collect()
+    want = expected_index([(i, text[i]) for i in got])
+    assert sorted(tuple(r) for r in index) == sorted(want)
+    assert np.sum([r.n_tokens for r in index]) > 0 and tokenizer("word_bpe_49k.json")
+
+
+def test_empty_documents(spark, docs, tmp_path):
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{SF}/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
+    docs().write.parquet(f"{tmp_path}/documents.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
