@@ -2,18 +2,14 @@
 
 from casemill.functions.columns import (
     as_of_date,
-    constant,
     first_value_for_key,
     join_or_default,
     message_class,
-    top_contacts,
 )
 
 __all__ = [
     "as_of_date",
-    "constant",
     "first_value_for_key",
     "join_or_default",
     "message_class",
-    "top_contacts",
 ]

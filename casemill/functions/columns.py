@@ -9,12 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from casemill.schemas import CONSTANTS, CORRUPT_COLUMN, DATE_FORMAT, UNKNOWN
-
-
-def constant(name: str) -> Column:
-    """A named fixed value from `CONSTANTS` as a string literal."""
-    return F.lit(CONSTANTS[name])
+from casemill.schemas import CORRUPT_COLUMN, DATE_FORMAT, UNKNOWN
 
 
 def as_of_date(as_of: str | None) -> Column:
@@ -53,36 +48,6 @@ def first_value_for_key(entries: Column, key: str) -> Column:
     return F.get(hit, 0)["value"]
 
 
-def top_contacts(contacts: Column, k: int) -> Column:
-    """The `k` most-called peers of one contact array.
-
-    Order: call count descending (counts that are not whole numbers sort
-    last), then peer number ascending.  Result: array<struct<cnt, peer>>.
-    """
-    keyed = F.transform(
-        contacts,
-        lambda c: F.struct(
-            c["call_cnt_6m"].try_cast("bigint").alias("cnt"),
-            c["peer_num"].alias("peer"),
-        ),
-    )
-    ordered = F.array_sort(
-        keyed,
-        lambda a, b: F.when(a["cnt"].isNull() & b["cnt"].isNull(), F.lit(0))
-        .when(a["cnt"].isNull(), F.lit(1))
-        .when(b["cnt"].isNull(), F.lit(-1))
-        .when(a["cnt"] > b["cnt"], F.lit(-1))
-        .when(a["cnt"] < b["cnt"], F.lit(1))
-        .when(a["peer"].isNull() & b["peer"].isNull(), F.lit(0))
-        .when(a["peer"].isNull(), F.lit(1))
-        .when(b["peer"].isNull(), F.lit(-1))
-        .when(a["peer"] < b["peer"], F.lit(-1))
-        .when(a["peer"] > b["peer"], F.lit(1))
-        .otherwise(F.lit(0)),
-    )
-    return F.slice(ordered, 1, k)
-
-
 def join_or_default(values: Column, sep: str = ",") -> Column:
     """Comma-joined list, or the UNKNOWN text when the list is NULL or empty.
 

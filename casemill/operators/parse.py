@@ -8,7 +8,7 @@ needs both should persist the classified frame (the stream driver does).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,6 +34,15 @@ def _text_value(messages: DataFrame) -> DataFrame:
     return messages
 
 
+def _as_sent(field: str) -> Column:
+    """A field with a number's digits as the message has them (`1.50`): the
+    last number behind the field's name that equals the parsed value."""
+    parsed = F.col("_m")[field]
+    sent = F.regexp_extract_all(F.col("value"), F.lit(f'"{field}"\\s*:\\s*(-?[0-9][0-9eE.+-]*)'), F.lit(1))
+    same = F.filter(sent, lambda x: x.try_cast("double") == parsed.try_cast("double"))
+    return F.coalesce(F.when(F.col("_n"), F.try_element_at(same, F.lit(-1))), parsed)
+
+
 def classify(
     messages: DataFrame,
     schema: T.StructType,
@@ -57,26 +66,19 @@ def classify(
     exact = [f for f in (EXACT_FIELDS if exact_fields is None else exact_fields) if f in fields]
     parts = [parsed.alias("_m")]
     if exact:
-        # the second (variant) parse only runs when an exact field carries a
-        # JSON number; amounts sent as strings are already exact
+        # amounts sent as strings are exact already; digits are only looked up
+        # in messages where an exact field carries a JSON number
         number = '"(' + "|".join(exact) + ')"\\s*:\\s*-?[0-9]'
-        variant = F.when(F.col("value").rlike(number), F.try_parse_json(F.col("value")))
-        parts.append(variant.alias("_v"))
+        parts.append(F.col("value").rlike(number).alias("_n"))
     # The parse is produced by a one-row generator: predicates on its result
     # (the quarantine split) cannot be pushed below a Generate, so every
     # message is parsed exactly once instead of once per reference.
     df = messages.select(F.col("value"), *meta, F.inline(F.array(F.struct(*parts))))
-    cols = []
-    for f in fields:
-        q = "`" + f + "`"
-        if f in exact:
-            cols.append(f"coalesce(try_variant_get(_v, '$.{f}', 'string'), _m.{q}) AS {q}")
-        else:
-            cols.append(f"_m.{q} AS {q}")
+    cols = [(_as_sent(f) if f in exact else F.col("_m")[f]).alias(f) for f in fields]
     phone = F.col("_m")[phone_field] if phone_field else None
     key = F.col("_m")[key_field] if key_field else None
     reason = message_class(F.col("value"), F.col("_m"), phone, key)
-    return df.select(*[F.expr(c) for c in cols], *meta, F.col("value"), reason.alias(REASON))
+    return df.select(*cols, *meta, F.col("value"), reason.alias(REASON))
 
 
 def split(classified: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casemill.operators.merge import CASE_REPORT
+from casemill.schemas import CASE_FIELDS, UPDATE_FIELDS
 from casemill.sources.tables import read_table
 
 INTAKE_TOPIC = "case_increment"
@@ -34,22 +35,29 @@ def case_id(custkey: F.Column) -> F.Column:
     return F.when(custkey % 5 == 0, F.concat(F.lit("N"), _s(custkey))).otherwise(_s(custkey))
 
 
+def _filler(fields: list[str], given: dict[str, F.Column], key: F.Column) -> F.Column:
+    """A record of all `fields`: the given ones, and in the others their name
+    with the key's remainder by the length of the name plus three."""
+    rest = lambda f: F.concat(F.lit(f"{f}-"), _s(key % (len(f) + 3)))
+    return F.struct(*[given.get(f, rest(f)).alias(f) for f in fields])
+
+
 def case_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D1: Kafka-shaped case messages from orders x customer."""
     o = read_table(spark, sf_dir, "orders")
     c = read_table(spark, sf_dir, "customer")
     d = o.join(c, o["o_custkey"] == c["c_custkey"])
     mobile = F.when(F.col("o_orderkey") % 37 == 0, F.lit(None).cast("string")).otherwise(_s(F.col("o_custkey") % 200))
-    rec = F.struct(
-        case_id(F.col("o_custkey")).alias("overdueId"),
-        mobile.alias("mobile"),
-        F.col("c_name").alias("name"),
-        F.col("o_orderpriority").alias("productName"),
-        F.col("o_orderstatus").alias("status"),
-        F.col("c_mktsegment").alias("address2"),
-        F.date_format(F.col("o_orderdate"), "yyyy-MM-dd").alias("loanDate"),
-        _s(F.col("o_orderkey")).alias("seqNo"),
-    )
+    rec = _filler(CASE_FIELDS, {
+        "overdueId": case_id(F.col("o_custkey")),
+        "mobile": mobile,
+        "name": F.col("c_name"),
+        "productName": F.col("o_orderpriority"),
+        "status": F.col("o_orderstatus"),
+        "address2": F.col("c_mktsegment"),
+        "loanDate": F.date_format(F.col("o_orderdate"), "yyyy-MM-dd"),
+        "seqNo": _s(F.col("o_orderkey")),
+    }, F.col("o_orderkey"))
     value = (F.when(F.col("o_orderkey") % 50 == 0, F.lit("not json"))
              .when(F.col("o_orderkey") % 50 == 1, F.lit(""))
              .otherwise(F.to_json(rec)))
@@ -70,13 +78,13 @@ def update_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     status = (F.when(F.col("event_type") == "purchase", F.lit("CLOSE"))
               .when(F.col("event_type") == "error", F.lit(None).cast("string"))
               .otherwise(F.col("event_type")))
-    rec = F.struct(
-        mobile.alias("mobile"),
-        _s(F.col("event_id") % 90).alias("overdueDays"),
-        _s(F.col("user_id")).alias("overdueId"),
-        _s(F.col("event_id")).alias("seqNo"),
-        status.alias("status"),
-    )
+    rec = _filler(UPDATE_FIELDS, {
+        "mobile": mobile,
+        "overdueDays": _s(F.col("event_id") % 90),
+        "overdueId": _s(F.col("user_id")),
+        "seqNo": _s(F.col("event_id")),
+        "status": status,
+    }, F.col("event_id"))
     return e.select(
         _s(F.col("user_id")).alias("key"),
         F.to_json(rec).alias("value"),

@@ -1,23 +1,72 @@
 """DuckDB SQL stating the answer of every catalogue query from the base tables.
 
 The SQL derives each answer directly from `orders`, `customer` and `events`
-(not from the JSON the Spark side parses), so the two sides are independent.
+(not from the JSON the Spark side parses) and states the field lists and column
+mappings itself, so the two sides are independent.
 Helpers below only assemble long, repetitive select lists.
 """
 
 from __future__ import annotations
 
-from casemill.schemas import (
-    CASE_FIELDS,
-    CASE_HISTORY_COLUMNS,
-    CASE_REPORT_COLUMNS,
-    CASE_REPORT_MAPPING,
-    CLOSE_UPDATE_SET,
-    CONSTANTS,
-    NORMAL_UPDATE_SET,
-    UNKNOWN,
-    UPDATE_FIELDS,
-)
+# The record's fields, the tables' columns and which field a
+# column takes.  Stated here again, not imported, so that a slip in the
+# library's own lists shows as a difference.
+CASE_FIELDS = """
+age balance bankCard cardId contacts contactsPhone contactsRemark contactsType entrustAmt entrustEndDate
+entrustStartDate lastRepayTime loanAmt loanDate mobile name orgName overdueAmt overdueDate overdueDays
+overdueId overdueStatus overdueTotalAmt productName realAmt sex stages status address callRecordTopTen seqNo
+address2 companyAddress permanentAddress companyName repayAmt lastRepayAmt repayNum homePhone companyPhone
+qq weChat email aliId contacts2 contactsType2 contactsPhone2 contactsRemark2 allotId loanType collectionType
+billDate interestRate startSeatNo createdDate updatedDate contracNo
+""".split()
+UPDATE_FIELDS = """
+mobile overdueAmt overdueDays overdueId overdueStatus overdueTotalAmt seqNo status lastRepayTime
+lastRepayAmt
+""".split()
+CASE_REPORT_COLUMNS = """
+overdue_id name card_id phone org_name contract_no age sex email qq wechat ali_id real_amt overdue_total_amt
+entrust_amt overdue_days address address_detail company_address permanent_address bank_card company_name
+loan_date stages loan_amt repay_amt balance product_name overdue_amt overdue_status last_repay_time
+repay_num home_phone company_phone contacts contacts_type contacts_phone contacts_remark contacts1
+contacts1_type contacts1_phone contacts1_remark remark overdue_date created_date updated_date
+entrust_start_date entrust_end_date seq_no last_repay_amt allot_id call_record_top_ten loan_type
+collection_type
+""".split()
+CASE_HISTORY_COLUMNS = """
+overdueId seqNo name age sex cardId address2 address companyAddress permanentAddress mobile orgName loanDate
+stages loanAmt realAmt repayAmt balance overdueAmt overdueTotalAmt overdueStatus lastRepayTime lastRepayAmt
+loanType overdueDays entrustAmt collectionType repayNum billDate productName bankCard companyName
+interestRate entrustStartDate entrustEndDate homePhone companyPhone qq weChat email aliId startSeatNo status
+""".split()
+# column:field
+CASE_REPORT_MAPPING = [tuple(x.split(":")) for x in """
+overdue_id:overdueId name:name card_id:cardId phone:mobile org_name:orgName contract_no:contracNo age:age
+sex:sex email:email qq:qq wechat:weChat ali_id:aliId real_amt:realAmt overdue_total_amt:overdueTotalAmt
+entrust_amt:entrustAmt overdue_days:overdueDays address:address2 address_detail:address
+company_address:companyAddress permanent_address:permanentAddress bank_card:bankCard
+company_name:companyName loan_date:loanDate stages:stages loan_amt:loanAmt repay_amt:repayAmt
+balance:balance product_name:productName overdue_amt:overdueAmt overdue_status:overdueStatus
+last_repay_time:lastRepayTime repay_num:repayNum home_phone:homePhone company_phone:companyPhone
+contacts:contacts contacts_type:contactsType contacts_phone:contactsPhone contacts_remark:contactsRemark
+contacts1:contacts2 contacts1_type:contactsType2 contacts1_phone:contactsPhone2
+contacts1_remark:contactsRemark2 remark:status overdue_date:overdueDate created_date:createdDate
+updated_date:updatedDate entrust_start_date:entrustStartDate entrust_end_date:entrustEndDate seq_no:seqNo
+last_repay_amt:lastRepayAmt allot_id:allotId call_record_top_ten:callRecordTopTen
+""".split()]
+# column:field; =name is a constant, @as_of the run date
+NORMAL_UPDATE_SET = [tuple(x.split(":")) for x in """
+last_repay_amt:lastRepayAmt last_repay_time:lastRepayTime phone:mobile overdue_amt:overdueAmt
+overdue_days:overdueDays overdue_status:overdueStatus overdue_total_amt:overdueTotalAmt seq_no:seqNo
+remark:status loan_type:=LOAN_TYPE_CREDIT updated_date:@as_of
+""".split()]
+CLOSE_UPDATE_SET = [tuple(x.split(":")) for x in """
+last_repay_amt:lastRepayAmt last_repay_time:lastRepayTime phone:mobile overdue_days:overdueDays seq_no:seqNo
+remark:status balance:=ZERO overdue_amt:=ZERO overdue_total_amt:=ZERO overdue_status:=ZERO
+loan_type:=LOAN_TYPE_CREDIT collection_type:=COLLECTION_RECOVERED repay_num:=ONE entrust_end_date:@as_of
+updated_date:@as_of
+""".split()]
+CONSTANTS = {'UNKNOWN': '未知', 'LOAN_TYPE_CREDIT': '信贷', 'COLLECTION_RECOVERED': '回收', 'ZERO': '0', 'ONE': '1', 'BLANK': ''}
+UNKNOWN = '未知'
 
 AS_OF = "2024-06-30"
 NULL = "CAST(NULL AS VARCHAR)"
@@ -59,6 +108,8 @@ D1_FIELDS = {
     "seqNo": "CAST(o_orderkey AS VARCHAR)",
 }
 
+D1_FIELDS = {f: f"'{f}-' || (o_orderkey % {len(f) + 3})" for f in CASE_FIELDS} | D1_FIELDS
+
 D2 = """d2 AS (
   SELECT event_id, user_id, event_type,
          CASE WHEN event_id % 41 = 0 THEN NULL ELSE CAST(user_id AS VARCHAR) END AS mobile,
@@ -77,6 +128,8 @@ D2_FIELDS = {
     "status": "status",
 }
 
+D2_FIELDS = {f: f"'{f}-' || (event_id % {len(f) + 3})" for f in UPDATE_FIELDS} | D2_FIELDS
+
 PROFILE = f"""pe AS (
   SELECT user_id, event_id, event_type, json_extract_string(props, '$.k') AS peer FROM events
 ),

@@ -140,8 +140,6 @@ EXACT_FIELDS = [
 
 CORRUPT_COLUMN = "_corrupt_record"
 
-KAFKA_COLUMNS = ["key", "value", "topic", "partition", "offset", "timestamp"]
-
 
 def string_struct(fields: list[str]) -> T.StructType:
     return T.StructType([T.StructField(f, T.StringType(), True) for f in fields])
@@ -150,7 +148,6 @@ def string_struct(fields: list[str]) -> T.StructType:
 CASE_SCHEMA = string_struct(CASE_FIELDS)
 UPDATE_SCHEMA = string_struct(UPDATE_FIELDS)
 CASE_REPORT_SCHEMA = string_struct(CASE_REPORT_COLUMNS)
-CASE_HISTORY_SCHEMA = string_struct(CASE_HISTORY_COLUMNS)
 
 
 def with_corrupt(schema: T.StructType) -> T.StructType:
@@ -182,10 +179,3 @@ KAFKA_SCHEMA = T.StructType([
     T.StructField("offset", T.LongType()),
     T.StructField("timestamp", T.TimestampType()),
 ])
-
-LEDGER_SCHEMA = T.StructType([
-    T.StructField("groupid", T.StringType()),
-    T.StructField("topic", T.StringType()),
-    T.StructField("kafka_partition", T.IntegerType()),
-    T.StructField("kafka_offset", T.LongType()),
-])

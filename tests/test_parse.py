@@ -53,13 +53,15 @@ def test_exact_amounts(spark):
         '{"overdueId": "2", "mobile": "1", "overdueAmt": 12345678901234567890.10}',
         '{"overdueId": "3", "mobile": "1", "overdueAmt": "7.10"}',
         '{"overdueId": "4", "mobile": "1", "overdueAmt": 5, "overdueAmt": 6}',
+        '{"overdueId": "5", "mobile": "1", "overdueAmt": -0.10, "name": {"overdueAmt": 3.0}, "loanAmt": "x"}',
     ]
     valid, _ = parse_cases(kafka_rows(spark, values))
     got = {r["overdueId"]: r["overdueAmt"] for r in valid.collect()}
-    assert got["1"] == "1.5"
-    assert got["2"] == "12345678901234567890.1"   # every digit kept
+    assert got["1"] == "1.50"                     # as sent
+    assert got["2"] == "12345678901234567890.10"  # every digit kept
     assert got["3"] == "7.10"                     # strings are exact
-    assert got["4"] == "6"                        # repeated field falls back to last
+    assert got["4"] == "6"                        # repeated field: last wins
+    assert got["5"] == "-0.10"                    # a nested field of that name is another
 
 
 def test_update_parse_and_binary_value(spark):
