@@ -25,12 +25,16 @@ A document longer than a shard makes a longer shard; it is never split.
 
 from __future__ import annotations
 
+import re
 import struct
+import sys
 import zlib
+from array import array
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -130,42 +134,112 @@ def unpack_shard(content: bytes) -> tuple[int, int, np.ndarray, np.ndarray]:
 
 # -- encoding ----------------------------------------------------------------
 
-class Encoder(dict):
-    """Ids of a text by the tokenizers library.
+# a full stop or comma behind a digit or Latin-1 letter and before a space
+POINT = re.compile(r"([.,])(?<=[0-9A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF].)(?=[ \n]|\Z)")
+SMALL = "".join(map(chr, [*range(0x61, 0x7B), *range(0xDF, 0xF7), *range(0xF8, 0x100)]))  # Latin-1 small letters
+LONG = 64  # characters; longer chunks are not kept
 
-    Where the tokenizer provably never sees across a space (its normaliser
-    and pre-tokenizer drop spaces, and no added token holds one), a text is
-    encoded chunk by chunk between spaces and line feeds, and a chunk's ids
-    are kept (at most `limit` of them) so that the library meets a frequent
-    chunk once.  Otherwise whole texts go through the library.
+
+class Encoder:
+    """Ids of texts by the tokenizers library.
+
+    Where the tokenizer provably never sees across a space (its normaliser and
+    pre-tokenizer drop spaces, and no added token holds one), a text is cut
+    into chunks between spaces and line feeds, and each distinct chunk of a
+    group of texts meets the library once.  Where it also parts a word from a
+    full stop or comma behind it, and reads capitals like small letters, these
+    are taken off first, so that fewer chunks are distinct.  Otherwise whole
+    texts go through the library.
+
+    The ids of up to `limit` chunks are kept in two generations: when the
+    young one is full it becomes the old one, and what is used again is moved
+    on.
     """
 
-    def __init__(self, path: str, limit: int = 300_000):
+    def __init__(self, path: str, limit: int = 500_000):
         from tokenizers import Tokenizer
 
-        super().__init__()
-        self.tok, self.limit = Tokenizer.from_file(path), limit
+        self.tok = Tokenizer.from_file(path)
         self.tok.no_truncation()
         self.tok.no_padding()
-        probe = "a  b\nc"
-        norm = self.tok.normalizer.normalize_str(probe) if self.tok.normalizer else probe
-        parts = [p for p, _ in self.tok.pre_tokenizer.pre_tokenize_str(norm)] if self.tok.pre_tokenizer else [norm]
+        self.half = limit // 2
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         added = [t.content for t in self.tok.get_added_tokens_decoder().values()]
-        self.separable = parts == ["a", "b", "c"] and not any(c.isspace() for t in added for c in t)
-
-    def __missing__(self, chunk: str) -> bytes:
-        ids = np.array(self.tok.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
-        if len(chunk) <= 64:
-            if len(self) >= self.limit:
-                self.clear()
-            self[chunk] = ids
-        return ids
-
-    def ids(self, text: str) -> bytes:
-        """Little-endian u32 ids of a text."""
+        self.separable = self._parts("a  b\nc") == ["a", "b", "c"] and not any(c.isspace() for t in added for c in t)
+        self.points = self._parts("a, b1. \u00e9.") == [*self._parts("a"), *self._parts(","), *self._parts("b1"),
+                                                       *self._parts("."), *self._parts("\u00e9"), *self._parts(".")]
+        letters = "abcdefghijklmnopqrstuvwxyz"
+        self.caseless = self._parts(letters.upper()) == self._parts(letters)
+        # the code of each small letter, if any run of them is one pre-token
+        coded = {c: "".join(self._parts(c)) for c in SMALL}
+        one = self._parts(SMALL) == ["".join(coded.values())] and all(self._parts(c) == [coded[c]] for c in SMALL)
+        self.plain = str.maketrans(coded) if one else None
+        # no added token may be cut or brought about by the steps above
+        self.apart = {c for t in added for c in t[:1]}
+
+    def _parts(self, text: str) -> list[str]:
+        norm = self.tok.normalizer.normalize_str(text) if self.tok.normalizer else text
+        return [p for p, _ in self.tok.pre_tokenizer.pre_tokenize_str(norm)] if self.tok.pre_tokenizer else [norm]
+
+    def prepared(self, text: str) -> str:
+        """The text with single spaces where chunks are parted."""
+        if not any(c in text for c in self.apart):
+            if self.caseless and text.isascii():
+                text = text.lower()
+            if self.points:
+                text = POINT.sub(r" \1", text)
+        return text.replace("\n", " ")
+
+    def many(self, texts: list[str]) -> list[bytes]:
+        """Little-endian u32 ids of each text."""
         if not self.separable:
-            return np.array(self.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
+            return [np.array(e.ids, "<u4").tobytes() for e in self.tok.encode_batch(texts, add_special_tokens=False)]
+        if not texts:
+            return []
+        parts = pc.split_pattern(pa.array([self.prepared(t) for t in texts], pa.large_string()), " ")
+        coded = parts.flatten().dictionary_encode()
+        ids = self._ids(coded.dictionary.to_pylist())
+        # lay the chunks' ids one behind the other, as the texts have them
+        laid = pa.array(ids, pa.large_binary()).take(coded.indices)
+        offsets, data = np.frombuffer(laid.buffers()[1], np.int64), memoryview(laid.buffers()[2] or b"")
+        at = offsets[parts.offsets.to_numpy() - parts.offsets[0].as_py()].tolist()
+        return [bytes(data[a:b]) for a, b in zip(at, at[1:])]
+
+    def _ids(self, chunks: list[str]) -> list[bytes]:
+        """Ids of distinct chunks."""
+        if len(self.young) > self.half:
+            self.old, self.young = self.young, {}
+        here = dict(zip(chunks, map(self.young.get, chunks), strict=True))
+        fresh = []
+        for k in [k for k, ids in here.items() if ids is None]:
+            ids = self.old.get(k)
+            if ids is None:
+                fresh.append(k)
+            else:
+                here[k] = self.young[k] = ids
+        self._learn(fresh, here)
+        return list(here.values())
+
+    def _learn(self, chunks: list[str], here: dict[str, bytes]) -> None:
+        """Let the library encode `chunks`: those of plain small letters, one
+        pre-token each, by its model alone, the others by the whole."""
+        odd, pack = [], (array.tobytes if sys.byteorder == "little" else lambda ids: np.array(ids, "<u4").tobytes())
+        for k in chunks:
+            small = k.lower() if self.caseless and k.isascii() else k
+            if self.plain is not None and small and not small.strip(SMALL) and len(k) <= LONG:
+                coded = small if k.isascii() else k.translate(self.plain)
+                here[k] = pack(array("I", [t.id for t in self.tok.model.tokenize(coded)]))
+            else:
+                odd.append(k)
+        for at in range(0, len(odd), 1024):
+            part = odd[at : at + 1024]
+            made = self.tok.encode(part, is_pretokenized=True, add_special_tokens=False)
+            ids = np.array(made.ids, "<u4").tobytes()
+            bounds = 4 * np.searchsorted(np.array(made.word_ids, np.int64), np.arange(len(part) + 1))
+            for k, a, b in zip(part, bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+                here[k] = ids[a:b]
+        self.young.update((k, here[k]) for k in chunks if len(k) <= LONG)
 
 
 @lru_cache(maxsize=2)
@@ -175,6 +249,19 @@ def encoder(path: str) -> Encoder:
 
 # -- writing and reading -----------------------------------------------------
 
+GROUP_BYTES = 8 << 20  # text encoded at a time
+
+
+def by_bytes(batch: pa.RecordBatch, most: int):
+    """Slices of a batch with about `most` bytes in its last column each."""
+    sizes = np.cumsum([0, *(pc.fill_null(pc.binary_length(batch.column(batch.num_columns - 1)), 0).to_pylist())])
+    at = 0
+    while at < batch.num_rows:
+        end = max(at + 1, int(np.searchsorted(sizes, sizes[at] + most, "right")) - 1)
+        yield batch.slice(at, end - at)
+        at = end
+
+
 BLOB = pa.schema([("blob", pa.binary())])
 READ = pa.schema([("major", pa.int64()), ("minor", pa.int64()), ("doc_id", pa.int64()), ("place", pa.int64()),
                   ("offset", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())])
@@ -199,10 +286,10 @@ def write_token_files(docs: DataFrame, tokenizer: str, path: str, end_id: int =
         pieces: list[bytes] = []
         size = 0
         for batch in batches:
-            for at in range(0, batch.num_rows, 64):
-                rows = batch.slice(at, 64)
-                for i, raw in zip(*(c.to_pylist() for c in rows.columns), strict=True):
-                    ids = enc.ids(as_text(raw)) + end
+            for part in by_bytes(batch, GROUP_BYTES):
+                some, raws = (c.to_pylist() for c in part.columns)
+                for i, ids in zip(some, enc.many([as_text(r) for r in raws]), strict=True):
+                    ids += end
                     doc_ids.append(i)
                     pieces.append(ids)
                     size += len(ids) // 4

@@ -66,3 +66,22 @@ def test_sf_table_repeated_ids_and_empty(spark, docs):
     path = scratch_path(spark, "tokens-test")
     tb.write_token_files(docs(), TOK, path)
     assert tb.document_index(spark, path).count() == 0
+
+
+PIECES = ["a", "Ab", "é", "É", "T\u0308", "I\u0307", "'s", "'S", ".", ",", "..", "3", "x.", "<|", "<|ENDOFTEXT|>", "<|endoftext|>", "\n", " ", "  ", "\t",
+          "\u0301", "ß", "Σς", "!", "_", "\u2028", "K", "Word,", "word. ", "it's. ", "日本。", "x\u00a0y"]
+
+
+def test_chunked_ids_equal_the_library_on_mixed_texts():
+    import random
+
+    r = random.Random(8)
+    texts = ["".join(r.choice(PIECES) for _ in range(r.randint(0, 30))) for _ in range(3000)]
+    whole = [np.array(e.ids, "<u4").tobytes() for e in Tokenizer.from_file(TOK).encode_batch(texts, add_special_tokens=False)]
+    enc = tb.Encoder(TOK, limit=60)
+    assert enc.separable and enc.points and enc.caseless
+    for at in range(0, len(texts), 50):
+        assert enc.many(texts[at:at + 50]) == whole[at:at + 50]
+    other = tb.Encoder(tokenizer("byte_bpe_50k.json"))
+    assert not other.separable
+    assert other.many(["a  b, c"]) == [np.array(other.tok.encode("a  b, c").ids, "<u4").tobytes()]
