@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -15,6 +16,16 @@ from casemill.session import scratch_path
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def reachable(spark: SparkSession) -> None:
+    """Let Python workers on this machine import the library also when the
+    session was started elsewhere.  A cluster gets it with `--py-files`."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
 def cut(df: DataFrame, name: str) -> DataFrame:
     """Write `df` to a table in the shared folder and read it back, so later
     steps neither recompute it nor depend on any one executor."""

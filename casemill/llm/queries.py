@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casemill.llm import decontam, fuzzy_lines, langid, minhash, mixing, quality, token_blocks, token_count, url_model, warc
+from casemill.llm.common import reachable
 from casemill.session import scratch_path
 from casemill.sources.tables import read_table
 
@@ -73,6 +74,14 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "item_id", "item_words", "covered_words", "n_tiles")
 
 
+def _on_workers(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        reachable(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_url_filter": op2_url_filter,
@@ -85,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_counts": op9_token_counts,
     "op10_decontamination": op10_decontamination,
 }
+QUERIES = {name: _on_workers(query) for name, query in QUERIES.items()}
 
 # Five hexadecimal digits are four base-32 letters.
 _LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"

@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from casemill.llm import decontam, minhash, mixing, quality, token_blocks
-from casemill.llm.common import cut
+from casemill.llm.common import cut, reachable
 from casemill.llm.queries import tokenizer
 from casemill.session import scratch_path
 from casemill.sources.tables import read_table
@@ -57,6 +57,7 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    reachable(spark)
     docs = read_table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = cut(stage(spark, docs, sf_dir), f"pipeline-{name}")
