@@ -15,4 +15,3 @@ def spark():
     s.stop()
 
 
-SF_SMALL = "/root/testdata/sf0.001"

@@ -7,7 +7,7 @@ from casemill.operators.parse import parse_cases
 from casemill.plans import derived as D
 from casemill.plans.catalog import QUERIES
 from casemill.session import scratch_path
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 
 
 def plan(df):

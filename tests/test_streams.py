@@ -25,7 +25,7 @@ from casemill.streaming.drivers import (
 )
 from casemill.streaming import drivers
 from casemill.streaming.drivers import Replay, log_backfill
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 
 AS_OF = "2024-06-30"
 
