@@ -10,8 +10,29 @@ a pair at the threshold misses with a probability of at most `max_miss`.
 Only bands that two or more sets share are paired (others cannot meet), exact
 copies are one node from the start, and candidates are confirmed on full sets.
 
-Within a bucket of a table not all pairs are made (see `grouping`), yet no
-link that a bucket offers is lost and no cap drops a candidate.
+Within a bucket not all pairs are made, yet none that could be a link is lost.
+Each bucket gets a centre c: every node names the most central node among those
+it meets in any bucket, and the name that most members give is the bucket's
+centre (in a group of near copies the original, whether or
+not it is in this bucket).  Every member is compared with c, and links make
+components.  What is left are
+pairs (x, y) of different components, so at least one, say x, is not linked
+with c.  If x and y share nothing outside c and |c| <= |y|, then
+J(x, c) >= J(x, y), because |x & c| >= |x & y|: such a pair is no link.  So a
+link that is left either
+
+- shares a shingle outside c: members are put into finer buckets by the
+  shingles that they have and c lacks, and these are treated alike; or
+- has |y| < |c|: y and x then lack a common shingle of c, more than
+  (100 |c - y| + t |y - c|) / (100 + t) of them at threshold t %, and are
+  paired by these.
+
+Both use the prefix of shingles (in hash order) that a large enough overlap
+must meet.  In a group of near copies the shingles outside the centre are each
+copy's own, so nearly nothing is left after the first comparison, however
+large the group is.  Finer buckets of at most `bound` members are compared
+member by member across components, larger ones are refined again.  What is
+still open after `levels` refinements is closed by `grouping.link_buckets`.
 
 Words are runs of other characters than the six ASCII spaces, A-Z lower-cased.
 A text of fewer than five words has its whole sequence as its one shingle; a
@@ -32,7 +53,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from casemill.llm.common import arrow_map, cut, join_small, raw_text
-from casemill.llm.grouping import link_buckets, shared_keys
+from casemill.llm.components import connected
+from casemill.llm.grouping import link_buckets, ordered, shared_keys
 
 SHINGLE = 5
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -146,60 +168,196 @@ def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def buckets(nodes: DataFrame, g: int) -> DataFrame:
-    """`key, node` of every table entry that two or more nodes share."""
+    """`key, node, weight` of every table entry that two or more nodes share;
+    a node's weight is the number of band entries that it shares."""
     width = 4 * BAND
     bands = F.array(*[F.xxhash64(F.lit(i), F.substring("sketch", i * width + 1, width)) for i in range(2 * g)])
     rows = nodes.select("node", F.posexplode(bands).alias("band", "key"))
-    mine = shared_keys(rows).groupBy("node").agg(
+    shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    mine = rows.join(shared, "key").groupBy("node").agg(
         F.collect_list(F.when(F.col("band") < g, F.col("key"))).alias("first"),
-        F.collect_list(F.when(F.col("band") >= g, F.col("key"))).alias("second"))  # at most 2 g entries a node
+        F.collect_list(F.when(F.col("band") >= g, F.col("key"))).alias("second"),  # at most 2 g entries a node
+        F.sum("n").alias("weight"))
     pairs = F.flatten(F.transform("first", lambda a: F.transform("second", lambda b: F.xxhash64(a, b))))
-    table = cut(mine.select("node", F.explode(pairs).alias("key")), "minhash-tables")
+    table = cut(mine.select("node", "weight", F.explode(pairs).alias("key")), "minhash-tables")
     return cut(shared_keys(table), "minhash-buckets")
 
 
-def confirm(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, percent: int, least: int, n: int, name: str) -> DataFrame:
-    """The pairs (`a`, `b`) whose full sets reach the threshold.  Sizes and
-    sketches rule out what cannot reach it before any full set is fetched."""
-    meta = nodes.select("node", "n_shingles", "sketch", "doc_id", "text_hash")
-    left = meta.select(F.col("node").alias("a"), F.struct(*[c for c in meta.columns if c != "node"]).alias("x"))
-    right = meta.select(F.col("node").alias("b"), F.struct(*[c for c in meta.columns if c != "node"]).alias("y"))
-    agree = F.aggregate(F.sequence(F.lit(0), F.lit(n - 1)), F.lit(0), lambda acc, k: acc + F.when(
-        F.col("x.sketch").substr(k * 4 + 1, F.lit(4)) == F.col("y.sketch").substr(k * 4 + 1, F.lit(4)), 1).otherwise(0))
-    small, large = F.least("x.n_shingles", "y.n_shingles"), F.greatest("x.n_shingles", "y.n_shingles")
-    likely = cut(pairs.join(left, "a").join(right, "b").where((small * 100 >= large * percent) & (agree >= least)).select(
-        "a", "b", F.col("x.doc_id").alias("a_doc"), F.col("x.text_hash").alias("a_text"),
-        F.col("y.doc_id").alias("b_doc"), F.col("y.text_hash").alias("b_text")), f"{name}-likely")
-    wanted = likely.select(F.col("a_doc").alias("doc_id"), F.col("a_text").alias("text_hash")).unionByName(
-        likely.select(F.col("b_doc").alias("doc_id"), F.col("b_text").alias("text_hash"))).distinct()
-    sets = cut(full_sets(docs, cut(wanted, f"{name}-wanted")), f"{name}-sets")
-
-    def run(rows):
-        out = []
-        for a, b, x, y in rows:
-            x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            if 100 * both >= percent * (len(x) + len(y) - both):
-                out.append((a, b))
-        return out
-
-    full = likely.select("a", "b").join(sets.select(F.col("node").alias("a"), F.col("hashes").alias("x")), "a").join(
-        sets.select(F.col("node").alias("b"), F.col("hashes").alias("y")), "b").select("a", "b", "x", "y")
-    return cut(full.mapInArrow(arrow_map(run, PAIRS, 64), "a long, b long"), f"{name}-links")
-
-
 PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-
-
-def link_nodes(nodes: DataFrame, docs: DataFrame, percent: int, max_miss: float, bound: int) -> DataFrame:
+TOKENS = pa.schema([("key", pa.int64()), ("node", pa.int64()), ("side", pa.int8()), ("parent", pa.int64()),
+                    ("less", pa.int64()), ("more", pa.int64()), ("base", pa.int64())])
+SPREAD = pa.schema([("node", pa.int64()), ("h", pa.int64())])
+OUTSIDE, FAR, SMALL = 0, 1, 2
+
+
+class Nodes:
+    """What is known of the nodes that meet in some bucket: sizes, sketches
+    and full sets."""
+
+    def __init__(self, nodes: DataFrame, table: DataFrame, docs: DataFrame, percent: int, least: int, n: int):
+        self.percent, self.least, self.n = percent, least, n
+        met = nodes.join(table.select("node").distinct(), "node", "left_semi")
+        self.meta = cut(met.select("node", "n_shingles", "sketch", "doc_id", "text_hash"), "minhash-met")
+        self.sets = cut(full_sets(docs, self.meta.select("doc_id", "text_hash")), "minhash-sets")
+
+    def centrality(self, table: DataFrame) -> DataFrame:
+        """`node, score` of the nodes that share most bands in some bucket.
+
+        With df the number of nodes that have a shingle, and m its median over
+        a node's shingles, the score is the sum of 2 df - m: largest for the
+        node whose set differs least from those of its group.  The df are
+        counted on a quarter of the nodes; scores only choose centres, what is
+        compared does not depend on them being exact.
+        """
+        most = table.groupBy("key").agg(F.max("weight").alias("weight"))
+        some = table.join(most, ["key", "weight"], "left_semi").select("node").distinct()
+
+        def spread(rows):
+            return [(i, h) for i, raw in rows for h in np.frombuffer(raw, np.int64).tolist()]
+
+        tokens = lambda sets: sets.mapInArrow(arrow_map(spread, SPREAD, 64), "node long, h long")
+        df = tokens(self.sets.where(F.pmod(F.xxhash64("node", F.lit("df")), F.lit(4)) == 0)).groupBy("h").agg(F.count(F.lit(1)).alias("df"))
+        rows = tokens(self.sets.join(some, "node", "left_semi")).join(df, "h", "left").withColumn("df", F.coalesce("df", F.lit(0)))
+        score = 2 * F.sum("df") - F.count(F.lit(1)) * F.percentile_approx("df", 0.5)
+        return cut(rows.groupBy("node").agg(score.alias("score")), "minhash-scores")
+
+    def with_sets(self, pairs: DataFrame) -> DataFrame:
+        """`a, b` with their full sets `x`, `y`."""
+        a = self.sets.select(F.col("node").alias("a"), F.col("hashes").alias("x"))
+        b = self.sets.select(F.col("node").alias("b"), F.col("hashes").alias("y"))
+        return pairs.join(a, "a").join(b, "b").select("a", "b", "x", "y")
+
+    def confirm(self, pairs: DataFrame, name: str) -> DataFrame:
+        """The pairs (`a`, `b`) whose full sets reach the threshold.  Sizes and
+        sketches rule out what cannot reach it before full sets are fetched."""
+        percent = self.percent
+        left = self.meta.select(F.col("node").alias("a"), F.col("n_shingles").alias("n_a"), F.col("sketch").alias("s_a"))
+        right = self.meta.select(F.col("node").alias("b"), F.col("n_shingles").alias("n_b"), F.col("sketch").alias("s_b"))
+        part = lambda s, k: F.col(s).substr(k * 4 + 1, F.lit(4))
+        agree = F.aggregate(F.sequence(F.lit(0), F.lit(self.n - 1)), F.lit(0),
+                            lambda acc, k: acc + F.when(part("s_a", k) == part("s_b", k), 1).otherwise(0))
+        sized = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
+        likely = cut(pairs.join(left, "a").join(right, "b").where(sized & (agree >= self.least)).select("a", "b"), f"{name}-likely")
+
+        def run(rows):
+            out = []
+            for a, b, x, y in rows:
+                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                if 100 * both >= percent * (len(x) + len(y) - both):
+                    out.append((a, b))
+            return out
+
+        return cut(self.with_sets(likely).mapInArrow(arrow_map(run, PAIRS, 64), "a long, b long"), f"{name}-links")
+
+    def differences(self, spokes: DataFrame, name: str) -> DataFrame:
+        """Finer buckets `key, node, side, parent` of the pairs of a centre (`a`) and a
+        member (`b`) of its open buckets, as the module's text says."""
+        t = self.percent
+
+        def run(rows):
+            out = []
+            for c, b, x, y in rows:
+                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                outside, lacking = np.setdiff1d(y, x, assume_unique=True), np.setdiff1d(x, y, assume_unique=True)
+                both, more, less = len(y) - len(outside), len(outside), len(lacking)
+                far = 100 * both < t * (len(x) + more)
+                need = max(1, -(-t * len(y) // 100) - both)
+                size = (less, more, len(x))
+                out += [(named(c, h, 0), b, OUTSIDE, c, *size) for h in outside[: max(0, more - need + 1)].tolist()]
+                if far:
+                    need = max(1, -(-(100 * less + t * more - (100 - t) * len(x)) // t))
+                    out += [(named(c, h, 1), b, FAR, c, *size) for h in lacking[: max(0, less - need + 1)].tolist()]
+                if len(y) < len(x):
+                    need = (100 * less + t * more) // (100 + t) + 1
+                    out += [(named(c, h, 1), b, SMALL, c, *size) for h in lacking[: max(0, less - need + 1)].tolist()]
+            return out
+
+        rows = self.with_sets(spokes).mapInArrow(arrow_map(run, TOKENS, 64), "key long, node long, side byte, parent long, less long, more long, base long")
+        return cut(rows, f"{name}-finer")
+
+
+def named(centre: int, h: int, kind: int) -> int:
+    """Signed 64-bit key of a shingle beside a centre."""
+    return int.from_bytes(xxhash.xxh3_64_digest(b"%d %d %d" % (centre, h, kind)), "big", signed=True)
+
+
+def link_nodes(nodes: DataFrame, docs: DataFrame, percent: int, max_miss: float, bound: int, levels: int) -> DataFrame:
     """`node, root` of every node that is linked with another."""
     g = bands_for(percent, max_miss)
     n = 2 * g * BAND
-    least = least_agreement(n, percent, max_miss)
-    return link_buckets(buckets(nodes, g), lambda pairs, name: confirm(pairs, nodes, docs, percent, least, n, name), bound, "minhash")
-
-
-def near_duplicates(docs: DataFrame, percent: int = 80, max_miss: float = 1e-5, bound: int = 64) -> DataFrame:
+    table = buckets(nodes, g)
+    known = Nodes(nodes, table, docs, percent, least_agreement(n, percent, max_miss), n)
+    named = cut(names(table, known.centrality(table)), "minhash-names")
+    table = table.select("key", "node", F.lit(None).cast("long").alias("parent"))
+    links = tested = roots = None
+
+    def test(pairs: DataFrame, name: str) -> None:
+        nonlocal links, tested
+        fresh = cut(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), f"{name}-pairs")
+        found = known.confirm(fresh, name)
+        tested = fresh if tested is None else tested.unionByName(fresh)
+        links = found if links is None else links.unionByName(found)
+
+    for level in range(levels):
+        name = f"minhash-level-{level}"
+        if level:
+            sized = table.join(table.groupBy("key").agg(F.count(F.lit(1)).alias("n")), "key")
+            few = sized.where(F.col("n") <= bound).join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
+            other = few.select("key", F.col("node").alias("a"), F.col("root").alias("a_root"))
+            test(ordered(few.join(other, "key").where("a < node AND a_root <> root").select("a", F.col("node").alias("b"))), f"{name}-few")
+            table = cut(sized.where(F.col("n") > bound).drop("n"), f"{name}-many")
+            if table.isEmpty():
+                return connected(links, f"{name}-last")
+        spokes = table.join(centres(table, named), "key").select("key", F.col("centre").alias("a"), F.col("node").alias("b"))
+        spokes = cut(spokes, f"{name}-spokes")
+        test(ordered(spokes.where("a <> b")), name)
+        if not level:  # later levels add few links; taking them as not yet joined only compares more
+            roots = connected(links, name)
+        opened = open_spokes(spokes, roots, name)
+        if opened.isEmpty():
+            return roots if not level else connected(links, f"{name}-last")
+        finer = known.differences(opened, name)
+        side = lambda s, k: finer.where(F.col("side") == s).select(
+            "key", F.col("node").alias(k), F.col("less").alias(f"less_{k}"), F.col("more").alias(f"more_{k}"), "base")
+        far, small = side(FAR, "a"), side(SMALL, "b").drop("base")
+        # a link without a common shingle outside the centre needs this many
+        # common lacking ones, and cannot have more than either lacks
+        shared = F.lit(100) * (F.col("less_a") + F.col("less_b")) + percent * (F.col("more_a") + F.col("more_b")) - (100 - percent) * F.col("base")
+        can = (F.col("a") != F.col("b")) & (shared <= (100 + percent) * F.least("less_a", "less_b"))
+        test(ordered(far.join(small, (far["key"] == small["key"]) & can)), f"{name}-small")
+        inner = finer.where(F.col("side") == OUTSIDE).select("key", "node", "parent").distinct()
+        table = cut(shared_keys(inner), f"{name}-table")
+    return link_buckets(table.select("key", "node"), known.confirm, bound, "minhash-rest", links)
+
+
+def names(table: DataFrame, scores: DataFrame) -> DataFrame:
+    """`node, c` of every node: the most central node (`c.node`) among those
+    it meets in some bucket."""
+    first = table.join(scores, "node").groupBy("key").agg(F.max(F.struct("score", "node")).alias("c"))
+    return table.join(first, "key").groupBy("node").agg(F.max("c").alias("c"))
+
+
+def centres(table: DataFrame, named: DataFrame) -> DataFrame:
+    """`key, centre` of every bucket of `table` (`key`, `node`, `parent`): the
+    node that most members name, other than the centre that the bucket was
+    refined from; else a member.  All steps are aggregates that combine before
+    they are shuffled."""
+    votes = table.join(named, "node").where("parent IS NULL OR c.node <> parent").groupBy("key", "c").agg(F.count(F.lit(1)).alias("n"))
+    most = votes.groupBy("key").agg(F.max(F.struct("n", "c")).alias("m")).select("key", F.col("m.c.node").alias("vote"))
+    member = table.groupBy("key").agg(F.min("node").alias("member"))
+    return member.join(most, "key", "left").select("key", F.coalesce("vote", "member").alias("centre"))
+
+
+def open_spokes(spokes: DataFrame, roots: DataFrame, name: str) -> DataFrame:
+    """The distinct (centre, member) pairs of buckets with two components or
+    more."""
+    placed = spokes.join(roots.withColumnRenamed("node", "b"), "b", "left").withColumn("root", F.coalesce("root", "b"))
+    open_keys = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("key")
+    return cut(spokes.join(open_keys, "key", "left_semi").where("a <> b").select("a", "b").distinct(), f"{name}-open")
+
+
+def near_duplicates(docs: DataFrame, percent: int = 80, max_miss: float = 1e-5, bound: int = 256, levels: int = 4) -> DataFrame:
     """`doc_id, text_hash, n_shingles, component_id, kept` per row of `docs`
     (`doc_id`, `text`): documents with 100 * intersection >= `percent` * union
     of their shingle sets are linked."""
@@ -210,7 +368,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80, max_miss: float = 1e-5,
     least_row = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash")).alias("r")
     classes = named.groupBy("node").agg(least_row, F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"))
     nodes = cut(classes.select("node", "n_shingles", "sketch", F.col("r.doc_id").alias("doc_id"), F.col("r.text_hash").alias("text_hash")), "minhash-nodes")
-    roots = link_nodes(nodes, docs, percent, max_miss, bound)
+    roots = link_nodes(nodes, docs, percent, max_miss, bound, levels)
     rooted = nodes.select("node", "doc_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     of_node = rooted.select("node", "root").join(smallest, "root").select("node", "component_id")

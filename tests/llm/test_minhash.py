@@ -64,8 +64,20 @@ def test_groups_near_the_threshold_need_more_rounds(spark, docs):
     texts = [t for k in range(4) for t in near_copies(k, 120, 60, 0.008 + 0.004 * k)]
     rows = list(enumerate(texts))
     random.Random(0).shuffle(rows)
-    got = result(minhash.near_duplicates(docs(*rows), 85, bound=4))
-    assert got == brute(rows, 85)
+    want = brute(rows, 85)
+    for levels in (0, 1, 3):
+        assert result(minhash.near_duplicates(docs(*rows), 85, bound=4, levels=levels)) == want
+
+
+def test_truncated_and_extended_copies(spark, docs):
+    r = random.Random(9)
+    base = [f"w{r.randint(0, 900)}" for _ in range(200)]
+    rows = []
+    for k in range(120):
+        at, n = r.choice([0, 0, 5]), r.randint(120, 200)
+        rows.append((k, " ".join(base[at:n] + [f"t{r.randint(0, 30)}" for _ in range(r.choice([0, 0, 3, 12]))])))
+    for levels in (1, 3):
+        assert result(minhash.near_duplicates(docs(*rows), 85, bound=4, levels=levels)) == brute(rows, 85)
 
 
 def test_edge_rows(spark, docs):
