@@ -1,7 +1,7 @@
 """Groups of similar nodes from buckets, without all pairs of a bucket.
 
-First every member of a bucket is compared with its smallest one, and links
-make components.  Pairs inside one component need no comparison.  Buckets that
+First every member of a bucket is compared with the one that shares most
+entries with others, and links make components.  Pairs inside one component need no comparison.  Buckets that
 still hold several components are compared again across components: buckets up
 to a bound member by member, larger ones against a growing number of drawn
 members, until each bucket has one component or all its cross pairs were
@@ -26,15 +26,23 @@ def shared_keys(rows: DataFrame) -> DataFrame:
     return rows.join(shared, "key", "left_semi")
 
 
-def link_buckets(table: DataFrame, confirm: Callable[[DataFrame, str], DataFrame], bound: int, name: str) -> DataFrame:
+def ordered(pairs: DataFrame) -> DataFrame:
+    """Distinct pairs with `a` < `b`."""
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def link_buckets(table: DataFrame, confirm: Callable[[DataFrame, str], DataFrame], bound: int, name: str,
+                 links: DataFrame | None = None) -> DataFrame:
     """`node, root` of every node linked with another.  `table` holds the
     buckets as (`key`, `node`); `confirm(pairs, name)` returns those of the
-    distinct pairs (`a` < `b`) that are links."""
-    ordered = lambda df: df.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    centre = table.groupBy("key").agg(F.min("node").alias("a"))
+    distinct pairs (`a` < `b`) that are links; `links` are known before."""
+    sizes = table.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    weights = table.join(sizes, "key").groupBy("node").agg(F.sum("n").alias("weight"))
+    centre = table.join(weights, "node").groupBy("key").agg(F.max(F.struct("weight", "node")).alias("c")).select("key", F.col("c.node").alias("a"))
     pairs = ordered(table.join(centre, "key").where("node <> a").select("a", F.col("node").alias("b")))
     tested = cut(pairs, f"{name}-pairs-0")
-    links = confirm(tested, f"{name}-0")
+    found = confirm(tested, f"{name}-0")
+    links = found if links is None else links.unionByName(found)
     roots, done, limit, step = connected(links), 0, bound, 0
     while True:
         step += 1
