@@ -67,7 +67,7 @@ class WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
         h = xxhash.xxh3_64_intdigest(word)
         if len(word) <= 64:
-            if len(self) >= 500_000:
+            if len(self) >= 150_000:
                 self.clear()
             self[word] = h
         return h
