@@ -358,37 +358,43 @@ def open_spokes(spokes: DataFrame, roots: DataFrame, name: str) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80, max_miss: float = 1e-5, bound: int = 256, levels: int = 4) -> DataFrame:
-    """`doc_id, text_hash, n_shingles, component_id, kept` per row of `docs`
-    (`doc_id`, `text`): documents with 100 * intersection >= `percent` * union
-    of their shingle sets are linked."""
+    """`doc_id, text_hash, n_shingles, component_id, kept, stays` per row of
+    `docs` (`doc_id`, `text`): documents with 100 * intersection >= `percent` *
+    union of their shingle sets are linked.  `kept` tells that the row has its
+    group's smallest id; `stays`, that it has the one id and text of its group
+    that `keep_one_of_each` keeps."""
     g = bands_for(percent, max_miss)
     rows = cut(sketches(docs, 2 * g * BAND), "minhash-sketches")
     named = rows.where("node IS NOT NULL")
-    # the row that stands for a node is the one with its smallest id
-    least_row = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash")).alias("r")
-    classes = named.groupBy("node").agg(least_row, F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"))
+    # the row that stands for a node, and then for a group, is the one with the smallest id
+    place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash")
+    classes = named.groupBy("node").agg(F.min(place).alias("r"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"))
     nodes = cut(classes.select("node", "n_shingles", "sketch", F.col("r.doc_id").alias("doc_id"), F.col("r.text_hash").alias("text_hash")), "minhash-nodes")
     roots = link_nodes(nodes, docs, percent, max_miss, bound, levels)
-    rooted = nodes.select("node", "doc_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    smallest = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    of_node = rooted.select("node", "root").join(smallest, "root").select("node", "component_id")
+    rooted = nodes.select("node", place.alias("r")).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    smallest = rooted.groupBy("root").agg(F.min("r").alias("first"))
+    of_node = rooted.select("node", "root").join(smallest, "root").select("node", "first")
     out = rows.join(of_node, "node", "left")
-    component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "text_hash", "n_shingles", component.alias("component_id"),
-                      F.col("doc_id").eqNullSafe(component).alias("kept"))
+    component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("first.doc_id"))
+    return out.select("doc_id", "text_hash", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"),
+                      (F.col("node").isNull() | place.eqNullSafe(F.col("first"))).alias("stays"))
 
 
 def keep_one_of_each(docs: DataFrame, percent: int = 80, **settings) -> DataFrame:
     """The rows of `docs` with one document of each near-duplicate group, all
-    columns kept: the one with the smallest id.  Of repeated rows with that id
-    one stays; documents without words all stay."""
+    columns kept: the one with the smallest id, and the smallest text hash
+    among texts under that id.  Groups are told apart by their links, so rows
+    that only share an id, or have none, are different documents.  Of repeated
+    rows with the same id and text one stays; documents without words all
+    stay."""
     judged = cut(near_duplicates(docs, percent, **settings), "minhash-judged")
-    bad = cut(judged.where("NOT kept").select("doc_id", "text_hash").distinct(), "minhash-dropped")
+    bad = cut(judged.where("NOT stays").select("doc_id", "text_hash").distinct(), "minhash-dropped")
     keyed = docs.withColumns({"near_id": F.col("doc_id").cast("long"), "near_text": F.xxhash64("text")})
     bad = bad.select(F.col("doc_id").alias("near_id"), F.col("text_hash").alias("near_text"))
-    out = join_small(keyed, bad, ["near_id", "near_text"], "left_anti").drop("near_id", "near_text")
-    twice = judged.where("kept AND n_shingles > 0").groupBy("component_id").count().where("count > 1")
+    out = join_small(keyed, bad, ["near_id", "near_text"], "left_anti")
+    twice = judged.where("stays AND n_shingles > 0").groupBy("doc_id", "text_hash").count().where("count > 1")
     if twice.isEmpty():
-        return out
+        return out.drop("near_id", "near_text")
     worded = F.col("text").rlike(r"[^\x20\x09-\x0D]")
-    return out.where(worded).dropDuplicates(["doc_id"]).unionByName(out.where(~F.coalesce(worded, F.lit(False))))
+    once = out.where(worded).dropDuplicates(["near_id", "near_text"]).unionByName(out.where(~F.coalesce(worded, F.lit(False))))
+    return once.drop("near_id", "near_text")

@@ -92,6 +92,16 @@ def test_edge_rows(spark, docs):
     assert minhash.near_duplicates(docs(), 85).count() == 0 and minhash.keep_one_of_each(docs()).count() == 0
 
 
+def test_one_document_stays_per_group_not_per_id(spark, docs):
+    a, b, c, d = (" ".join(f"{x}{k}" for k in range(40)) for x in "abcd")
+    rows = [(None, a), (None, b), (None, b + " more"), (None, b), (1, c), (1, d), (1, d), (2, d + " more"), (None, d), (None, "")]
+    kept = [(r.doc_id, r.text) for r in minhash.keep_one_of_each(docs(*rows), 85).collect()]
+    ours = sorted((i, t) for i, t in kept if i is not None)
+    free = sorted(t for i, t in kept if i is None)
+    assert ours == [(1, c), (1, d)]
+    assert free in (["", a, b], ["", a, b + " more"])
+
+
 def test_banding_numbers():
     g = minhash.bands_for(85, 1e-5)
     assert 2 * (1 - 0.85**2) ** g <= 1e-5 < 2 * (1 - 0.85**2) ** (g - 1)
