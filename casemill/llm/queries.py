@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casemill.llm import decontam, fuzzy_lines, langid, minhash, mixing, quality, token_blocks, token_count, url_model, warc
+from casemill.llm import bktree, decontam, divergence, filter_audit, fuzzy_lines, langid, minhash, mixing, quality, token_blocks, token_count, url_model, warc
 from casemill.llm.common import reachable
 from casemill.session import scratch_path
 from casemill.sources.tables import read_table
@@ -74,6 +74,18 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "item_id", "item_words", "covered_words", "n_tiles")
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(read_table(spark, sf_dir, "documents"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bktree.near_duplicates(read_table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
+
+
 def _on_workers(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         reachable(spark)
@@ -93,6 +105,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_fuzzy_lines": op8_fuzzy_lines,
     "op9_token_counts": op9_token_counts,
     "op10_decontamination": op10_decontamination,
+    "op11_divergence": op11_divergence,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_simhash": op13_simhash,
 }
 QUERIES = {name: _on_workers(query) for name, query in QUERIES.items()}
 
@@ -132,4 +147,70 @@ SELECT s.doc_id, CAST(len(s.sh) AS BIGINT) AS n_shingles, coalesce(c.root, s.doc
   s.doc_id = coalesce(c.root, s.doc_id) AS kept
 FROM s LEFT JOIN n ON n.sh = s.sh LEFT JOIN c ON c.node = n.node"""
 
-ORACLE_SQL: dict[str, str] = {"op1_warc": OP1_SQL, "op5_near_duplicates": OP5_SQL}
+_TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+_F = "(({p} - {q}) * ({p} - {q})) // ({p} + {q})"
+
+# Shares of every kept term in every group, pairs of groups term by term.
+OP11_SQL = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '{_TERM}') AS w FROM documents),
+c AS (SELECT id, lang, source, term, count(*) AS n FROM (SELECT id, lang, source, unnest(w) AS term FROM d) GROUP BY ALL),
+kept AS (SELECT lang, term, CAST(sum(n) AS HUGEINT) AS n FROM c GROUP BY lang, term HAVING count(*) >= 10),
+g AS (SELECT DISTINCT lang, source FROM d),
+full_counts AS (
+  SELECT g.lang, g.source, k.term, k.n AS lang_n, coalesce(x.n, 0)::HUGEINT AS n
+  FROM g JOIN kept k ON k.lang = g.lang
+  LEFT JOIN (SELECT lang, source, term, sum(n) AS n FROM c GROUP BY ALL) x ON x.lang = g.lang AND x.source = g.source AND x.term = k.term),
+p AS (
+  SELECT lang, source, term, n,
+    1 + (1000000000 * (n + 2)) // (sum(n) OVER w + 2 * count(*) OVER w)::HUGEINT AS p,
+    1 + (1000000000 * (lang_n + 2)) // (sum(lang_n) OVER w + 2 * count(*) OVER w)::HUGEINT AS q
+  FROM full_counts WINDOW w AS (PARTITION BY lang, source)),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item,
+    coalesce((SELECT sum({_F.format(p='x.p', q='y.p')}) FROM p x JOIN p y ON x.term = y.term AND x.lang = y.lang
+      WHERE x.lang = a.lang AND x.source = a.source AND y.source = b.source), 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source),
+ranked AS (
+  SELECT lang, source, 'pair' AS part, item, value, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, encode(item)) AS rank FROM pairs
+  UNION ALL
+  SELECT * FROM (
+    SELECT lang, source, 'term' AS part, term AS item, {_F.format(p='p', q='q')} AS value,
+      row_number() OVER (PARTITION BY lang, source ORDER BY {_F.format(p='p', q='q')} DESC, encode(term)) AS rank
+    FROM p WHERE n > 0 AND p > q) WHERE rank <= 10)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM ranked"""
+
+# Failure bits of each document, then every order and step from their counts.
+OP12_SQL = f"""
+WITH w AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS w FROM documents),
+l AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+m AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+    (len(w) < 200)::INT + 2 * (100 * len(list_distinct(w)) < 50 * len(w))::INT
+    + 4 * (100 * len(regexp_extract_all(text, '[A-Z]')) > 2 * length(text))::INT
+    + 8 * regexp_matches(text, '[#$%&*|]')::INT + 16 * coalesce(w.doc_id > min(w.doc_id) OVER (PARTITION BY text), false)::INT AS bits
+  FROM w LEFT JOIN l ON l.doc_id = w.doc_id),
+h AS (SELECT part, bits, good, toxic, count(*) AS n FROM m GROUP BY ALL),
+f AS (SELECT * FROM (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) f(x, bit)),
+o AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+  FROM f a, f b, f c, f d, f e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+s AS (SELECT filter_order, step, bits[step] AS bit, coalesce(list_sum(bits[1:step - 1]), 0)::INT AS before FROM o, range(1, 6) r(step)),
+r AS (
+  SELECT h.part, s.filter_order, s.step, s.bit,
+    coalesce(sum(n) FILTER (h.bits & (before | bit) = 0), 0) AS kept,
+    coalesce(sum(n) FILTER (h.bits & before = 0 AND h.bits & bit > 0), 0) AS removed,
+    coalesce(sum(n) FILTER (h.bits & before > 0 AND h.bits & bit > 0), 0) AS redundant,
+    coalesce(sum(n) FILTER (h.bits = bit), 0) AS unique_fails,
+    coalesce(sum(n) FILTER (h.bits & before = 0 AND h.bits & bit > 0 AND good), 0) AS good_lost,
+    coalesce(sum(n) FILTER (h.bits & before = 0 AND h.bits & bit > 0 AND toxic), 0) AS toxic_lost
+  FROM h, s GROUP BY ALL)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+  CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+  CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
+FROM r"""
+
+ORACLE_SQL: dict[str, str] = {"op1_warc": OP1_SQL, "op5_near_duplicates": OP5_SQL, "op11_divergence": OP11_SQL, "op12_filter_audit": OP12_SQL}
