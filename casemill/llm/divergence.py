@@ -41,12 +41,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from casemill.llm.common import arrow_batch, cut, join_small, raw_text
+from casemill.llm.common import cut, join_small, raw_text
 
 SCALE = 1_000_000_000
-ENTRIES, TEXT_BYTES = 200_000, 32 << 20  # a task passes its counts on when it holds so many, or has read so much
+ENTRIES, TEXT_BYTES = 500_000, 64 << 20  # a task passes its counts on when it holds so many, or has read so much
 OUT_ROWS = 16_384
 CELLS = 4 << 20  # pair sums that a task holds
+BLOCK = 1 << 16  # pairs of nodes that are computed at a time
 
 # letters lower-cased, bytes of longer characters as they are, all else a blank
 TERM_BYTES = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
@@ -62,13 +63,16 @@ def _named(docs: DataFrame, *more: Column | str) -> DataFrame:
 
 def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: dict[tuple[str, str], tuple[Counter, Counter]] = {}
-    read = 0
+    read = entries = 0
 
     def flush() -> Iterator[pa.RecordBatch]:
         for (lang, source), (n, docs) in held.items():
-            rows = [(lang, source, term, k, docs[term]) for term, k in n.items()]
-            for at in range(0, len(rows), OUT_ROWS):
-                yield arrow_batch(rows[at : at + OUT_ROWS], TERMS)
+            terms = list(n)
+            for at in range(0, len(terms), OUT_ROWS):
+                some = terms[at : at + OUT_ROWS]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.repeat(lang, len(some)), pa.repeat(source, len(some)), pa.array(some, pa.binary()),
+                     pa.array([n[t] for t in some], pa.int64()), pa.array([docs[t] for t in some], pa.int64())], schema=TERMS)
         held.clear()
 
     for batch in batches:
@@ -78,12 +82,13 @@ def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             words = raw.translate(TERM_BYTES).split()
             n, docs = held.setdefault((lang.as_py(), source.as_py()), (Counter(), Counter()))
+            before = len(n)
             n.update(words)
             docs.update(set(words))
-            read += len(raw)
-            if read >= TEXT_BYTES or sum(len(x) for x, _ in held.values()) >= ENTRIES:
+            read, entries = read + len(raw), entries + len(n) - before
+            if read >= TEXT_BYTES or entries >= ENTRIES:
                 yield from flush()
-                read = 0
+                read = entries = 0
     yield from flush()
 
 
@@ -133,15 +138,18 @@ class Branch:
         """Close the nodes below `depth`: each is paired with its ancestors."""
         if depth >= len(self.items):
             return
-        source, _, p, zero = (np.array(x, np.int64) for x in zip(*self.items, strict=True))
-        for k in range(len(self.items) - 1, max(depth, 1) - 1, -1):
-            a, a0, b, b0 = p[:k], zero[:k], p[k], zero[k]
-            both = _apart(a, b) - _apart(a, b0) - _apart(a0, b) + _apart(a0, b0)
-            key = (self.lang, int(source[k]))
-            if key not in self.sums:
-                self.sums[key] = np.zeros(key[1], np.int64)  # ancestors come before in the order of sources
-                self.cells += key[1]
-            self.sums[key][source[:k]] += self.terms[k] * both
+        source, _, p, zero = np.array(self.items, np.int64).T
+        terms, n = np.array(self.terms, np.int64), len(p)
+        for low in range(max(depth, 1), n, max(1, BLOCK // n)):  # nodes [low, high) against all above them
+            high = min(n, low + max(1, BLOCK // n))
+            a, a0, b, b0 = p[: high - 1], zero[: high - 1], p[low:high, None], zero[low:high, None]
+            both = terms[low:high, None] * (_apart(a, b) - _apart(a, b0) - _apart(a0, b) + _apart(a0, b0))
+            for k in range(low, high):
+                key = (self.lang, int(source[k]))
+                if key not in self.sums:
+                    self.sums[key] = np.zeros(key[1], np.int64)  # ancestors come before in the order of sources
+                    self.cells += key[1]
+                self.sums[key][source[:k]] += both[k - low, :k]
         del self.items[depth:], self.terms[depth:]
 
     def take(self) -> Iterator[pa.RecordBatch]:
