@@ -5,7 +5,9 @@ from __future__ import annotations
 import os
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,16 +52,43 @@ def count_words(column: Column) -> Column:
     return F.coalesce(F.regexp_count(column, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+SLICE_BYTES = 2 << 20  # text that a task takes out of an Arrow batch at a time
+
+
+def slices(batch: pa.RecordBatch, most_rows: int = 256, most_bytes: int = SLICE_BYTES, column: int | None = None) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with at most `most_rows` rows and about `most_bytes`
+    bytes in all its columns (or in one); a larger row is a slice of its own."""
+    if column is None:
+        size = sum((_lengths(c) for c in batch.columns), np.zeros(batch.num_rows, np.int64))
+    else:
+        size = _lengths(batch.column(column))
+    before = np.concatenate([[0], np.cumsum(size)])
+    at = 0
+    while at < batch.num_rows:
+        end = int(np.searchsorted(before, before[at] + most_bytes, "right")) - 1
+        end = min(max(at + 1, end), at + most_rows, batch.num_rows)
+        yield batch.slice(at, end - at)
+        at = end
+
+
+def _lengths(column: pa.Array) -> np.ndarray:
+    if pa.types.is_binary(column.type) or pa.types.is_string(column.type) or pa.types.is_large_binary(column.type) or pa.types.is_large_string(column.type):
+        return pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    return np.zeros(len(column), np.int64)
+
+
 def arrow_map(fn: Callable[[list[tuple]], list[tuple]], schema: pa.Schema, step: int = 256):
     """A `mapInArrow` function that hands `fn` at most `step` input rows at a
-    time (tuples in column order) and emits the rows it returns."""
+    time (tuples in column order), bounded in bytes, and emits the rows it
+    returns.  At the end of a task Arrow gives its unused memory back: workers
+    live on and serve the next stages."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, step):
-                part = batch.slice(at, step)
+            for part in slices(batch, step):
                 rows = fn(list(zip(*(c.to_pylist() for c in part.columns), strict=True)))
                 yield arrow_batch(rows, schema)
+        pa.default_memory_pool().release_unused()
 
     return run
 
@@ -79,6 +108,17 @@ def sample_at_most(df: DataFrame, bound: int, key: Column) -> DataFrame:
     return df.where(F.pmod(F.xxhash64(key, F.lit("sample")), F.lit(slots)) < F.lit(int(slots * bound / n)))
 
 
+def fresh(columns: list[str], *wanted: str) -> list[str]:
+    """Names like the wanted ones that are none of `columns` (in any case)."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def scalar(df: DataFrame):
     """The single value of a one-row, one-column frame (an aggregate)."""
     return df.first()[0]

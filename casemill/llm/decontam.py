@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casemill.llm.common import arrow_map, as_text, raw_text
+from casemill.llm.common import arrow_map, as_text, raw_text, slices
 
 WORDS = re.compile(r"\w+")
 BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -218,8 +218,10 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, min_match: int = 5, min
 def _keeper(find, at: int):
     def keep(batches):
         for batch in batches:
-            clean = [next(iter(find(None if t is None else t.encode("utf-8", "replace"))), None) is None
-                     for t in batch.column(at).to_pylist()]
-            yield batch.filter(pa.array(clean, pa.bool_()))
+            for part in slices(batch, column=at):
+                clean = [next(iter(find(None if t is None else t.encode("utf-8", "replace"))), None) is None
+                         for t in part.column(at).to_pylist()]
+                yield part.filter(pa.array(clean, pa.bool_()))
+        pa.default_memory_pool().release_unused()
 
     return keep

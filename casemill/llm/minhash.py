@@ -52,7 +52,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casemill.llm.common import arrow_map, cut, join_small, raw_text
+from casemill.llm.common import arrow_map, cut, fresh, join_small, raw_text
 from casemill.llm.components import connected
 from casemill.llm.grouping import link_buckets, ordered, shared_keys
 
@@ -73,18 +73,18 @@ class WordHashes(dict):
         return h
 
 
-_words = WordHashes()
 _powers = np.array([pow(int(MIX), k, 1 << 64) for k in range(1, SHINGLE + 1)], np.uint64)
 
 
-def shingles(raw: bytes | None) -> np.ndarray:
+def shingles(raw: bytes | None, known: WordHashes | None = None) -> np.ndarray:
     """Sorted distinct 64-bit hashes of a text's shingles."""
+    known = WordHashes() if known is None else known
     words = (raw or b"").lower().split()
     if not words:
         return np.empty(0, np.uint64)
     if len(words) < SHINGLE:
         return np.array([xxhash.xxh3_64_intdigest(b" ".join(words), seed=len(words))], np.uint64)
-    x = np.fromiter(map(_words.__getitem__, words), np.uint64, len(words))
+    x = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
     n = len(x) - SHINGLE + 1
     h = np.zeros(n, np.uint64)
     with np.errstate(over="ignore"):
@@ -140,10 +140,12 @@ def node_of(h: np.ndarray) -> int | None:
 def sketches(docs: DataFrame, n: int) -> DataFrame:
     """`doc_id, text_hash, n_shingles, node, sketch` per row of `docs`."""
 
+    known = WordHashes()  # each task has its own, gone with the task
+
     def run(rows):
         out = []
         for i, text_hash, raw in rows:
-            h = shingles(raw)
+            h = shingles(raw, known)
             out.append((i, text_hash, len(h), node_of(h), minhashes(h, n) if len(h) else None))
         return out
 
@@ -155,10 +157,12 @@ def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """`node, hashes`: full sets of the nodes in `wanted` (`doc_id`,
     `text_hash` of one row each)."""
 
+    known = WordHashes()
+
     def run(rows):
         out = []
         for (raw,) in rows:
-            h = shingles(raw)
+            h = shingles(raw, known)
             out.append((node_of(h), h.tobytes()))
         return out
 
@@ -389,12 +393,13 @@ def keep_one_of_each(docs: DataFrame, percent: int = 80, **settings) -> DataFram
     stay."""
     judged = cut(near_duplicates(docs, percent, **settings), "minhash-judged")
     bad = cut(judged.where("NOT stays").select("doc_id", "text_hash").distinct(), "minhash-dropped")
-    keyed = docs.withColumns({"near_id": F.col("doc_id").cast("long"), "near_text": F.xxhash64("text")})
-    bad = bad.select(F.col("doc_id").alias("near_id"), F.col("text_hash").alias("near_text"))
-    out = join_small(keyed, bad, ["near_id", "near_text"], "left_anti")
+    key = fresh(docs.columns, "near_id", "near_text")
+    keyed = docs.withColumns({key[0]: F.col("doc_id").cast("long"), key[1]: F.xxhash64("text")})
+    bad = bad.select(F.col("doc_id").alias(key[0]), F.col("text_hash").alias(key[1]))
+    out = join_small(keyed, bad, key, "left_anti")
     twice = judged.where("stays AND n_shingles > 0").groupBy("doc_id", "text_hash").count().where("count > 1")
     if twice.isEmpty():
-        return out.drop("near_id", "near_text")
+        return out.drop(*key)
     worded = F.col("text").rlike(r"[^\x20\x09-\x0D]")
-    once = out.where(worded).dropDuplicates(["near_id", "near_text"]).unionByName(out.where(~F.coalesce(worded, F.lit(False))))
-    return once.drop("near_id", "near_text")
+    once = out.where(worded).dropDuplicates(key).unionByName(out.where(~F.coalesce(worded, F.lit(False))))
+    return once.drop(*key)

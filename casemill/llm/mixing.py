@@ -31,9 +31,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from casemill.llm.common import arrow_batch, count_words, cut, scalar
+from casemill.llm.common import arrow_batch, count_words, cut, fresh, scalar
 
 KEYS = ["doc_id", "source", "size"]
+COPIES = 1024  # equal rows that one task makes out of one row
 EPS = 1e-9
 
 
@@ -195,8 +196,14 @@ def plan_mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float
 
 def per_document(plan: DataFrame) -> DataFrame:
     """`doc_id, size, source_size, target, taken`, one row per document."""
-    rows = plan.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
-    return rows.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("times")).alias("taken"))
+    out = ["doc_id", "size", "source_size", "target", (F.col("size") * F.col("times")).alias("taken")]
+    one = lambda n: F.explode(F.sequence(F.lit(1).cast("long"), n)).alias("copy")
+    few = plan.where(F.col("copies") <= COPIES).select(*out, one(F.col("copies")))
+    # a unit of very many equal rows is dealt out in parts before it becomes rows
+    begin = F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1, F.lit(COPIES).cast("long")))
+    parts = plan.where(F.col("copies") > COPIES).withColumn("begin", begin).repartition("doc_id", "source", "size", "begin")
+    many = parts.select(*out, one(F.least(F.col("copies") - F.col("begin"), F.lit(COPIES).cast("long"))))
+    return few.unionByName(many).drop("copy")
 
 
 def mix_documents(docs: DataFrame, **settings) -> DataFrame:
@@ -206,5 +213,6 @@ def mix_documents(docs: DataFrame, **settings) -> DataFrame:
     size = count_words(docs["text"])
     same = (docs["doc_id"].cast("long").eqNullSafe(plan["mix_doc_id"]) & docs["source"].eqNullSafe(plan["mix_source"])
             & (size == plan["mix_size"]))
-    taken = docs.join(plan, same).select(*cols, F.explode(F.sequence(F.lit(1).cast("long"), plan["mix_times"])).alias("mix_copy"))
-    return taken.drop("mix_copy")
+    (copy,) = fresh(docs.columns, "mix_copy")
+    taken = docs.join(plan, same).select(*cols, F.explode(F.sequence(F.lit(1).cast("long"), plan["mix_times"])).alias(copy))
+    return taken.drop(copy)

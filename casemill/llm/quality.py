@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from casemill.llm.common import arrow_map, as_text, cut, join_small, raw_text, sample_at_most
+from casemill.llm.common import arrow_map, as_text, cut, join_small, raw_text, sample_at_most, slices
 
 SYMBOLS = re.compile(rb"[#*$%&|<>]")
 WINDOW = 8
@@ -249,10 +249,12 @@ def keep_good(docs: DataFrame, labels: DataFrame, max_train: int = 100_000) -> D
 
     def measured(batches):
         for batch in batches:
-            texts = batch.column(at).to_pylist()
-            rows = [measure(None if t is None else t.encode("utf-8", "replace")) for t in texts]
-            cols = [pa.array(c, pa.int64()) for c in zip(*rows, strict=True)] or [pa.array([], pa.int64())] * len(STATS)
-            yield pa.RecordBatch.from_arrays([*batch.columns, *cols], names=schema.names)
+            for part in slices(batch, column=at):
+                texts = part.column(at).to_pylist()
+                rows = [measure(None if t is None else t.encode("utf-8", "replace")) for t in texts]
+                cols = [pa.array(c, pa.int64()) for c in zip(*rows, strict=True)]
+                yield pa.RecordBatch.from_arrays([*part.columns, *cols], names=schema.names)
+        pa.default_memory_pool().release_unused()
 
     rows = docs.mapInArrow(measured, schema).select("*", *feature_columns(mark))
     return rows.where(as_column(rules, mark)).select(*columns)

@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from casemill.llm.common import arrow_batch, as_text, cut, raw_text, read_blobs, write_blobs
+from casemill.llm.common import arrow_batch, as_text, cut, raw_text, read_blobs, slices, write_blobs
 
 MAGIC = b"PFORTOK1"
 HEAD = struct.Struct("<8s5IQ")
@@ -252,16 +252,6 @@ def encoder(path: str) -> Encoder:
 GROUP_BYTES = 8 << 20  # text encoded at a time
 
 
-def by_bytes(batch: pa.RecordBatch, most: int):
-    """Slices of a batch with about `most` bytes in its last column each."""
-    sizes = np.cumsum([0, *(pc.fill_null(pc.binary_length(batch.column(batch.num_columns - 1)), 0).to_pylist())])
-    at = 0
-    while at < batch.num_rows:
-        end = max(at + 1, int(np.searchsorted(sizes, sizes[at] + most, "right")) - 1)
-        yield batch.slice(at, end - at)
-        at = end
-
-
 BLOB = pa.schema([("blob", pa.binary())])
 READ = pa.schema([("major", pa.int64()), ("minor", pa.int64()), ("doc_id", pa.int64()), ("place", pa.int64()),
                   ("offset", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())])
@@ -286,7 +276,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, path: str, end_id: int =
         pieces: list[bytes] = []
         size = 0
         for batch in batches:
-            for part in by_bytes(batch, GROUP_BYTES):
+            for part in slices(batch, batch.num_rows, GROUP_BYTES):
                 some, raws = (c.to_pylist() for c in part.columns)
                 for i, ids in zip(some, enc.many([as_text(r) for r in raws]), strict=True):
                     ids += end
@@ -298,6 +288,8 @@ def write_token_files(docs: DataFrame, tokenizer: str, path: str, end_id: int =
                         doc_ids, pieces, size, minor = [], [], 0, minor + 1
         if doc_ids:
             yield arrow_batch([(shard(major, minor, doc_ids, pieces),)], BLOB)
+        enc.old = {}  # the worker lives on: it keeps the young generation alone
+        pa.default_memory_pool().release_unused()
 
     def shard(major, minor, doc_ids, pieces):
         return pack_shard(major, minor, doc_ids, [len(p) // 4 for p in pieces],

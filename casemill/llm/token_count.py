@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from casemill.llm.common import arrow_map, as_text, raw_text
 
 SPACE = "▁"
+LONG = 64  # characters; counts of longer pre-tokens are not kept
 
 
 class Merged(dict):
@@ -37,6 +38,8 @@ class Merged(dict):
 
     def __missing__(self, pre_token: str) -> int:
         n = len(self.encode(pre_token))
+        if len(pre_token) > LONG:
+            return n
         if len(self) >= self.limit + len(self.whole):
             self.clear()
             self.update(self.whole)

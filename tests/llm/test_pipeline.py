@@ -1,8 +1,11 @@
+import random
+
 import corpus_pipeline
 import numpy as np
 from casemill.llm import decontam, mixing, quality
 from casemill.llm.common import cut
 from casemill.llm.queries import tokenizer
+from pyspark.sql import functions as F
 from test_decontam import brute_tile
 from test_minhash import brute as brute_groups
 from test_token_blocks import expected as expected_index
@@ -63,3 +66,25 @@ def test_empty_documents(spark, docs, tmp_path):
         spark.read.parquet(f"{SF}/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
     docs().write.parquet(f"{tmp_path}/documents.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_stages_keep_clashing_columns_and_long_texts(spark, docs, tmp_path):
+    """Extra columns named like the stages' own survive; one text has 20 MB."""
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{SF}/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
+    r = random.Random(3)
+    long = " ".join(f"word{r.randint(0, 90_000)}" for _ in range(2_100_000))
+    assert len(long) > 19_000_000
+    some = " ".join(f"plain{k}" for k in range(60))
+    extra = ["near_id", "near_text", "mix_copy", "mix_times", "mix_doc_id", "measured_n_words", "f_words", "copies", "line_list", "Near_ID_"]
+    df = docs((1, long, "en", "a"), (2, some, "en", "a"), (3, some, "en", None), (None, some + " more", "en", "b"), (5, None, None, "a"))
+    df = df.withColumns({c: F.concat(F.lit(c), F.coalesce(F.col("doc_id").cast("string"), F.lit("?"))) for c in extra})
+    for name, stage in corpus_pipeline.STAGES:
+        out = cut(stage(spark, df, str(tmp_path)), f"t-{name}")
+        if name == "token_files":
+            assert out.count() == df.count() and out.agg(F.max("n_tokens")).first()[0] > 2_000_000
+            break
+        assert out.columns == df.columns and {x.doc_id for x in out.collect()} <= {1, 2, 3, 5, None}
+        assert all(x[c] == f"{c}{'?' if x.doc_id is None else x.doc_id}" for x in out.drop("text").collect() for c in extra)
+        df = out
+    assert {x.doc_id for x in df.select("doc_id").collect()} >= {1}
