@@ -172,20 +172,20 @@ def q_ledger_resolve(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_stream_intake(spark: SparkSession, sf: str) -> DataFrame:
-    from casemill.streaming.drivers import run_stream_to_table
+    from casemill.plans.replay import run_stream_to_table
     return run_stream_to_table(spark, "intake", D.case_messages(spark, sf), D.existing_cases(spark, sf),
                                profiles=D.profiles(spark, sf), as_of=AS_OF)
 
 
 def q_stream_update(spark: SparkSession, sf: str) -> DataFrame:
-    from casemill.streaming.drivers import run_stream_to_table
+    from casemill.plans.replay import run_stream_to_table
     return run_stream_to_table(spark, "update", D.update_messages(spark, sf), D.existing_cases(spark, sf),
                                as_of=AS_OF)
 
 
 def q_stream_cases(spark: SparkSession, sf: str) -> DataFrame:
     """Both topics in one stream feeding one case table."""
-    from casemill.streaming.drivers import run_stream_to_table
+    from casemill.plans.replay import run_stream_to_table
     msgs = D.case_messages(spark, sf).unionByName(D.update_messages(spark, sf))
     return run_stream_to_table(spark, "cases", msgs, D.existing_cases(spark, sf), profiles=D.profiles(spark, sf),
                                as_of=AS_OF, intake_topic=D.INTAKE_TOPIC, update_topic=D.UPDATE_TOPIC)
@@ -194,11 +194,12 @@ def q_stream_cases(spark: SparkSession, sf: str) -> DataFrame:
 def q_stream_backfill_compact(spark: SparkSession, sf: str) -> DataFrame:
     """Intake in three batches of ascending offsets; a backfill is logged and
     the log compacted before the last one."""
+    from casemill.plans import replay as R
     from casemill.streaming import drivers as S
     paths = S.StreamPaths(scratch_path(spark, "stream-compact"))
     profiles = D.profiles(spark, sf)
-    replay = S.Replay(spark, "intake", paths, AS_OF, extracted=S.stored_summary(spark, profiles, f"{paths.root}/profile_summary"))
-    first, second, third = S.slices(D.case_messages(spark, sf), 3)
+    replay = R.Replay(spark, "intake", paths, AS_OF, extracted=R.stored_summary(spark, profiles, f"{paths.root}/profile_summary"))
+    first, second, third = R.slices(D.case_messages(spark, sf), 3)
     replay.feed(first)
     replay.feed(second)
     ids = bf.normalize_ids(D.id_lines(spark, sf))
@@ -208,6 +209,32 @@ def q_stream_backfill_compact(spark: SparkSession, sf: str) -> DataFrame:
     return S.current_table(spark, paths, snapshot, mark)
 
 
+def q_stream_two_roots(spark: SparkSession, sf: str) -> DataFrame:
+    """An intake query and an update query, each with a root of its own, feed
+    one table.  After their first batches a backfill is logged, the intake
+    batch is replayed and both roots are compacted and pruned; two batches of
+    each follow."""
+    from casemill.plans import replay as R
+    from casemill.streaming import drivers as S
+    a, b = scratch_path(spark, "stream-root-a"), scratch_path(spark, "stream-root-b")
+    one, two = S.StreamPaths(a, beside=(b,)), S.StreamPaths(b, beside=(a,))
+    profiles, cases = D.profiles(spark, sf), D.existing_cases(spark, sf)
+    intake = R.Replay(spark, "intake", one, AS_OF, extracted=R.stored_summary(spark, profiles, f"{a}/profile_summary"))
+    update = R.Replay(spark, "update", two, AS_OF)
+    first, *later = zip(R.slices(D.case_messages(spark, sf), 3), R.slices(D.update_messages(spark, sf), 3), strict=True)
+    intake.feed(first[0])
+    update.feed(first[1])
+    ids = bf.normalize_ids(D.id_lines(spark, sf))
+    S.log_backfill(spark, two, ids, cases, profiles, ["company_address", "permanent_address"])
+    intake.again(first[0])
+    snapshot, mark = S.compact(spark, [one, two], cases, f"{a}/snapshot")
+    S.prune_log(spark, [one, two], mark)
+    for messages, updates in later:
+        intake.feed(messages)
+        update.feed(updates)
+    return S.current_table(spark, [one, two], snapshot, mark)
+
+
 def q_id_list(spark: SparkSession, sf: str) -> DataFrame:
     """An id list written as text lines and read back."""
     path = scratch_path(spark, "id-list")
@@ -263,6 +290,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_update": q_stream_update,
     "stream_cases": q_stream_cases,
     "stream_backfill_compact": q_stream_backfill_compact,
+    "stream_two_roots": q_stream_two_roots,
     "id_list": q_id_list,
     "extract_text": q_extract_text,
     "case_parse_binary": q_case_parse_binary,

@@ -442,6 +442,23 @@ def _sql_stream_cases() -> str:
     return _with(D1, D1V, D2, PROFILE, SNAP, ch) + fold_sql(_touch(True, True), True)
 
 
+def _sql_stream_two_roots() -> str:
+    """First parts of both topics; both shared addresses of the listed cases;
+    the later parts, replaces before updates."""
+    r = r_changes(_enriched_fields(True), _slice("o_orderkey", "(SELECT MAX(o_orderkey) FROM d1)")).replace("FROM d1v", f"FROM {ENRICHED_SRC}")
+    u = u_changes(_slice("event_id", "(SELECT MAX(event_id) FROM d2)"))
+    x = "x AS (" + r + "\nUNION ALL\n" + u + ")"
+    fold = fold_sql(_touch(True, True), True).removeprefix(",\n")
+    t1 = "t1 AS (WITH ch AS (SELECT * FROM x WHERE b < 1),\n" + fold + ")"
+    filled = {c: f't1."{c}"' for c in CASE_REPORT_COLUMNS}
+    for c in ("company_address", "permanent_address"):
+        filled[c] = f'CASE WHEN ids.overdue_id IS NULL THEN t1."{c}" ELSE COALESCE(pf.shared, {_q(UNKNOWN)}) END'
+    t2 = ("t2 AS (SELECT\n  " + _cols(CASE_REPORT_COLUMNS, filled) + "\nFROM t1 LEFT JOIN ids ON ids.overdue_id = t1.overdue_id "
+          "LEFT JOIN pfull pf ON pf.phone = t1.phone)")
+    last = "(WITH snap AS (SELECT * FROM t2), ch AS (SELECT * FROM x WHERE b >= 1),\n" + fold + ")"
+    return _with(D1, D1V, D2, PROFILE, SNAP, IDS, x, t1, t2) + "SELECT * FROM " + last
+
+
 def _sql_stream_backfill_compact() -> str:
     """Replaces of the first two parts; both shared addresses of the listed
     cases; replaces of the last part."""
@@ -492,6 +509,7 @@ ORACLE_SQL: dict[str, str] = {
     "stream_update": _sql_updates(None),
     "stream_cases": _sql_stream_cases(),
     "stream_backfill_compact": _sql_stream_backfill_compact(),
+    "stream_two_roots": _sql_stream_two_roots(),
     "id_list": _with(IDS) + "SELECT overdue_id FROM ids",
     "extract_text": _sql_extract_cases(),
     "case_parse_binary": _sql_case_parse(),

@@ -1,24 +1,25 @@
 """Structured Streaming drivers (foreachBatch over Kafka-shaped sources)."""
 
 from casemill.streaming.drivers import (
-    LogMark,
     StreamPaths,
     compact,
+    compact_history,
     current_history,
     current_ledger,
     current_table,
     log_backfill,
-    log_mark,
+    order_of,
+    prune_log,
     read_change_log,
     read_quarantine,
-    run_stream_to_table,
     start_case_stream,
     start_intake_stream,
     start_update_stream,
 )
+from casemill.streaming.order import LogMark
 
 __all__ = [
-    "LogMark", "StreamPaths", "compact", "current_history", "current_ledger", "current_table", "log_backfill", "log_mark",
-    "read_change_log", "read_quarantine", "run_stream_to_table", "start_case_stream", "start_intake_stream",
+    "LogMark", "StreamPaths", "compact", "current_history", "current_ledger", "current_table", "log_backfill", "order_of", "prune_log", "compact_history",
+    "read_change_log", "read_quarantine", "start_case_stream", "start_intake_stream",
     "start_update_stream",
 ]

@@ -1,22 +1,21 @@
 """Case streams: both topics in one query, or intake / updates alone.
 
 Each micro-batch (foreachBatch) is parsed, routed or enriched, and written
-as change rows to `changes/batch_id=N`, then, last, as one report to
-`report/batch_id=N` (quarantined messages, the positions reached, and a `done`
-row with the time of completion).  Every write overwrites its own batch folder,
-so a batch replayed after a failure (the query checkpoint commits only after
-the handler returns) produces the same files instead of duplicates.  Before a
-replay rewrites its changes it takes back the report, so readers never see a
-half-written batch as whole.
-
-Profile backfills have folders and ids of their own (`backfills`,
-`backfill_report`).  Readers join a log to its `done` rows, batch by batch:
-what has none does not exist.  Changes apply in the order of completion, so a
-backfill applies after every batch that was complete when it completed, and
-before every later one; the logs of several queries fold together alike.
+as change rows to `changes/batch_id=N`, its quarantined messages to
+`report/batch_id=N` and the positions reached to `ledger/batch_id=N`.  Every
+write overwrites its own batch folder, so a batch replayed after a failure (the
+query checkpoint commits only after the handler returns) produces the same
+files instead of duplicates.  Profile backfills have folders and ids of their
+own (`backfills`).
+
+Which batches are complete, and in which order they apply, is kept by `Order`
+(order.py), without a clock: also across several roots that feed one table
+(`StreamPaths.beside`), and the same after replays.  Readers read the folders of
+complete batches alone.
 
 `compact` folds what is complete into a new snapshot in the shared folder and
-returns a `LogMark` of what the snapshot holds; later reads take the rest.
+returns a `LogMark` of what the snapshot holds, one for all roots; later reads
+take the rest.  `prune_log` removes what a snapshot holds.
 
 The engine runs no micro-batch when a stateless query has no new data; a
 batch that still arrives empty (the reference's empty-batch skip) is
@@ -25,7 +24,6 @@ the sinks read anyway, and nothing is written for it.
 """
 from __future__ import annotations
 
-import time
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -41,26 +39,33 @@ from casemill.operators.merge import (
     CASE_REPORT,
     INTAKE_RANK,
     OFFSET_LEDGER,
+    ORD_TYPE,
     UPDATE_RANK,
+    TableSpec,
     case_changes,
     empty_table,
     fold_changes,
     history_changes,
     make_ord,
-    replace_merge,
     update_changes,
 )
 from casemill.operators.backfill import backfill, profiles_of
 from casemill.operators.offsets import batch_end_offsets
 from casemill.operators.parse import CASE_SCHEMA, UPDATE_SCHEMA, classify, split
-from casemill.operators.profile import enrich_cases, extract_profile
-from casemill.schemas import KAFKA_SCHEMA
-from casemill.session import scratch_path
+from casemill.operators.profile import enrich_cases
+from casemill.schemas import LEDGER_COLUMNS
+from casemill.streaming.order import Batch, LogMark, Order
+
+LEDGER_DDL = "groupid string, topic string, kafka_partition int, kafka_offset bigint"
 
 
 @dataclass(frozen=True)
 class StreamPaths:
+    """Folders of one query.  `beside` names the roots of other queries that
+    feed the same table: their batches and this one's have one order."""
+
     root: str
+    beside: tuple[str, ...] = ()
 
     @property
     def changes(self) -> str:
@@ -68,17 +73,17 @@ class StreamPaths:
 
     @property
     def report(self) -> str:
-        """Per batch, written last: quarantined messages, positions reached and
-        a completion row (kinds `quarantine`, `position`, `done`)."""
+        """Quarantined messages per batch."""
         return f"{self.root}/report"
 
     @property
-    def backfills(self) -> str:
-        return f"{self.root}/backfills"
+    def ledger(self) -> str:
+        """Per batch, the positions of all partitions after it."""
+        return f"{self.root}/ledger"
 
     @property
-    def backfill_report(self) -> str:
-        return f"{self.root}/backfill_report"
+    def backfills(self) -> str:
+        return f"{self.root}/backfills"
 
     @property
     def history(self) -> str:
@@ -89,14 +94,10 @@ class StreamPaths:
         return f"{self.root}/_checkpoint"
 
 
-@dataclass(frozen=True)
-class LogMark:
-    """What a snapshot holds: stream batches and backfills up to these ids,
-    apart from the backfills in `without`, which were not complete."""
-
-    stream: int = -1
-    backfills: int = -1
-    without: tuple[int, ...] = ()
+def order_of(spark: SparkSession, paths: StreamPaths | list[StreamPaths]) -> Order:
+    """The order of the table that these roots and those beside them feed."""
+    roots = paths if isinstance(paths, list) else [paths]
+    return Order(spark, [r for p in roots for r in (p.root, *p.beside)])
 
 
 # a profile table, or what returns it as it is now
@@ -121,35 +122,21 @@ def _write_batch(df: DataFrame, folder: str, batch_id: int, mode: str = "overwri
     df.write.mode(mode).parquet(f"{folder}/batch_id={batch_id}")
 
 
-# `kafka_offset` of a `done` row: the time of completion in microseconds
-REPORT_SCHEMA = ("kind string, reason string, value string, topic string, partition int, offset bigint, "
-                 "groupid string, kafka_offset bigint")
+def _write_report(paths: StreamPaths, batch_id: int, quarantine: DataFrame) -> None:
+    columns = ["reason", "value", "topic", F.col("partition").cast("int"), F.col("offset").cast("bigint")]
+    _write_batch(quarantine.select(*columns), paths.report, batch_id)
 
 
-def _marker(spark: SparkSession, kind: str) -> DataFrame:
-    at = time.time_ns() // 1000 if kind == "done" else None
-    return spark.createDataFrame([(kind, None, None, None, None, None, None, at)], REPORT_SCHEMA)
-
-
-def _begin_batch(spark: SparkSession, paths: StreamPaths, batch_id: int) -> None:
-    """Take back the report of a batch that is about to be written again."""
-    if _read(spark, f"{paths.report}/batch_id={batch_id}") is not None:
-        _write_batch(_marker(spark, "begun"), paths.report, batch_id)
-
-
-def _finish_batch(spark: SparkSession, paths: StreamPaths, batch_id: int, quarantine: DataFrame,
-                  positions: DataFrame) -> None:
-    """Written last, as one small dataset: quarantine rows, ledger positions
-    and the `done` row that makes the batch complete."""
-    q = quarantine.select(
-        F.lit("quarantine").alias("kind"), "reason", "value", "topic",
-        F.col("partition").cast("int"), F.col("offset").cast("bigint"),
-        F.lit(None).cast("string").alias("groupid"), F.lit(None).cast("bigint").alias("kafka_offset"))
-    p = positions.select(
-        F.lit("position").alias("kind"), F.lit(None).cast("string").alias("reason"),
-        F.lit(None).cast("string").alias("value"), "topic", F.col("kafka_partition").alias("partition"),
-        F.lit(None).cast("bigint").alias("offset"), "groupid", "kafka_offset")
-    _write_batch(q.unionByName(p).unionByName(_marker(spark, "done")), paths.report, batch_id)
+def _write_ledger(spark: SparkSession, paths: StreamPaths, batch_id: int, ends: DataFrame) -> None:
+    """The ledger after a batch: the one after the batch before, with the
+    positions that this one reached.  A few rows, however many batches were."""
+    before = last_complete_batch(spark, paths, below=batch_id)
+    rows = ends.select(*LEDGER_COLUMNS, F.lit(1).alias("n"))
+    if before is not None:
+        held = spark.read.schema(LEDGER_DDL).parquet(f"{paths.ledger}/batch_id={before}")
+        rows = rows.unionByName(held.withColumn("n", F.lit(0)))
+    latest = rows.groupBy(*OFFSET_LEDGER.keys).agg(F.max_by("kafka_offset", "n").alias("kafka_offset"))
+    _write_batch(latest.coalesce(1), paths.ledger, batch_id)
 
 
 def _batch_profiles(valid: DataFrame, profiles: Profiles | None, extracted: Profiles | None) -> DataFrame:
@@ -174,7 +161,8 @@ def _handler(kind: str, paths: StreamPaths, group: str, as_of: str | None, profi
         try:
             if classified.isEmpty():  # probes the cached frame: nothing to write, positions unchanged
                 return
-            _begin_batch(batch.sparkSession, paths, batch_id)
+            order = order_of(batch.sparkSession, paths)
+            order.begin(paths.root, batch_id)
             valid, quarantine = split(classified)
             if kind == "intake":
                 enriched = enrich_cases(valid, _batch_profiles(valid, profiles, extracted), as_of, profile_addresses)
@@ -186,7 +174,9 @@ def _handler(kind: str, paths: StreamPaths, group: str, as_of: str | None, profi
             else:
                 changes = update_changes(valid, as_of, batch_id, UPDATE_RANK)
             _write_batch(changes, paths.changes, batch_id)
-            _finish_batch(batch.sparkSession, paths, batch_id, quarantine, batch_end_offsets(classified, group))
+            _write_report(paths, batch_id, quarantine)
+            _write_ledger(batch.sparkSession, paths, batch_id, batch_end_offsets(classified, group))
+            order.finish(paths.root, batch_id)
         finally:
             for df in held:
                 df.unpersist()
@@ -206,7 +196,8 @@ def _case_handler(paths: StreamPaths, group: str, intake_topic: str, update_topi
         try:
             if batch.isEmpty():  # probes the cached batch: nothing to write, positions unchanged
                 return
-            _begin_batch(batch.sparkSession, paths, batch_id)
+            order = order_of(batch.sparkSession, paths)
+            order.begin(paths.root, batch_id)
             ci = classify(batch.where(F.col("topic") == intake_topic), CASE_SCHEMA).persist()
             cu = classify(batch.where(F.col("topic") == update_topic), UPDATE_SCHEMA).persist()
             known = F.coalesce(F.col("topic").isin(intake_topic, update_topic), F.lit(False))
@@ -223,8 +214,9 @@ def _case_handler(paths: StreamPaths, group: str, intake_topic: str, update_topi
             changes = case_changes(enriched, batch_id, INTAKE_RANK).unionByName(
                 update_changes(valid_u, as_of, batch_id, UPDATE_RANK))
             _write_batch(changes, paths.changes, batch_id)
-            _finish_batch(batch.sparkSession, paths, batch_id, quarantine_i.unionByName(quarantine_u).unionByName(others),
-                          batch_end_offsets(batch, group))
+            _write_report(paths, batch_id, quarantine_i.unionByName(quarantine_u).unionByName(others))
+            _write_ledger(batch.sparkSession, paths, batch_id, batch_end_offsets(batch, group))
+            order.finish(paths.root, batch_id)
         finally:
             for df in held:
                 df.unpersist()
@@ -232,6 +224,16 @@ def _case_handler(paths: StreamPaths, group: str, intake_topic: str, update_topi
     return handle
 
 
+def handler(kind: str, paths: StreamPaths, group: str, as_of: str | None = None, profiles: Profiles | None = None,
+            profile_addresses: bool = True, write_history: bool = False, extracted: Profiles | None = None,
+            topics: tuple[str | None, str | None] = (None, None)) -> Callable[[DataFrame, int], None]:
+    """The `foreachBatch` function of a stream of `kind` `cases` (both
+    `topics`), `intake` or `update`, for a writer of the caller's own."""
+    if kind == "cases":
+        return _case_handler(paths, group, *topics, as_of, profiles, profile_addresses, extracted, write_history)
+    return _handler(kind, paths, group, as_of, profiles, profile_addresses, write_history, extracted)
+
+
 def start_case_stream(source: DataFrame, profiles: Profiles | None, paths: StreamPaths, group: str,
                       intake_topic: str, update_topic: str, as_of: str | None = None,
                       profile_addresses: bool = True, trigger: dict | None = None,
@@ -283,163 +285,135 @@ def start_update_stream(source: DataFrame, paths: StreamPaths, group: str, as_of
     return _start("update", source, paths, group, as_of, None, True, trigger, query_name)
 
 
-def _done(spark: SparkSession, report: str) -> DataFrame | None:
-    """`batch_id, at` of the complete batches of a report folder."""
-    rows = _read(spark, report)
-    if rows is None:
-        return None
-    return rows.where(F.col("kind") == "done").groupBy("batch_id").agg(F.max("kafka_offset").alias("at"))
+def _rows(spark: SparkSession, batches: list[Batch], folder: str, table: TableSpec) -> DataFrame | None:
+    """Change rows of the given batches below each root's `folder`, ordered by
+    the batches' places.  Only these batches' folders are listed and read."""
+    schema = T.StructType([
+        T.StructField("op", T.StringType()), *[T.StructField(k, T.StringType()) for k in table.keys],
+        T.StructField("ord", ORD_TYPE), T.StructField("mask", T.LongType()),
+        *[T.StructField(c, T.StringType()) for c in table.value_columns]])
+    out = None
+    for root in sorted({b.root for b in batches}):
+        mine = [b for b in batches if b.root == root]
+        read = spark.read.schema(schema).option("basePath", f"{root}/{folder}").parquet(*[f"{root}/{folder}/batch_id={b.id}" for b in mine])
+        keys = spark.createDataFrame([(b.id, b.key, b.rank) for b in mine], "batch_id bigint, at bigint, root_rank int")
+        rows = read.withColumn("batch_id", F.col("batch_id").cast("bigint")).join(F.broadcast(keys), "batch_id")  # a row per unfolded batch
+        if mine[0].log == "backfill":  # behind the batches of its place, by its own id
+            ord = make_ord(F.col("at"), F.col("ord.topic_rank"), F.col("batch_id"), F.col("root_rank"))
+        else:
+            ord = make_ord(F.col("at"), F.col("ord.topic_rank"), F.col("ord.offset"), F.col("ord.partition"))
+        rows = rows.withColumn("ord", ord).drop("at", "root_rank", "batch_id")
+        out = rows if out is None else out.unionByName(rows)
+    return out
 
 
-def _whole(spark: SparkSession, folder: str, report: str, wanted) -> DataFrame | None:
-    """The log's complete batches that `wanted` takes, ordered by their time
-    of completion.  The join on the folder column reads these folders alone."""
-    log, done = _read(spark, folder), _done(spark, report)
-    if log is None or done is None:
-        return None
-    done = done.where(wanted(F.col("batch_id")))
-    if done.isEmpty():
-        return None
-    rows = log.join(done, "batch_id")
-    return rows.withColumn("ord", make_ord(F.col("at"), F.col("ord.topic_rank"), F.col("ord.offset"), F.col("ord.partition"))).drop("at")
+def _log(spark: SparkSession, batches: list[Batch]) -> DataFrame | None:
+    """Change rows of stream batches and backfills; None if there are none."""
+    logs = [_rows(spark, [b for b in batches if b.log == log], folder, CASE_REPORT)
+            for log, folder in (("stream", "changes"), ("backfill", "backfills"))]
+    logs = [log for log in logs if log is not None]
+    return None if not logs else logs[0] if len(logs) == 1 else logs[0].unionByName(logs[1])
 
 
-def read_change_log(spark: SparkSession, paths: StreamPaths, mark: LogMark | None = None) -> DataFrame | None:
+def read_change_log(spark: SparkSession, paths: StreamPaths | list[StreamPaths], mark: LogMark | None = None) -> DataFrame | None:
     """Change rows of all complete stream batches and backfills that `mark`
     does not hold; None if there are none."""
-    mark = mark or LogMark()
-    logs = [
-        _whole(spark, paths.changes, paths.report, lambda b: b > mark.stream),
-        _whole(spark, paths.backfills, paths.backfill_report, lambda b: (b > mark.backfills) | b.isin(*mark.without)),
-    ]
-    logs = [log.drop("batch_id") for log in logs if log is not None]
-    return None if not logs else logs[0] if len(logs) == 1 else logs[0].unionByName(logs[1])
+    return _log(spark, order_of(spark, paths).complete(mark))
 
 
 def current_table(spark: SparkSession, paths: StreamPaths | list[StreamPaths], snapshot: DataFrame | None,
-                  mark: LogMark | list[LogMark] | None = None) -> DataFrame:
+                  mark: LogMark | None = None) -> DataFrame:
     """case_report now: the complete changes folded over the snapshot.
 
     `mark` is what `compact` returned with the snapshot; only the rest is
     read, and the snapshot itself is the answer when there is no rest.  Several
-    roots (an intake query and an update query, say) fold together in the
-    order in which their batches completed."""
-    roots = paths if isinstance(paths, list) else [paths]
-    marks = mark if isinstance(mark, list) else [mark] * len(roots)
-    logs = [log for log in (read_change_log(spark, p, m) for p, m in zip(roots, marks, strict=True)) if log is not None]
-    if not logs:
+    roots (an intake query and an update query, say) fold together; a mark
+    holds for the roots that were compacted together, and for no others."""
+    log = read_change_log(spark, paths, mark)
+    if log is None:
         return snapshot if snapshot is not None else empty_table(spark, CASE_REPORT)
-    log = logs[0]
-    for more in logs[1:]:
-        log = log.unionByName(more)
     return fold_changes(log, snapshot, CASE_REPORT)
 
 
-def _ids(spark: SparkSession, folder: str) -> DataFrame | None:
-    rows = _read(spark, folder)
-    return None if rows is None else rows.select(F.col("batch_id").cast("bigint")).distinct()
-
-
-def _top(ids: DataFrame | None) -> int:
-    top = None if ids is None else ids.agg(F.max("batch_id")).first()[0]
-    return -1 if top is None else int(top)
-
-
-def last_complete_batch(spark: SparkSession, paths: StreamPaths) -> int | None:
-    """Highest id of a complete stream batch."""
-    top = _top(_done(spark, paths.report))
-    return None if top < 0 else top
-
-
-def log_mark(spark: SparkSession, paths: StreamPaths) -> LogMark:
-    """What is complete now.  A query's batches complete one after the other;
-    backfills may not, so those begun and not complete are named."""
-    begun, done = _ids(spark, paths.backfill_report), _done(spark, paths.backfill_report)
-    without: tuple[int, ...] = ()
-    if begun is not None:
-        missing = begun if done is None else begun.join(done, "batch_id", "left_anti")
-        without = tuple(sorted(int(r[0]) for r in missing.collect()))  # one id per crashed or running backfill
-    return LogMark(_top(_done(spark, paths.report)), _top(begun), without)
+def last_complete_batch(spark: SparkSession, paths: StreamPaths, below: int | None = None) -> int | None:
+    """Highest id of a complete stream batch of this root."""
+    done = [b.id for b in Order(spark, [paths.root]).complete() if b.log == "stream" and (below is None or b.id < below)]
+    return max(done, default=None)
 
 
 def log_backfill(spark: SparkSession, paths: StreamPaths, ids: DataFrame, snapshot: DataFrame | None,
                  profiles: Profiles | None, columns: list[str], mark: LogMark | None = None,
                  extracted: Profiles | None = None) -> DataFrame:
-    """Run a profile backfill against the current table and log its changes;
-    returns the missing ids.
+    """Run a profile backfill against the table and log its changes; returns
+    the missing ids.
 
-    Snapshot and log are reduced to the listed ids before they are folded,
-    and profiles to the phones found.  The backfill's id is claimed by a
-    `begun` report, which fails if another backfill claimed it; the `done`
-    report, written last, puts it in order.
+    It reads the table as of the highest stable place and its changes stand
+    right behind that: a batch that completes or is replayed meanwhile keeps
+    its own place.  Snapshot and log are reduced to the listed ids before they
+    are folded, and profiles to the phones found.
     """
+    order = order_of(spark, paths)
+    batch_id, place = order.begin_backfill(paths.root)
     ids = ids.select(CASE_REPORT.keys[0]).distinct()
     listed = lambda df: None if df is None else df.join(ids, CASE_REPORT.keys[0], "left_semi")
-    log = listed(read_change_log(spark, paths, mark))
+    log = listed(_log(spark, order.as_of(place, mark, (paths.root, batch_id))))
     mine = listed(snapshot)
     cases = mine if log is None else fold_changes(log, mine, CASE_REPORT)
     if cases is None:
         cases = empty_table(spark, CASE_REPORT)
-    batch_id = _top(_ids(spark, paths.backfill_report)) + 1
-    _write_batch(_marker(spark, "begun"), paths.backfill_report, batch_id, mode="errorifexists")
     changes, missing = backfill(ids, cases, _now(profiles, spark), columns, batch_id=batch_id, extracted=_now(extracted, spark))
     _write_batch(changes, paths.backfills, batch_id)
-    _write_batch(_marker(spark, "done"), paths.backfill_report, batch_id)
+    order.finish_backfill(paths.root, batch_id)
     return missing
 
 
 def read_quarantine(spark: SparkSession, paths: StreamPaths) -> DataFrame | None:
     """Quarantined messages of all batches (reason, raw value, position)."""
-    report = _read(spark, paths.report)
-    if report is None:
-        return None
-    return report.where(F.col("kind") == "quarantine").select(
-        "reason", "value", "topic", "partition", "offset", "batch_id")
+    return _read(spark, paths.report)
 
 
-def current_history(spark: SparkSession, paths: StreamPaths, snapshot: DataFrame | None,
-                    after_batch: int = -1) -> DataFrame | None:
+def current_history(spark: SparkSession, paths: StreamPaths | list[StreamPaths], snapshot: DataFrame | None,
+                    mark: LogMark | None = None) -> DataFrame | None:
     """case_history now (streams started with `write_history`): complete
-    batches after `after_batch` folded over the snapshot."""
-    log = _whole(spark, paths.history, paths.report, lambda b: b > after_batch)
-    return snapshot if log is None else fold_changes(log.drop("batch_id"), snapshot, CASE_HISTORY)
+    batches that `mark` does not hold folded over the snapshot."""
+    return _history(spark, order_of(spark, paths).complete(mark), snapshot)
+
+
+def _history(spark: SparkSession, batches: list[Batch], snapshot: DataFrame | None) -> DataFrame | None:
+    written = [b for b in batches if b.log == "stream" and _exists(spark, f"{b.root}/history/batch_id={b.id}")]
+    log = _rows(spark, written, "history", CASE_HISTORY)
+    return snapshot if log is None else fold_changes(log, snapshot, CASE_HISTORY)
+
+
+def _exists(spark: SparkSession, folder: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
 
 
 def current_ledger(spark: SparkSession, paths: StreamPaths) -> DataFrame | None:
     """The offset ledger now: per (group, topic, partition) the position
-    written by the latest batch."""
-    report = _read(spark, paths.report)
-    if report is None:
-        return None
-    entries = report.where(F.col("kind") == "position").select(
-        "groupid", "topic", F.col("partition").alias("kafka_partition"), "kafka_offset", "batch_id")
-    types = {"kafka_partition": T.IntegerType(), "kafka_offset": T.LongType()}
-    return replace_merge(None, entries, OFFSET_LEDGER, ord=make_ord(F.col("batch_id"), 0), types=types)
-
-
-def compact(spark: SparkSession, paths: StreamPaths, snapshot: DataFrame | None, out: str,
-            buckets: int | None = None, table_name: str | None = None,
-            mark: LogMark | None = None) -> tuple[DataFrame, LogMark]:
-    """Fold the complete log into a new snapshot; returns it with the mark of
-    what it holds, to be passed to `current_table` from then on.
+    after the latest batch, whose few rows are all that is read."""
+    last = last_complete_batch(spark, paths)
+    return None if last is None else spark.read.schema(LEDGER_DDL).parquet(f"{paths.ledger}/batch_id={last}")
+
+
+def compact(spark: SparkSession, paths: StreamPaths | list[StreamPaths], snapshot: DataFrame | None, out: str,
+            buckets: int | None = None, table_name: str | None = None, mark: LogMark | None = None) -> tuple[DataFrame, LogMark]:
+    """Fold the complete logs of all roots into a new snapshot; returns it
+    with the mark of what it holds, to be passed to `current_table` from then on.
 
     `out` must be a new folder (version it, e.g. `snapshot-v2`): the old
-    snapshot is read while the new one is written.  Batches and backfills that
-    complete meanwhile are not held and stay in the log.  The write cuts the
-    lineage of the log.  With `buckets` the snapshot is stored bucketed and
-    sorted by the key, under `table_name` and a fresh suffix, so the next fold
-    joins it without shuffling the snapshot side.
+    snapshot is read while the new one is written.  The snapshot holds what is
+    ordered up to the highest stable place; batches that are not finished, and
+    all behind them, stay in the log.  The write cuts the lineage of the log.
+    With `buckets` the snapshot is stored bucketed and sorted by the key, under
+    `table_name` and a fresh suffix, so the next fold joins it without
+    shuffling the snapshot side.
     """
-    held, before = log_mark(spark, paths), mark or LogMark()
-    taken = lambda b, top, without: (b <= top) & ~b.isin(*without) if without else b <= top
-    logs = [
-        _whole(spark, paths.changes, paths.report, lambda b: (b > before.stream) & (b <= held.stream)),
-        _whole(spark, paths.backfills, paths.backfill_report, lambda b: ((b > before.backfills) | b.isin(*before.without))
-               & taken(b, held.backfills, held.without)),
-    ]
-    logs = [log.drop("batch_id") for log in logs if log is not None]
-    if logs:
-        log = logs[0] if len(logs) == 1 else logs[0].unionByName(logs[1])
+    order = order_of(spark, paths)
+    held = order.hold()
+    log = _log(spark, order.complete(mark, held))
+    if log is not None:
         folded = fold_changes(log, snapshot, CASE_REPORT)
     else:
         folded = snapshot if snapshot is not None else empty_table(spark, CASE_REPORT)
@@ -452,65 +426,18 @@ def compact(spark: SparkSession, paths: StreamPaths, snapshot: DataFrame | None,
     return spark.table(name), held
 
 
-def stage_source(spark: SparkSession, messages: DataFrame, folder: str, files: int = 4,
-                 by: str = "partition") -> None:
-    """Write Kafka-shaped rows as files, all rows of one `by` value (a Kafka
-    partition, or a key) per file: a stand-in for a topic when no broker is
-    at hand."""
-    (messages.select(*[F.col(f.name).cast(f.dataType) for f in KAFKA_SCHEMA.fields])
-     .repartition(files, by).write.mode("overwrite").parquet(folder))
-
-
-def slices(messages: DataFrame, n: int) -> list[DataFrame]:
-    """`messages` in `n` parts of ascending offsets."""
-    top = messages.agg(F.max("offset")).first()[0]
-    part = F.floor(F.col("offset") * n / F.lit((0 if top is None else int(top)) + 1))
-    return [messages.where(part == k) for k in range(n)]
-
-
-class Replay:
-    """A file source of Kafka-shaped rows and the stream over it: `feed`
-    appends messages, written by as many tasks as they come in, and runs the
-    query from its checkpoint until they are processed, in one micro-batch."""
-
-    def __init__(self, spark: SparkSession, kind: str, paths: StreamPaths, as_of: str | None = None, group: str | None = None,
-                 extracted: Profiles | None = None, intake_topic: str | None = None, update_topic: str | None = None):
-        self.spark, self.kind, self.paths, self.as_of = spark, kind, paths, as_of
-        self.group, self.extracted = group or f"case_{kind}", extracted
-        self.topics = (intake_topic, update_topic)
-
-    def feed(self, messages: DataFrame) -> None:
-        src = f"{self.paths.root}/source"
-        messages.select(*[F.col(f.name).cast(f.dataType) for f in KAFKA_SCHEMA.fields]).write.mode("append").parquet(src)
-        source = self.spark.readStream.schema(KAFKA_SCHEMA).parquet(src)
-        trigger = {"availableNow": True}
-        if self.kind == "cases":
-            q = start_case_stream(source, None, self.paths, self.group, *self.topics, self.as_of, trigger=trigger, extracted=self.extracted)
-        elif self.kind == "intake":
-            q = start_intake_stream(source, None, self.paths, self.group, self.as_of, trigger=trigger, extracted=self.extracted)
-        else:
-            q = start_update_stream(source, self.paths, self.group, self.as_of, trigger=trigger)
-        q.awaitTermination()
-        if q.exception() is not None:
-            raise RuntimeError(str(q.exception()))
-
-
-def stored_summary(spark: SparkSession, profiles: DataFrame, folder: str) -> Callable[[SparkSession], DataFrame]:
-    """Write the per-phone profile summary and return its reader."""
-    extract_profile(profiles).write.mode("errorifexists").parquet(folder)
-    return lambda s: s.read.parquet(folder)
-
-
-def run_stream_to_table(spark: SparkSession, kind: str, messages: DataFrame, snapshot: DataFrame | None,
-                        profiles: DataFrame | None = None, as_of: str | None = None,
-                        group: str | None = None, batches: int = 3, intake_topic: str | None = None,
-                        update_topic: str | None = None) -> DataFrame:
-    """Feed `messages` to the stream in `batches` micro-batches of ascending
-    offsets, so that the messages of one key span them, and return the folded
-    table.  The query is restarted from its checkpoint for each."""
-    paths = StreamPaths(scratch_path(spark, f"stream-{kind}"))
-    extracted = None if profiles is None else stored_summary(spark, profiles, f"{paths.root}/profile_summary")
-    replay = Replay(spark, kind, paths, as_of, group, extracted, intake_topic, update_topic)
-    for part in slices(messages, batches):
-        replay.feed(part)
-    return current_table(spark, paths, snapshot)
+def compact_history(spark: SparkSession, paths: StreamPaths | list[StreamPaths], history: DataFrame | None, out: str,
+                    held: LogMark, mark: LogMark | None = None) -> DataFrame:
+    """Fold the history of the batches that `held` holds (and `mark` does not)
+    into a new history snapshot: `held` is what `compact` returned, so changes
+    and history go by one mark.  Run it before `prune_log`."""
+    folded = _history(spark, order_of(spark, paths).complete(mark, held), history)
+    (empty_table(spark, CASE_HISTORY) if folded is None else folded).write.mode("errorifexists").parquet(out)
+    return spark.read.parquet(out)
+
+
+def prune_log(spark: SparkSession, paths: StreamPaths | list[StreamPaths], mark: LogMark) -> list[str]:
+    """Remove the batch folders that the snapshot with `mark` holds; returns
+    them.  The snapshot (and the history's) must be written; earlier marks are
+    of no use afterwards.  Quarantined messages stay."""
+    return order_of(spark, paths).prune(mark, {"stream": "changes,history,ledger", "backfill": "backfills"})
