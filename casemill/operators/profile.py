@@ -80,41 +80,68 @@ def extract_profile(profiles: DataFrame, address_key: str = PROFILE_ADDRESS_KEY,
     give one deterministic answer.
     """
     columns = EXTRACTED_COLUMNS if columns is None else ["phone", *[c for c in columns if c != "phone"]]
-    docs = parse_profile_docs(profiles, address_key)
-    about = docs.select(
+    if "call_record_top_ten" in columns:
+        return rank_state(profile_state(profiles, address_key), k).select(*columns)
+    per_phone = _about(profiles, address_key).groupBy("phone").agg(*_merged())
+    return _rendered(per_phone.withColumn("top", F.lit(None).cast("array<string>"))).select(*columns)
+
+
+def _about(profiles: DataFrame, address_key: str) -> DataFrame:
+    return parse_profile_docs(profiles, address_key).select(
         "phone", "ok",
         F.when(F.col("addr").isNotNull(), F.struct("part", "addr")).alias("a"),
         F.when(F.col("shared").isNotNull(), F.struct("part", "shared")).alias("s"),
         "contacts",
     )
-    merged = [F.min("a").alias("a"), F.min("s").alias("s"), F.max("ok").alias("ok")]
-    if "call_record_top_ten" not in columns:
-        per_phone = about.groupBy("phone").agg(*merged).withColumn("top", F.lit(None).cast("array<string>"))
-    else:
-        # one row for the document itself (no contact) and one per contact, so
-        # the document is parsed once for both
-        entry = "struct<peer_num:string,call_cnt_6m:string>"
-        itself = F.array(F.lit(None).cast(entry))
-        contacts = F.transform(F.coalesce("contacts", F.array()), lambda c: F.struct(
-            c["peer_num"].alias("peer_num"), c["call_cnt_6m"].alias("call_cnt_6m")))
-        rows = about.select("phone", "ok", "a", "s", F.explode(F.concat(itself, contacts.cast(f"array<{entry}>"))).alias("e"))
-        is_doc = F.col("e").isNull()
-        rows = rows.select("phone", is_doc.alias("is_doc"), F.col("e.peer_num").alias("peer"),
-                           F.col("e.call_cnt_6m").try_cast("bigint").alias("cnt"),
-                           *[F.when(is_doc, F.col(c)).alias(c) for c in ("ok", "a", "s")])
-        per_peer = rows.groupBy("phone", "is_doc", "peer").agg(F.sum("cnt").alias("cnt"), *merged)
-        order = Window.partitionBy("phone", "is_doc").orderBy(F.col("cnt").desc_nulls_last(), F.col("peer").asc_nulls_last())
-        best = per_peer.withColumn("rn", F.row_number().over(order)).where(F.col("rn") <= k)
-        listed = F.when(~F.col("is_doc"), F.struct("rn", "peer"))
-        per_phone = best.groupBy("phone").agg(F.sort_array(F.collect_list(listed)).alias("top"), *merged)
-        per_phone = per_phone.withColumn("top", F.transform("top", lambda x: x["peer"]))
+
+
+def _merged() -> list[Column]:
+    return [F.min("a").alias("a"), F.min("s").alias("s"), F.max("ok").alias("ok")]
+
+
+STATE_DDL = ("phone string, is_doc boolean, peer string, cnt bigint, a struct<part:bigint,addr:string>, "
+             "s struct<part:bigint,shared:string>, ok boolean")
+
+
+def profile_state(profiles: DataFrame, address_key: str = PROFILE_ADDRESS_KEY) -> DataFrame:
+    """What a set of documents adds to their phones (`STATE_DDL`): a row per
+    (phone, peer) with its added-up count, and one per phone (`is_doc`) with
+    the first addresses and the status.  States of several sets merge."""
+    # one row for the document itself (no contact) and one per contact, so
+    # the document is parsed once for both
+    entry = "struct<peer_num:string,call_cnt_6m:string>"
+    itself = F.array(F.lit(None).cast(entry))
+    contacts = F.transform(F.coalesce("contacts", F.array()), lambda c: F.struct(
+        c["peer_num"].alias("peer_num"), c["call_cnt_6m"].alias("call_cnt_6m")))
+    rows = _about(profiles, address_key).select("phone", "ok", "a", "s", F.explode(F.concat(itself, contacts.cast(f"array<{entry}>"))).alias("e"))
+    is_doc = F.col("e").isNull()
+    return merge_state(rows.select("phone", is_doc.alias("is_doc"), F.col("e.peer_num").alias("peer"),
+                                   F.col("e.call_cnt_6m").try_cast("bigint").alias("cnt"),
+                                   *[F.when(is_doc, F.col(c)).alias(c) for c in ("ok", "a", "s")]))
+
+
+def merge_state(rows: DataFrame) -> DataFrame:
+    """States added up."""
+    return rows.groupBy("phone", "is_doc", "peer").agg(F.sum("cnt").alias("cnt"), *_merged())
+
+
+def rank_state(state: DataFrame, k: int = TOP_CONTACTS) -> DataFrame:
+    """The extracted columns of a merged state's phones."""
+    order = Window.partitionBy("phone", "is_doc").orderBy(F.col("cnt").desc_nulls_last(), F.col("peer").asc_nulls_last())
+    best = state.withColumn("rn", F.row_number().over(order)).where(F.col("rn") <= k)
+    listed = F.when(~F.col("is_doc"), F.struct("rn", "peer"))
+    per_phone = best.groupBy("phone").agg(F.sort_array(F.collect_list(listed)).alias("top"), *_merged())
+    return _rendered(per_phone.withColumn("top", F.transform("top", lambda x: x["peer"])))
+
+
+def _rendered(per_phone: DataFrame) -> DataFrame:
     return per_phone.select(
         "phone",
         join_or_default(F.col("top")).alias("call_record_top_ten"),
         F.coalesce(F.col("a.addr"), F.lit(UNKNOWN)).alias("address_detail"),
         F.coalesce(F.col("s.shared"), F.lit(UNKNOWN)).alias("shared_address"),
         F.when(F.col("ok"), F.lit("ok")).otherwise(F.lit("no_report")).alias("profile_status"),
-    ).select(*columns)
+    )
 
 
 def enrich_cases(cases: DataFrame, extracted: DataFrame, as_of: str | None = None,

@@ -102,7 +102,7 @@ def q_case_intake_basic(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_history_replace(spark: SparkSession, sf: str) -> DataFrame:
     valid, _ = parse_cases(D.case_messages(spark, sf))
-    return history_merge(None, valid)
+    return history_merge(D.existing_history(spark, sf), valid)
 
 
 def _updates(spark: SparkSession, sf: str, which: str | None) -> DataFrame:
@@ -235,6 +235,33 @@ def q_stream_two_roots(spark: SparkSession, sf: str) -> DataFrame:
     return S.current_table(spark, [one, two], snapshot, mark)
 
 
+def q_stream_compact_parts(spark: SparkSession, sf: str) -> DataFrame:
+    """Updates in three batches over a snapshot in parts; after the first two
+    the parts they touch are compacted."""
+    from casemill.plans import replay as R
+    from casemill.streaming import drivers as S
+    paths = S.StreamPaths(scratch_path(spark, "stream-parts"))
+    snapshot = S.parted_snapshot(spark, f"{paths.root}/snapshot", parts=16)
+    snapshot.replace(D.existing_cases(spark, sf), range(16), 0)
+    replay = R.Replay(spark, "update", paths, AS_OF)
+    *first, last = R.slices(D.update_messages(spark, sf), 3)
+    for part in first:
+        replay.feed(part)
+        S.prune_log(spark, paths, S.compact_parts(spark, paths, snapshot))
+    replay.feed(last)
+    return S.current_table(spark, paths, snapshot.read(), S.snapshot_mark(snapshot))
+
+
+def q_profile_store(spark: SparkSession, sf: str) -> DataFrame:
+    """Profile documents added to a store in three parts."""
+    from casemill.operators.profile_store import ProfileStore
+    store = ProfileStore(spark, scratch_path(spark, "profile-store"), parts=16)
+    docs = D.profiles(spark, sf)
+    for k in range(3):
+        store.add(docs.where(F.col("part") % 3 == k), k)
+    return store.read().select("phone", "call_record_top_ten", "address_detail", "shared_address")
+
+
 def q_id_list(spark: SparkSession, sf: str) -> DataFrame:
     """An id list written as text lines and read back."""
     path = scratch_path(spark, "id-list")
@@ -291,6 +318,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_cases": q_stream_cases,
     "stream_backfill_compact": q_stream_backfill_compact,
     "stream_two_roots": q_stream_two_roots,
+    "stream_compact_parts": q_stream_compact_parts,
+    "profile_store": q_profile_store,
     "id_list": q_id_list,
     "extract_text": q_extract_text,
     "case_parse_binary": q_case_parse_binary,

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casemill.operators.merge import CASE_REPORT
+from casemill.operators.merge import CASE_HISTORY, CASE_REPORT
 from casemill.schemas import CASE_FIELDS, UPDATE_FIELDS
 from casemill.sources.tables import read_table
 
@@ -21,7 +21,7 @@ INTAKE_TOPIC = "case_increment"
 UPDATE_TOPIC = "case_update"
 INTAKE_GROUP = "case_increment"
 UPDATE_GROUP = "case_update"
-PROFILE_BLOCK = 10000
+PROFILE_BLOCK = 500
 AS_OF = "2024-06-30"
 
 
@@ -155,6 +155,19 @@ def existing_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.selectExpr(*[f"{given.get(col, 'CAST(NULL AS STRING)')} AS `{col}`" for col in CASE_REPORT.columns])
 
 
+def existing_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """case_history snapshot from customer; a third of the customers are known
+    by ids that no message carries."""
+    c = read_table(spark, sf_dir, "customer")
+    given = {
+        "overdueId": "CASE WHEN c_custkey % 3 = 0 THEN concat('H', c_custkey) ELSE CAST(c_custkey AS STRING) END",
+        "name": "c_name",
+        "address": "'held'",
+        "status": "c_mktsegment",
+    }
+    return c.selectExpr(*[f"{given.get(col, 'CAST(NULL AS STRING)')} AS `{col}`" for col in CASE_HISTORY.columns])
+
+
 def id_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D5: id-list lines (`value`): ids, padded repeats, blanks, unknown ids."""
     c = read_table(spark, sf_dir, "customer").select("c_custkey")

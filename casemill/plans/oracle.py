@@ -359,7 +359,13 @@ def _sql_history_replace() -> str:
     fields["address"] = "''"
     last = ("last AS (SELECT * FROM d1 WHERE reason IS NULL "
             "QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) = 1)")
-    return _with(D1, last) + "SELECT\n  " + _cols(CASE_HISTORY_COLUMNS, fields) + "\nFROM last"
+    now = "now AS (SELECT\n  " + _cols(CASE_HISTORY_COLUMNS, fields) + "\nFROM last)"
+    held = {c: NULL for c in CASE_HISTORY_COLUMNS} | {
+        "overdueId": "CASE WHEN c_custkey % 3 = 0 THEN 'H' || CAST(c_custkey AS VARCHAR) ELSE CAST(c_custkey AS VARCHAR) END",
+        "name": "c_name", "address": "'held'", "status": "c_mktsegment"}
+    old = "old AS (SELECT\n  " + _cols(CASE_HISTORY_COLUMNS, held) + "\nFROM customer)"
+    return _with(D1, last, now, old) + ('SELECT * FROM now UNION ALL SELECT * FROM old WHERE "overdueId" NOT IN '
+                                        '(SELECT "overdueId" FROM now)')
 
 
 def _sql_updates(ops: str | None) -> str:
@@ -510,6 +516,9 @@ ORACLE_SQL: dict[str, str] = {
     "stream_cases": _sql_stream_cases(),
     "stream_backfill_compact": _sql_stream_backfill_compact(),
     "stream_two_roots": _sql_stream_two_roots(),
+    "stream_compact_parts": _sql_updates(None),
+    "profile_store": _with(PROFILE) + ("SELECT phone, top AS call_record_top_ten, addr AS address_detail, "
+                                       "shared AS shared_address FROM pfull"),
     "id_list": _with(IDS) + "SELECT overdue_id FROM ids",
     "extract_text": _sql_extract_cases(),
     "case_parse_binary": _sql_case_parse(),

@@ -3,12 +3,10 @@ for a topic where no broker is at hand."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casemill.operators.profile import extract_profile
+from casemill.operators.profile_store import ProfileStore
 from casemill.schemas import KAFKA_SCHEMA
 from casemill.session import scratch_path
 from casemill.streaming.drivers import (
@@ -45,7 +43,7 @@ class Replay:
     query from its checkpoint until they are processed, in one micro-batch."""
 
     def __init__(self, spark: SparkSession, kind: str, paths: StreamPaths, as_of: str | None = None, group: str | None = None,
-                 extracted: Profiles | None = None, intake_topic: str | None = None, update_topic: str | None = None):
+                 extracted: Profiles | ProfileStore | None = None, intake_topic: str | None = None, update_topic: str | None = None):
         self.spark, self.kind, self.paths, self.as_of = spark, kind, paths, as_of
         self.group, self.extracted = group or f"case_{kind}", extracted
         self.topics = (intake_topic, update_topic)
@@ -72,10 +70,11 @@ class Replay:
             raise RuntimeError(str(q.exception()))
 
 
-def stored_summary(spark: SparkSession, profiles: DataFrame, folder: str) -> Callable[[SparkSession], DataFrame]:
-    """Write the per-phone profile summary and return its reader."""
-    extract_profile(profiles).write.mode("errorifexists").parquet(folder)
-    return lambda s: s.read.parquet(folder)
+def stored_summary(spark: SparkSession, profiles: DataFrame, folder: str, parts: int = 8) -> ProfileStore:
+    """A profile store with the documents of `profiles`."""
+    store = ProfileStore(spark, folder, parts)
+    store.add(profiles, 0)
+    return store
 
 
 def run_stream_to_table(spark: SparkSession, kind: str, messages: DataFrame, snapshot: DataFrame | None,

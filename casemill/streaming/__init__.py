@@ -4,14 +4,17 @@ from casemill.streaming.drivers import (
     StreamPaths,
     compact,
     compact_history,
+    compact_parts,
     current_history,
     current_ledger,
     current_table,
     log_backfill,
     order_of,
+    parted_snapshot,
     prune_log,
     read_change_log,
     read_quarantine,
+    snapshot_mark,
     start_case_stream,
     start_intake_stream,
     start_update_stream,
@@ -20,6 +23,7 @@ from casemill.streaming.order import LogMark
 
 __all__ = [
     "LogMark", "StreamPaths", "compact", "current_history", "current_ledger", "current_table", "log_backfill", "order_of", "prune_log", "compact_history",
+    "compact_parts", "parted_snapshot", "snapshot_mark",
     "read_change_log", "read_quarantine", "start_case_stream", "start_intake_stream",
     "start_update_stream",
 ]

@@ -53,7 +53,10 @@ from casemill.operators.backfill import backfill, profiles_of
 from casemill.operators.offsets import batch_end_offsets
 from casemill.operators.parse import CASE_SCHEMA, UPDATE_SCHEMA, classify, split
 from casemill.operators.profile import enrich_cases
+from casemill.operators.profile_store import ProfileStore
 from casemill.schemas import LEDGER_COLUMNS
+from casemill.sources.files import exists
+from casemill.sources.parts import PartTable
 from casemill.streaming.order import Batch, LogMark, Order
 
 LEDGER_DDL = "groupid string, topic string, kafka_partition int, kafka_offset bigint"
@@ -139,20 +142,23 @@ def _write_ledger(spark: SparkSession, paths: StreamPaths, batch_id: int, ends:
     _write_batch(latest.coalesce(1), paths.ledger, batch_id)
 
 
-def _batch_profiles(valid: DataFrame, profiles: Profiles | None, extracted: Profiles | None) -> DataFrame:
+def _batch_profiles(valid: DataFrame, profiles: Profiles | None, extracted: Profiles | ProfileStore | None) -> DataFrame:
     """Extracted profile rows for the phones of one micro-batch, from the
     tables as they are now (where a reader was given, not a frame).
 
-    With a precomputed summary (`extract_profile` run as a batch job over the
-    whole profile table) only that compact table is semi-joined; otherwise
-    the raw documents of the batch's phones are parsed."""
+    From a `ProfileStore` only the parts are read that hold the batch's
+    phones.  Another precomputed summary (`extract_profile` run as a batch job
+    over the whole profile table) is semi-joined whole; otherwise the raw
+    documents of the batch's phones are parsed."""
     spark = valid.sparkSession
     phones = valid.select(F.col("mobile").alias("phone")).distinct()
+    if isinstance(extracted, ProfileStore):
+        return extracted.of(phones)
     return profiles_of(phones, _now(profiles, spark), extracted=_now(extracted, spark))
 
 
 def _handler(kind: str, paths: StreamPaths, group: str, as_of: str | None, profiles: Profiles | None,
-             profile_addresses: bool, write_history: bool = False, extracted: Profiles | None = None):
+             profile_addresses: bool, write_history: bool = False, extracted: Profiles | ProfileStore | None = None):
     schema = CASE_SCHEMA if kind == "intake" else UPDATE_SCHEMA
 
     def handle(batch: DataFrame, batch_id: int) -> None:
@@ -185,7 +191,7 @@ def _handler(kind: str, paths: StreamPaths, group: str, as_of: str | None, profi
 
 
 def _case_handler(paths: StreamPaths, group: str, intake_topic: str, update_topic: str, as_of: str | None,
-                  profiles: Profiles | None, profile_addresses: bool, extracted: Profiles | None = None,
+                  profiles: Profiles | None, profile_addresses: bool, extracted: Profiles | ProfileStore | None = None,
                   write_history: bool = False):
     """One micro-batch holding both topics: intake replaces apply before the
     batch's updates (topic rank), so the order between the topics is defined."""
@@ -225,7 +231,7 @@ def _case_handler(paths: StreamPaths, group: str, intake_topic: str, update_topi
 
 
 def handler(kind: str, paths: StreamPaths, group: str, as_of: str | None = None, profiles: Profiles | None = None,
-            profile_addresses: bool = True, write_history: bool = False, extracted: Profiles | None = None,
+            profile_addresses: bool = True, write_history: bool = False, extracted: Profiles | ProfileStore | None = None,
             topics: tuple[str | None, str | None] = (None, None)) -> Callable[[DataFrame, int], None]:
     """The `foreachBatch` function of a stream of `kind` `cases` (both
     `topics`), `intake` or `update`, for a writer of the caller's own."""
@@ -237,7 +243,7 @@ def handler(kind: str, paths: StreamPaths, group: str, as_of: str | None = None,
 def start_case_stream(source: DataFrame, profiles: Profiles | None, paths: StreamPaths, group: str,
                       intake_topic: str, update_topic: str, as_of: str | None = None,
                       profile_addresses: bool = True, trigger: dict | None = None,
-                      query_name: str | None = None, extracted: Profiles | None = None,
+                      query_name: str | None = None, extracted: Profiles | ProfileStore | None = None,
                       write_history: bool = False) -> StreamingQuery:
     """Both topics in one query: the recommended way to feed one case table.
 
@@ -258,7 +264,7 @@ def start_case_stream(source: DataFrame, profiles: Profiles | None, paths: Strea
 def _start(kind: str, source: DataFrame, paths: StreamPaths, group: str, as_of: str | None,
            profiles: Profiles | None, profile_addresses: bool, trigger: dict | None,
            query_name: str | None, write_history: bool = False,
-           extracted: Profiles | None = None) -> StreamingQuery:
+           extracted: Profiles | ProfileStore | None = None) -> StreamingQuery:
     handler = _handler(kind, paths, group, as_of, profiles, profile_addresses, write_history, extracted)
     writer = (source.writeStream.foreachBatch(handler)
               .option("checkpointLocation", paths.checkpoint))
@@ -271,7 +277,7 @@ def _start(kind: str, source: DataFrame, paths: StreamPaths, group: str, as_of:
 def start_intake_stream(source: DataFrame, profiles: Profiles | None, paths: StreamPaths, group: str,
                         as_of: str | None = None, profile_addresses: bool = True,
                         trigger: dict | None = None, query_name: str | None = None,
-                        write_history: bool = False, extracted: Profiles | None = None) -> StreamingQuery:
+                        write_history: bool = False, extracted: Profiles | ProfileStore | None = None) -> StreamingQuery:
     """Case messages -> enriched replaces in the change log (and, with
     `write_history`, full-row replaces of case_history).  `extracted` as in
     `start_case_stream`."""
@@ -343,7 +349,7 @@ def last_complete_batch(spark: SparkSession, paths: StreamPaths, below: int | No
 
 def log_backfill(spark: SparkSession, paths: StreamPaths, ids: DataFrame, snapshot: DataFrame | None,
                  profiles: Profiles | None, columns: list[str], mark: LogMark | None = None,
-                 extracted: Profiles | None = None) -> DataFrame:
+                 extracted: Profiles | ProfileStore | None = None) -> DataFrame:
     """Run a profile backfill against the table and log its changes; returns
     the missing ids.
 
@@ -380,16 +386,11 @@ def current_history(spark: SparkSession, paths: StreamPaths | list[StreamPaths],
 
 
 def _history(spark: SparkSession, batches: list[Batch], snapshot: DataFrame | None) -> DataFrame | None:
-    written = [b for b in batches if b.log == "stream" and _exists(spark, f"{b.root}/history/batch_id={b.id}")]
+    written = [b for b in batches if b.log == "stream" and exists(spark, f"{b.root}/history/batch_id={b.id}")]
     log = _rows(spark, written, "history", CASE_HISTORY)
     return snapshot if log is None else fold_changes(log, snapshot, CASE_HISTORY)
 
 
-def _exists(spark: SparkSession, folder: str) -> bool:
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
-
-
 def current_ledger(spark: SparkSession, paths: StreamPaths) -> DataFrame | None:
     """The offset ledger now: per (group, topic, partition) the position
     after the latest batch, whose few rows are all that is read."""
@@ -426,6 +427,36 @@ def compact(spark: SparkSession, paths: StreamPaths | list[StreamPaths], snapsho
     return spark.table(name), held
 
 
+def parted_snapshot(spark: SparkSession, folder: str, parts: int = 64) -> PartTable:
+    """A case_report snapshot in parts by the hash of its key."""
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in CASE_REPORT.columns])
+    return PartTable(spark, folder, CASE_REPORT.keys[0], schema, parts)
+
+
+def snapshot_mark(snapshot: PartTable) -> LogMark | None:
+    """What a parted snapshot holds: the mark that its version was written with."""
+    note = snapshot.version().note
+    return LogMark(note["place"], tuple((r, n) for r, n in note["backfills"])) if note else None
+
+
+def compact_parts(spark: SparkSession, paths: StreamPaths | list[StreamPaths], snapshot: PartTable) -> LogMark:
+    """Fold the complete logs of all roots into a parted snapshot.  Only the
+    parts that a changed key is in are read and written; the version and its
+    mark begin to exist together."""
+    order = order_of(spark, paths)
+    before = snapshot_mark(snapshot)
+    held = order.hold()
+    log = _log(spark, order.complete(before, held))
+    note = {"place": held.place, "backfills": held.backfills}
+    number = snapshot.version().number + 1
+    if log is None:
+        snapshot.replace(empty_table(spark, CASE_REPORT), [], number, note)
+        return held
+    touched = snapshot.touched(log)
+    snapshot.replace(fold_changes(log, snapshot.read(touched), CASE_REPORT), touched, number, note)
+    return held
+
+
 def compact_history(spark: SparkSession, paths: StreamPaths | list[StreamPaths], history: DataFrame | None, out: str,
                     held: LogMark, mark: LogMark | None = None) -> DataFrame:
     """Fold the history of the batches that `held` holds (and `mark` does not)

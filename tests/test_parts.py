@@ -1,0 +1,142 @@
+"""Tables in parts, profile stores and the compaction of touched parts."""
+
+import glob
+import os
+
+import pytest
+from casemill.operators.profile import extract_profile
+from casemill.operators.profile_store import ProfileStore
+from casemill.plans import derived as D
+from casemill.plans.replay import Replay
+from casemill.session import scratch_path
+from casemill.sources.parts import PartTable
+from casemill.streaming.drivers import (
+    StreamPaths,
+    compact,
+    compact_parts,
+    current_table,
+    parted_snapshot,
+    snapshot_mark,
+)
+from helpers import SF_SMALL
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+KV = T.StructType([T.StructField("k", T.StringType()), T.StructField("v", T.LongType())])
+
+
+def rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def kv(spark, *pairs):
+    return spark.createDataFrame(list(pairs), KV)
+
+
+def parts_read(df):
+    return {f.split("/part=")[1].split("/")[0] for f in df.inputFiles()}
+
+
+def test_new_version_rewrites_touched_parts_alone(spark):
+    t = PartTable(spark, scratch_path(spark, "test-parts"), "k", KV, parts=8)
+    assert t.read().collect() == [] and t.version().number == -1
+    first = [(f"k{i}", i) for i in range(40)] + [(None, 7)]
+    t.replace(kv(spark, *first), range(8), 0, {"n": 1})
+    files = {f: os.path.getmtime(f) for f in glob.glob(f"{t.folder}/data/version=0/part=*/*.parquet")}
+    change = kv(spark, ("k3", 300), ("k39", 390))
+    touched = t.touched(change)
+    old = t.read(touched).join(change.select("k"), "k", "left_anti")
+    before = t.version()
+    after = t.replace(old.unionByName(change), touched, 1)
+    assert 1 <= len(touched) <= 2 and {k for k, v in after.parts.items() if v == 1} == set(touched)
+    assert rows(t.read()) == rows(kv(spark, *[(k, {"k3": 300, "k39": 390}.get(k, v)) for k, v in first]))
+    assert files == {f: os.path.getmtime(f) for f in files}  # the other version's files are as they were
+    assert rows(t.read(version=before)) == rows(kv(spark, *first))  # a reader of it is not disturbed
+    assert {int(n) for n in parts_read(t.read(touched))} == set(touched)
+    # an emptied part, a repeated version, rows elsewhere, another number of parts
+    t.replace(kv(spark), touched, 2)
+    assert not set(touched) & set(t.version().parts) and t.version().note == {}
+    for number, error in ((2, "not new"), (3, "outside")):
+        with pytest.raises(ValueError, match=error):
+            t.replace(kv(spark, ("k1", 1)), [] if number == 3 else range(8), number)
+    with pytest.raises(ValueError, match="8 parts"):
+        PartTable(spark, t.folder, "k", KV, parts=4).read()
+    # the write that failed half-way left files, yet no version; it can be repeated
+    t.replace(kv(spark, ("k1", 11)), t.touched(kv(spark, ("k1", 0))), 3)
+    assert [r[1] for r in rows(t.read()) if r[0] == "k1"] == [11]
+    assert t.unused(keep=1) == [f"{t.folder}/data/version={n}" for n in (1, 2)]  # all that 1 wrote was emptied, 2 wrote nothing
+
+
+def contacts(*docs):
+    """(phone, part, {peer: calls}, address) as profile documents."""
+    import json
+    return [(p, k, json.dumps({"mxReport": {"call_contact_detail": [{"peer_num": a, "call_cnt_6m": str(n)} for a, n in c.items()],
+                                            "cell_phone": [{"key": "address", "value": v}] if v else []}})) for p, k, c, v in docs]
+
+
+def test_added_documents_equal_the_whole(spark):
+    schema = "phone string, part long, doc string"
+    one = contacts(("p1", 5, {f"9{i:02}": 10 - i % 5 for i in range(15)}, "late"), ("p2", 0, {"1": 1}, None), ("p3", 0, {}, "x"))
+    two = contacts(("p1", 1, {"914": 100, "new": 3}, "early"), ("p4", 0, {"7": 2}, "y")) + [("p5", 0, "no json"), (None, 0, "{}")]
+    three = [("p5", 1, one[2][2]), ("p2", 1, "{}")]
+    store = ProfileStore(spark, scratch_path(spark, "test-store"), parts=4)
+    for n, docs in enumerate((one, two, three)):
+        store.add(spark.createDataFrame(docs, schema), n)
+    whole = extract_profile(spark.createDataFrame(one + two + three, schema).where("phone IS NOT NULL"))
+    assert rows(store.read()) == rows(whole) and len(rows(whole)) == 5
+    store.add(spark.createDataFrame(three, schema), 2)  # repeated: not added again
+    assert rows(store.read()) == rows(whole)
+    store.add(spark.createDataFrame([], schema), 3)
+    assert rows(store.read()) == rows(whole) and store.of(spark.createDataFrame([], "phone string")).count() == 0
+
+
+def test_an_addition_that_stopped_half_way(spark, monkeypatch):
+    schema = "phone string, part long, doc string"
+    docs = spark.createDataFrame(contacts(("p1", 0, {"a": 2, "b": 3}, "x")), schema)
+    more = spark.createDataFrame(contacts(("p1", 1, {"a": 2}, "y")), schema)
+    store = ProfileStore(spark, scratch_path(spark, "test-half"), parts=4)
+    store.add(docs, 0)
+    with monkeypatch.context() as m, pytest.raises(RuntimeError):
+        def stop(*args):
+            raise RuntimeError("stop")
+        m.setattr(store.summary, "replace", stop)
+        store.add(more, 1)  # the state is written, the summary is not
+    assert rows(store.read()) == rows(extract_profile(docs))
+    store.add(more, 1)
+    assert rows(store.read()) == rows(extract_profile(docs.unionByName(more)))
+
+
+def test_lookup_reads_the_parts_of_its_phones(spark):
+    store = ProfileStore(spark, scratch_path(spark, "test-lookup"), parts=16)
+    profiles = D.profiles(spark, SF_SMALL)
+    store.add(profiles, 0)
+    phones = spark.createDataFrame([(r.phone,) for r in store.read().select("phone").orderBy("phone").limit(2).collect()], "phone string")
+    found = store.of(phones)
+    assert parts_read(found) == {str(k) for k in store.summary.touched(phones)} and len(parts_read(store.read())) > 8
+    assert rows(found) == rows(extract_profile(profiles).join(phones, "phone", "left_semi"))
+
+
+def test_compaction_of_touched_parts(spark):
+    cases = D.existing_cases(spark, SF_SMALL)
+    updates = D.update_messages(spark, SF_SMALL)
+    few = updates.where(F.col("key").isin("1", "2"))
+    paths = StreamPaths(scratch_path(spark, "test-compact-parts"))
+    snapshot = parted_snapshot(spark, paths.root + "/snapshot", parts=16)
+    snapshot.replace(cases, range(16), 0)
+    assert snapshot_mark(snapshot) is None
+    replay = Replay(spark, "update", paths, "2024-06-30")
+    replay.feed(few)
+    want = rows(current_table(spark, paths, cases))
+    mark = compact_parts(spark, paths, snapshot)
+    version = snapshot.version()
+    touched = {k for k, v in version.parts.items() if v == 1}
+    assert 1 <= len(touched) <= 2 and snapshot_mark(snapshot) == mark
+    assert rows(snapshot.read()) == want == rows(current_table(spark, paths, snapshot.read(), mark))
+    # nothing new: a version that rewrites nothing; then the rest
+    compact_parts(spark, paths, snapshot)
+    assert snapshot.version().parts == version.parts
+    replay.feed(updates.where(~F.col("key").isin("1", "2")))
+    want = rows(current_table(spark, paths, cases))
+    assert rows(current_table(spark, paths, snapshot.read(), snapshot_mark(snapshot))) == want
+    compact_parts(spark, paths, snapshot)
+    assert rows(snapshot.read()) == want == rows(compact(spark, paths, cases, paths.root + "/whole")[0])
