@@ -35,15 +35,21 @@ def profiles_of(phones: DataFrame, profiles: DataFrame | None, address_key: str
                 extracted: DataFrame | None = None, columns: list[str] | None = None) -> DataFrame:
     """Extracted profile rows of `phones` (one `phone` column) alone.
 
-    Only the documents of these phones are parsed; bare documents carry their
-    phone inside, so they are parsed first.  `extracted` is a stored summary
-    to read instead of documents."""
+    Only the documents of these phones are parsed.  Bare documents carry their
+    phone inside: it alone is read from each, and those with another phone are
+    left out before the parse (one whose phone is not found this way is parsed,
+    so a document that is not quite JSON is judged as before).  `extracted` is a
+    stored summary to read instead of documents."""
     if extracted is not None:
         return extracted.join(phones, "phone", "left_semi")
     if "phone" in profiles.columns:
         mine = profiles.withColumn("phone", F.col("phone").cast("string")).join(phones, "phone", "left_semi")
         return extract_profile(mine, address_key, columns=columns)
-    return extract_profile(profiles, address_key, columns=columns).join(phones, "phone", "left_semi")
+    unknown = "\0"  # stands for a phone that was not found
+    inside = F.coalesce(F.get_json_object("doc", "$.baseInfo.mobile"), F.lit(unknown))
+    wanted = phones.select(F.col("phone").alias("_inside")).unionByName(phones.sparkSession.createDataFrame([(unknown,)], "_inside string"))
+    mine = profiles.withColumn("_inside", inside).join(wanted, "_inside", "left_semi").drop("_inside")
+    return extract_profile(mine, address_key, columns=columns).join(phones, "phone", "left_semi")
 
 
 def backfill(ids: DataFrame, cases: DataFrame, profiles: DataFrame, columns: list[str],

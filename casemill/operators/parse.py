@@ -67,9 +67,10 @@ def classify(
     parts = [parsed.alias("_m")]
     if exact:
         # amounts sent as strings are exact already; digits are only looked up
-        # in messages where an exact field carries a JSON number
+        # in messages where an exact field carries a JSON number.  The names are
+        # tried in messages alone that have a number behind some name.
         number = '"(' + "|".join(exact) + ')"\\s*:\\s*-?[0-9]'
-        parts.append(F.col("value").rlike(number).alias("_n"))
+        parts.append((F.col("value").rlike('"\\s*+:\\s*+-?[0-9]') & F.col("value").rlike(number)).alias("_n"))
     # The parse is produced by a one-row generator: predicates on its result
     # (the quarantine split) cannot be pushed below a Generate, so every
     # message is parsed exactly once instead of once per reference.

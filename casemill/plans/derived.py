@@ -48,6 +48,8 @@ def case_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = read_table(spark, sf_dir, "customer")
     d = o.join(c, o["o_custkey"] == c["c_custkey"])
     mobile = F.when(F.col("o_orderkey") % 37 == 0, F.lit(None).cast("string")).otherwise(_s(F.col("o_custkey") % 200))
+    # a quarter of the messages send an amount as a JSON number, as 7.50
+    as_number = (F.col("o_orderkey") % 4 == 3) & mobile.isNotNull()
     rec = _filler(CASE_FIELDS, {
         "overdueId": case_id(F.col("o_custkey")),
         "mobile": mobile,
@@ -57,10 +59,12 @@ def case_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         "address2": F.col("c_mktsegment"),
         "loanDate": F.date_format(F.col("o_orderdate"), "yyyy-MM-dd"),
         "seqNo": _s(F.col("o_orderkey")),
+        "loanAmt": F.when(as_number, F.lit("@")).otherwise(F.concat(F.lit("loanAmt-"), _s(F.col("o_orderkey") % 10))),
     }, F.col("o_orderkey"))
+    text = F.replace(F.to_json(rec), F.lit('"loanAmt":"@"'), F.concat(F.lit('"loanAmt": '), _s(F.col("o_orderkey")), F.lit(".50")))
     value = (F.when(F.col("o_orderkey") % 50 == 0, F.lit("not json"))
              .when(F.col("o_orderkey") % 50 == 1, F.lit(""))
-             .otherwise(F.to_json(rec)))
+             .otherwise(text))
     return d.select(
         case_id(F.col("o_custkey")).alias("key"),
         value.alias("value"),

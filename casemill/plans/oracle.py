@@ -109,6 +109,7 @@ D1_FIELDS = {
 }
 
 D1_FIELDS = {f: f"'{f}-' || (o_orderkey % {len(f) + 3})" for f in CASE_FIELDS} | D1_FIELDS
+D1_FIELDS["loanAmt"] = f"CASE WHEN o_orderkey % 4 = 3 THEN o_orderkey || '.50' ELSE {D1_FIELDS['loanAmt']} END"
 
 D2 = """d2 AS (
   SELECT event_id, user_id, event_type,

@@ -119,3 +119,20 @@ def test_documents_matched_by_their_own_mobile(spark):
     got = by_key(extract_profile(bare), "phone")
     assert set(got) == {"m1"}  # documents without a mobile match no phone
     assert got["m1"]["address_detail"] == "A" and got["m1"]["call_record_top_ten"] == "x"
+
+
+def test_bare_documents_are_read_for_their_phone_first(spark, capsys):
+    """Documents of other phones are left out before the parse."""
+    from casemill.operators.backfill import profiles_of
+    good = '{"baseInfo": {"mobile": "%s"}, "mxReport": {"cell_phone": [{"key": "address", "value": "%s"}]}}'
+    docs = [(0, good % ("1", "a")), (1, good % ("2", "b")), (2, good % ("1", "late")), (3, None), (4, ""), (5, "{"), (6, '{"baseInfo": {}}'),
+            (7, '{"baseInfo": {"mobile": 3}, "mxReport": {}}'), (8, good % ("4", "d") + "tail")]
+    bare = spark.createDataFrame(docs, "part long, doc string")
+    phones = spark.createDataFrame([("1",), ("3",), ("4",), ("9",)], "phone string")
+    got = profiles_of(phones, bare)
+    whole = extract_profile(bare).join(phones, "phone", "left_semi")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, whole.collect())) and got.count() >= 2
+    got.explain()
+    plan = capsys.readouterr().out
+    # the plan is printed from the result down to the scans
+    assert plan.index("from_json") < plan.rindex("LeftSemi") < plan.rindex("get_json_object")
