@@ -24,6 +24,7 @@ from casemill.operators.merge import (
 )
 from casemill.operators.offsets import advance_ledger, resolve_start_offsets
 from casemill.operators.parse import parse_cases, parse_updates, quarantine_counts
+from casemill.operators.positions import audit_positions
 from casemill.operators.profile import enrich_cases, extract_profile
 from casemill.plans import derived as D
 from casemill.plans.jobs import intake_batch
@@ -262,6 +263,11 @@ def q_profile_store(spark: SparkSession, sf: str) -> DataFrame:
     return store.read().select("phone", "call_record_top_ten", "address_detail", "shared_address")
 
 
+def q_position_audit(spark: SparkSession, sf: str) -> DataFrame:
+    """Lost and repeated spans, looked for in ranges of 300 offsets."""
+    return audit_positions(D.consumed_positions(spark, sf), span=300)
+
+
 def q_id_list(spark: SparkSession, sf: str) -> DataFrame:
     """An id list written as text lines and read back."""
     path = scratch_path(spark, "id-list")
@@ -320,6 +326,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_two_roots": q_stream_two_roots,
     "stream_compact_parts": q_stream_compact_parts,
     "profile_store": q_profile_store,
+    "position_audit": q_position_audit,
     "id_list": q_id_list,
     "extract_text": q_extract_text,
     "case_parse_binary": q_case_parse_binary,

@@ -133,6 +133,21 @@ def profiles(spark: SparkSession, sf_dir: str, block: int = PROFILE_BLOCK) -> Da
     return docs.select(_s(F.col("user_id")).alias("phone"), "part", doc.alias("doc"))
 
 
+def consumed_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Positions of messages as consumers saw them: a hot partition with two
+    thirds of all events, blocks of offsets; errors were never seen, purchases
+    and every event of some blocks twice."""
+    e = read_table(spark, sf_dir, "events").where("event_type <> 'error'")
+    block = F.floor(F.col("event_id") / 500)
+    twice = (F.col("event_type") == "purchase") | (block % 7 == 0)
+    return e.select(
+        F.lit(UPDATE_TOPIC).alias("topic"),
+        F.when(block % 3 < 2, F.lit(0)).otherwise(F.lit(1)).alias("partition"),
+        F.col("event_id").cast("bigint").alias("offset"),
+        F.explode(F.when(twice, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))).alias("copy"),
+    ).drop("copy")
+
+
 def odd_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Profile documents of every customer, four of five unusable: not JSON,
     empty, without a report, with a null report."""

@@ -449,6 +449,21 @@ def _sql_stream_cases() -> str:
     return _with(D1, D1V, D2, PROFILE, SNAP, ch) + fold_sql(_touch(True, True), True)
 
 
+def _sql_position_audit() -> str:
+    return """WITH seen AS (
+  SELECT CASE WHEN event_id // 500 % 3 < 2 THEN 0 ELSE 1 END AS p, event_id AS o,
+         SUM(CASE WHEN event_type = 'purchase' OR event_id // 500 % 7 = 0 THEN 2 ELSE 1 END) AS n
+  FROM events WHERE event_type <> 'error' GROUP BY p, o),
+gaps AS (SELECT p, o, lag(o) OVER (PARTITION BY p ORDER BY o) AS b FROM seen),
+runs AS (SELECT p, o, n, o - row_number() OVER (PARTITION BY p ORDER BY o) AS run FROM seen WHERE n > 1),
+spans AS (
+  SELECT p, 'lost' AS kind, b + 1 AS first, o - 1 AS last, 0 AS messages FROM gaps WHERE o - b > 1
+  UNION ALL
+  SELECT p, 'repeated', MIN(o), MAX(o), SUM(n) FROM runs GROUP BY p, run)
+SELECT 'case_update' AS topic, CAST(p AS INTEGER) AS partition, kind, CAST(first AS BIGINT) AS first, CAST(last AS BIGINT) AS last,
+  CAST(messages AS BIGINT) AS messages FROM spans"""
+
+
 def _sql_stream_two_roots() -> str:
     """First parts of both topics; both shared addresses of the listed cases;
     the later parts, replaces before updates."""
@@ -520,6 +535,7 @@ ORACLE_SQL: dict[str, str] = {
     "stream_compact_parts": _sql_updates(None),
     "profile_store": _with(PROFILE) + ("SELECT phone, top AS call_record_top_ten, addr AS address_detail, "
                                        "shared AS shared_address FROM pfull"),
+    "position_audit": _sql_position_audit(),
     "id_list": _with(IDS) + "SELECT overdue_id FROM ids",
     "extract_text": _sql_extract_cases(),
     "case_parse_binary": _sql_case_parse(),

@@ -58,3 +58,15 @@ def kafka_source(spark: SparkSession, servers: str, topics: list[str] | str, **k
 def kafka_shaped(df: DataFrame) -> DataFrame:
     """Cast a Kafka (or Kafka-like) frame to the canonical column types."""
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in KAFKA_SCHEMA.fields])
+
+
+def file_source(spark: SparkSession, folder: str, max_files_per_trigger: int | None = None,
+                max_bytes_per_trigger: str | None = None) -> DataFrame:
+    """A stream of Kafka-shaped rows from parquet files, with the cap on what
+    a micro-batch takes that `maxOffsetsPerTrigger` is for a topic.  Give one."""
+    reader = spark.readStream.schema(KAFKA_SCHEMA)
+    if max_files_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    if max_bytes_per_trigger is not None:
+        reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
+    return reader.parquet(folder)
