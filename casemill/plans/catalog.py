@@ -236,6 +236,25 @@ def q_stream_two_roots(spark: SparkSession, sf: str) -> DataFrame:
     return S.current_table(spark, [one, two], snapshot, mark)
 
 
+def q_stream_redrive(spark: SparkSession, sf: str) -> DataFrame:
+    """Intake in three batches; after two of them corrected messages enter at
+    the places of the quarantined ones (those of the third batch are not there
+    yet), and the log is compacted."""
+    from casemill.plans import replay as R
+    from casemill.streaming import drivers as S
+    from casemill.streaming.redrive import redrive
+    paths = S.StreamPaths(scratch_path(spark, "stream-redrive"))
+    store = R.stored_summary(spark, D.profiles(spark, sf), f"{paths.root}/profile_summary")
+    replay = R.Replay(spark, "intake", paths, AS_OF, extracted=store)
+    first, second, third = R.slices(D.case_messages(spark, sf), 3)
+    replay.feed(first)
+    replay.feed(second)
+    redrive(spark, paths, D.case_corrections(spark, sf), intake_topic=D.INTAKE_TOPIC, as_of=AS_OF, extracted=store)
+    snapshot, mark = S.compact(spark, paths, D.existing_cases(spark, sf), f"{paths.root}/snapshot")
+    replay.feed(third)
+    return S.current_table(spark, paths, snapshot, mark)
+
+
 def q_stream_compact_parts(spark: SparkSession, sf: str) -> DataFrame:
     """Updates in three batches over a snapshot in parts; after the first two
     the parts they touch are compacted."""
@@ -324,6 +343,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_cases": q_stream_cases,
     "stream_backfill_compact": q_stream_backfill_compact,
     "stream_two_roots": q_stream_two_roots,
+    "stream_redrive": q_stream_redrive,
     "stream_compact_parts": q_stream_compact_parts,
     "profile_store": q_profile_store,
     "position_audit": q_position_audit,

@@ -42,13 +42,15 @@ def _filler(fields: list[str], given: dict[str, F.Column], key: F.Column) -> F.C
     return F.struct(*[given.get(f, rest(f)).alias(f) for f in fields])
 
 
-def case_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """D1: Kafka-shaped case messages from orders x customer."""
+def _case_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read_table(spark, sf_dir, "orders")
     c = read_table(spark, sf_dir, "customer")
-    d = o.join(c, o["o_custkey"] == c["c_custkey"])
-    mobile = F.when(F.col("o_orderkey") % 37 == 0, F.lit(None).cast("string")).otherwise(_s(F.col("o_custkey") % 200))
-    # a quarter of the messages send an amount as a JSON number, as 7.50
+    return o.join(c, o["o_custkey"] == c["c_custkey"])
+
+
+def _case_text(mobile: F.Column) -> F.Column:
+    """The JSON of a case message; a quarter of them send an amount as a JSON
+    number, as 7.50."""
     as_number = (F.col("o_orderkey") % 4 == 3) & mobile.isNotNull()
     rec = _filler(CASE_FIELDS, {
         "overdueId": case_id(F.col("o_custkey")),
@@ -61,10 +63,16 @@ def case_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         "seqNo": _s(F.col("o_orderkey")),
         "loanAmt": F.when(as_number, F.lit("@")).otherwise(F.concat(F.lit("loanAmt-"), _s(F.col("o_orderkey") % 10))),
     }, F.col("o_orderkey"))
-    text = F.replace(F.to_json(rec), F.lit('"loanAmt":"@"'), F.concat(F.lit('"loanAmt": '), _s(F.col("o_orderkey")), F.lit(".50")))
+    return F.replace(F.to_json(rec), F.lit('"loanAmt":"@"'), F.concat(F.lit('"loanAmt": '), _s(F.col("o_orderkey")), F.lit(".50")))
+
+
+def case_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D1: Kafka-shaped case messages from orders x customer."""
+    d = _case_rows(spark, sf_dir)
+    mobile = F.when(F.col("o_orderkey") % 37 == 0, F.lit(None).cast("string")).otherwise(_s(F.col("o_custkey") % 200))
     value = (F.when(F.col("o_orderkey") % 50 == 0, F.lit("not json"))
              .when(F.col("o_orderkey") % 50 == 1, F.lit(""))
-             .otherwise(text))
+             .otherwise(_case_text(mobile)))
     return d.select(
         case_id(F.col("o_custkey")).alias("key"),
         value.alias("value"),
@@ -75,6 +83,15 @@ def case_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def case_corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Corrected values of D1's messages that are not JSON or lack a phone, at
+    the positions these have."""
+    k = F.col("o_orderkey")
+    bad = _case_rows(spark, sf_dir).where((k % 50 == 0) | ((k % 37 == 0) & (k % 50 != 1)))
+    return bad.select(F.lit(INTAKE_TOPIC).alias("topic"), (F.col("o_custkey") % 4).cast("int").alias("partition"),
+                      k.cast("bigint").alias("offset"), _case_text(_s(F.col("o_custkey") % 200)).alias("value"))
+
+
 def update_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D2: Kafka-shaped update messages from events."""
     e = read_table(spark, sf_dir, "events")

@@ -497,6 +497,16 @@ def _sql_stream_backfill_compact() -> str:
     return _with(D1, D1V, PROFILE, SNAP, IDS, r, t1, t2) + "SELECT * FROM " + last
 
 
+def _sql_stream_redrive() -> str:
+    """Replaces of the valid messages and, of the first two parts, of the bad
+    ones but the empty, corrected."""
+    part = _slice("o_orderkey", "(SELECT MAX(o_orderkey) FROM d1)")
+    valid = ("d1v AS (SELECT * FROM d1 WHERE reason IS NULL UNION ALL SELECT * REPLACE (CAST(o_custkey % 200 AS VARCHAR) AS mobile) "
+             f"FROM d1 WHERE reason <> 'empty' AND {part} < 2)")
+    ch = "ch AS (" + r_changes(_enriched_fields(True), part).replace("FROM d1v", f"FROM {ENRICHED_SRC}") + ")"
+    return _with(D1, valid, PROFILE, SNAP, ch) + fold_sql(_touch(True, False), True)
+
+
 def _sql_profile_status() -> str:
     return (f"SELECT CAST(c_custkey AS VARCHAR) AS phone, CASE WHEN c_custkey % 5 = 0 THEN c_mktsegment ELSE {_q(UNKNOWN)} END "
             "AS address_detail, CASE WHEN c_custkey % 5 = 0 THEN 'ok' ELSE 'no_report' END AS profile_status FROM customer")
@@ -532,6 +542,7 @@ ORACLE_SQL: dict[str, str] = {
     "stream_cases": _sql_stream_cases(),
     "stream_backfill_compact": _sql_stream_backfill_compact(),
     "stream_two_roots": _sql_stream_two_roots(),
+    "stream_redrive": _sql_stream_redrive(),
     "stream_compact_parts": _sql_updates(None),
     "profile_store": _with(PROFILE) + ("SELECT phone, top AS call_record_top_ten, addr AS address_detail, "
                                        "shared AS shared_address FROM pfull"),

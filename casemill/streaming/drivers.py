@@ -13,6 +13,9 @@ Which batches are complete, and in which order they apply, is kept by `Order`
 (`StreamPaths.beside`), and the same after replays.  Readers read the folders of
 complete batches alone.
 
+Corrected messages of earlier batches are added in folders of their own
+(`redriven`, see redrive.py) and read with the batch they came in.
+
 `compact` folds what is complete into a new snapshot in the shared folder and
 returns a `LogMark` of what the snapshot holds, one for all roots; later reads
 take the rest.  `prune_log` removes what a snapshot holds.
@@ -27,6 +30,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -55,7 +59,7 @@ from casemill.operators.parse import CASE_SCHEMA, UPDATE_SCHEMA, classify, split
 from casemill.operators.profile import enrich_cases
 from casemill.operators.profile_store import ProfileStore
 from casemill.schemas import LEDGER_COLUMNS
-from casemill.sources.files import exists
+from casemill.sources.files import exists, hadoop, names
 from casemill.sources.parts import PartTable
 from casemill.streaming.order import Batch, LogMark, Order
 
@@ -88,6 +92,15 @@ class StreamPaths:
     def backfills(self) -> str:
         return f"{self.root}/backfills"
 
+    @property
+    def redriven(self) -> str:
+        """Per redrive and batch, the changes of corrected messages."""
+        return f"{self.root}/redriven"
+
+    @property
+    def redriven_history(self) -> str:
+        return f"{self.root}/redriven_history"
+
     @property
     def history(self) -> str:
         return f"{self.root}/history"
@@ -291,9 +304,10 @@ def start_update_stream(source: DataFrame, paths: StreamPaths, group: str, as_of
     return _start("update", source, paths, group, as_of, None, True, trigger, query_name)
 
 
-def _rows(spark: SparkSession, batches: list[Batch], folder: str, table: TableSpec) -> DataFrame | None:
+def _rows(spark: SparkSession, batches: list[Batch], folder: str, table: TableSpec, redriven: bool = False) -> DataFrame | None:
     """Change rows of the given batches below each root's `folder`, ordered by
-    the batches' places.  Only these batches' folders are listed and read."""
+    the batches' places.  Only these batches' folders are listed and read;
+    with `redriven`, those that finished redrives have for them."""
     schema = T.StructType([
         T.StructField("op", T.StringType()), *[T.StructField(k, T.StringType()) for k in table.keys],
         T.StructField("ord", ORD_TYPE), T.StructField("mask", T.LongType()),
@@ -301,24 +315,35 @@ def _rows(spark: SparkSession, batches: list[Batch], folder: str, table: TableSp
     out = None
     for root in sorted({b.root for b in batches}):
         mine = [b for b in batches if b.root == root]
-        read = spark.read.schema(schema).option("basePath", f"{root}/{folder}").parquet(*[f"{root}/{folder}/batch_id={b.id}" for b in mine])
+        at = [f"batch_id={b.id}" for b in mine]
+        if redriven:
+            redrives = [f"redrive={d}" for d in sorted(Order(spark, [root]).redriven(root))]
+            at = [f"{r}/{b}" for r in redrives for b in sorted(set(at) & set(names(spark, f"{root}/{folder}/{r}")))]
+        if not at:
+            continue
+        read = spark.read.schema(schema).option("basePath", f"{root}/{folder}").parquet(*[f"{root}/{folder}/{x}" for x in at])
         keys = spark.createDataFrame([(b.id, b.key, b.rank) for b in mine], "batch_id bigint, at bigint, root_rank int")
         rows = read.withColumn("batch_id", F.col("batch_id").cast("bigint")).join(F.broadcast(keys), "batch_id")  # a row per unfolded batch
         if mine[0].log == "backfill":  # behind the batches of its place, by its own id
             ord = make_ord(F.col("at"), F.col("ord.topic_rank"), F.col("batch_id"), F.col("root_rank"))
         else:
             ord = make_ord(F.col("at"), F.col("ord.topic_rank"), F.col("ord.offset"), F.col("ord.partition"))
-        rows = rows.withColumn("ord", ord).drop("at", "root_rank", "batch_id")
+        rows = rows.withColumn("ord", ord).drop("at", "root_rank", "batch_id", "redrive")
         out = rows if out is None else out.unionByName(rows)
     return out
 
 
 def _log(spark: SparkSession, batches: list[Batch]) -> DataFrame | None:
-    """Change rows of stream batches and backfills; None if there are none."""
-    logs = [_rows(spark, [b for b in batches if b.log == log], folder, CASE_REPORT)
-            for log, folder in (("stream", "changes"), ("backfill", "backfills"))]
-    logs = [log for log in logs if log is not None]
-    return None if not logs else logs[0] if len(logs) == 1 else logs[0].unionByName(logs[1])
+    """Change rows of stream batches, corrected messages and backfills; None
+    if there are none."""
+    stream, backfills = ([b for b in batches if b.log == log] for log in ("stream", "backfill"))
+    return _union(_rows(spark, stream, "changes", CASE_REPORT), _rows(spark, stream, "redriven", CASE_REPORT, redriven=True),
+                  _rows(spark, backfills, "backfills", CASE_REPORT))
+
+
+def _union(*frames: DataFrame | None) -> DataFrame | None:
+    frames = [f for f in frames if f is not None]
+    return reduce(DataFrame.unionByName, frames) if frames else None
 
 
 def read_change_log(spark: SparkSession, paths: StreamPaths | list[StreamPaths], mark: LogMark | None = None) -> DataFrame | None:
@@ -387,7 +412,8 @@ def current_history(spark: SparkSession, paths: StreamPaths | list[StreamPaths],
 
 def _history(spark: SparkSession, batches: list[Batch], snapshot: DataFrame | None) -> DataFrame | None:
     written = [b for b in batches if b.log == "stream" and exists(spark, f"{b.root}/history/batch_id={b.id}")]
-    log = _rows(spark, written, "history", CASE_HISTORY)
+    log = _union(_rows(spark, written, "history", CASE_HISTORY),
+                 _rows(spark, [b for b in batches if b.log == "stream"], "redriven_history", CASE_HISTORY, redriven=True))
     return snapshot if log is None else fold_changes(log, snapshot, CASE_HISTORY)
 
 
@@ -471,4 +497,10 @@ def prune_log(spark: SparkSession, paths: StreamPaths | list[StreamPaths], mark:
     """Remove the batch folders that the snapshot with `mark` holds; returns
     them.  The snapshot (and the history's) must be written; earlier marks are
     of no use afterwards.  Quarantined messages stay."""
-    return order_of(spark, paths).prune(mark, {"stream": "changes,history,ledger", "backfill": "backfills"})
+    removed = order_of(spark, paths).prune(mark, {"stream": "changes,history,ledger", "backfill": "backfills"})
+    for root, batch in [path.split("/changes/") for path in removed if "/changes/" in path]:
+        for folder in ("redriven", "redriven_history"):
+            for redrive in names(spark, f"{root}/{folder}"):
+                fs, at = hadoop(spark, f"{root}/{folder}/{redrive}/{batch}")
+                fs.delete(at, True)
+    return removed
