@@ -7,6 +7,7 @@ column names match the oracle SQL in `casemill.plans.oracle`.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +32,7 @@ from casemill.plans.jobs import intake_batch
 from casemill.schemas import CASE_FIELDS, UPDATE_FIELDS
 from casemill.session import scratch_path
 from casemill.sources.idlist import read_id_list
+from casemill.sources.ranges import even_parts
 
 AS_OF = D.AS_OF
 BATCH_SPAN = 5000  # offsets per batch in the multi-batch change-log query
@@ -287,6 +289,21 @@ def q_position_audit(spark: SparkSession, sf: str) -> DataFrame:
     return audit_positions(D.consumed_positions(spark, sf), span=300)
 
 
+def q_even_ranges(spark: SparkSession, sf: str) -> DataFrame:
+    """Every row and whether the part that held it, of eight over a column, is
+    at most twice as large as the smallest one."""
+    rows, out = D.uneven_orders(spark, sf), []
+    for column in ("steep", "label"):
+        parts = even_parts(rows, column, 8)
+        for k, part in enumerate(parts):
+            out.append(part.select(F.lit(column).alias("cut_by"), "o_orderkey", F.lit(k).alias("part")))
+    held = reduce(DataFrame.unionByName, out)
+    sizes = held.groupBy("cut_by", "part").agg(F.count(F.lit(1)).alias("n"))
+    least = sizes.groupBy("cut_by").agg(F.min("n").alias("least"), F.count(F.lit(1)).alias("parts"))
+    even = sizes.join(least, "cut_by").select("cut_by", "part", "parts", (F.col("n") <= 2 * F.col("least")).alias("is_even"))
+    return held.join(even, ["cut_by", "part"]).select("cut_by", "o_orderkey", "is_even", "parts")
+
+
 def q_id_list(spark: SparkSession, sf: str) -> DataFrame:
     """An id list written as text lines and read back."""
     path = scratch_path(spark, "id-list")
@@ -347,6 +364,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_compact_parts": q_stream_compact_parts,
     "profile_store": q_profile_store,
     "position_audit": q_position_audit,
+    "even_ranges": q_even_ranges,
     "id_list": q_id_list,
     "extract_text": q_extract_text,
     "case_parse_binary": q_case_parse_binary,

@@ -204,6 +204,15 @@ def existing_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.selectExpr(*[f"{given.get(col, 'CAST(NULL AS STRING)')} AS `{col}`" for col in CASE_HISTORY.columns])
 
 
+def uneven_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with a number and a string whose values crowd at the low end, both
+    null in every eleventh row."""
+    o = read_table(spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
+    return o.select("o_orderkey", F.when(k % 11 != 0, F.col("o_custkey") * F.col("o_custkey") * F.col("o_custkey")).alias("steep"),
+                    F.when(k % 11 != 0, F.concat(F.lit("case-"), _s(F.col("o_custkey")))).alias("label"))
+
+
 def id_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D5: id-list lines (`value`): ids, padded repeats, blanks, unknown ids."""
     c = read_table(spark, sf_dir, "customer").select("c_custkey")

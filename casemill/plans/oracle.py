@@ -547,6 +547,7 @@ ORACLE_SQL: dict[str, str] = {
     "profile_store": _with(PROFILE) + ("SELECT phone, top AS call_record_top_ten, addr AS address_detail, "
                                        "shared AS shared_address FROM pfull"),
     "position_audit": _sql_position_audit(),
+    "even_ranges": "SELECT cut_by, o_orderkey, TRUE AS is_even, CAST(8 AS BIGINT) AS parts FROM orders, (VALUES ('steep'), ('label')) v(cut_by)",
     "id_list": _with(IDS) + "SELECT overdue_id FROM ids",
     "extract_text": _sql_extract_cases(),
     "case_parse_binary": _sql_case_parse(),
