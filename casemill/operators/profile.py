@@ -17,6 +17,8 @@ Scale notes
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -66,10 +68,15 @@ def parse_profile_docs(profiles: DataFrame, address_key: str = PROFILE_ADDRESS_K
     )
 
 
+# documents, address key -> phone, part, ok, addr, shared, contacts per document
+Parse = Callable[[DataFrame, str], DataFrame]
+
+
 def extract_profile(profiles: DataFrame, address_key: str = PROFILE_ADDRESS_KEY, k: int = TOP_CONTACTS,
-                    columns: list[str] | None = None) -> DataFrame:
+                    columns: list[str] | None = None, parse: Parse = parse_profile_docs) -> DataFrame:
     """Per phone: top-ten contacts, registered address, shared address, status
     (`columns` picks among these and `phone`; the work follows the choice).
+    `parse` reads the documents (`variant_docs` has one for any shape).
 
     Contacts rank by added-up call count, descending (counts that are not
     whole numbers add nothing; a peer without any sorts last), then by peer
@@ -81,13 +88,13 @@ def extract_profile(profiles: DataFrame, address_key: str = PROFILE_ADDRESS_KEY,
     """
     columns = EXTRACTED_COLUMNS if columns is None else ["phone", *[c for c in columns if c != "phone"]]
     if "call_record_top_ten" in columns:
-        return rank_state(profile_state(profiles, address_key), k).select(*columns)
-    per_phone = _about(profiles, address_key).groupBy("phone").agg(*_merged())
+        return rank_state(profile_state(profiles, address_key, parse), k).select(*columns)
+    per_phone = _about(profiles, address_key, parse).groupBy("phone").agg(*_merged())
     return _rendered(per_phone.withColumn("top", F.lit(None).cast("array<string>"))).select(*columns)
 
 
-def _about(profiles: DataFrame, address_key: str) -> DataFrame:
-    return parse_profile_docs(profiles, address_key).select(
+def _about(profiles: DataFrame, address_key: str, parse: Parse) -> DataFrame:
+    return parse(profiles, address_key).select(
         "phone", "ok",
         F.when(F.col("addr").isNotNull(), F.struct("part", "addr")).alias("a"),
         F.when(F.col("shared").isNotNull(), F.struct("part", "shared")).alias("s"),
@@ -103,7 +110,7 @@ STATE_DDL = ("phone string, is_doc boolean, peer string, cnt bigint, a struct<pa
              "s struct<part:bigint,shared:string>, ok boolean")
 
 
-def profile_state(profiles: DataFrame, address_key: str = PROFILE_ADDRESS_KEY) -> DataFrame:
+def profile_state(profiles: DataFrame, address_key: str = PROFILE_ADDRESS_KEY, parse: Parse = parse_profile_docs) -> DataFrame:
     """What a set of documents adds to their phones (`STATE_DDL`): a row per
     (phone, peer) with its added-up count, and one per phone (`is_doc`) with
     the first addresses and the status.  States of several sets merge."""
@@ -113,7 +120,7 @@ def profile_state(profiles: DataFrame, address_key: str = PROFILE_ADDRESS_KEY) -
     itself = F.array(F.lit(None).cast(entry))
     contacts = F.transform(F.coalesce("contacts", F.array()), lambda c: F.struct(
         c["peer_num"].alias("peer_num"), c["call_cnt_6m"].alias("call_cnt_6m")))
-    rows = _about(profiles, address_key).select("phone", "ok", "a", "s", F.explode(F.concat(itself, contacts.cast(f"array<{entry}>"))).alias("e"))
+    rows = _about(profiles, address_key, parse).select("phone", "ok", "a", "s", F.explode(F.concat(itself, contacts.cast(f"array<{entry}>"))).alias("e"))
     is_doc = F.col("e").isNull()
     return merge_state(rows.select("phone", is_doc.alias("is_doc"), F.col("e.peer_num").alias("peer"),
                                    F.col("e.call_cnt_6m").try_cast("bigint").alias("cnt"),

@@ -27,6 +27,7 @@ from casemill.operators.offsets import advance_ledger, resolve_start_offsets
 from casemill.operators.parse import parse_cases, parse_updates, quarantine_counts
 from casemill.operators.positions import audit_positions
 from casemill.operators.profile import enrich_cases, extract_profile
+from casemill.operators.variant_docs import drift_report, parse_variant_docs
 from casemill.plans import derived as D
 from casemill.plans.jobs import intake_batch
 from casemill.schemas import CASE_FIELDS, UPDATE_FIELDS
@@ -284,6 +285,20 @@ def q_profile_store(spark: SparkSession, sf: str) -> DataFrame:
     return store.read().select("phone", "call_record_top_ten", "address_detail", "shared_address")
 
 
+def q_profile_variant(spark: SparkSession, sf: str) -> DataFrame:
+    """Bare documents of two shapes, read without a declared schema."""
+    bare = D.undeclared_profiles(spark, sf).select("part", "doc")
+    return extract_profile(bare, parse=parse_variant_docs).select("phone", "call_record_top_ten", "address_detail", "shared_address")
+
+
+def q_profile_drift(spark: SparkSession, sf: str) -> DataFrame:
+    """Paths and types of documents of two shapes against the declared ones.
+    The names of peers, keys in one of the shapes, go by one name."""
+    report = drift_report(D.undeclared_profiles(spark, sf))
+    path = F.regexp_replace("path", r"(call_contact_detail\.).*", "$1*")
+    return report.groupBy(path.alias("path"), "type", "status").agg(F.sum("n_values").alias("n_values"))
+
+
 def q_position_audit(spark: SparkSession, sf: str) -> DataFrame:
     """Lost and repeated spans, looked for in ranges of 300 offsets."""
     return audit_positions(D.consumed_positions(spark, sf), span=300)
@@ -363,6 +378,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_redrive": q_stream_redrive,
     "stream_compact_parts": q_stream_compact_parts,
     "profile_store": q_profile_store,
+    "profile_variant": q_profile_variant,
+    "profile_drift": q_profile_drift,
     "position_audit": q_position_audit,
     "even_ranges": q_even_ranges,
     "id_list": q_id_list,

@@ -150,6 +150,27 @@ def profiles(spark: SparkSession, sf_dir: str, block: int = PROFILE_BLOCK) -> Da
     return docs.select(_s(F.col("user_id")).alias("phone"), "part", doc.alias("doc"))
 
 
+def undeclared_profiles(spark: SparkSession, sf_dir: str, block: int = PROFILE_BLOCK) -> DataFrame:
+    """Documents with what `profiles` says, every second user's in another
+    shape: contacts as an object of counts, one entry instead of a list of
+    them, the phone as a number, and a field that nobody declared."""
+    e = read_table(spark, sf_dir, "events").select(
+        "user_id", "event_id", "event_type", F.get_json_object("props", "$.k").alias("k"),
+        F.floor(F.col("event_id") / block).cast("bigint").alias("part"))
+    peers = e.groupBy("user_id", "part", "k").agg(F.count(F.lit(1)).alias("n"), *[
+        F.min(F.when(F.col("event_type") == kind, F.col("event_id"))).alias(kind) for kind in ("signup", "view")])
+    docs = peers.groupBy("user_id", "part").agg(
+        F.map_from_entries(F.array_sort(F.collect_list(F.when(F.col("k").isNotNull(), F.struct("k", "n"))))).alias("counts"),
+        F.min("signup").alias("signup"), F.min("view").alias("view"))
+    entry = lambda c: F.when(F.col(c).isNotNull(), F.struct(
+        F.lit("address").alias("key"), F.concat(F.lit("addr-"), _s(F.col(c))).alias("value")))
+    other = F.to_json(F.struct(
+        F.struct(F.col("user_id").alias("mobile"), F.lit("2").alias("version")).alias("baseInfo"),
+        F.struct(F.col("counts").alias("call_contact_detail"), entry("signup").alias("cell_phone"), entry("view").alias("user_basic")).alias("mxReport")))
+    mine = docs.where(F.col("user_id") % 2 == 1).select(_s(F.col("user_id")).alias("phone"), "part", other.alias("doc"))
+    return profiles(spark, sf_dir, block).where(F.col("phone").cast("bigint") % 2 == 0).unionByName(mine)
+
+
 def consumed_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Positions of messages as consumers saw them: a hot partition with two
     thirds of all events, blocks of offsets; errors were never seen, purchases

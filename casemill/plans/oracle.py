@@ -449,6 +449,30 @@ def _sql_stream_cases() -> str:
     return _with(D1, D1V, D2, PROFILE, SNAP, ch) + fold_sql(_touch(True, True), True)
 
 
+def _sql_profile_drift() -> str:
+    """Values per path: a document per user and 500 event ids; users with odd
+    ids have the undeclared shape."""
+    rows = [  # path, type, status, shape (0 declared, 1 other), count of values
+        ("$.baseInfo.mobile", "STRING", "declared", 0, "SELECT COUNT(*) FROM d"),
+        ("$.baseInfo.mobile", "BIGINT", "other_type", 1, "SELECT COUNT(*) FROM d"),
+        ("$.baseInfo.version", "STRING", "unknown", 1, "SELECT COUNT(*) FROM d"),
+        ("$.mxReport.call_contact_detail[].peer_num", "STRING", "declared", 0, "SELECT COUNT(peer) FROM p"),
+        ("$.mxReport.call_contact_detail[].call_cnt_6m", "STRING", "declared", 0, "SELECT COUNT(*) FROM p"),
+        ("$.mxReport.call_contact_detail.*", "BIGINT", "unknown", 1, "SELECT COUNT(peer) FROM p")]
+    for name, kind in (("cell_phone", "signup"), ("user_basic", "view")):
+        for part in ("key", "value"):
+            rows.append((f"$.mxReport.{name}[].{part}", "STRING", "declared", 0, "SELECT COUNT(*) FROM e"))
+            rows.append((f"$.mxReport.{name}.{part}", "STRING", "unknown", 1,
+                         f"SELECT COUNT(DISTINCT (user_id, part)) FROM e WHERE event_type = '{kind}'"))
+    selects = []
+    for path, kind, status, shape, count in rows:
+        count += (" AND" if "WHERE" in count else " WHERE") + f" user_id % 2 = {shape}"
+        selects.append(f"SELECT '{path}' AS path, '{kind}' AS type, '{status}' AS status, CAST(({count}) AS BIGINT) AS n_values")
+    e = "e AS (SELECT user_id, event_type, event_id // 500 AS part, json_extract_string(props, '$.k') AS peer FROM events)"
+    d, p = "d AS (SELECT DISTINCT user_id, part FROM e)", "p AS (SELECT DISTINCT user_id, part, peer FROM e)"
+    return _with(e, d, p) + "SELECT * FROM (" + " UNION ALL ".join(selects) + ") WHERE n_values > 0"
+
+
 def _sql_position_audit() -> str:
     return """WITH seen AS (
   SELECT CASE WHEN event_id // 500 % 3 < 2 THEN 0 ELSE 1 END AS p, event_id AS o,
@@ -546,6 +570,9 @@ ORACLE_SQL: dict[str, str] = {
     "stream_compact_parts": _sql_updates(None),
     "profile_store": _with(PROFILE) + ("SELECT phone, top AS call_record_top_ten, addr AS address_detail, "
                                        "shared AS shared_address FROM pfull"),
+    "profile_variant": _with(PROFILE) + ("SELECT phone, top AS call_record_top_ten, addr AS address_detail, "
+                                         "shared AS shared_address FROM pfull"),
+    "profile_drift": _sql_profile_drift(),
     "position_audit": _sql_position_audit(),
     "even_ranges": "SELECT cut_by, o_orderkey, TRUE AS is_even, CAST(8 AS BIGINT) AS parts FROM orders, (VALUES ('steep'), ('label')) v(cut_by)",
     "id_list": _with(IDS) + "SELECT overdue_id FROM ids",
