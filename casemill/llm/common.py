@@ -100,7 +100,8 @@ def arrow_batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
 
 def sample_at_most(df: DataFrame, bound: int, key: Column) -> DataFrame:
     """About `bound` rows of `df` at most, chosen by the hash of `key` alone
-    (the same rows whatever the partitioning); all rows when there are fewer."""
+    (the same rows whatever the partitioning); all rows when there are fewer.
+    Rows with equal keys are chosen or left together."""
     n = df.count()
     if n <= bound:
         return df

@@ -10,7 +10,8 @@ expression, so applying it is a plain projection.
 
 Null and empty texts have zeros everywhere and fail the base rule.  Documents
 without a label take no part in learning; a document labelled more than once
-is learnt from each label, and labels of unknown documents are ignored.  With
+is learnt from each different label, repeated documents are learnt once, and
+labels of unknown documents are ignored.  With
 no labels (or none of one class) the list is empty and only the base rule
 rejects.  Repeated rows are judged row by row.
 """
@@ -209,13 +210,16 @@ def as_column(rules: list[Rule], at: str = "") -> Column:
 
 
 def learn_rules(stats: DataFrame, labels: DataFrame, max_train: int = 100_000) -> list[Rule]:
-    """Rules from at most about `max_train` labelled rows (chosen by the hash
-    of their id) that the base rule does not already reject."""
-    lab = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").alias("quality")).where("quality IS NOT NULL")
-    rows = stats.where(~base_failed()).join(lab, "doc_id")
-    rows = sample_at_most(rows, max_train, F.col("doc_id"))
+    """Rules from at most about `max_train` labelled rows that the base rule
+    does not already reject.  Equal rows of an id count once and so do equal
+    labels, so an id repeated on both sides does not multiply; the sample goes
+    by the hash of a whole row, so its bound is one on rows, not on ids."""
+    lab = labels.where("quality IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), (F.col("quality") == 0).alias("bad"))
+    seen = stats.where(~base_failed()).select("doc_id", *feature_columns()).distinct()
+    rows = seen.join(lab.distinct(), "doc_id")
+    rows = sample_at_most(rows, max_train, F.struct(*rows.columns))
     held = (F.pmod(F.xxhash64("doc_id", F.lit("prune")), F.lit(3)) == 0).alias("held")
-    pdf = rows.select("doc_id", (F.col("quality") == 0).alias("bad"), held, *feature_columns()).toPandas()
+    pdf = rows.select("doc_id", "bad", held, *[f"f_{name}" for name in FEATURES]).toPandas()
     pdf = pdf.sort_values(list(pdf.columns), kind="stable")
     if not len(pdf) or pdf.bad.all() or not pdf.bad.any():
         return []

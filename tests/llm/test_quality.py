@@ -55,6 +55,21 @@ def test_without_labels_only_the_base_rule_rejects(spark, docs):
     assert quality.judge(docs(), none)[0].count() == 0
 
 
+def test_training_rows_are_bounded_where_one_id_holds_them(spark, monkeypatch):
+    stats = spark.range(4000).selectExpr("CASE WHEN id % 2 = 0 THEN 7 ELSE id END AS doc_id", "100 + id AS n_words", "500 + id AS word_chars",
+                                         "id % 50 AS n_symbols", "0L AS n_dup_lines", "0L AS n_repeat_words", "9L AS n_lines",
+                                         "50L AS n_distinct_words", "400L AS n_letters")
+    stats = stats.unionAll(stats)
+    labels = spark.range(4000).selectExpr("CASE WHEN id % 3 = 0 THEN 7 ELSE id END AS doc_id", "CAST(id % 2 AS INT) AS quality")
+    seen = []
+    monkeypatch.setattr(quality, "learn", lambda x, bad, held: seen.append(len(bad)) or [])
+    quality.learn_rules(stats, labels, 10_000)
+    quality.learn_rules(stats, labels, 500)
+    want = {(7, w, b) for w in range(100, 4100, 2) for b in (0, 1)} | {(i, 100 + i, i % 2) for i in range(1, 4000, 2) if i % 3}
+    want |= {(7, 107, b) for b in (0, 1)}
+    assert seen[0] == len(want) and 350 < seen[1] < 650
+
+
 def test_covering_learns_an_interval():
     v = np.arange(1000)
     x = {n: np.zeros(1000, np.int64) for n in quality.FEATURES} | {"words": v}
