@@ -15,20 +15,24 @@ each; repeated documents are reported row by row.
 
 The items go through all documents in blocks of at most `block_bytes` of text
 each; a block's index travels with the tasks, so that bound is its size.  Any
-number of items gives the same result, in more passes.
+number of items gives the same result, in more passes.  Of several blocks each
+one's findings are written before the next but one is read, so that the driver
+holds a few blocks at a time and a plan one.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casemill.llm.common import arrow_map, as_text, raw_text, slices
+from casemill.llm.common import arrow_map, as_text, cut, fresh, join_small, raw_text, slices
+from casemill.session import scratch_path
 
 WORDS = re.compile(r"\w+")
 BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -98,7 +102,10 @@ def rolling(x: np.ndarray, size: int) -> np.ndarray:
 
 def matches(doc: np.ndarray, item: np.ndarray, free_doc: np.ndarray, free_item: np.ndarray, size: int) -> Iterator[tuple[int, int]]:
     """Positions (document, item) of equal unmarked runs of `size` words,
-    found by hash and compared word by word."""
+    found by hash and compared word by word: by position in the item, then in
+    the document.  What the caller marks meanwhile is left out, and a document
+    position that was marked is not looked at again, so a word repeated in
+    both does not lead to all pairs of its places."""
     open_runs = lambda free: np.flatnonzero(np.convolve(free, np.ones(size, int), "valid") == size)
     di, ii = open_runs(free_doc), open_runs(free_item)
     if not len(di) or not len(ii):
@@ -106,12 +113,21 @@ def matches(doc: np.ndarray, item: np.ndarray, free_doc: np.ndarray, free_item:
     dh, ih = rolling(doc, size)[di], rolling(item, size)[ii]
     keep = np.isin(dh, ih)
     table: dict[int, list[int]] = {}
-    for h, k in zip(ih.tolist(), ii.tolist(), strict=True):
-        table.setdefault(h, []).append(k)
     for h, a in zip(dh[keep].tolist(), di[keep].tolist(), strict=True):
-        for b in table[h]:
-            if np.array_equal(doc[a : a + size], item[b : b + size]):
+        table.setdefault(h, []).append(a)
+    first = dict.fromkeys(table, 0)
+    for h, b in zip(ih.tolist(), ii.tolist(), strict=True):
+        if h not in table or not free_item[b : b + size].all():
+            continue
+        places, k = table[h], first[h]
+        while k < len(places) and not free_doc[places[k] : places[k] + size].all():
+            k += 1
+        first[h] = k
+        for a in map(places.__getitem__, range(k, len(places))):
+            if free_doc[a : a + size].all() and np.array_equal(doc[a : a + size], item[b : b + size]):
                 yield a, b
+                if not free_item[b : b + size].all():
+                    break
 
 
 def tile(doc: np.ndarray, item: np.ndarray, min_match: int) -> list[tuple[int, int, int]]:
@@ -133,10 +149,9 @@ def tile(doc: np.ndarray, item: np.ndarray, min_match: int) -> list[tuple[int, i
             else:
                 low = mid
         size = low
-        for b, a in sorted((b, a) for a, b in matches(doc, item, free_doc, free_item, size)):
-            if free_doc[a : a + size].all() and free_item[b : b + size].all():
-                free_doc[a : a + size] = free_item[b : b + size] = 0
-                tiles.append((a, b, size))
+        for a, b in matches(doc, item, free_doc, free_item, size):
+            free_doc[a : a + size] = free_item[b : b + size] = 0
+            tiles.append((a, b, size))
         size = size if size > min_match else size - 1
     return tiles
 
@@ -168,13 +183,28 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_match: int = 5, min_
     item's words or more: `doc_id`, `item_id`, word counts and the tiles as
     `[document word, item word, length]`."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), raw_text("text"))
-    out = None
-    for items in item_blocks(benchmark, block_bytes):
-        part = rows.mapInArrow(arrow_map(searcher(items, min_match, min_coverage), FOUND), FOUND_DDL)
-        out = part if out is None else out.unionByName(part)
+    found = lambda items: rows.mapInArrow(arrow_map(searcher(items, min_match, min_coverage), FOUND), FOUND_DDL)
+    out = in_turn(item_blocks(benchmark, block_bytes), found, "tiles-found")
     return docs.sparkSession.createDataFrame([], FOUND_DDL) if out is None else out
 
 
+def in_turn(blocks: Iterator[list], found: Callable[[list], DataFrame], name: str) -> DataFrame | None:
+    """All that is found for the blocks.  A single block's findings are left as
+    a plan; of several, each block's are appended to one table at once, before
+    the next block is taken."""
+    first, second = next(blocks, None), next(blocks, None)
+    if second is None:
+        return None if first is None else found(first)
+    part = found(first)
+    spark, schema, path = part.sparkSession, part.schema, scratch_path(part.sparkSession, name)
+    part.write.parquet(path)
+    part = first = None
+    while second is not None:
+        found(second).write.mode("append").parquet(path)
+        second = next(blocks, None)
+    return spark.read.schema(schema).parquet(path)
+
+
 def finder(items: list[tuple[int | None, bytes]], min_match: int, min_coverage: float):
     """What a text holds of one block of items, indexed once per task:
     `(item, words of it, covered words, tiles)` per item found."""
@@ -208,11 +238,33 @@ def searcher(items, min_match: int, min_coverage: float):
 def decontaminate(docs: DataFrame, benchmark: DataFrame, min_match: int = 5, min_coverage: float = 0.5,
                   block_bytes: int = 4 << 20) -> DataFrame:
     """The rows of `docs` that hold no item of `benchmark`, all columns kept.
-    Rows are judged where they are: nothing is joined or shuffled."""
-    at = docs.columns.index("text")
-    for items in item_blocks(benchmark, block_bytes):
-        docs = docs.mapInArrow(_keeper(finder(items, min_match, min_coverage), at), docs.schema)
-    return docs
+    With one block of items, rows are judged where they are: nothing is joined
+    or shuffled.  With more, each block's contaminated texts are written as
+    (length, two hashes), and rows with such a text go by one join."""
+    blocks = item_blocks(benchmark, block_bytes)
+    first, second = next(blocks, None), next(blocks, None)
+    if first is None:
+        return docs
+    if second is None:
+        at = docs.columns.index("text")
+        return docs.mapInArrow(_keeper(finder(first, min_match, min_coverage), at), docs.schema)
+    named = docs.select(raw_text("text"), *[F.expr(c).alias(n) for n, c in TEXT_KEY.items()])
+    found = lambda items: named.mapInArrow(
+        arrow_map(_holders(items, min_match, min_coverage), TEXT_NAMES), "n_bytes long, hash_a long, hash_b long").distinct()
+    bad = cut(in_turn(chain([first, second], blocks), found, "tiles-texts").distinct(), "tiles-bad")
+    key = fresh(docs.columns, *TEXT_KEY)
+    keyed = docs.withColumns(dict(zip(key, map(F.expr, TEXT_KEY.values()), strict=True)))
+    return join_small(keyed, bad.toDF(*key), key, "left_anti").drop(*key)
+
+
+# what a text is told by where the text itself is not carried
+TEXT_KEY = {"n_bytes": "CAST(octet_length(text) AS BIGINT)", "hash_a": "xxhash64(text)", "hash_b": "xxhash64('b', text)"}
+TEXT_NAMES = pa.schema([(n, pa.int64()) for n in TEXT_KEY])
+
+
+def _holders(items, min_match: int, min_coverage: float):
+    find = finder(items, min_match, min_coverage)
+    return lambda rows: [tuple(name) for raw, *name in rows if next(iter(find(raw)), None) is not None]
 
 
 def _keeper(find, at: int):

@@ -1,4 +1,5 @@
 import random
+import time
 
 import numpy as np
 from casemill.llm import decontam
@@ -40,6 +41,15 @@ def test_tiles_equal_brute_force():
             assert doc[a:a + n] == item[b:b + n]
 
 
+def test_one_repeated_word_does_not_make_all_pairs():
+    a, b = np.ones(60_000, np.uint64), np.ones(900, np.uint64)
+    a[::701] = 2  # runs of 700, so the item is covered by 700 and 200 words
+    begin = time.perf_counter()
+    tiles = decontam.tile(a, b, 5)
+    assert sorted(t[2] for t in tiles) == [200, 700] and time.perf_counter() - begin < 10
+    assert next(decontam.matches(a, b, np.ones(len(a), int), np.ones(len(b), int), 701), None) is None
+
+
 def words(n, seed):
     r = random.Random(seed)
     return ["".join(r.choice("abcdefgh") for _ in range(5)) for _ in range(n)]
@@ -61,6 +71,28 @@ def test_verbatim_recased_and_reordered_passages_are_found(spark, docs):
         assert kept.columns == d.columns and sorted(r.doc_id for r in kept.collect()) == [1, 5, 6, 7]
 
 
+def test_each_block_is_written_before_more_are_read(spark, docs, monkeypatch):
+    items = [(i, " ".join(words(20, 500 + i))) for i in range(9)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    taken, done = [], []
+
+    def blocks(benchmark, block_bytes):
+        for item in items:
+            taken.append(len(done))
+            yield [(item[0], item[1].encode())]
+
+    monkeypatch.setattr(decontam, "item_blocks", blocks)
+    rows = [(i, f"x {items[i % 9][1]} y") for i in range(18)] + [(50, " ".join(words(40, 3))), (51, None)]
+    named = docs(*rows).selectExpr("*", "1 AS n_bytes", "2 AS HASH_A")
+    find = decontam.searcher
+    monkeypatch.setattr(decontam, "searcher", lambda *a: done.append(1) or find(*a))
+    got = decontam.contaminated(named, bench)
+    assert taken == [0, 0, 2, 3, 4, 5, 6, 7, 8]
+    assert sorted((r.doc_id, r.item_id) for r in got.collect()) == [(i, i % 9) for i in range(18)]
+    kept = decontam.decontaminate(named, bench)
+    assert kept.columns == named.columns and sorted(r.doc_id for r in kept.collect()) == [50, 51]
+
+
 def test_empty_tables(spark, docs):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontam.contaminated(docs((1, "a b c d e f")), none).count() == 0
