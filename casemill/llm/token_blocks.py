@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from casemill.llm.common import arrow_batch, as_text, cut, raw_text, read_blobs, slices, write_blobs
+from casemill.llm.common import arrow_batch, as_text, cut, join_small, raw_text, read_blobs, slices, write_blobs
 
 MAGIC = b"PFORTOK1"
 HEAD = struct.Struct("<8s5IQ")
@@ -250,6 +250,7 @@ def encoder(path: str) -> Encoder:
 # -- writing and reading -----------------------------------------------------
 
 GROUP_BYTES = 8 << 20  # text encoded at a time
+EQUAL_ROWS = 1024  # rows of one id and text that may stay together
 
 
 BLOB = pa.schema([("blob", pa.binary())])
@@ -258,13 +259,13 @@ READ = pa.schema([("major", pa.int64()), ("minor", pa.int64()), ("doc_id", pa.in
 
 
 def write_token_files(docs: DataFrame, tokenizer: str, path: str, end_id: int = 2, shard_tokens: int = 1 << 21,
-                      block: int = 1024, percentile: float = 0.95) -> None:
+                      block: int = 1024, percentile: float = 0.95, equal_rows: int = EQUAL_ROWS) -> None:
     """Encode every text of `docs` (`doc_id`, `text`), append `end_id`, and
     write shard files below `path` in ascending order of the id.
 
     One range shuffle puts the documents in order (a frequent id is spread by
-    its texts' hashes); each task then encodes and writes its own range, one
-    file per about `shard_tokens` tokens.
+    its texts' hashes, a frequent row as `dealt` says); each task then encodes
+    and writes its own range, one file per about `shard_tokens` tokens.
     """
     if not 0 < block <= 1 << 16:
         raise ValueError("a block holds 1 to 65536 ids")
@@ -295,12 +296,36 @@ def write_token_files(docs: DataFrame, tokenizer: str, path: str, end_id: int =
         return pack_shard(major, minor, doc_ids, [len(p) // 4 for p in pieces],
                           np.frombuffer(b"".join(pieces), "<u4"), block, percentile)
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), raw_text("text"))
-    order = rows.withColumn("tie", F.xxhash64("text")).repartitionByRange("doc_id", "tie")
-    order = order.sortWithinPartitions("doc_id", "tie", "text").select("doc_id", "text")
+    order = dealt(docs, equal_rows).repartitionByRange("doc_id", "tie", "place")
+    order = order.sortWithinPartitions("doc_id", "tie", "place", "text").select("doc_id", "text")
     write_blobs(order.mapInArrow(write, "blob binary"), path)
 
 
+def dealt(docs: DataFrame, equal_rows: int = EQUAL_ROWS) -> DataFrame:
+    """`doc_id, tie, place, text` per row of `docs`: `tie` is the text's hash,
+    and rows of an id and text that occurs more than `equal_rows` times are
+    numbered by `place`, so that ranges can part them.
+
+    Counts go by id and hash and combine before they are shuffled.  Frequent
+    rows are reduced to one with a count; that is cut into parts which are
+    spread before they become rows again.  Numbers given to rows where they lie
+    would not do: a task that runs again may meet its rows in another order.
+    """
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("tie"), raw_text("text"))
+    often = rows.groupBy("doc_id", "tie").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > equal_rows)
+    often = cut(often.select("doc_id", "tie"), "token-often")
+    if often.isEmpty():
+        return rows.select("doc_id", "tie", F.lit(0).cast("long").alias("place"), "text")
+    rest = join_small(rows, often, ["doc_id", "tie"], "left_anti")
+    units = join_small(rows, often, ["doc_id", "tie"], "left_semi").groupBy("doc_id", "tie", "text").agg(F.count(F.lit(1)).alias("n"))
+    step = F.lit(equal_rows).cast("long")
+    begin = F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, step)).alias("begin")
+    parts = units.select("*", begin).repartition("doc_id", "tie", "begin")
+    place = F.explode(F.sequence(F.col("begin"), F.least(F.col("n"), F.col("begin") + step) - 1)).alias("place")
+    again = cut(parts.select("doc_id", "tie", place, "text"), "token-equal")
+    return rest.select("doc_id", "tie", F.lit(0).cast("long").alias("place"), "text").unionByName(again)
+
+
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     """`major, minor, doc_id, place, offset, n_tokens, ids_crc32` of every
     document below `path`; `offset` counts the ids before it in its shard."""

@@ -1,4 +1,5 @@
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -68,6 +69,24 @@ def test_sf_table_repeated_ids_and_empty(spark, docs):
     assert tb.document_index(spark, path).count() == 0
 
 
+@pytest.mark.parametrize("text", ["same words", "", None])
+def test_a_row_that_is_a_third_of_all_is_parted(spark, docs, text):
+    rows = [(i, f"text {i % 5}") for i in range(120)] + [(60, text)] * 60 + [(None, "null id")] * 8
+    parts = tb.dealt(docs(*rows), equal_rows=7)
+    got = Counter((r.doc_id, None if r.text is None else bytes(r.text).decode()) for r in parts.collect())
+    assert got == Counter(rows)
+    places = sorted(r.place for r in parts.where("doc_id = 60").collect())
+    assert places == sorted([0, *range(60)])
+    spread = parts.repartitionByRange(8, "doc_id", "tie", "place").where("doc_id = 60")
+    assert spread.selectExpr("spark_partition_id() AS p").distinct().count() > 1
+    path = scratch_path(spark, "tokens-test")
+    tb.write_token_files(docs(*rows), TOK, path, shard_tokens=50, equal_rows=7)
+    got = sorted((tuple(r) for r in tb.document_index(spark, path).collect()), key=lambda r: r[1])
+    want = expected(rows)
+    assert [g[0] for g in got] == [w[0] for w in want] and sorted(g[2:] for g in got) == sorted(w[2:] for w in want)
+    assert [g[1] for g in got] == [0, *np.cumsum([g[2] for g in got])[:-1].tolist()]
+
+
 PIECES = ["a", "Ab", "é", "É", "T\u0308", "I\u0307", "'s", "'S", ".", ",", "..", "3", "x.", "<|", "<|ENDOFTEXT|>", "<|endoftext|>", "\n", " ", "  ", "\t",
           "\u0301", "ß", "Σς", "!", "_", "\u2028", "K", "Word,", "word. ", "it's. ", "日本。", "x\u00a0y"]
 
