@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from casemill.operators.merge import CASE_HISTORY, CASE_REPORT
 from casemill.schemas import CASE_FIELDS, UPDATE_FIELDS
+from casemill.sources.files import hadoop
 from casemill.sources.tables import read_table
 
 INTAKE_TOPIC = "case_increment"
@@ -22,6 +23,7 @@ UPDATE_TOPIC = "case_update"
 INTAKE_GROUP = "case_increment"
 UPDATE_GROUP = "case_update"
 PROFILE_BLOCK = 500
+DEALT_BYTES = 1 << 20  # of a table's file per task that makes messages of its rows
 AS_OF = "2024-06-30"
 
 
@@ -42,28 +44,67 @@ def _filler(fields: list[str], given: dict[str, F.Column], key: F.Column) -> F.C
     return F.struct(*[given.get(f, rest(f)).alias(f) for f in fields])
 
 
+def _dealt(rows: DataFrame, table: str, key: str) -> DataFrame:
+    """Narrow `rows` of a table dealt over tasks by `key`, a task for every
+    `DEALT_BYTES` of its file: a message is much larger than the row it is made
+    of, and takes long to write and to read, while one task may scan a whole
+    file of them."""
+    spark = rows.sparkSession
+    fs, at = hadoop(spark, table)
+    n = max(spark.sparkContext.defaultParallelism, -(-fs.getContentSummary(at).getLength() // DEALT_BYTES))
+    return rows.repartition(n, key)
+
+
 def _case_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read_table(spark, sf_dir, "orders")
     c = read_table(spark, sf_dir, "customer")
-    return o.join(c, o["o_custkey"] == c["c_custkey"])
+    rows = o.join(c, o["o_custkey"] == c["c_custkey"]).select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_orderdate", "c_name", "c_mktsegment")
+    rows = _dealt(rows, f"{sf_dir}/orders.parquet", "o_orderkey")
+    # columns of their own: with all remainders inside, the expression of a
+    # message's text is compiled into a method too large for the JIT
+    rests = sorted({len(f) + 3 for f in CASE_FIELDS})
+    return rows.select("*", *[_s(F.col("o_orderkey") % n).alias(f"rest_{n}") for n in rests])
+
+
+def _json_text(field: str, value: F.Column, plain: bool = False) -> F.Column:
+    """`,"field":"value"`, empty for a null as `to_json` leaves it out; a
+    `plain` value holds nothing that JSON escapes."""
+    if plain:
+        return F.coalesce(F.concat(F.lit(f',"{field}":"'), value, F.lit('"')), F.lit(""))
+    text = F.to_json(F.struct(value.alias(field)))
+    return F.when(value.isNull(), F.lit("")).otherwise(F.concat(F.lit(","), text.substr(F.lit(2), F.length(text) - 2)))
 
 
 def _case_text(mobile: F.Column) -> F.Column:
     """The JSON of a case message; a quarter of them send an amount as a JSON
-    number, as 7.50."""
-    as_number = (F.col("o_orderkey") % 4 == 3) & mobile.isNotNull()
-    rec = _filler(CASE_FIELDS, {
-        "overdueId": case_id(F.col("o_custkey")),
-        "mobile": mobile,
-        "name": F.col("c_name"),
-        "productName": F.col("o_orderpriority"),
-        "status": F.col("o_orderstatus"),
-        "address2": F.col("c_mktsegment"),
-        "loanDate": F.date_format(F.col("o_orderdate"), "yyyy-MM-dd"),
-        "seqNo": _s(F.col("o_orderkey")),
-        "loanAmt": F.when(as_number, F.lit("@")).otherwise(F.concat(F.lit("loanAmt-"), _s(F.col("o_orderkey") % 10))),
-    }, F.col("o_orderkey"))
-    return F.replace(F.to_json(rec), F.lit('"loanAmt":"@"'), F.concat(F.lit('"loanAmt": '), _s(F.col("o_orderkey")), F.lit(".50")))
+    number, as 7.50.  It is what `to_json` writes for a record of all fields in
+    which the given ones have their values and the others their name with the
+    key's remainder by the length of the name plus three: put together as text,
+    as a record that wide is slow to write."""
+    key = F.col("o_orderkey")
+    as_number = (key % 4 == 3) & mobile.isNotNull()
+    given = {
+        "overdueId": _json_text("overdueId", case_id(F.col("o_custkey")), plain=True),
+        "mobile": _json_text("mobile", mobile, plain=True),
+        "name": _json_text("name", F.col("c_name")),
+        "productName": _json_text("productName", F.col("o_orderpriority")),
+        "status": _json_text("status", F.col("o_orderstatus")),
+        "address2": _json_text("address2", F.col("c_mktsegment")),
+        "loanDate": _json_text("loanDate", F.date_format(F.col("o_orderdate"), "yyyy-MM-dd"), plain=True),
+        "seqNo": _json_text("seqNo", _s(key), plain=True),
+        "loanAmt": F.when(as_number, F.concat(F.lit(',"loanAmt": '), _s(key), F.lit(".50"))).otherwise(
+            F.concat(F.lit(',"loanAmt":"loanAmt-'), _s(key % 10), F.lit('"'))),
+    }
+    pieces, text = [], "{"  # `text`: the constant part that comes next
+    for f in CASE_FIELDS:
+        if f in given:
+            pieces += [F.lit(text), given[f]]
+            text = ""
+        else:
+            pieces += [F.lit(text + ("" if f == CASE_FIELDS[0] else ",") + f'"{f}":"{f}-'), F.col(f"rest_{len(f) + 3}")]
+            text = '"'
+    return F.concat(*pieces, F.lit(text + "}"))
 
 
 def case_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,7 +135,8 @@ def case_corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def update_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D2: Kafka-shaped update messages from events."""
-    e = read_table(spark, sf_dir, "events")
+    e = read_table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "ts")
+    e = _dealt(e, f"{sf_dir}/events.parquet", "event_id")
     mobile = F.when(F.col("event_id") % 41 == 0, F.lit(None).cast("string")).otherwise(_s(F.col("user_id")))
     status = (F.when(F.col("event_type") == "purchase", F.lit("CLOSE"))
               .when(F.col("event_type") == "error", F.lit(None).cast("string"))
