@@ -8,6 +8,8 @@ needs both should persist the classified frame (the stream driver does).
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,13 +36,19 @@ def _text_value(messages: DataFrame) -> DataFrame:
     return messages
 
 
+def _number(field: str) -> Column:
+    """Whether the parsed field begins like what casts to a number (a cast that
+    fails costs an exception)."""
+    return F.col("_m")[field].rlike(r"^[\s\p{Cntrl}]*+([-+.0-9]|(?i:inf|nan))")
+
+
 def _as_sent(field: str) -> Column:
     """A field with a number's digits as the message has them (`1.50`): the
     last number behind the field's name that equals the parsed value."""
     parsed = F.col("_m")[field]
     sent = F.regexp_extract_all(F.col("value"), F.lit(f'"{field}"\\s*:\\s*(-?[0-9][0-9eE.+-]*)'), F.lit(1))
     same = F.filter(sent, lambda x: x.try_cast("double") == parsed.try_cast("double"))
-    return F.coalesce(F.when(F.col("_n"), F.try_element_at(same, F.lit(-1))), parsed)
+    return F.coalesce(F.when(F.col("_n") & _number(field), F.try_element_at(same, F.lit(-1))), parsed)
 
 
 def classify(
@@ -64,17 +72,18 @@ def classify(
     meta = [c for c in META_COLUMNS if c in messages.columns]
     fields = [f.name for f in schema.fields]
     exact = [f for f in (EXACT_FIELDS if exact_fields is None else exact_fields) if f in fields]
-    parts = [parsed.alias("_m")]
-    if exact:
-        # amounts sent as strings are exact already; digits are only looked up
-        # in messages where an exact field carries a JSON number.  The names are
-        # tried in messages alone that have a number behind some name.
-        number = '"(' + "|".join(exact) + ')"\\s*:\\s*-?[0-9]'
-        parts.append((F.col("value").rlike('"\\s*+:\\s*+-?[0-9]') & F.col("value").rlike(number)).alias("_n"))
     # The parse is produced by a one-row generator: predicates on its result
     # (the quarantine split) cannot be pushed below a Generate, so every
     # message is parsed exactly once instead of once per reference.
-    df = messages.select(F.col("value"), *meta, F.inline(F.array(F.struct(*parts))))
+    df = messages.select(F.col("value"), *meta, F.inline(F.array(F.struct(parsed.alias("_m")))))
+    if exact:
+        # amounts sent as strings are exact already; digits are only looked up
+        # in messages where an exact field carries a JSON number.  The text is
+        # searched only where one reads as a number, and the names are tried in
+        # messages alone that have a number behind a colon.
+        number = '"(' + "|".join(exact) + ')"\\s*:\\s*-?[0-9]'
+        named = F.col("value").rlike(':\\s*+[-0-9]') & F.col("value").rlike(number)
+        df = df.withColumn("_n", F.when(reduce(lambda x, y: x | y, map(_number, exact)), named).otherwise(F.lit(False)))
     cols = [(_as_sent(f) if f in exact else F.col("_m")[f]).alias(f) for f in fields]
     phone = F.col("_m")[phone_field] if phone_field else None
     key = F.col("_m")[key_field] if key_field else None
