@@ -12,6 +12,7 @@ from casemill.operators.backfill import profiles_of
 from casemill.operators.merge import INTAKE_RANK, UPDATE_RANK, case_changes, update_changes
 from casemill.operators.parse import parse_cases, parse_updates
 from casemill.operators.profile import enrich_cases
+from casemill.session import scratch_path
 
 
 @dataclass
@@ -24,7 +25,11 @@ def intake_batch(messages: DataFrame, profiles: DataFrame, as_of: str | None = N
                  profile_addresses: bool = True, topic_rank: int = INTAKE_RANK) -> BatchResult:
     """Case messages -> enriched full-row replaces for case_report."""
     valid, quarantine = parse_cases(messages)
-    phones = valid.select(F.col("mobile").alias("phone")).distinct()
+    # kept as files: bare documents are looked for by the phones twice, and the
+    # messages are not to be parsed for each
+    path = scratch_path(messages.sparkSession, "intake-phones")
+    valid.select(F.col("mobile").alias("phone")).distinct().write.parquet(path)
+    phones = messages.sparkSession.read.schema("phone string").parquet(path)
     enriched = enrich_cases(valid, profiles_of(phones, profiles), as_of, profile_addresses)
     return BatchResult(case_changes(enriched, batch_id, topic_rank), quarantine)
 
