@@ -55,10 +55,10 @@ from casemill.operators.merge import (
 )
 from casemill.operators.backfill import backfill, profiles_of
 from casemill.operators.offsets import batch_end_offsets
-from casemill.operators.parse import CASE_SCHEMA, UPDATE_SCHEMA, classify, split
+from casemill.operators.parse import CASE_SCHEMA, META_COLUMNS, REASON, UPDATE_SCHEMA, classify, split
 from casemill.operators.profile import enrich_cases
 from casemill.operators.profile_store import ProfileStore
-from casemill.schemas import LEDGER_COLUMNS
+from casemill.schemas import CASE_FIELDS, LEDGER_COLUMNS, UPDATE_FIELDS, string_struct
 from casemill.sources.files import exists, hadoop, names
 from casemill.sources.parts import PartTable
 from casemill.streaming.order import Batch, LogMark, Order
@@ -170,12 +170,23 @@ def _batch_profiles(valid: DataFrame, profiles: Profiles | None, extracted: Prof
     return profiles_of(phones, _now(profiles, spark), extracted=_now(extracted, spark))
 
 
+def _classified(batch: DataFrame, schema: T.StructType, topics: tuple[str, ...] = ()) -> DataFrame:
+    """`classify`, with the text of quarantined messages alone: nothing reads
+    that of the others again, and it is most of what a kept batch would hold.
+    Messages of other topics than `topics`, if any are named, are quarantined."""
+    rows = classify(batch, schema)
+    if topics:
+        known = F.coalesce(F.col("topic").isin(*topics), F.lit(False))
+        rows = rows.withColumn(REASON, F.when(known, F.col(REASON)).otherwise(F.lit("unknown_topic")))
+    return rows.withColumn("value", F.when(F.col(REASON).isNotNull(), F.col("value")))
+
+
 def _handler(kind: str, paths: StreamPaths, group: str, as_of: str | None, profiles: Profiles | None,
              profile_addresses: bool, write_history: bool = False, extracted: Profiles | ProfileStore | None = None):
     schema = CASE_SCHEMA if kind == "intake" else UPDATE_SCHEMA
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        classified = classify(batch, schema).persist()
+        classified = _classified(batch, schema).persist()
         held = [classified]
         try:
             if classified.isEmpty():  # probes the cached frame: nothing to write, positions unchanged
@@ -207,24 +218,23 @@ def _case_handler(paths: StreamPaths, group: str, intake_topic: str, update_topi
                   profiles: Profiles | None, profile_addresses: bool, extracted: Profiles | ProfileStore | None = None,
                   write_history: bool = False):
     """One micro-batch holding both topics: intake replaces apply before the
-    batch's updates (topic rank), so the order between the topics is defined."""
+    batch's updates (topic rank), so the order between the topics is defined.
+
+    The source is read once and each message parsed once, by the fields of
+    both kinds: what is kept is the parsed rows, never the batch's text."""
+    both = string_struct([*CASE_FIELDS, *[f for f in UPDATE_FIELDS if f not in CASE_FIELDS]])
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        held = [batch]
+        classified = _classified(batch, both, (intake_topic, update_topic)).persist()
+        held = [classified]
         try:
-            if batch.isEmpty():  # probes the cached batch: nothing to write, positions unchanged
+            if classified.isEmpty():  # probes the cached frame: nothing to write, positions unchanged
                 return
             order = order_of(batch.sparkSession, paths)
             order.begin(paths.root, batch_id)
-            ci = classify(batch.where(F.col("topic") == intake_topic), CASE_SCHEMA).persist()
-            cu = classify(batch.where(F.col("topic") == update_topic), UPDATE_SCHEMA).persist()
-            known = F.coalesce(F.col("topic").isin(intake_topic, update_topic), F.lit(False))
-            others = batch.where(~known).select(
-                F.lit("unknown_topic").alias("reason"), F.col("value").cast("string").alias("value"), "topic", "partition", "offset")
-            held += [ci, cu]
-            valid_i, quarantine_i = split(ci)
-            valid_u, quarantine_u = split(cu)
+            valid, quarantine = split(classified)
+            valid_i, valid_u = (valid.where(F.col("topic") == topic).select(*fields, *META_COLUMNS)
+                                for topic, fields in ((intake_topic, CASE_FIELDS), (update_topic, UPDATE_FIELDS)))
             enriched = enrich_cases(valid_i, _batch_profiles(valid_i, profiles, extracted), as_of, profile_addresses)
             if write_history:
                 enriched = enriched.persist()
@@ -233,8 +243,8 @@ def _case_handler(paths: StreamPaths, group: str, intake_topic: str, update_topi
             changes = case_changes(enriched, batch_id, INTAKE_RANK).unionByName(
                 update_changes(valid_u, as_of, batch_id, UPDATE_RANK))
             _write_batch(changes, paths.changes, batch_id)
-            _write_report(paths, batch_id, quarantine_i.unionByName(quarantine_u).unionByName(others))
-            _write_ledger(batch.sparkSession, paths, batch_id, batch_end_offsets(batch, group))
+            _write_report(paths, batch_id, quarantine)
+            _write_ledger(batch.sparkSession, paths, batch_id, batch_end_offsets(classified, group))
             order.finish(paths.root, batch_id)
         finally:
             for df in held:

@@ -12,7 +12,7 @@ from casemill.plans.jobs import intake_batch, update_batch
 from casemill.schemas import KAFKA_SCHEMA
 from casemill.session import scratch_path
 from casemill.operators.merge import history_merge
-from casemill.operators.parse import parse_cases
+from casemill.operators.parse import parse_cases, split
 from casemill.operators.profile import enrich_cases, extract_profile
 from casemill.streaming.drivers import (
     StreamPaths,
@@ -394,3 +394,47 @@ def test_empty_log_and_unknown_topics(spark):
     handle = drivers._handler("intake", paths, "g", AS_OF, None, True)
     handle(spark.createDataFrame([], KAFKA_SCHEMA), 99)
     assert last_complete_batch(spark, paths) == 0
+
+
+def mixed_messages(spark):
+    """Both topics in one batch: amounts as JSON numbers and strings, bad text, no phone, no key, an unknown topic."""
+    case = ['{"overdueId": "1", "mobile": "p", "name": "n", "loanAmt": 7.50, "overdueAmt": "7"}', "not json", "", "null",
+            '{"overdueId": "2", "name": "n"}', '{"mobile": "p"}', '{"overdueId": "3", "mobile": "p", "overdueAmt": 1.10, "interestRate": 0.10}']
+    update = ['{"overdueId": "1", "mobile": "p", "overdueAmt": 2.50, "status": "CLOSE"}', "{", '{"overdueId": "1"}',
+              '{"overdueId": "3", "mobile": "p", "overdueAmt": "2", "loanAmt": 3.50, "name": "no field of updates"}']
+    rows = [(None, v, t, 0, i, None) for t, values in (("i", case), ("u", update), ("x", ["other"]), (None, ["none"])) for i, v in enumerate(values)]
+    return spark.createDataFrame(rows, KAFKA_SCHEMA)
+
+
+def test_a_kept_batch_holds_the_text_of_quarantined_messages_alone(spark, monkeypatch):
+    """Parsed rows are kept for the sinks, the text of usable messages is not."""
+    held = []
+
+    def watched(classified):
+        held.append(classified.where("reason IS NULL AND value IS NOT NULL").count())
+        return split(classified)
+
+    monkeypatch.setattr(drivers, "split", watched)
+    for kind in ("intake", "update", "cases"):
+        paths = StreamPaths(scratch_path(spark, f"test-kept-{kind}"))
+        none = lambda s: extract_profile(s.createDataFrame([], "phone string, part bigint, doc string"))
+        drivers.handler(kind, paths, "g", AS_OF, extracted=none, topics=("i", "u"))(mixed_messages(spark), 0)
+        bad = drivers.read_quarantine(spark, paths).where("reason = 'corrupt'").select("value").distinct()
+        assert {"not json", "{"} <= {r[0] for r in bad.collect()}
+    assert held == [0, 0, 0]
+
+
+def test_both_topics_in_one_batch_equal_two_streams(spark):
+    """Each message is parsed once by the fields of both kinds, with the same
+    changes and quarantine as by those of its own kind."""
+    none = lambda s: extract_profile(s.createDataFrame([], "phone string, part bigint, doc string"))
+    messages, roots = mixed_messages(spark), {}
+    for kind, topic in (("cases", None), ("intake", "i"), ("update", "u")):
+        roots[kind] = StreamPaths(scratch_path(spark, f"test-both-{kind}"))
+        batch = messages if topic is None else messages.where(F.col("topic") == topic)
+        drivers.handler(kind, roots[kind], "g", AS_OF, extracted=none, topics=("i", "u"))(batch, 0)
+    read = lambda kind, folder: [tuple(r) for r in spark.read.parquet(f"{roots[kind].root}/{folder}/batch_id=0").collect()]
+    assert sorted(read("cases", "changes"), key=str) == sorted(read("intake", "changes") + read("update", "changes"), key=str)
+    others = [("unknown_topic", "other", "x", 0, 0), ("unknown_topic", "none", None, 0, 0)]
+    assert sorted(read("cases", "report"), key=str) == sorted(read("intake", "report") + read("update", "report") + others, key=str)
+    assert {r.topic: r.kafka_offset for r in current_ledger(spark, roots["cases"]).collect()} == {"i": 7, "u": 4, "x": 1, None: 1}
